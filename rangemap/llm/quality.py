@@ -2,7 +2,7 @@
 
 One dictionary is trained on labelled good texts, one on labelled bad ones. A text's chunks are compressed with either;
 the difference of the two totals over the text's length is the only input of a logistic curve, fitted on labelled texts
-that trained no dictionary, which makes it a score from 0 to 1.
+that trained no dictionary and weighted by how often each label occurs, which makes it the chance of a good text.
 """
 
 from __future__ import annotations
@@ -72,24 +72,24 @@ def _dictionary(texts: list[str], size: int) -> bytes:
         return b"".join(parts)[:size]
 
 
-def fit(texts: list[str], labels: list[int], dict_bytes: int = 1 << 16) -> Model:
-    """From few labelled texts: even places train the dictionaries, odd ones the curve. Without both labels the score
-    is the same for every text: the share of good ones, smoothed."""
+def fit(texts: list[str], labels: list[int], dict_bytes: int = 1 << 16, share: float = 0.5) -> Model:
+    """From few labelled texts: even places train the dictionaries, odd ones the curve. share: of good ones among all
+    labelled rows. Without both labels the score is the same for every text, their smoothed share."""
     sides = {y: [t for t, v in zip(texts, labels, strict=True) if v == y] for y in (0, 1)}
     if min(map(len, sides.values())) < 2:
-        share = (len(sides[1]) + 1) / (len(texts) + 2)
+        share = min(max(share, 1 / (len(texts) + 2)), 1 - 1 / (len(texts) + 2))
         return Model(b"", b"", 0.0, float(np.log(share / (1 - share))))
     good, bad = (_dictionary(sides[y][::2], dict_bytes) for y in (1, 0))
     held = [(difference(t, good, bad), y) for y in (0, 1) for t in sides[y][1::2]]
     x, y = np.array([d for d, _ in held]), np.array([v for _, v in held], float)
     scale = float(np.abs(x).max()) or 1.0
-    slope, offset = _curve(x / scale, y)
+    slope, offset = _curve(x / scale, y, share)
     return Model(good, bad, slope / scale, offset)
 
 
-def _curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> tuple[float, float]:
-    """Logistic regression of y on x by Newton's method, both classes weighing the same."""
-    w = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
+def _curve(x: np.ndarray, y: np.ndarray, share: float, ridge: float = 1e-4, rounds: int = 50) -> tuple[float, float]:
+    """Logistic regression of y on x by Newton's method; the label 1 weighs share in all."""
+    w = np.where(y == 1, share / max(y.sum(), 1), (1 - share) / max((1 - y).sum(), 1))
     a = np.stack([x, np.ones_like(x)], 1)
     b = np.zeros(2)
     for _ in range(rounds):
@@ -112,12 +112,14 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1000, dict_bytes:
     smallest hash of the id among labelled rows that are not held out. Null labels, ids and texts are left out."""
     spark = docs.sparkSession
     known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select(F.col("doc_id").cast("long").alias("doc_id"), "quality").distinct()
+    counts = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
+    share = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
     chosen = [known.filter(F.col("quality") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
     rows = chosen[0].unionByName(chosen[1]).collect()  # at most 2 * per_class pairs
     few = spark.createDataFrame(rows, "doc_id long, quality int")
     texts = id_text(docs).filter("text <> ''").join(F.broadcast(few), "doc_id").select("doc_id", "quality", F.substring("text", 1, 1 << 16).alias("text"))
     found = sorted(texts.limit(4 * per_class).collect(), key=lambda r: (r["doc_id"], r["text"]))
-    return fit([r["text"] for r in found], [r["quality"] for r in found], dict_bytes)
+    return fit([r["text"] for r in found], [r["quality"] for r in found], dict_bytes, share)
 
 
 def _scores(model: Model):

@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, media, quality, secrets
+from . import bpe, fingerprint, jaccard, media, quality, secrets
 from .common import table
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_features(media.with_media(table(spark, sf_dir, "documents")))
 
@@ -34,6 +38,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_media_columns": op4_media_columns,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_byte_bpe": op7_byte_bpe,
