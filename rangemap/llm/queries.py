@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, jaccard, media, quality, secrets
+from . import bpe, fingerprint, jaccard, media, quality, secrets, substrings
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_features(media.with_media(table(spark, sf_dir, "documents")))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup_report(table(spark, sf_dir, "documents"), window=13)
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -40,6 +44,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_media_columns": op4_media_columns,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_secret_scans": op8_secret_scans,
