@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, jaccard, media, quality, secrets, substrings
+from . import bpe, fingerprint, jaccard, media, packing, quality, secrets, substrings, url_filter
 from .common import table
 
 
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"))
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit(table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), k=4, percent=85)
 
@@ -42,6 +50,8 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filters": op1_url_filters,
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_media_columns": op4_media_columns,
     "op5_substring_dedup": op5_substring_dedup,
