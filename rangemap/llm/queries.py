@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, jaccard, media, packing, quality, secrets, substrings, url_filter
+from . import bpe, fingerprint, jaccard, media, packing, pseudo_likelihood, quality, secrets, substrings, url_filter
 from .common import table
 
 
@@ -45,6 +45,10 @@ def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihood.score(table(spark, sf_dir, "documents"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_report(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_classifier": op6_quality_classifier,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_secret_scans": op8_secret_scans,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_fingerprints": op10_fingerprints,
 }
 
