@@ -1,9 +1,10 @@
-"""Getting this package to the executors."""
+"""Getting this package to the executors, and tables to the folder that all of them share."""
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable
 from pathlib import Path
@@ -34,3 +35,20 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 
     run.__name__, run.__doc__ = query.__name__, query.__doc__
     return run
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found:
+        found = "file://" + tempfile.mkdtemp(prefix="rangemap-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage: write the rows to the shared folder and read them back. A lost executor then costs its own tasks only."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
