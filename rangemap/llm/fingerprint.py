@@ -70,11 +70,16 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     members = marks.join(full, "fingerprint", "left_semi")
     texts = semi_by_size(source, members.select("doc_id").distinct(), "doc_id").mapInArrow(_canonicals, "doc_id long, fingerprint string, canon binary")
     texts = texts.join(full.select("fingerprint"), "fingerprint", "left_semi")
-    first = texts.join(full.select(F.col("first_id").alias("doc_id"), F.col("fingerprint").alias("bucket")), "doc_id").filter("fingerprint = bucket").groupBy("fingerprint").agg(F.min("canon").alias("first_canon"))
+    first = texts.join(full.select(F.col("first_id").alias("doc_id"), F.col("fingerprint").alias("bucket")), "doc_id").filter("fingerprint = bucket").groupBy("fingerprint").agg(F.min("canon").alias("first_canon"), F.min("doc_id").alias("first_id"))
+    first = written(first, "first")
     same = F.col("canon") == F.col("first_canon")
-    checked = texts.join(first, "fingerprint", "left").select("doc_id", "fingerprint", F.when(same, F.lit("")).otherwise(F.sha2("canon", 256)).alias("apart"))
-    ranked = checked.groupBy("fingerprint", "apart").agg(F.min("doc_id").alias("group_id"))
-    grouped = checked.join(ranked, ["fingerprint", "apart"]).select("doc_id", F.concat("fingerprint", "apart").alias("fingerprint"), "group_id")
+    # No aggregate follows the join on its key, so a bucket's members can be split among tasks.
+    checked = texts.join(first, "fingerprint", "left").select("doc_id", "fingerprint", "first_id", F.when(same, F.lit("")).otherwise(F.sha2("canon", 256)).alias("apart"))
+    checked = written(checked, "checked")
+    odd = checked.filter("apart <> ''")
+    ranked = odd.groupBy("fingerprint", "apart").agg(F.min("doc_id").alias("group_id"))
+    grouped = odd.join(ranked, ["fingerprint", "apart"]).unionByName(checked.filter("apart = ''").withColumn("group_id", F.col("first_id")), allowMissingColumns=True)
+    grouped = grouped.select("doc_id", F.concat("fingerprint", "apart").alias("fingerprint"), "group_id")
     alone = marks.join(full, "fingerprint", "left_anti").select("doc_id", "fingerprint", F.col("doc_id").alias("group_id"))
     return alone.unionByName(grouped)
 
