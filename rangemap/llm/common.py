@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_dir, written
+
+__all__ = ["shared_dir", "written"]
+
 #: White space that separates words: space, and tab to carriage return.
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
@@ -29,23 +30,6 @@ def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="rangemap-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write the rows to the shared folder and read them back. A lost executor then costs its own tasks only."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 #: Most keys that are broadcast: about 40 MB in each executor.
 BROADCAST_KEYS = 1_000_000
 

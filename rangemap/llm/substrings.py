@@ -213,7 +213,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     unique = source.join(_by_size(copies), ["doc_id", "sign"], "left_anti")
     anchors = written(unique.mapInArrow(_anchors(window, anchor), "doc_id long, sign long, word int, anchor long"), "anchors")
     shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n")).filter("lo < hi").select("anchor", (F.col("n") > HOT).cast("int").alias("hot"))
-    hits = anchors.join(shared, "anchor").select("doc_id", "sign", (F.col("word") * 2 + F.col("hot")).alias("hit"))
+    # Written first: a join that follows the aggregate on its own exchange can't have its hot anchors split.
+    hits = anchors.join(written(shared, "shared"), "anchor").select("doc_id", "sign", (F.col("word") * 2 + F.col("hot")).alias("hit"))
     hits = hits.groupBy("doc_id", "sign").agg(F.collect_list("hit").alias("hit")).mapInArrow(_packed, "doc_id long, sign long, hits binary")
     hits = written(hits, "hits")
     segments = unique.select("doc_id", "sign", "text").join(_by_size(hits, "hits"), ["doc_id", "sign"]).select("doc_id", "sign", "text", "hits")
