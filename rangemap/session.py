@@ -50,5 +50,5 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write the rows to the shared folder and read them back. A lost executor then costs its own tasks only."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
