@@ -209,11 +209,13 @@ def verified_links(source: DataFrame, families: DataFrame, classes: DataFrame, k
     """Links (a, b) among the members of each family, enough to connect all that are connected."""
     width = -math.log(percent / 100 - 0.002)
     place = families.join(classes.select(F.col("class").alias("doc_id"), "n_shingles", "one"), "doc_id").groupBy("doc_id").agg(F.first("family").alias("family"), F.max("n_shingles").alias("n"), F.max(F.struct("n_shingles", "one"))["one"].alias("sign")).withColumn("band", F.floor(F.log("n") / width).cast("int"))
+    place = written(place, "place")
     spread = place.groupBy("family").agg(F.min("band").alias("lo"), F.max("band").alias("hi"), F.count("*").alias("size"))
+    spread = written(spread, "spread")
     own = F.when(F.col("hi") - F.col("lo") <= 1, F.array("lo")).otherwise(F.filter(F.array(F.col("band") - 1, F.col("band")), lambda b: (b >= F.col("lo")) & (b < F.col("hi"))))
     placed = written(place.join(spread, "family").filter("size > 1").select("doc_id", "n", "sign", "family", F.explode(own).alias("tile_band")), "placed")
     count = placed.groupBy("family", "tile_band").agg(F.count("*").alias("in_tile"))
-    placed = written(placed.join(count, ["family", "tile_band"]).filter("in_tile > 1").withColumn("blocks", F.ceil(F.col("in_tile") / TILE).cast("int")).withColumn("block", F.pmod(F.xxhash64("doc_id", "tile_band"), F.col("blocks")).cast("int")), "placed")
+    placed = written(placed.join(written(count, "count"), ["family", "tile_band"]).filter("in_tile > 1").withColumn("blocks", F.ceil(F.col("in_tile") / TILE).cast("int")).withColumn("block", F.pmod(F.xxhash64("doc_id", "tile_band"), F.col("blocks")).cast("int")), "placed")
     needed = placed.select("doc_id", "sign").distinct()
     rows = needed.count()
     if rows <= BROADCAST_KEYS:
