@@ -7,15 +7,15 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Long names of the nineteen bioclimatic variables, in order.
-BIOCLIM = [
-    "Annual Mean Temperature", "Mean Diurnal Range", "Isothermality", "Temperature Seasonality",
-    "Max Temperature of Warmest Month", "Min Temperature of Coldest Month", "Temperature Annual Range",
-    "Mean Temperature of Wettest Quarter", "Mean Temperature of Driest Quarter", "Mean Temperature of Warmest Quarter",
-    "Mean Temperature of Coldest Quarter", "Annual Precipitation", "Precipitation of Wettest Month",
-    "Precipitation of Driest Month", "Precipitation Seasonality", "Precipitation of Wettest Quarter",
-    "Precipitation of Driest Quarter", "Precipitation of Warmest Quarter", "Precipitation of Coldest Quarter",
-]
+# Long names of climate variables.
+CLIMATE = {
+    "tmin": "TMIN - Minimum temperature",
+    "tmax": "TMAX - Maximum temperature",
+    "tavg": "TAVG - Average temperature",
+    "prec": "Precipitation",
+    "wind": "Wind speed",
+    "srad": "Solar radiation",
+}
 
 
 def tidy_name(name: str) -> str:
@@ -30,9 +30,9 @@ def tidy(name: Column) -> Column:
 
 
 def climate_name(code: str) -> str:
-    """`bio_5` to its long name; other codes stay."""
-    found = re.fullmatch(r"(?:.*_)?bio_?(\d+)", code)
-    return BIOCLIM[int(found[1]) - 1] if found and 1 <= int(found[1]) <= len(BIOCLIM) else code
+    """The long name of a climate variable, `bio5` included; other codes stay."""
+    found = re.fullmatch(r"bio_?(\d+)", code)
+    return f"Bioclimatic variable {found[1]}" if found else CLIMATE.get(code, code)
 
 
 def identifier(latin_name: Column, activity: Column) -> Column:

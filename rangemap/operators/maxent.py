@@ -31,6 +31,53 @@ FINAL = -1  # the fold of the model fitted on all rows
 # The published regularisation of term kinds by number of presences (points of a broken line).
 PENALTY = {LINEAR: ([0, 10, 30, 100], [1.0, 1.0, 0.2, 0.05]), QUADRATIC: ([0, 10, 17, 30, 100], [1.3, 0.8, 0.5, 0.25, 0.05]), PRODUCT: ([0, 10, 17, 30, 100], [2.6, 1.6, 0.9, 0.55, 0.05]), HINGE: ([0, 1], [0.5, 0.5]), THRESHOLD: ([0, 100], [2.0, 1.0])}
 
+# The features of a model, by activity.
+FEATURES = {
+    "In flight": [
+        "ceh_landcover_improved_grassland",
+        "ceh_landcover_suburban",
+        "bgs_coast_distance_to_coast",
+        "ceh_landcover_arable",
+        "ceh_landcover_suburban_500m",
+        "ceh_landcover_arable_500m",
+        "climate_bioclim_bio_7",
+        "vom_vegetation_height_max",
+        "terrain_stats_slope",
+        "ceh_landcover_broadleaved_woodland",
+        "climate_bioclim_bio_9",
+        "climate_stats_temp_ann_var",
+        "os_cover_water",
+        "climate_bioclim_bio_3",
+        "ceh_landcover_improved_grassland_500m",
+        "ceh_landcover_urban",
+        "climate_stats_prec_ann_avg",
+        "climate_stats_temp_ann_avg",
+        "os_distance_distance_to_major_roads",
+        "terrain_dtm",
+        "os_distance_distance_to_buildings",
+        "ceh_landcover_urban_500m",
+        "climate_stats_wind_ann_avg",
+    ],
+    "Roost": [
+        "ceh_landcover_suburban",
+        "vom_vegetation_height_max",
+        "os_distance_distance_to_buildings",
+        "vom_vegetation_height_mean_500m",
+        "ceh_landcover_suburban_500m",
+        "bgs_coast_distance_to_coast",
+        "ceh_landcover_broadleaved_woodland_500m",
+        "ceh_landcover_improved_grassland",
+        "terrain_stats_roughness",
+        "climate_bioclim_bio_3",
+        "climate_bioclim_bio_9",
+        "ceh_landcover_broadleaved_woodland",
+        "ceh_landcover_arable_500m",
+        "ceh_landcover_improved_grassland_500m",
+        "ceh_landcover_grassland",
+        "climate_stats_temp_ann_avg",
+    ],
+}
+
 
 @dataclass(frozen=True)
 class Config:

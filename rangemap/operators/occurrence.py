@@ -11,13 +11,22 @@ from pyspark.sql.window import Window
 from .grid import GridSpec, with_cell
 from .raster import KEY, bands_of
 
-# The vocabulary of species and their genera, and how sources spell the activities.
+# The vocabulary of species, with common names where there is one, of genera, and how sources spell the
+# activities.
 SPECIES = {
-    "Barbastella barbastellus": "Barbastelle", "Eptesicus serotinus": "Serotine", "Myotis brandtii": "Brandt's bat",
-    "Myotis daubentonii": "Daubenton's bat", "Myotis mystacinus": "Whiskered bat", "Myotis nattereri": "Natterer's bat",
-    "Nyctalus leisleri": "Leisler's bat", "Nyctalus noctula": "Noctule", "Pipistrellus pipistrellus": "Common pipistrelle",
-    "Pipistrellus pygmaeus": "Soprano pipistrelle", "Plecotus auritus": "Brown long-eared bat",
-}
+    "Pipistrellus pipistrellus": "Common Pipistrelle",
+    "Pipistrellus pygmaeus": "Soprano Pipistrelle",
+    "Plecotus auritus": "Brown Long Eared",
+    "Myotis mystacinus": "Whiskered",
+    "Nyctalus noctula": "Noctule",
+    "Myotis daubentonii": "Daubenton's",
+    "Myotis nattereri": "Natterer's",
+    "Nyctalus leisleri": "Leisler's",
+    "Myotis brandtii": "Brandt's",
+    "Pipistrellus nathusii": None,
+    "Eptesicus serotinus": None,
+}
+GENERA = ["Pipistrellus", "Plecotus", "Myotis", "Nyctalus", "Eptesicus"]
 ACTIVITIES = {"roost": "Roost", "roosting": "Roost", "in flight": "In flight", "foraging": "In flight"}
 
 log = logging.getLogger(__name__)

@@ -76,9 +76,9 @@ def vom(spark, sf):
 def climate(spark, sf):
     """A coarse climate layer cut to the area, moved to the grid, with statistics by long name."""
     half = grid.GridSpec(SPEC.x0, SPEC.ytop, 200.0, 21, 19)
-    coarse = raster.coarsen_stats(T.cells(spark, sf), 2, "t", "bio_5", 200).select(*KEY, F.col("bio_5_mean_200m").alias("bio_5"))
+    coarse = raster.coarsen_stats(T.cells(spark, sf), 2, "t", "bio", 200).select(*KEY, F.col("bio_mean_200m").alias("bio5"))
     moved = raster.resample(coarse, half, SPEC, grid.model_grid(spark, SPEC))
-    out = raster.band_statistics(moved.withColumnRenamed("bio_5", S.climate_name("bio_5")))
+    out = raster.band_statistics(moved.withColumnRenamed("bio5", S.climate_name("bio5")))
     return out
 
 
