@@ -25,7 +25,7 @@ from .components import connected_components
 MISS = 1e-12
 ROWS = 3
 BITS = 2048
-TILE = 1000
+TILE = 250
 
 
 def bands_for(percent: int) -> int:
