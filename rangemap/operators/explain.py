@@ -42,13 +42,14 @@ def permutation_importance(training: DataFrame, coefficients: DataFrame, feature
     return fall.groupBy("identifier", "feature").agg(F.avg("fall").alias("mean"), F.stddev_pop("fall").alias("std")).withColumn("importance", F.col("mean"))
 
 
-def partial_dependence(cells: DataFrame, coefficients: DataFrame, features: list[str], points: int = 30, most_rows: int = 1000, seed: int = 42, key: str = "cell_id") -> DataFrame:
+def partial_dependence(cells: DataFrame, coefficients: DataFrame, features: list[str], vary: list[str] | None = None, points: int = 30, most_rows: int = 1000, seed: int = 42, key: str = "cell_id") -> DataFrame:
     """(identifier, feature, step, value, p, centred): the mean prediction of a sample of at most most_rows cells with one
-    feature set to each of `points` values from its 5th to its 95th percentile; centred on the first."""
+    feature set to each of `points` values from its 5th to its 95th percentile; centred on the first. vary: the features to show, by default all of the models'."""
+    vary = vary or features
     full = cells.na.drop(subset=features)
-    ends = full.agg(*(F.percentile(f, F.array(F.lit(0.05), F.lit(0.95))).alias(f) for f in features)).first()
+    ends = full.agg(*(F.percentile(f, F.array(F.lit(0.05), F.lit(0.95))).alias(f) for f in vary)).first()
     sample = exact_sample(full, most_rows, key, seed)
-    grid = [(f, i, float(ends[f][0] + (ends[f][1] - ends[f][0]) * i / (points - 1))) for f in features for i in range(points)]
+    grid = [(f, i, float(ends[f][0] + (ends[f][1] - ends[f][0]) * i / (points - 1))) for f in vary for i in range(points)]
     steps = cells.sparkSession.createDataFrame(grid, "feature string, step int, value double")
     mixed = sample.crossJoin(F.broadcast(steps))  # at most most_rows by features by points
     mixed = mixed.select("feature", "step", "value", *(F.when(F.col("feature") == f, F.col("value")).otherwise(F.col(f)).alias(f) for f in features))
