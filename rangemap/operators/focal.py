@@ -110,12 +110,16 @@ def dominance(cells: DataFrame, band: str, window: int, name: str = "dominance")
 
 
 def neighbours(cells: DataFrame, band: str) -> DataFrame:
-    """cells with a struct n of the eight neighbours' values: nw, north, ne, west, east, sw, south, se. Two shuffles."""
-    at = lambda across, along, d, v: F.max(v).over(_span(across, along, d, d))
-    rows = cells.withColumn("_h", F.struct(at("row", "col", -1, band).alias("l"), F.col(band).alias("m"), at("row", "col", 1, band).alias("r")))
-    both = rows.withColumns({"_up": at("col", "row", -1, "_h"), "_down": at("col", "row", 1, "_h")})
-    parts = {"nw": "_up.l", "north": "_up.m", "ne": "_up.r", "west": "_h.l", "east": "_h.r", "sw": "_down.l", "south": "_down.m", "se": "_down.r"}
-    return both.withColumn("n", F.struct(*(F.col(p).alias(k) for k, p in parts.items()))).drop("_h", "_up", "_down")
+    """cells with a struct n of the eight neighbours' values: nw, north, ne, west, east, sw, south, se.
+
+    Neighbours stand one step apart along a row, a column or a diagonal, so four windows give all eight, each of one
+    step, whatever cells are absent in between. Four shuffles.
+    """
+    row, col = F.col("row"), F.col("col")
+    lines = {"west": (row, col, -1), "east": (row, col, 1), "north": (col, row, -1), "south": (col, row, 1), "nw": (row - col, row, -1), "se": (row - col, row, 1), "ne": (row + col, row, -1), "sw": (row + col, row, 1)}
+    order = ("nw", "north", "ne", "west", "east", "sw", "south", "se")
+    out = cells.withColumns({f"_{k}": F.max(band).over(Window.partitionBy(line).orderBy(along).rangeBetween(d, d)) for k, (line, along, d) in lines.items()})
+    return out.withColumn("n", F.struct(*(F.col(f"_{k}").alias(k) for k in order))).drop(*(f"_{k}" for k in order))
 
 
 def focal_apply(cells: DataFrame, band: str, window: int, fn: Callable[[Column], Column], name: str) -> DataFrame:
