@@ -86,7 +86,7 @@ def climate(spark, sf):
 def features(spark, sf):
     """Cover and distance of buildings and roads on the grid."""
     cells = grid.model_grid(spark, SPEC)
-    d, r = T.diamonds(spark, sf).filter("geom_id % 5 = 0"), T.roads(spark, sf)
+    d, r = T.zones(spark, sf), T.roads(spark, sf)
     cover = vector.feature_cover({"buildings": (d, False), "roads": (r, True)}, SPEC, cells, 20.0)
     far = distance.to_segments(cells, vector.segments(r), KEY, 50.0).withColumnRenamed("distance", "distance_to_roads")
     return cover.join(far, KEY)
@@ -96,7 +96,7 @@ def features(spark, sf):
 def coastal(spark, sf):
     """Distance to land of large parts on a coarse grid, moved to the model grid, in the sea within a buffer."""
     coarse = grid.GridSpec(SPEC.x0, SPEC.ytop, 200.0, 21, 19)
-    land_ = vector.large_parts(T.diamonds(spark, sf), 0.05)
+    land_ = vector.large_parts(T.zones(spark, sf), 0.02)
     far = distance.to_segments(grid.model_grid(spark, coarse), vector.segments(land_), KEY, 100.0, vector.polygon_cells(land_, coarse))
     fine = raster.resample(far, coarse, SPEC, grid.model_grid(spark, SPEC))
     return fine.filter("distance > 0 AND distance <= 500")
@@ -106,7 +106,7 @@ def coastal(spark, sf):
 def merge(spark, sf):
     half = grid.GridSpec(SPEC.x0, SPEC.ytop, 200.0, 21, 19)
     coarse = raster.coarsen_stats(T.cells(spark, sf), 2, "d", "d", 200).select(*KEY, F.col("d_mean_200m").alias("d"))
-    inside = vector.touched_cells(T.diamonds(spark, sf).filter("w > 120"), SPEC)
+    inside = vector.touched_cells(T.zones(spark, sf), SPEC)
     layers = {"Mean V.alue": (T.cells(spark, sf).select(*KEY, "v"), SPEC), "Coarse-D": (coarse, half), "Both": (T.cells(spark, sf).select(*KEY, F.col("t").alias("T one"), F.col("d").alias("D two")), SPEC)}
     return merge_ev_layers(layers, SPEC, grid.model_grid(spark, SPEC), inside)
 

@@ -105,10 +105,9 @@ def p3(spark, sf):
     return occurrence.succeeded(o).select("o_orderkey")
 
 
-@query("p4_point_in_polygon", "SELECT p.point_id, d.geom_id FROM points p JOIN diamonds d ON abs(p.x - d.cx) + abs(p.y - d.cy) < d.w AND p.point_id % 10 = 0", "points", "diamonds")
+@query("p4_point_in_polygon", "SELECT p.point_id, d.geom_id FROM points p JOIN zones d ON abs(p.x - d.cx) + abs(p.y - d.cy) < d.w", "points", "zones")
 def p4(spark, sf):
-    """Every tenth occurrence is the query set: the answer itself grows with the product of both layers."""
-    return vector.point_in_layer(T.points(spark, sf).filter("point_id % 10 = 0"), T.diamonds(spark, sf), WIDE)
+    return vector.point_in_layer(T.points(spark, sf), T.zones(spark, sf), WIDE)
 
 
 @query("p5_box_overlap", "SELECT geom_id FROM diamonds WHERE cx - w <= 1500 AND cx + w >= 1000 AND cy - w <= 2500 AND cy + w >= 1000", "diamonds")
@@ -127,9 +126,9 @@ def p6(spark, sf):
     return vector.touched_cells(T.diamonds(spark, sf), SPEC)
 
 
-@query("p6_p7_clip", """SELECT c."row", c.col, c.v FROM cells c JOIN grid g ON g."row" = c."row" AND g.col = c.col WHERE EXISTS (SELECT 1 FROM diamonds d WHERE d.w > 160 AND abs(g.x - d.cx) + abs(g.y - d.cy) < d.w)""", "grid", "diamonds", "cells")
+@query("p6_p7_clip", """SELECT c."row", c.col, c.v FROM cells c JOIN grid g ON g."row" = c."row" AND g.col = c.col WHERE EXISTS (SELECT 1 FROM zones d WHERE abs(g.x - d.cx) + abs(g.y - d.cy) < d.w)""", "grid", "zones", "cells")
 def p7(spark, sf):
-    inside = vector.polygon_cells(T.diamonds(spark, sf).filter("w > 160"), SPEC)
+    inside = vector.polygon_cells(T.zones(spark, sf), SPEC)
     return raster.clip_cells(T.cells(spark, sf).select("row", "col", "v"), inside)
 
 
@@ -180,9 +179,9 @@ def j4(spark, sf):
     return occurrence.thin_to_cells(T.points(spark, sf), SPEC, ["latin_name"], "point_id", 50.0).select("point_id", "latin_name", "row", "col")
 
 
-@query("j5_merge_layers", """SELECT coalesce(a."row", b."row") AS "row", coalesce(a.col, b.col) AS col, a.v, b.k FROM (SELECT * FROM cells WHERE "row" % 3 <> 0) a FULL JOIN (SELECT * FROM classes WHERE col % 4 <> 0) b ON a."row" = b."row" AND a.col = b.col""", "cells", "classes")
+@query("j5_merge_layers", """SELECT coalesce(a."row", b."row") AS "row", coalesce(a.col, b.col) AS col, a.v, b.k FROM cells a FULL JOIN (SELECT "row" + 5 AS "row", col - 3 AS col, k FROM classes) b ON a."row" = b."row" AND a.col = b.col""", "cells", "classes")
 def j5(spark, sf):
-    return raster.merge_layers({"a": T.cells(spark, sf).filter("row % 3 <> 0").select(*KEY, "v"), "b": T.classes(spark, sf).filter("col % 4 <> 0")})
+    return raster.merge_layers({"a": T.cells(spark, sf).select(*KEY, "v"), "b": T.classes(spark, sf).selectExpr("row + 5 AS row", "col - 3 AS col", "k")})
 
 
 @query("j6_background_outside_presence", """SELECT b.point_id FROM bgplaced b WHERE NOT EXISTS (SELECT 1 FROM placed p WHERE p.latin_name = 'purchase' AND p.activity_type = 'Roost' AND p."row" = b."row" AND p.col = b.col)""", "placed", "bgplaced")
@@ -226,9 +225,9 @@ def a2(spark, sf):
     return rounded(raster.coarsen_sum(T.cells(spark, sf).select(*KEY, "v"), SPEC, 4))
 
 
-@query("a3_coarsen_strict", f"""SELECT {_BLOCK}, CASE WHEN count(v) = 16 THEN round(sum(v), 6) + 0.0 END AS v FROM (SELECT * FROM cells WHERE ("row" * 31 + col * 17) % 23 <> 0) c WHERE "row" < 40 AND col < 36 GROUP BY 1, 2""", "cells")
+@query("a3_coarsen_strict", f"""SELECT {_BLOCK}, CASE WHEN count(v) = 16 THEN round(sum(v), 6) + 0.0 END AS v FROM (SELECT "row", col, CASE WHEN ("row" * 31 + col * 17) % 23 <> 0 THEN v END AS v FROM cells) c WHERE "row" < 40 AND col < 36 GROUP BY 1, 2""", "cells")
 def a3(spark, sf):
-    c = T.cells(spark, sf).filter("(row * 31 + col * 17) % 23 <> 0").select(*KEY, "v")
+    c = T.cells(spark, sf).select(*KEY, F.when((F.col("row") * 31 + F.col("col") * 17) % 23 != 0, F.col("v")).alias("v"))
     return rounded(raster.coarsen_sum(c, SPEC, 4, strict=True))
 
 
@@ -517,14 +516,11 @@ def u4(spark, sf):
     return T.read(spark, sf, "lineitem").select("l_partkey").distinct().join(T.read(spark, sf, "part").filter("p_size > 25").select(F.col("p_partkey").alias("l_partkey")), "l_partkey", "left_anti")
 
 
-@query("u5_sea_within_buffer", """SELECT g."row", g.col FROM grid g WHERE EXISTS (SELECT 1 FROM diamonds d WHERE d.w > 150 AND abs(g.x - d.cx) + abs(g.y - d.cy) < d.w + 100) AND NOT EXISTS (SELECT 1 FROM diamonds d WHERE d.w > 150 AND abs(g.x - d.cx) + abs(g.y - d.cy) < d.w)""", "grid", "diamonds")
+@query("u5_sea_within_buffer", """SELECT g."row", g.col FROM grid g WHERE EXISTS (SELECT 1 FROM zones d WHERE abs(g.x - d.cx) + abs(g.y - d.cy) < d.w + 100) AND NOT EXISTS (SELECT 1 FROM zones d WHERE abs(g.x - d.cx) + abs(g.y - d.cy) < d.w)""", "grid", "zones")
 def u5(spark, sf):
-    d = T.diamonds(spark, sf).filter("w > 150")
-    at = lambda x, y: F.array(x, y)
-    cx, cy, w = F.col("cx"), F.col("cy"), F.col("w") + 100
-    wide = d.withColumn("rings", F.array(F.array(at(cx - w, cy), at(cx, cy + w), at(cx + w, cy), at(cx, cy - w), at(cx - w, cy))))
-    near = vector.polygon_cells(wide, SPEC).select(*KEY).distinct()
-    return vector.difference_cells(near, vector.polygon_cells(d, SPEC))
+    z = T.zones(spark, sf)
+    near = vector.polygon_cells(T.with_diamond(z, 100.0), SPEC).select(*KEY).distinct()
+    return vector.difference_cells(near, vector.polygon_cells(z, SPEC))
 
 
 @query("u6_explode_parts", "SELECT brand, count(*) AS parts, round(sum(2 * w * w), 3) + 0.0 AS area FROM diamonds GROUP BY 1", "diamonds")
@@ -567,9 +563,9 @@ def g10(spark, sf):
     return s.select("geom_id", F.col("p")[0].alias("x"), F.col("p")[1].alias("y"))
 
 
-@query("v1_rasterise", """SELECT g."row", g.col, CASE WHEN EXISTS (SELECT 1 FROM diamonds d WHERE d.geom_id % 9 = 0 AND abs(g.x - d.cx) + abs(g.y - d.cy) < d.w) THEN 1 ELSE 0 END AS value FROM grid g""", "grid", "diamonds")
+@query("v1_rasterise", """SELECT g."row", g.col, CASE WHEN EXISTS (SELECT 1 FROM zones d WHERE abs(g.x - d.cx) + abs(g.y - d.cy) < d.w) THEN 1 ELSE 0 END AS value FROM grid g""", "grid", "zones")
 def v1(spark, sf):
-    return vector.rasterise(T.diamonds(spark, sf).filter("geom_id % 9 = 0"), SPEC, grid.model_grid(spark, SPEC))
+    return vector.rasterise(T.zones(spark, sf), SPEC, grid.model_grid(spark, SPEC))
 
 
 _SLAB = """SELECT DISTINCT r.geom_id, g."row", g.col FROM grid g JOIN roads r ON greatest((g.x - 50 - r.x1) / nullif(r.x2 - r.x1, 0), (g.y - 50 - r.y1) / (r.y2 - r.y1), 0) < least((g.x + 50 - r.x1) / nullif(r.x2 - r.x1, 0), (g.y + 50 - r.y1) / (r.y2 - r.y1), 1) WHERE r.x2 > r.x1 OR (r.x1 >= g.x - 50 AND r.x1 < g.x + 50)"""
@@ -583,9 +579,9 @@ def v2(spark, sf):
 _FINE = """SELECT CAST(r AS INTEGER) AS r, CAST(c AS INTEGER) AS c, (c + 0.5) * CAST(20 AS DOUBLE) AS x, 4200 - (r + 0.5) * CAST(20 AS DOUBLE) AS y FROM range(210) a(r), range(190) b(c)"""
 
 
-@query("v3_feature_cover", f"""SELECT g."row", g.col, CAST(coalesce(n, 0) AS BIGINT) AS buildings FROM grid g LEFT JOIN (SELECT CAST(r // 5 AS INTEGER) AS "row", CAST(c // 5 AS INTEGER) AS col, count(*) AS n FROM ({_FINE}) f WHERE EXISTS (SELECT 1 FROM diamonds d WHERE d.geom_id % 5 = 0 AND abs(f.x - d.cx) + abs(f.y - d.cy) < d.w) GROUP BY 1, 2) h ON h."row" = g."row" AND h.col = g.col""", "grid", "diamonds")
+@query("v3_feature_cover", f"""SELECT g."row", g.col, CAST(coalesce(n, 0) AS BIGINT) AS buildings FROM grid g LEFT JOIN (SELECT CAST(r // 5 AS INTEGER) AS "row", CAST(c // 5 AS INTEGER) AS col, count(*) AS n FROM ({_FINE}) f WHERE EXISTS (SELECT 1 FROM zones d WHERE abs(f.x - d.cx) + abs(f.y - d.cy) < d.w) GROUP BY 1, 2) h ON h."row" = g."row" AND h.col = g.col""", "grid", "zones")
 def v3(spark, sf):
-    return vector.feature_cover({"buildings": (T.diamonds(spark, sf).filter("geom_id % 5 = 0"), False)}, SPEC, grid.model_grid(spark, SPEC), 20.0)
+    return vector.feature_cover({"buildings": (T.zones(spark, sf), False)}, SPEC, grid.model_grid(spark, SPEC), 20.0)
 
 
 @query("v6_j9_split_roads", "SELECT p_partkey, regexp_matches(p_type, 'Motorway*|A Road*|PROMO') AND false OR coalesce(regexp_matches(CASE WHEN p_size % 3 = 0 THEN 'A Road' WHEN p_size % 3 = 1 THEN 'Minor Road' END, 'Motorway*|A Road*'), false) AS major_road FROM part")
@@ -598,9 +594,9 @@ def v6(spark, sf):
 ORACLE_SQL["v6_j9_split_roads"] = "SELECT p_partkey, p_size % 3 = 0 AS major_road FROM part"
 
 
-@query("n1_distance_to_points", """SELECT g."row", g.col, round(min(sqrt((g.x - p.x) * (g.x - p.x) + (g.y - p.y) * (g.y - p.y))), 6) + 0.0 AS distance FROM grid g CROSS JOIN (SELECT * FROM points WHERE point_id % 97 = 0 AND x > 1000) p GROUP BY 1, 2""", "grid", "points")
+@query("n1_distance_to_points", """SELECT g."row", g.col, round(min(sqrt((g.x - p.cx) * (g.x - p.cx) + (g.y - p.cy) * (g.y - p.cy))), 6) + 0.0 AS distance FROM grid g CROSS JOIN zones p GROUP BY 1, 2""", "grid", "zones")
 def n1(spark, sf):
-    return rounded(distance.to_points(grid.model_grid(spark, SPEC), T.points(spark, sf).filter("point_id % 97 = 0 AND x > 1000"), KEY, 50.0))
+    return rounded(distance.to_points(grid.model_grid(spark, SPEC), T.zones(spark, sf).select(F.col("cx").alias("x"), F.col("cy").alias("y")), KEY, 50.0))
 
 
 _SEG = """sqrt(power(g.x - (r.x1 + k * (r.x2 - r.x1)), 2) + power(g.y - (r.y1 + k * (r.y2 - r.y1)), 2))"""
@@ -612,16 +608,15 @@ def n2(spark, sf):
     return rounded(distance.to_segments(grid.model_grid(spark, SPEC), vector.segments(T.roads(spark, sf)), KEY, 50.0))
 
 
-@query("n2_n4_distance_to_polygons", """SELECT g."row", g.col, round(min(greatest(abs(g.x - d.cx) + abs(g.y - d.cy) - d.w, 0)) / 1000, 0) * 0 AS zero, min(CASE WHEN abs(g.x - d.cx) + abs(g.y - d.cy) < d.w THEN 0 ELSE 1 END) AS outside FROM grid g CROSS JOIN (SELECT * FROM diamonds WHERE w > 160) d GROUP BY 1, 2""", "grid", "diamonds")
+@query("n2_n4_distance_to_polygons", """SELECT g."row", g.col, round(min(CASE WHEN abs(g.x - d.cx) + abs(g.y - d.cy) < d.w THEN 0 ELSE greatest((abs(g.x - d.cx) + abs(g.y - d.cy) - d.w) / sqrt(2), CASE WHEN abs(abs(g.x - d.cx) - abs(g.y - d.cy)) > d.w THEN sqrt(power(least(abs(g.x - d.cx), abs(g.y - d.cy)), 2) + power(greatest(abs(g.x - d.cx), abs(g.y - d.cy)) - d.w, 2)) ELSE 0 END) END), 6) + 0.0 AS distance FROM grid g CROSS JOIN zones d GROUP BY 1, 2""", "grid", "zones")
 def n2p(spark, sf):
-    d = T.diamonds(spark, sf).filter("w > 160")
-    out = distance.to_segments(grid.model_grid(spark, SPEC), vector.segments(d), KEY, 50.0, vector.polygon_cells(d, SPEC))
-    return out.select(*KEY, F.lit(0.0).alias("zero"), (F.col("distance") > 0).cast("int").alias("outside"))
+    z = T.zones(spark, sf)
+    return rounded(distance.to_segments(grid.model_grid(spark, SPEC), vector.segments(z), KEY, 50.0, vector.polygon_cells(z, SPEC)))
 
 
-@query("n3_knn_weights", """, near5 AS (SELECT a.latin_name, a.point_id, a.dist FROM (SELECT a.latin_name, a.point_id, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS dist, row_number() OVER (PARTITION BY a.point_id ORDER BY sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)), b.point_id) AS rn FROM some a JOIN some b ON a.latin_name = b.latin_name AND a.point_id <> b.point_id) a WHERE rn <= 5), means AS (SELECT latin_name, point_id, avg(dist) AS m FROM near5 GROUP BY 1, 2) SELECT m.latin_name, m.point_id, round(m.m, 6) + 0.0 AS mean_distance, round(m.m / q.med, 6) + 0.0 AS weight FROM means m JOIN (SELECT latin_name, quantile_cont(m, 0.5) AS med FROM means GROUP BY 1) q ON q.latin_name = m.latin_name""".replace("some", "(SELECT * FROM points WHERE accuracy < 20)"), "points")
+@query("n3_knn_weights", """, near5 AS (SELECT a.latin_name, a.point_id, a.dist FROM (SELECT a.latin_name, a.point_id, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS dist, row_number() OVER (PARTITION BY a.point_id ORDER BY sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)), b.point_id) AS rn FROM points a JOIN points b ON a.latin_name = b.latin_name AND a.point_id <> b.point_id) a WHERE rn <= 5), means AS (SELECT latin_name, point_id, avg(dist) AS m FROM near5 GROUP BY 1, 2) SELECT m.latin_name, m.point_id, round(m.m, 6) + 0.0 AS mean_distance, round(m.m / q.med, 6) + 0.0 AS weight FROM means m JOIN (SELECT latin_name, quantile_cont(m, 0.5) AS med FROM means GROUP BY 1) q ON q.latin_name = m.latin_name""", "points")
 def n3(spark, sf):
-    return rounded(distance.knn_weights(T.points(spark, sf).filter("accuracy < 20"), "latin_name", "point_id", 5, 50.0))
+    return rounded(distance.knn_weights(T.points(spark, sf), "latin_name", "point_id", 5, 50.0))
 
 
 @query("r14_resample_bilinear", """, tgt AS (SELECT CAST(r AS INTEGER) AS "row", CAST(c AS INTEGER) AS col, (c + 0.5) * 2 - 0.5 AS fx, (r + 0.5) * 2 - 0.5 AS fy FROM range(21) a(r), range(19) b(c)) SELECT t."row", t.col, round(sum((1 - abs(t.fx - c.col)) * (1 - abs(t.fy - c."row")) * c.v) / sum((1 - abs(t.fx - c.col)) * (1 - abs(t.fy - c."row"))), 6) + 0.0 AS v FROM tgt t JOIN cells c ON abs(t.fx - c.col) < 1 AND abs(t.fy - c."row") < 1 GROUP BY 1, 2""", "cells")

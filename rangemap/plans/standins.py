@@ -48,6 +48,20 @@ def diamonds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("geom_id", "brand", "cx", "cy", "w", F.array(ring).alias("rings"))
 
 
+def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polygons: a diamond per supplier."""
+    p = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("geom_id"), F.expr("CAST(s_suppkey * 7919 % 3701 AS DOUBLE) + CAST(0.13 AS DOUBLE)").alias("cx"), F.expr("CAST(s_suppkey * 104729 % 4099 AS DOUBLE) + CAST(0.17 AS DOUBLE)").alias("cy"), F.expr("CAST(20 + s_suppkey * 13 % 151 AS DOUBLE)").alias("w"))
+    return with_diamond(p)
+
+
+def with_diamond(p: DataFrame, more: float = 0.0) -> DataFrame:
+    """geom_id, cx, cy, w and rings: the diamond of half width w + more."""
+    at = lambda x, y: F.array(x, y)
+    cx, cy, w = F.col("cx"), F.col("cy"), F.col("w") + more
+    ring = F.array(at(cx - w, cy), at(cx, cy + w), at(cx + w, cy), at(cx, cy - w), at(cx - w, cy))
+    return p.select("geom_id", "cx", "cy", "w", F.array(ring).alias("rings"))
+
+
 def roads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines: a segment per supplier."""
     p = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("geom_id"), F.expr("CAST(s_suppkey * 6151 % 3301 AS DOUBLE) + CAST(0.29 AS DOUBLE)").alias("x1"), F.expr("CAST(s_suppkey * 7309 % 3701 AS DOUBLE) + CAST(0.31 AS DOUBLE)").alias("y1"), F.expr("CAST(s_suppkey * 37 % 401 AS DOUBLE)").alias("dx"), F.expr("CAST(s_suppkey * 91 % 397 AS DOUBLE) + CAST(0.5 AS DOUBLE)").alias("dy"))
@@ -78,6 +92,7 @@ SQL = {
     "points": """SELECT event_id AS point_id, event_type AS latin_name, CASE WHEN user_id % 2 = 0 THEN 'Roost' ELSE 'In flight' END AS activity_type, CAST(event_id * 7919 % 10007 AS DOUBLE) * CAST(0.37 AS DOUBLE) AS x, CAST(event_id * 104729 % 10009 AS DOUBLE) * CAST(0.41 AS DOUBLE) AS y, value AS accuracy, user_id, CAST(ts AS DATE) AS date FROM events""",
     "background": """SELECT o_orderkey AS point_id, CAST(o_orderkey * 6091 % 10007 AS DOUBLE) * CAST(0.37 AS DOUBLE) AS x, CAST(o_orderkey * 15485863 % 10009 AS DOUBLE) * CAST(0.41 AS DOUBLE) AS y, o_totalprice AS weight FROM orders""",
     "diamonds": """SELECT p_partkey AS geom_id, p_brand AS brand, CAST(p_partkey * 7919 % 3701 AS DOUBLE) + CAST(0.13 AS DOUBLE) AS cx, CAST(p_partkey * 104729 % 4099 AS DOUBLE) + CAST(0.17 AS DOUBLE) AS cy, CAST(20 + p_size * 3 AS DOUBLE) AS w FROM part""",
+    "zones": """SELECT s_suppkey AS geom_id, CAST(s_suppkey * 7919 % 3701 AS DOUBLE) + CAST(0.13 AS DOUBLE) AS cx, CAST(s_suppkey * 104729 % 4099 AS DOUBLE) + CAST(0.17 AS DOUBLE) AS cy, CAST(20 + s_suppkey * 13 % 151 AS DOUBLE) AS w FROM supplier""",
     "roads": """SELECT geom_id, x1, y1, x1 + dx AS x2, y1 + dy AS y2 FROM (SELECT s_suppkey AS geom_id, CAST(s_suppkey * 6151 % 3301 AS DOUBLE) + CAST(0.29 AS DOUBLE) AS x1, CAST(s_suppkey * 7309 % 3701 AS DOUBLE) + CAST(0.31 AS DOUBLE) AS y1, CAST(s_suppkey * 37 % 401 AS DOUBLE) AS dx, CAST(s_suppkey * 91 % 397 AS DOUBLE) + CAST(0.5 AS DOUBLE) AS dy FROM supplier) s""",
     "predictions": """SELECT CAST(l_partkey % 42 AS INTEGER) AS "row", CAST(l_orderkey % 38 AS INTEGER) AS col, l_returnflag || '_Roost' AS identifier, max(CAST(l_quantity AS INTEGER) % 51) / CAST(50.0 AS DOUBLE) AS p FROM lineitem GROUP BY 1, 2, 3""",
     "scored": """SELECT o_orderpriority AS identifier, CASE WHEN (o_custkey * 31 + o_orderkey) % 7 < 2 THEN 1 ELSE 0 END AS class, CAST((o_custkey * 31 + o_orderkey) % 7 * 9 + o_orderkey % 41 AS DOUBLE) / CAST(100 AS DOUBLE) AS p FROM orders""",
