@@ -117,7 +117,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1000, dict_bytes:
     chosen = [known.filter(F.col("quality") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
     rows = chosen[0].unionByName(chosen[1]).collect()  # at most 2 * per_class pairs
     few = spark.createDataFrame(rows, "doc_id long, quality int")
-    texts = id_text(docs).filter("text <> ''").join(F.broadcast(few), "doc_id").select("doc_id", "quality", F.substring("text", 1, 1 << 16).alias("text"))
+    texts = id_text(docs).filter("text <> ''").join(F.broadcast(few), "doc_id").select("doc_id", "quality", "text")
     found = sorted(texts.limit(4 * per_class).collect(), key=lambda r: (r["doc_id"], r["text"]))
     return fit([r["text"] for r in found], [r["quality"] for r in found], dict_bytes, share)
 

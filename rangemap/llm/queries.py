@@ -66,4 +66,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_fingerprints": op10_fingerprints,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = r"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: The other operators' results (models, images, token ids, wide hashes, checksums) can't be said in SQL; their tests hold
+#: them against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op3_ngram_jaccard": f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(text=_LOWER)} AS ws FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS g FROM w, LATERAL unnest(range(1, len(ws) - 2)) t(i)
+  UNION ALL SELECT doc_id, 'short ' || array_to_string(ws, ' ') FROM w WHERE len(ws) BETWEEN 1 AND 3),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM pairs JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+reach(doc_id, r) AS (SELECT doc_id, doc_id FROM w UNION SELECT l.x, s.r FROM reach s JOIN links l ON l.y = s.doc_id)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(r.r) AS component_id
+FROM w LEFT JOIN n USING (doc_id) JOIN reach r ON r.doc_id = w.doc_id GROUP BY 1, 2""",
+    "op5_substring_dedup": f"""
+WITH w AS (SELECT doc_id, {_WORDS.format(text="coalesce(text, '')")} AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS g FROM w, LATERAL unnest(range(1, len(ws) - 11)) t(i)),
+firsts AS (SELECT g, min(doc_id) AS lo FROM win GROUP BY g),
+hit AS (SELECT DISTINCT doc_id, i + k AS p FROM win JOIN firsts USING (g), range(13) r(k) WHERE lo < doc_id),
+gone AS (SELECT doc_id, list(p) AS ps, count(*) AS n FROM hit GROUP BY 1)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(array_to_string(list_filter(ws, lambda x, i: ps IS NULL OR NOT list_contains(ps, i)), ' ')) AS kept_sha256
+FROM w LEFT JOIN gone USING (doc_id)""",
+}
