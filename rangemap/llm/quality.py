@@ -1,8 +1,9 @@
 """Quality classifier by compression: which of two zstandard dictionaries makes a text smaller?
 
 One dictionary is trained on labelled good texts, one on labelled bad ones. A text's chunks are compressed with either;
-the difference of the two totals over the text's length is the only input of a logistic curve, fitted on labelled texts
-that trained no dictionary and weighted by how often each label occurs, which makes it the chance of a good text.
+the difference of the two totals, normalised by the text's length, enters a logistic curve, fitted on labelled texts that
+trained no dictionary and weighted by how often each label occurs, which makes it the chance of a good text. A text too
+short to tell anything gets the share of good ones.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from .common import bounded_batches, id_text, pieces
 SCORE_SCHEMA = "doc_id long, score double"
 #: Bytes compressed at once: in a longer stretch the text's own past would outweigh the dictionary.
 CHUNK = 1024
+#: Bytes at which a text tells half of what a long one does.
+SHORT = 200
 LEVEL = 3
 CUT = 0.7
 
@@ -30,10 +33,15 @@ class Model:
     good: bytes
     bad: bytes
     slope: float
+    whole: float
     offset: float
 
-    def score(self, differences: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * differences + self.offset, -30, 30)))
+    def score(self, features: np.ndarray) -> np.ndarray:
+        """Of rows of features()."""
+        return 1 / (1 + np.exp(-np.clip(features @ np.array([self.slope, self.whole]) + self.offset, -30, 30)))
+
+    def of(self, texts: list[str | None]) -> np.ndarray:
+        return self.score(features(texts, self.good, self.bad))
 
 
 @lru_cache(2)
@@ -49,17 +57,21 @@ def _compressors(good: bytes, bad: bytes):
     return out
 
 
-def difference(text: str, good: bytes, bad: bytes) -> float:
-    """(size with the bad dictionary - size with the good one) / bytes, over the whole text; 0 for an empty one."""
-    data = text.encode()
-    if not data:
-        return 0.0
+def difference(data: bytes, good: bytes, bad: bytes) -> int:
+    """Size with the bad dictionary minus size with the good one, over all chunks."""
     by_good, by_bad = _compressors(good, bad)
     total = 0
     for at in range(0, len(data), CHUNK):
         part = data[at : at + CHUNK]
         total += len(by_bad.compress(part)) - len(by_good.compress(part))
-    return total / len(data)
+    return total
+
+
+def features(texts: list[str | None], good: bytes, bad: bytes) -> np.ndarray:
+    """For each text its difference and its length, both over length + SHORT."""
+    rows = [((data := (t or "").encode()) and difference(data, good, bad), len(data)) for t in texts]
+    found = np.array([(d or 0, n) for d, n in rows], float).reshape(-1, 2)
+    return found / (found[:, 1:] + SHORT)
 
 
 def _dictionary(texts: list[str], size: int) -> bytes:
@@ -75,32 +87,33 @@ def _dictionary(texts: list[str], size: int) -> bytes:
 def fit(texts: list[str], labels: list[int], dict_bytes: int = 1 << 16, share: float = 0.5) -> Model:
     """From few labelled texts: even places train the dictionaries, odd ones the curve. share: of good ones among all
     labelled rows. Without both labels the score is the same for every text, their smoothed share."""
+    share = min(max(share, 1 / (len(texts) + 2)), 1 - 1 / (len(texts) + 2))
+    offset = float(np.log(share / (1 - share)))
     sides = {y: [t for t, v in zip(texts, labels, strict=True) if v == y] for y in (0, 1)}
     if min(map(len, sides.values())) < 2:
-        share = min(max(share, 1 / (len(texts) + 2)), 1 - 1 / (len(texts) + 2))
-        return Model(b"", b"", 0.0, float(np.log(share / (1 - share))))
+        return Model(b"", b"", 0.0, 0.0, offset)
     good, bad = (_dictionary(sides[y][::2], dict_bytes) for y in (1, 0))
-    held = [(difference(t, good, bad), y) for y in (0, 1) for t in sides[y][1::2]]
-    x, y = np.array([d for d, _ in held]), np.array([v for _, v in held], float)
-    scale = float(np.abs(x).max()) or 1.0
-    slope, offset = _curve(x / scale, y, share)
-    return Model(good, bad, slope / scale, offset)
+    x = np.concatenate([features(sides[y][1::2], good, bad) for y in (0, 1)])
+    y = np.repeat([0.0, 1.0], [len(sides[0][1::2]), len(sides[1][1::2])])
+    scale = np.abs(x).max(axis=0)
+    scale[scale == 0] = 1.0
+    slope, whole = _curve(x / scale, y, share, offset) / scale
+    return Model(good, bad, float(slope), float(whole), offset)
 
 
-def _curve(x: np.ndarray, y: np.ndarray, share: float, ridge: float = 1e-4, rounds: int = 50) -> tuple[float, float]:
-    """Logistic regression of y on x by Newton's method; the label 1 weighs share in all."""
+def _curve(x: np.ndarray, y: np.ndarray, share: float, offset: float, ridge: float = 1e-4, rounds: int = 60) -> np.ndarray:
+    """Logistic regression of y on x with a fixed offset by Newton's method; the label 1 weighs share in all."""
     w = np.where(y == 1, share / max(y.sum(), 1), (1 - share) / max((1 - y).sum(), 1))
-    a = np.stack([x, np.ones_like(x)], 1)
-    b = np.zeros(2)
+    b = np.zeros(x.shape[1])
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(a @ b, -30, 30)))
-        slope = a.T @ (w * (p - y)) + ridge * b * [1, 0]
-        curve = (a * (w * p * (1 - p))[:, None]).T @ a + np.diag([ridge, 1e-9])
+        p = 1 / (1 + np.exp(-np.clip(x @ b + offset, -30, 30)))
+        slope = x.T @ (w * (p - y)) + ridge * b
+        curve = (x * (w * p * (1 - p))[:, None]).T @ x + ridge * np.eye(x.shape[1])
         step = np.linalg.solve(curve, slope)
         b -= np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-9:
             break
-    return float(b[0]), float(b[1])
+    return b
 
 
 def held_out(id_col: F.Column) -> F.Column:
@@ -126,14 +139,13 @@ def _scores(model: Model):
     def run(batches):
         for whole in batches:
             for batch in pieces(whole):
-                found = np.array([difference(t, model.good, model.bad) for t in batch.column(1).to_pylist()], float)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(found), pa.float64())], ["doc_id", "score"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.of(batch.column(1).to_pylist()), pa.float64())], ["doc_id", "score"])
 
     return run
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, score) for every row from its whole text; empty and null texts get the curve's value at no difference.
+    """(doc_id, score) for every row from its whole text; empty and null texts get the share of good ones.
     A narrow map; the model is two dictionaries of fixed size."""
     bounded_batches(docs.sparkSession)
     return id_text(docs, id_col, text_col).mapInArrow(_scores(model), SCORE_SCHEMA)
@@ -149,8 +161,7 @@ def _keep(model: Model, cut: float, at: int):
     def run(batches):
         for whole in batches:
             for batch in pieces(whole):
-                found = np.array([difference(t or "", model.good, model.bad) for t in batch.column(at).to_pylist()], float)
-                yield batch.filter(pa.array(model.score(found) >= cut))
+                yield batch.filter(pa.array(model.of(batch.column(at).to_pylist()) >= cut))
 
     return run
 
