@@ -29,8 +29,9 @@ def merge_layers(layers: dict[str, DataFrame]) -> DataFrame:
     names = [b for cells in layers.values() for b in bands_of(cells)]
     if len(names) != len(set(names)):
         raise ValueError(f"bands occur twice: {sorted({b for b in names if names.count(b) > 1})}")
-    parts = [cells.select(*KEY, *(F.col(b) if b in cells.columns else F.lit(None).cast("double").alias(b) for b in names)) for cells in layers.values()]
-    return reduce(DataFrame.unionByName, parts).groupBy(*KEY).agg(*(F.max(b).alias(b) for b in names))
+    kinds = {f.name: f.dataType for cells in layers.values() for f in cells.schema}
+    parts = [cells.select(*KEY, *(F.col(f"`{b}`") if b in cells.columns else F.lit(None).cast(kinds[b]).alias(b) for b in names)) for cells in layers.values()]
+    return reduce(DataFrame.unionByName, parts).groupBy(*KEY).agg(*(F.max(f"`{b}`").alias(b) for b in names))
 
 
 def mosaic(tiles: list[DataFrame], order: str) -> DataFrame:
