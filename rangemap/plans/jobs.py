@@ -69,7 +69,14 @@ def land(spark, sf):
 @job("job_vegetation_height")
 def vom(spark, sf):
     """Height statistics of blocks."""
-    return raster.coarsen_stats(T.cells(spark, sf), 2, "v", "vom", 200)
+    out = raster.coarsen_stats(T.cells(spark, sf), 2, "v", "vom", 200)
+    return out.select(*KEY, *((F.round(c, 6) + F.lit(0.0)).alias(c) for c in out.columns if c not in KEY))
+
+
+_PAIRS = """CAST("row" // 2 AS INTEGER) AS "row", CAST(col // 2 AS INTEGER) AS col"""
+_AREA = "CASE WHEN count(*) = 4 THEN CAST(sum(CASE WHEN k IN ({}) THEN 10000 ELSE 0 END) AS DOUBLE) END"
+ORACLE_SQL["job_vegetation_height"] = T.with_tables(f"SELECT {_PAIRS}, round(avg(v), 6) + 0.0 AS vom_mean_200m, round(min(v), 6) + 0.0 AS vom_min_200m, round(max(v), 6) + 0.0 AS vom_max_200m, round(stddev_pop(v), 6) + 0.0 AS vom_std_200m FROM cells GROUP BY 1, 2", "cells")
+ORACLE_SQL["job_landcover"] = T.with_tables(f"""SELECT {_PAIRS}, {_AREA.format(0)} AS "Urban", {_AREA.format(4)} AS "Freshwater", coalesce({_AREA.format("1, 2")}, 0) AS "Grassland", coalesce({_AREA.format(3)}, 0) AS "Wetland" FROM classes GROUP BY 1, 2""", "classes")
 
 
 @job("job_climate")
