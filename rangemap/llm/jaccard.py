@@ -25,7 +25,7 @@ from .components import connected_components
 MISS = 1e-12
 ROWS = 3
 BITS = 2048
-TILE = 250
+TILE = 1000
 
 
 def bands_for(percent: int) -> int:
@@ -216,13 +216,17 @@ def verified_links(source: DataFrame, families: DataFrame, classes: DataFrame, k
     placed = written(place.join(spread, "family").filter("size > 1").select("doc_id", "n", "sign", "family", F.explode(own).alias("tile_band")), "placed")
     count = placed.groupBy("family", "tile_band").agg(F.count("*").alias("in_tile"))
     placed = written(placed.join(written(count, "count"), ["family", "tile_band"]).filter("in_tile > 1").withColumn("blocks", F.ceil(F.col("in_tile") / TILE).cast("int")).withColumn("block", F.pmod(F.xxhash64("doc_id", "tile_band"), F.col("blocks")).cast("int")), "placed")
+    # Copies often link to their common original and not to each other, and the original is often the oldest: a family's
+    # first document is in every block, which leaves few documents for the second round.
+    blocks = F.when(F.col("doc_id") == F.col("family"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
+    dealt = placed.withColumn("block", F.explode(blocks))
     needed = placed.select("doc_id", "sign").distinct()
     rows = needed.count()
     if rows <= BROADCAST_KEYS:
         needed = F.broadcast(needed)
     sets = source.join(needed.select("doc_id"), "doc_id", "left_semi").mapInArrow(_sets(k), "doc_id long, n_shingles long, one long, bits binary, members binary")
     sets = written(sets, "sets")
-    first = sets.join(placed, (sets["doc_id"] == placed["doc_id"]) & (sets["one"] == placed["sign"])).select(sets["doc_id"], "n_shingles", "bits", "members", "family", "tile_band", "block", sets["doc_id"].alias("component"), F.lit(False).alias("probe"))
+    first = sets.join(dealt, (sets["doc_id"] == dealt["doc_id"]) & (sets["one"] == dealt["sign"])).select(sets["doc_id"], "n_shingles", "bits", "members", "family", "tile_band", "block", sets["doc_id"].alias("component"), F.lit(False).alias("probe"))
     links = written(first.groupBy("family", "tile_band", "block").applyInArrow(_tile(percent), "a long, b long"), "links")
     large = placed.filter("blocks > 1")
     if large.isEmpty():
