@@ -1,8 +1,9 @@
 """LM scoring by masked pseudo-likelihood.
 
-A small window network predicts a word from the SIDE words on either side of it. Words are hashed to CLASSES x MEMBERS
-ids, and a prediction is a class and a member of it, so that each conditional probability is exactly normalised at the
-cost of two short softmaxes. The network is trained in numpy by data-parallel rounds: every partition of the whole
+A small window network predicts a word's bucket from the buckets of the SIDE words on either side of it. Words are hashed
+to CLASSES x MEMBERS buckets, and a prediction is a class and a member of it, so that each conditional probability is
+exactly normalised at the cost of two short softmaxes. Inside its bucket a word has its share of the bucket's occurrences,
+from counts of every distinct word of the whole corpus: P(word | near) = P(bucket | near) n(word) / n(bucket). The network is trained in numpy by data-parallel rounds: every partition of the whole
 corpus trains a copy on its own documents, masking one word in MASK, and the copies are averaged by the number of words
 each has seen. A document's score is the sum of the log-probabilities of all its words, each from both sides.
 """
@@ -14,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, bounded_batches, id_text, mix64, pieces, written
+from .common import BROADCAST_KEYS, Words, bounded_batches, id_text, mix64, pieces, written
 
 CLASSES, MEMBERS = 64, 64
 SIDE, WIDTH, HIDDEN = 2, 16, 32
@@ -22,7 +23,6 @@ MASK, BATCH, RATE, ROUNDS = 8, 2048, 0.08, 2
 IDS = CLASSES * MEMBERS
 EDGE = IDS  # what stands outside a text
 SHAPES = {"embed": (IDS + 1, WIDTH), "into": (2 * SIDE * WIDTH, HIDDEN), "into_0": (HIDDEN,), "group": (HIDDEN, CLASSES), "group_0": (CLASSES,), "member": (CLASSES, HIDDEN, MEMBERS), "member_0": (CLASSES, MEMBERS)}
-SCHEMA = "doc_id long, n_words long, log_likelihood double, mean_log_prob double"
 
 
 def fresh(seed: int = 11) -> dict[str, np.ndarray]:
@@ -62,18 +62,27 @@ def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return e / total, logits - np.log(total)
 
 
+def _picked(logits: np.ndarray, n: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The log-softmax of each row n, at its column at. Changes logits."""
+    logits -= logits.max(axis=1, keepdims=True)
+    own = logits[n, at].astype(np.float64)
+    return own - np.log(np.exp(logits, out=logits).sum(axis=1))
+
+
 def log_probs(model: dict[str, np.ndarray], near: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Log-probability of each target id given its context; over all ids the probabilities sum to one."""
-    hidden = np.tanh(model["embed"][near].reshape(len(near), -1) @ model["into"] + model["into_0"])
+    order = np.argsort((target // MEMBERS).astype(np.uint16), kind="stable")
+    target, n = target[order], np.arange(len(target))
     group, member = target // MEMBERS, target % MEMBERS
-    out = _softmax(hidden @ model["group"] + model["group_0"])[1][np.arange(len(target)), group].astype(np.float64)
-    order = np.argsort(group, kind="stable")
-    cuts = np.searchsorted(group[order], np.arange(CLASSES + 1))
+    hidden = np.tanh(model["embed"][near[order]].reshape(len(near), -1) @ model["into"] + model["into_0"])
+    logs = _picked(hidden @ model["group"] + model["group_0"], n, group)
+    cuts = np.searchsorted(group, np.arange(CLASSES + 1))
+    logits = model["member_0"][group]
     for g in range(CLASSES):
-        rows = order[cuts[g] : cuts[g + 1]]
-        if len(rows):
-            logs = _softmax(hidden[rows] @ model["member"][g] + model["member_0"][g])[1]
-            out[rows] += logs[np.arange(len(rows)), member[rows]]
+        if cuts[g] < cuts[g + 1]:
+            logits[cuts[g] : cuts[g + 1]] += hidden[cuts[g] : cuts[g + 1]] @ model["member"][g]
+    out = np.empty(len(target))
+    out[order] = logs + _picked(logits, n, member)
     return out
 
 
@@ -106,18 +115,30 @@ def train_step(model: dict[str, np.ndarray], sums: dict[str, np.ndarray], near:
         model[k] -= RATE * g / (np.sqrt(sums[k]) + 1e-6)
 
 
+def _binary(values: np.ndarray, first: np.ndarray) -> pa.Array:
+    """A row of bytes for each text, of the values of its words."""
+    ends = pa.array((first * values.itemsize).astype(np.int32)).buffers()[1]
+    return pa.BinaryArray.from_buffers(pa.binary(), len(first) - 1, [None, ends, pa.py_buffer(values.tobytes())])
+
+
 def _tokens(batches):
     for whole in batches:
         for batch in pieces(whole):
             words = Words(batch.column(1))
             ids = (words.hash >> np.uint64(52)).astype("<u2")
-            ends = pa.array((words.first * 2).astype(np.int32)).buffers()[1]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.BinaryArray.from_buffers(pa.binary(), len(batch), [None, ends, pa.py_buffer(ids.tobytes())])], ["doc_id", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), _binary(ids, words.first), _binary(words.hash.astype("<u8"), words.first)], ["doc_id", "tokens", "words"])
+
 
+def _unpacked(column: pa.Array, kind: str = "<u2") -> tuple[np.ndarray, np.ndarray]:
+    rows = column.to_pylist()
+    return np.frombuffer(b"".join(rows), kind), np.cumsum(np.r_[0, [len(r) // np.dtype(kind).itemsize for r in rows]])
 
-def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    rows = batch.column(1).to_pylist()
-    return np.frombuffer(b"".join(rows), "<u2").astype(np.int64), np.cumsum(np.r_[0, [len(r) // 2 for r in rows]])
+
+def _counts(batches):
+    for whole in batches:
+        for batch in pieces(whole):
+            words, n = np.unique(_unpacked(batch.column(0), "<u8")[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
 
 
 def _train(values: np.ndarray, turn: int):
@@ -127,9 +148,10 @@ def _train(values: np.ndarray, turn: int):
         seen = 0
         for whole in batches:
             for batch in pieces(whole, 2 << 20):
-                ids, first = _unpacked(batch)
+                ids, first = _unpacked(batch.column(0))
                 if not len(ids):
                     continue
+                ids = ids.astype(np.int64)
                 draw = mix64(np.arange(len(ids), dtype=np.uint64) * np.uint64(ROUNDS + 1) + mix64(np.array([first[-1] * 31 + turn], np.uint64)))
                 where = np.flatnonzero(draw % np.uint64(MASK) == 0)
                 where = where[np.argsort(draw[where], kind="stable")]
@@ -145,44 +167,92 @@ def _train(values: np.ndarray, turn: int):
 
 
 def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, tokens): 16-bit word ids of each whole text, written to the shared folder for the rounds to come."""
-    return written(id_text(docs, id_col, text_col).mapInArrow(_tokens, "doc_id long, tokens binary"), "tokens")
+    """(row, doc_id, tokens, words): a number for each row, 16-bit buckets and 64-bit hashes of the words of each whole
+    text, written to the shared folder for the rounds to come."""
+    found = id_text(docs, id_col, text_col).mapInArrow(_tokens, "doc_id long, tokens binary, words binary")
+    return written(found.select(F.monotonically_increasing_id().alias("row"), *found.columns), "tokens")
+
+
+def vocabulary(ids: DataFrame) -> DataFrame:
+    """(word, n): each distinct word's hash and how often it occurs in the whole corpus."""
+    return written(ids.select("words").mapInArrow(_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "vocabulary")
+
+
+def common(counts: DataFrame, most: int = BROADCAST_KEYS) -> tuple[np.ndarray, np.ndarray, int]:
+    """The hashes, in order, and counts of the words that occur more than a number of times, and that number: the least that
+    leaves no more than most of them."""
+    sizes = counts.groupBy("n").agg(F.count("*").alias("words")).toPandas().sort_values("n", ascending=False)
+    few = sizes[sizes["words"].cumsum() > most]["n"]
+    cut = max(1, int(few.iloc[0])) if len(few) else 1
+    found = counts.filter(F.col("n") > cut).toPandas()
+    words = found["word"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(words)
+    return words[order], found["n"].to_numpy(np.int64)[order], cut
+
+
+def bucket_totals(counts: DataFrame) -> np.ndarray:
+    found = counts.groupBy(F.shiftrightunsigned("word", 52).cast("int").alias("bucket")).agg(F.sum("n").alias("n")).toPandas()
+    out = np.ones(IDS)
+    out[found["bucket"].to_numpy(np.int64)] = found["n"].to_numpy()
+    return out
 
 
 def train(ids: DataFrame, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
     """The averaged network. What the driver gets is one value per parameter, whatever the corpus's size."""
     values = flat(fresh())
     for turn in range(rounds):
-        found = ids.mapInArrow(_train(values, turn), "place int, value double, seen long").groupBy("place").agg((F.sum("value") / F.sum("seen")).alias("value")).toPandas()
+        found = ids.select("tokens").mapInArrow(_train(values, turn), "place int, value double, seen long").groupBy("place").agg((F.sum("value") / F.sum("seen")).alias("value")).toPandas()
         if len(found):
             values = values.copy()
             values[found["place"].to_numpy()] = found["value"].to_numpy()
     return shaped(values)
 
 
-def _score(values: np.ndarray):
+def _score(values: np.ndarray, words: np.ndarray, n: np.ndarray, cut: int, totals: np.ndarray):
     def run(batches):
         model = shaped(values)
+        share, whole_bucket = np.log(n), np.log(totals)
         for whole in batches:
-            for batch in pieces(whole, 1 << 20):
-                ids, first = _unpacked(batch)
+            for batch in pieces(whole, 4 << 20):
+                ids, first = _unpacked(batch.column(2))
+                hashes, _ = _unpacked(batch.column(3), "<u8")
+                ids = ids.astype(np.int64)
                 logs = np.empty(len(ids))
-                for a in range(0, len(ids), 1 << 15):
-                    part = np.arange(a, min(a + (1 << 15), len(ids)))
+                for a in range(0, len(ids), 1 << 13):
+                    part = np.arange(a, min(a + (1 << 13), len(ids)))
                     logs[part] = log_probs(model, contexts(ids, first, part), ids[part])
-                total = np.diff(np.r_[0.0, np.cumsum(logs)][first]) if len(ids) else np.zeros(len(batch))
-                n = np.diff(first)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(total), pa.array(total / np.maximum(n, 1))], ["doc_id", "n_words", "log_likelihood", "mean_log_prob"])
+                logs -= whole_bucket[ids]
+                rare = np.ones(len(ids), bool)
+                if len(words):
+                    at = np.minimum(np.searchsorted(words, hashes), len(words) - 1)
+                    rare = words[at] != hashes
+                    logs += np.where(rare, 0, share[at])
+                rare &= cut > 1  # else what is not among the words occurs once, and the logarithm of its count is 0
+                left = np.r_[0, np.cumsum(rare)][first]
+                lists = pa.ListArray.from_arrays(pa.array(left.astype(np.int32)), pa.array(hashes[rare].view(np.int64)))
+                total = np.diff(np.r_[0.0, np.cumsum(logs)][first])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.diff(first)), pa.array(total), lists], ["row", "doc_id", "n_words", "log_likelihood", "rare"])
 
     return run
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_words, log_likelihood, mean_log_prob) per row of docs, by a network trained on all of docs.
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = BROADCAST_KEYS) -> DataFrame:
+    """(doc_id, n_words, log_likelihood, mean_log_prob) per row of docs, by a network trained and words counted on all of docs.
 
     Every word of every whole text is predicted. Null and empty texts have no words and score 0; a null id stays null;
-    other columns are left out. An empty table trains nothing and gives no rows.
+    other columns are left out. An empty table trains nothing and gives no rows. Counts of the most frequent words travel
+    to the texts by broadcast, up to most of them; those of rarer ones meet their occurrences in a shuffle.
     """
     bounded_batches(docs.sparkSession)
     ids = tokens(docs, id_col, text_col)
-    return ids.mapInArrow(_score(flat(train(ids))), SCHEMA)
+    counts = vocabulary(ids)
+    words, n, cut = common(counts, most)
+    found = ids.mapInArrow(_score(flat(train(ids)), words, n, cut, bucket_totals(counts)), "row long, doc_id long, n_words long, log_likelihood double, rare array<long>")
+    mean = F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")).otherwise(0.0).alias("mean_log_prob")
+    if cut == 1:
+        return found.select("doc_id", "n_words", "log_likelihood", mean)
+    found = written(found, "scores")
+    rare = found.select("row", F.explode("rare").alias("word")).join(counts.filter(F.col("n") <= cut), "word")
+    terms = rare.select("row", F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("n_words"), F.log("n").alias("log_likelihood"))
+    every = found.drop("rare").unionByName(terms).groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.sum("n_words").alias("n_words"), F.sum("log_likelihood").alias("log_likelihood"))
+    return every.select("doc_id", "n_words", "log_likelihood", mean)

@@ -261,6 +261,22 @@ def test_scores_of_all_rows(hard, hard_rows, nothing):
     assert pseudo_likelihood.score(nothing).count() == 0
 
 
+@pytest.mark.parametrize("most", [1_000_000, 3])
+def test_words_of_one_bucket_have_their_own_probabilities(spark, most):
+    import pyarrow as pa
+
+    names = [f"w{i}" for i in range(60_000)]
+    bucket = (Words(pa.array(names)).hash >> np.uint64(52)).tolist()
+    a, b, c = [x for x, k in zip(names, bucket, strict=True) if k == bucket[0]][:3]
+    rows = [(1, f"x {a} y"), (2, f"x {b} y"), (3, f"x {c} y"), (None, a)] + [(9, f"{a} {b}"), (9, a)] * 5
+    found = {r["doc_id"]: r for r in pseudo_likelihood.score(spark.createDataFrame(rows, "doc_id long, text string"), most=most).collect() if r["doc_id"] != 9}
+    mark = {k: found[k]["log_likelihood"] for k in (1, 2, 3)}
+    assert mark[1] - mark[2] == pytest.approx(np.log(12 / 6)) and mark[2] - mark[3] == pytest.approx(np.log(6))
+    assert len(found) == 4 and found[None]["n_words"] == 1
+    ids = pseudo_likelihood.tokens(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r["n"] for r in pseudo_likelihood.vocabulary(ids).collect()) == [1, 3, 3, 6, 12]
+
+
 def test_order_matters_to_the_score(spark):
     text = " ".join(["one two three four five six seven eight"] * 60)
     docs = [(i, text) for i in range(40)] + [(90, text)]
