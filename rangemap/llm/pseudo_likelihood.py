@@ -5,7 +5,7 @@ to CLASSES x MEMBERS buckets, and a prediction is a class and a member of it, so
 exactly normalised at the cost of two short softmaxes. Inside its bucket a word has its share of the bucket's occurrences,
 from counts of every distinct word of the whole corpus: P(word | near) = P(bucket | near) n(word) / n(bucket). The network is trained in numpy by data-parallel rounds: every partition of the whole
 corpus trains a copy on its own documents, masking one word in MASK, and the copies are averaged by the number of words
-each has seen. A document's score is the sum of the log-probabilities of all its words, each from both sides.
+each has seen. The masks of the MASK rounds are disjoint, so that every word of every text has been a target once. A document's score is the sum of the log-probabilities of all its words, each from both sides.
 """
 
 from __future__ import annotations
@@ -15,12 +15,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_KEYS, Words, bounded_batches, id_text, mix64, pieces, written
+from .common import Words, bounded_batches, id_text, mix64, pieces, written
 
 CLASSES, MEMBERS = 64, 64
 SIDE, WIDTH, HIDDEN = 2, 16, 32
-MASK, BATCH, RATE, ROUNDS = 8, 2048, 0.08, 2
+MASK, BATCH, RATE = 8, 2048, 0.08
 IDS = CLASSES * MEMBERS
+COPIES, BLOCK = "block int, value binary, seen long", 4096
+COMMON = 200_000  # words whose counts are broadcast at most, about 3 MB
 EDGE = IDS  # what stands outside a text
 SHAPES = {"embed": (IDS + 1, WIDTH), "into": (2 * SIDE * WIDTH, HIDDEN), "into_0": (HIDDEN,), "group": (HIDDEN, CLASSES), "group_0": (CLASSES,), "member": (CLASSES, HIDDEN, MEMBERS), "member_0": (CLASSES, MEMBERS)}
 
@@ -55,11 +57,12 @@ def contexts(ids: np.ndarray, first: np.ndarray, where: np.ndarray) -> np.ndarra
     return out
 
 
-def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    """Each row's softmax. Changes logits."""
     logits -= logits.max(axis=1, keepdims=True)
-    e = np.exp(logits)
-    total = e.sum(axis=1, keepdims=True)
-    return e / total, logits - np.log(total)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=1, keepdims=True)
+    return logits
 
 
 def _picked(logits: np.ndarray, n: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -89,30 +92,47 @@ def log_probs(model: dict[str, np.ndarray], near: np.ndarray, target: np.ndarray
 def train_step(model: dict[str, np.ndarray], sums: dict[str, np.ndarray], near: np.ndarray, target: np.ndarray) -> None:
     """One AdaGrad step on the mean negative log-probability, in place."""
     n = len(target)
+    order = np.argsort((target // MEMBERS).astype(np.uint16), kind="stable")
+    near, target, each = near[order], target[order], np.arange(n)
+    group, member = target // MEMBERS, target % MEMBERS
     x = model["embed"][near].reshape(n, -1)
     hidden = np.tanh(x @ model["into"] + model["into_0"])
-    group, member = target // MEMBERS, target % MEMBERS
-    grad = {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
-    off = _softmax(hidden @ model["group"] + model["group_0"])[0]
-    off[np.arange(n), group] -= 1
+    grad = {"member": np.zeros(SHAPES["member"], np.float32), "member_0": np.zeros(SHAPES["member_0"], np.float32)}
+    off = _softmax(hidden @ model["group"] + model["group_0"])
+    off[each, group] -= 1
     grad["group"], grad["group_0"] = hidden.T @ off, off.sum(axis=0)
     back = off @ model["group"].T
-    order = np.argsort(group, kind="stable")
-    cuts = np.searchsorted(group[order], np.arange(CLASSES + 1))
-    for g in range(CLASSES):
-        rows = order[cuts[g] : cuts[g + 1]]
-        if len(rows):
-            off = _softmax(hidden[rows] @ model["member"][g] + model["member_0"][g])[0]
-            off[np.arange(len(rows)), member[rows]] -= 1
-            grad["member"][g], grad["member_0"][g] = hidden[rows].T @ off, off.sum(axis=0)
-            back[rows] += off @ model["member"][g].T
+    cuts = np.searchsorted(group, np.arange(CLASSES + 1)).tolist()
+    some = [(g, slice(a, b)) for g, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+    off = model["member_0"][group]
+    for g, rows in some:
+        off[rows] += hidden[rows] @ model["member"][g]
+    off = _softmax(off)
+    off[each, member] -= 1
+    for g, rows in some:
+        np.matmul(hidden[rows].T, off[rows], out=grad["member"][g])
+        back[rows] += off[rows] @ model["member"][g].T
+    grad["member_0"][[g for g, _ in some]] = np.add.reduceat(off, [rows.start for _, rows in some], axis=0)
     back *= 1 - hidden * hidden
     grad["into"], grad["into_0"] = x.T @ back, back.sum(axis=0)
-    np.add.at(grad["embed"], near.ravel(), (back @ model["into"].T).reshape(-1, WIDTH))
-    for k in SHAPES:
-        g = grad[k] / n
+    near = near.ravel().astype(np.uint16)
+    order = np.argsort(near, kind="stable")
+    near = near[order]
+    begins = np.flatnonzero(np.r_[True, near[1:] != near[:-1]])
+    moved = near[begins]  # other rows of embed have no gradient and stay
+    g = np.add.reduceat((back @ model["into"].T).reshape(-1, WIDTH)[order], begins, axis=0)
+    g /= n
+    s = sums["embed"][moved] + g * g
+    sums["embed"][moved] = s
+    model["embed"][moved] -= RATE * g / (np.sqrt(s) + 1e-6)
+    for k, g in grad.items():
+        g /= n
         sums[k] += g * g
-        model[k] -= RATE * g / (np.sqrt(sums[k]) + 1e-6)
+        step = np.sqrt(sums[k])
+        step += 1e-6
+        np.divide(g, step, out=step)
+        step *= RATE
+        model[k] -= step
 
 
 def _binary(values: np.ndarray, first: np.ndarray) -> pa.Array:
@@ -141,6 +161,14 @@ def _counts(batches):
             yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
 
 
+def targets(row: np.ndarray, first: np.ndarray, turn: int) -> np.ndarray:
+    """The words masked in a round, in random order. Over the MASK rounds each word is in one, by its row's number and its place."""
+    place = np.arange(first[-1]) - np.repeat(first[:-1], np.diff(first))
+    draw = mix64(np.repeat(mix64(row.astype(np.uint64)), np.diff(first)) + place.astype(np.uint64))
+    where = np.flatnonzero(draw % np.uint64(MASK) == turn)
+    return where[np.argsort(draw[where], kind="stable")]
+
+
 def _train(values: np.ndarray, turn: int):
     def run(batches):
         model = shaped(values)
@@ -148,24 +176,30 @@ def _train(values: np.ndarray, turn: int):
         seen = 0
         for whole in batches:
             for batch in pieces(whole, 2 << 20):
-                ids, first = _unpacked(batch.column(0))
+                ids, first = _unpacked(batch.column(1))
                 if not len(ids):
                     continue
                 ids = ids.astype(np.int64)
-                draw = mix64(np.arange(len(ids), dtype=np.uint64) * np.uint64(ROUNDS + 1) + mix64(np.array([first[-1] * 31 + turn], np.uint64)))
-                where = np.flatnonzero(draw % np.uint64(MASK) == 0)
-                where = where[np.argsort(draw[where], kind="stable")]
+                where = targets(batch.column(0).to_numpy(), first, turn)
                 for a in range(0, len(where), BATCH):
                     part = where[a : a + BATCH]
                     train_step(model, sums, contexts(ids, first, part), ids[part])
                 seen += len(where)
         if seen:
-            out = flat(model).astype(np.float64) * seen
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(out), dtype=np.int32)), pa.array(out), pa.array(np.full(len(out), seen, np.int64))], ["place", "value", "seen"])
+            parts = [x.astype("<f4").tobytes() for x in np.split(flat(model), range(BLOCK, len(values), BLOCK))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts), dtype=np.int32)), pa.array(parts, pa.binary()), pa.array(np.full(len(parts), seen, np.int64))], ["block", "value", "seen"])
 
     return run
 
 
+def _mean(copies: pa.Table) -> pa.Table:
+    """A block of parameters, averaged over the partitions' copies by the words each has seen."""
+    total, seen = 0.0, 0
+    for value, n in zip(copies["value"], copies["seen"].to_pylist(), strict=True):
+        total, seen = total + np.frombuffer(value.as_py(), "<f4").astype(np.float64) * n, seen + n
+    return pa.table({"block": copies["block"][:1], "value": pa.array([(total / seen).astype("<f4").tobytes()], pa.binary())})
+
+
 def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(row, doc_id, tokens, words): a number for each row, 16-bit buckets and 64-bit hashes of the words of each whole
     text, written to the shared folder for the rounds to come."""
@@ -178,33 +212,33 @@ def vocabulary(ids: DataFrame) -> DataFrame:
     return written(ids.select("words").mapInArrow(_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "vocabulary")
 
 
-def common(counts: DataFrame, most: int = BROADCAST_KEYS) -> tuple[np.ndarray, np.ndarray, int]:
+def common(counts: DataFrame, most: int = COMMON) -> tuple[np.ndarray, np.ndarray, int]:
     """The hashes, in order, and counts of the words that occur more than a number of times, and that number: the least that
     leaves no more than most of them."""
-    sizes = counts.groupBy("n").agg(F.count("*").alias("words")).toPandas().sort_values("n", ascending=False)
-    few = sizes[sizes["words"].cumsum() > most]["n"]
-    cut = max(1, int(few.iloc[0])) if len(few) else 1
-    found = counts.filter(F.col("n") > cut).toPandas()
-    words = found["word"].to_numpy(np.int64).view(np.uint64)
+    sizes = counts.groupBy("n").agg(F.count("*").alias("words")).toArrow().sort_by([("n", "descending")])
+    few = sizes["n"].to_numpy()[np.cumsum(sizes["words"].to_numpy()) > most]
+    cut = max(1, int(few[0])) if len(few) else 1
+    found = counts.filter(F.col("n") > cut).toArrow()
+    words = found["word"].to_numpy().view(np.uint64)
     order = np.argsort(words)
-    return words[order], found["n"].to_numpy(np.int64)[order], cut
+    return words[order], found["n"].to_numpy()[order], cut
 
 
 def bucket_totals(counts: DataFrame) -> np.ndarray:
-    found = counts.groupBy(F.shiftrightunsigned("word", 52).cast("int").alias("bucket")).agg(F.sum("n").alias("n")).toPandas()
+    found = counts.groupBy(F.shiftrightunsigned("word", 52).cast("int").alias("bucket")).agg(F.sum("n").alias("n")).toArrow()
     out = np.ones(IDS)
-    out[found["bucket"].to_numpy(np.int64)] = found["n"].to_numpy()
+    out[found["bucket"].to_numpy()] = found["n"].to_numpy()
     return out
 
 
-def train(ids: DataFrame, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+def train(ids: DataFrame) -> dict[str, np.ndarray]:
     """The averaged network. What the driver gets is one value per parameter, whatever the corpus's size."""
     values = flat(fresh())
-    for turn in range(rounds):
-        found = ids.select("tokens").mapInArrow(_train(values, turn), "place int, value double, seen long").groupBy("place").agg((F.sum("value") / F.sum("seen")).alias("value")).toPandas()
+    ids = written(ids.select("row", "tokens"), "targets")  # so that partitions, and copies, follow what the rounds read
+    for turn in range(MASK):
+        found = ids.mapInArrow(_train(values, turn), COPIES).groupBy("block").applyInArrow(_mean, "block int, value binary").toArrow().sort_by("block")
         if len(found):
-            values = values.copy()
-            values[found["place"].to_numpy()] = found["value"].to_numpy()
+            values = np.frombuffer(b"".join(found["value"].to_pylist()), "<f4")
     return shaped(values)
 
 
@@ -236,7 +270,7 @@ def _score(values: np.ndarray, words: np.ndarray, n: np.ndarray, cut: int, total
     return run
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = BROADCAST_KEYS) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = COMMON) -> DataFrame:
     """(doc_id, n_words, log_likelihood, mean_log_prob) per row of docs, by a network trained and words counted on all of docs.
 
     Every word of every whole text is predicted. Null and empty texts have no words and score 0; a null id stays null;

@@ -261,6 +261,25 @@ def test_scores_of_all_rows(hard, hard_rows, nothing):
     assert pseudo_likelihood.score(nothing).count() == 0
 
 
+def test_every_word_is_a_target_once(hard, hard_rows):
+    p = pseudo_likelihood
+    row, first = np.array([7, 8, 1 << 33, 9]), np.array([0, 500, 500, 501, 900])
+    turns = [p.targets(row, first, t) for t in range(p.MASK)]
+    assert sorted(np.concatenate(turns).tolist()) == list(range(900)) and all(len(x) for x in turns)
+    alone = [p.targets(row[:1], first[:2], t) for t in range(p.MASK)]
+    assert all((a == b[b < 500]).all() for a, b in zip(alone, turns, strict=True))
+    ids = p.tokens(hard).select("row", "tokens")
+    seen = [ids.mapInArrow(p._train(p.flat(p.fresh()), t), p.COPIES).filter("block = 0").groupBy().sum("seen").first()[0] or 0 for t in range(p.MASK)]
+    assert sum(seen) == sum(len(re.findall(r"[^\x20\x09-\x0D]+", r[1] or "")) for r in hard_rows)
+
+
+def test_train_runs_every_turn(spark, monkeypatch):
+    turns, run = [], pseudo_likelihood._train
+    monkeypatch.setattr(pseudo_likelihood, "_train", lambda values, turn: turns.append(turn) or run(values, turn))
+    pseudo_likelihood.train(pseudo_likelihood.tokens(spark.createDataFrame([(1, "a b c")], "doc_id long, text string")))
+    assert turns == list(range(pseudo_likelihood.MASK))
+
+
 @pytest.mark.parametrize("most", [1_000_000, 3])
 def test_words_of_one_bucket_have_their_own_probabilities(spark, most):
     import pyarrow as pa
