@@ -84,3 +84,18 @@ def test_connected_components(spark):
     found = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert found == {i: 0 for i in range(61)} | {100: 100, 101: 100, 200: 100}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize(("percent", "union", "pairs"), [(p, u, n) for p in (85, 80) for u, n in ((20, 20_000), (100, 8000), (400, 2000))])
+def test_bands_of_pairs_at_the_threshold(percent, union, pairs):
+    """Pairs that are exactly percent alike share bands as if min-hashes were independent, and never none."""
+    bands, both = jaccard.bands_for(percent), union * percent // 100
+    left = (union - both) // 2
+    every = np.random.default_rng(1).integers(0, 1 << 64, (pairs, union), np.uint64)
+    keys = []
+    for sets in (every[:, : both + left], np.hstack([every[:, :both], every[:, both + left :]])):
+        keys.append(jaccard.tile_keys(jaccard.min_hashes(sets.ravel(), np.arange(pairs) * sets.shape[1], bands * jaccard.ROWS)))
+    shared = (keys[0] == keys[1]).sum(axis=1)
+    alike = (percent / 100) ** jaccard.ROWS
+    assert shared.min() > 0
+    assert abs(shared.mean() - bands * alike) < 0.15 and abs(shared.var() / (bands * alike * (1 - alike)) - 1) < 0.15
