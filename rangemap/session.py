@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -38,17 +40,37 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a local session (driver and
+    tasks in one process, as in tests) gets a temporary folder; on a cluster that would lose rows, so there it is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that the driver and all executors of {master} share")
         found = "file://" + tempfile.mkdtemp(prefix="rangemap-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write the rows to the shared folder and read them back. A lost executor then costs its own tasks only."""
+    """Cut lineage: write the rows to the shared folder and read them back. A lost executor then costs its own tasks only.
+    Spark gives back the shuffle files of earlier steps once nothing refers to them, which a collection of garbage finds
+    out; discard() deletes the table when what was made of it is written too."""
     spark = df.sparkSession
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     path = f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.written_to = path
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that written() returned and that no later step reads any more; others are left alone."""
+    for table in tables:
+        path = getattr(table, "written_to", None) if "written_to" in vars(table) else None
+        if path:
+            jvm, context = table.sparkSession.sparkContext._jvm, table.sparkSession.sparkContext._jsc
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context.hadoopConfiguration()).delete(folder, True)
