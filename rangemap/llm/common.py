@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir, written
+from ..session import discard, shared_dir, written
 
-__all__ = ["shared_dir", "written"]
+__all__ = ["discard", "shared_dir", "written"]
 
 #: White space that separates words: space, and tab to carriage return.
 WORD_GAP = r"[\x20\x09-\x0D]+"
@@ -30,6 +32,21 @@ def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 2000, size: str = "4m"):
+    """Inside, Arrow batches have a few MB at most, so that no task's memory follows the length of rows; afterwards the
+    session's settings are as before."""
+    names = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 #: Most keys that are broadcast: about 40 MB in each executor.
 BROADCAST_KEYS = 1_000_000
 
@@ -113,6 +130,17 @@ class Words:
                 return out
             todo, left, at = todo[more], left[more] - 8, at[more] + 8
 
+    def joined(self) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """All words, each followed by one space, and each word's byte range there."""
+        size = self.stop - self.start
+        starts = np.cumsum(size + 1) - (size + 1)
+        if not len(size):
+            return b"", starts, starts
+        at = np.repeat(self.start - starts, size + 1) + np.arange(int(starts[-1] + size[-1] + 1))
+        out = self.data[np.minimum(at, len(self.data) - 1)]
+        out[starts + size] = 32
+        return out.tobytes(), starts, starts + size
+
     def runs(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """64-bit hashes of every k consecutive words of one text, and the index of each one's first word."""
         n = len(self.hash) - k + 1

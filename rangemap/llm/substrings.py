@@ -1,16 +1,20 @@
 """Substring dedup: remove passages that another document already has, found by suffix automata.
 
-A reference shard's suffix automaton holds its word sequences; a stretch of a document streams through it for matching
-statistics, and every window of WINDOW words that is matched in a document with a smaller id is removed. The reference
-is the corpus itself, so its automata are not broadcast: both sides are dealt to the shards by content.
-
-1. Each window of WINDOW words has an anchor, its smallest hash of ANCHOR consecutive words. Consecutive windows with one
-   anchor make a stretch. Equal windows have equal anchors, so a window can recur only if its anchor does.
-2. Stretches whose anchor occurs in one document only are dropped. The others go to the shard of their anchor; equal
-   stretches are merged to the smallest id before the shuffle. An anchor of more than HOT stretches deals its windows
-   singly, by their own hash, so that a passage in very many documents with different surroundings is no single task.
-3. Each shard builds its automaton, in bounded size, and streams its stretches through it.
-Whole texts that repeat are settled beforehand: all windows of a later copy begin in the first one.
+The reference is the corpus itself: a window of WINDOW words goes if it starts in a document with a smaller id, too. The
+reference is cut into shards; documents stream through a shard's suffix automaton in the order of their ids, for matching
+statistics; maximal matched spans of WINDOW words or more are removed, and what did not match is added to the automaton.
+The reference grows with the corpus, so its automata are not broadcast, which would lead every document through every
+shard; a span goes to the one shard that can match it:
+
+1. Each window has an anchor, its smallest hash of ANCHOR consecutive words. Consecutive windows with one anchor make a
+   stretch. Equal windows have equal anchors, so a window can recur only if its anchor does. Anchors are sorted by Spark;
+   those in one document only are dropped.
+2. The first document that has an anchor, and the place there in blocks of BLOCK words, name the anchor's shard. What
+   copies one document travels in long spans that way, since its stretches have neighbouring shards in the same order.
+   A span that a task has already sent for a smaller id is settled there and needs no shard, so that a group of copies
+   is pre-aggregated before the shuffle. An anchor of more than HOT stretches deals its windows singly, each by its own
+   hash, so that no shard holds more than about BLOCK * HOT stretches.
+3. Shards are sorted by Spark and streamed. A task holds one shard's automaton at a time.
 """
 
 from __future__ import annotations
@@ -19,33 +23,36 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_KEYS, Words, bounded_batches, id_text, pieces, written
+from .common import Words, discard, id_text, mix64, pieces, small_batches, written
 
 WINDOW, ANCHOR = 13, 5
-HOT = 1000
-#: Stretches per shard: an automaton of about 100,000 words.
-SHARD = 5000
-BROADCAST_BYTES = 48 << 20
+BLOCK = 64
+HOT = 500
+#: Spans a task remembers to settle copies before the shuffle, and bytes of text worked on at once.
+KNOWN, SLICE = 50_000, 1 << 20
+
+RANGES = "doc_id long, sign long, begin int, finish int"
 
 
 class SuffixAutomaton:
-    """Of several word sequences, each with an id; knows the smallest id in which a matched stretch occurs."""
+    """Of several sequences of words."""
 
     def __init__(self) -> None:
-        self.next: list[dict[int, int]] = [{}]
-        self.link, self.size, self.low = [-1], [0], [1 << 62]
+        self.next: list[dict] = [{}]
+        self.link, self.size = [-1], [0]
 
-    def _state(self, size: int, step: dict[int, int], link: int) -> int:
+    def _state(self, size: int, step: dict, link: int) -> int:
         self.next.append(step)
         self.link.append(link)
         self.size.append(size)
-        self.low.append(1 << 62)
         return len(self.size) - 1
 
-    def _clone(self, p: int, word: int, q: int) -> int:
+    def _clone(self, p: int, word, q: int) -> int:
         clone = self._state(self.size[p] + 1, dict(self.next[q]), self.link[q])
         while p >= 0 and self.next[p].get(word) == q:
             self.next[p][word] = clone
@@ -53,8 +60,8 @@ class SuffixAutomaton:
         self.link[q] = clone
         return clone
 
-    def add(self, words: list[int], doc: int) -> None:
-        nxt, link, size, low = self.next, self.link, self.size, self.low
+    def add(self, words: list) -> None:
+        nxt, link, size = self.next, self.link, self.size
         last = 0
         for word in words:
             q = nxt[last].get(word)
@@ -69,35 +76,26 @@ class SuffixAutomaton:
                     q = nxt[p][word]
                     link[new] = q if size[q] == size[p] + 1 else self._clone(p, word, q)
                 last = new
-            if doc < low[last]:
-                low[last] = doc
-
-    def finish(self) -> None:
-        """A state's ends include those of the states that link to it."""
-        for s in np.argsort(-np.array(self.size), kind="stable").tolist():
-            if s and self.low[s] < self.low[self.link[s]]:
-                self.low[self.link[s]] = self.low[s]
-
-    def lows(self, words: list[int], window: int) -> list[int]:
-        """For every window of words, the smallest id in which it occurs; 1 << 62 if it occurs nowhere."""
-        nxt, link, size, low = self.next, self.link, self.size, self.low
-        out, state, matched = [], 0, 0
-        for i, word in enumerate(words):
+
+    def matched(self, words: list, least: int) -> tuple[list[list[int]], bool]:
+        """The maximal ranges [a, b) of words whose every word lies in a match of least words or more; and whether the
+        automaton knows words as a whole."""
+        nxt, link, size = self.next, self.link, self.size
+        spans: list[list[int]] = []
+        state = length = 0
+        for i, word in enumerate(words, 1):
             while state and word not in nxt[state]:
                 state = link[state]
-                matched = size[state]
-            if word in nxt[state]:
-                state = nxt[state][word]
-                matched += 1
-            if i + 1 >= window:
-                if matched < window:
-                    out.append(1 << 62)
-                else:
-                    s = state
-                    while size[link[s]] >= window:
-                        s = link[s]
-                    out.append(low[s])
-        return out
+                length = size[state]
+            q = nxt[state].get(word)
+            if q is not None:
+                state, length = q, length + 1
+                if length >= least:
+                    if spans and i - length <= spans[-1][1]:
+                        spans[-1][1] = i
+                    else:
+                        spans.append([i - length, i])
+        return spans, length == len(words)
 
 
 def stretches(words: Words, window: int, anchor: int):
@@ -124,192 +122,254 @@ def stretches(words: Words, window: int, anchor: int):
 def _anchors(window: int, anchor: int):
     def run(batches):
         for whole in batches:
-            for batch in pieces(whole):
-                words = Words(batch.column(2))
-                marks, at, n = stretches(words, window, anchor)
+            for batch in pieces(whole, SLICE):
+                words = Words(batch.column(1))
+                marks, at, _ = stretches(words, window, anchor)
                 doc = np.searchsorted(words.first, at, side="right") - 1
-                take = pa.array(doc)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array((at - words.first[doc]).astype(np.int32)), pa.array(marks.view(np.int64))], ["doc_id", "sign", "word", "anchor"])
+                yield pa.RecordBatch.from_arrays([pa.array(marks.view(np.int64)), batch.column(0).take(pa.array(doc)), pa.array((at - words.first[doc]).astype(np.int32))], ["anchor", "doc_id", "word"])
 
     return run
 
 
-def _segments(window: int, anchor: int):
-    """Texts of the stretches whose first words are in hits; windows of hot ones singly."""
+def _shared(block: int, hot: int):
+    """Of anchors sorted by (anchor, doc_id, word): the stretches of those in several documents, with their shards. Of an
+    anchor that goes on over batches, no more than hot rows are held back until it is known to be shared, or hot."""
 
     def run(batches):
-        for whole in batches:
-            for batch in pieces(whole):
-                words = Words(batch.column(2))
-                data = words.data.tobytes()
-                marks, at, n = stretches(words, window, anchor)
-                single, single_at = words.runs(window)
-                ends = np.searchsorted(at, words.first)
-                out = []
-                for d, (doc_id, sign, hits) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-                    packed = np.frombuffer(hits, "<i4")
-                    hot = dict(zip((packed >> 1).tolist(), (packed & 1).tolist(), strict=True))
-                    for s in range(ends[d], ends[d + 1]):
-                        a, m, base = int(at[s]), int(n[s]), int(words.first[d])
-                        if a - base not in hot:
-                            continue
-                        if hot[a - base]:
-                            p = int(np.searchsorted(single_at, a))
-                            out += [(int(single[p + i].view(np.int64)), doc_id, sign, a - base + i, 1, _text(data, words, a + i, window)) for i in range(m)]
-                        else:
-                            out.append((int(marks[s].view(np.int64)), doc_id, sign, a - base, m, _text(data, words, a, m + window - 1)))
-                cols = list(zip(*out, strict=True)) or [()] * 6
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["shard_key", "doc_id", "sign", "word", "windows", "stretch"])
+        anchor = doc = word = None  # rows held back, of one anchor
+        settled = None  # (anchor, lo, part) of an anchor whose further rows need no decision
+        for batch in batches:
+            a, d, w = (batch.column(k).to_numpy() for k in range(3))
+            if not len(a):
+                continue
+            out = []
+            if settled is not None:
+                n = int(np.searchsorted(a != settled[0], True)) if a[-1] != settled[0] else len(a)
+                out.append((d[:n], w[:n], np.full(n, settled[1]), np.full(n, settled[2])))
+                a, d, w = a[n:], d[n:], w[n:]
+            if len(a):
+                settled = None
+                if anchor is not None:
+                    a, d, w = np.r_[anchor, a], np.r_[doc, d], np.r_[word, w]
+                first = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
+                size = np.diff(np.r_[first, len(a)])
+                lo, part = d[first], w[first] // block
+                part = np.where(size > hot, -1, part)
+                shared = d[first + size - 1] > lo
+                if size[-1] <= hot:  # its end is not known
+                    shared[-1] = False
+                    anchor, doc, word = a[first[-1] :], d[first[-1] :], w[first[-1] :]
+                else:
+                    anchor = doc = word = None
+                    settled = (a[-1], lo[-1], -1)
+                    shared[-1] = True
+                rows = np.repeat(shared, size)
+                out.append((d[rows], w[rows], np.repeat(lo, size)[rows], np.repeat(part, size)[rows]))
+            yield _hits(out)
+        if anchor is not None and doc[-1] > doc[0]:
+            yield _hits([(doc, word, np.full(len(doc), doc[0]), np.full(len(doc), word[0] // block))])
 
     return run
 
 
-def _text(data: bytes, words: Words, a: int, n: int) -> str:
-    return b" ".join([data[x:y] for x, y in zip(words.start[a : a + n].tolist(), words.stop[a : a + n].tolist(), strict=True)]).decode()
+def _hits(parts) -> pa.RecordBatch:
+    cols = [np.concatenate(c) for c in zip(*parts, strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(c.astype(k)) for c, k in zip(cols, (np.int64, np.int32, np.int64, np.int32), strict=True)], ["doc_id", "word", "lo", "part"])
 
 
-def _shard(window: int):
-    def run(table: pa.Table) -> pa.Table:
-        codes: dict[str, int] = {}
-        texts = [[codes.setdefault(w, len(codes)) for w in t.split(" ")] for t in table.column("stretch").to_pylist()]
-        automaton = SuffixAutomaton()
-        for words, doc in zip(texts, table.column("low").to_pylist(), strict=True):
-            automaton.add(words, doc)
-        automaton.finish()
-        lows = [automaton.lows(words, window) for words in texts]
-        return pa.table({"mark_1": table.column("mark_1"), "mark_2": table.column("mark_2"), "lows": pa.array(lows, pa.list_(pa.int64()))})
+def _spans(window: int, anchor: int):
+    """The texts of documents' spans, one for each run of stretches of one shard, and windows of hot anchors singly."""
 
-    return run
+    def run(batches):
+        known: dict[bytes, int] = {}
+        for whole in batches:
+            for batch in pieces(whole, SLICE):
+                words = Words(batch.column(2))
+                marks, at, n = stretches(words, window, anchor)
+                hits = batch.column(3)
+                count = np.diff(hits.offsets.to_numpy())
+                word, lo, part = (hits.flatten().field(k).to_numpy() for k in range(3))
+                doc = np.repeat(np.arange(len(batch)), count)
+                # Rows of one id share their hits: those of another text are found out by the anchors' places or match nothing.
+                s = np.searchsorted(at, words.first[doc] + word)
+                good = (word < words.count[doc]) & (s < len(at))
+                good[good] = at[s[good]] == (words.first[doc] + word)[good]
+                s, lo, part = s[good], lo[good], part[good]
+                single = np.unique(s[part < 0])
+                s, lo, part = s[part >= 0], lo[part >= 0], part[part >= 0]
+                order = np.lexsort((s, part, lo))
+                s, lo, part = s[order], lo[order], part[order]
+                begin = words.runs(window)[1] if len(single) else None
+                text, starts, stops = words.joined()
+                first = np.flatnonzero(np.r_[True, (lo[1:] != lo[:-1]) | (part[1:] != part[:-1]) | (at[s[:-1]] + n[s[:-1]] != at[s[1:]])]) if len(s) else np.zeros(0, np.int64)
+                a = at[s[first]]
+                size = at[s[np.r_[first[1:], len(s)] - 1]] + n[s[np.r_[first[1:], len(s)] - 1]] - a + window - 1 if len(s) else a
+                lo, part = lo[first], part[first]
+                if len(single):
+                    places = np.concatenate([np.arange(at[x], at[x] + n[x]) for x in single])
+                    own = words.runs(window)[0][np.searchsorted(begin, places)]
+                    a, size = np.r_[a, places], np.r_[size, np.full(len(places), window)]
+                    lo, part = np.r_[lo, mix64(own).view(np.int64)], np.r_[part, np.full(len(places), -1)]
+                doc = np.searchsorted(words.first, a, side="right") - 1
+                ids, signs = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+                x, y = starts[a].tolist(), stops[a + size - 1].tolist()
+                out = []
+                for i, (d, begin_byte, end_byte) in enumerate(zip(ids[doc].tolist(), x, y, strict=True)):
+                    span = text[begin_byte:end_byte]
+                    digest = xxhash.xxh3_128_digest(span)
+                    low = known.get(digest)
+                    if low is not None and low < d:
+                        out.append(None)
+                        continue
+                    known[digest] = d
+                    out.append(span)
+                if len(known) > KNOWN:
+                    known.clear()
+                send = np.array([o is not None for o in out], bool)
+                where = a - words.first[doc]
+                cols = [lo[send], part[send], ids[doc][send], signs[doc][send], where[send], size[send]]
+                done = _merged(doc[~send], where[~send], where[~send] + size[~send])
+                k = len(done[0])
+                cols = [np.r_[c, e] for c, e in zip(cols, [np.zeros(k), np.zeros(k), ids[done[0]], signs[done[0]], done[1], done[2] - done[1]], strict=True)]
+                kinds = (np.int64, np.int32, np.int64, np.int64, np.int32, np.int32)
+                yield pa.RecordBatch.from_arrays([*(pa.array(c.astype(t)) for c, t in zip(cols, kinds, strict=True)), pa.array([o for o in out if o is not None] + [None] * k, pa.binary())], ["lo", "part", "doc_id", "sign", "word", "n", "span"])
 
+    return run
 
-def _spans(batches):
-    """Merge each document's removed windows to word ranges, packed."""
-    for batch in batches:
-        packed = []
-        for starts, window in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            at = np.unique(np.array(starts, np.int32))
-            first = np.r_[True, np.diff(at) > window]
-            last = np.r_[first[1:], True]
-            packed.append(np.stack([at[first], at[last] + window], 1).astype("<i4").tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], ["doc_id", "sign", "spans"])
 
+def _merged(doc: np.ndarray, begin: np.ndarray, finish: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ranges of each doc with overlapping and touching ones made one."""
+    if not len(doc):
+        return doc, begin, finish
+    order = np.lexsort((begin, doc))
+    doc, begin, finish = doc[order], begin[order], finish[order]
+    shift = doc * (int(finish.max()) + 1)  # so that no range reaches into the next doc's
+    reach = np.maximum.accumulate(finish + shift)
+    first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (begin[1:] + shift[1:] > reach[:-1])])
+    last = np.r_[first[1:], len(doc)] - 1
+    return doc[first], begin[first], reach[last] - shift[last]
 
-def _by_size(df: DataFrame, heavy: str | None = None) -> DataFrame:
-    """df with a broadcast hint, if it has few enough rows and bytes."""
-    rows, size = df.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(heavy)) if heavy else F.lit(0), F.lit(0))).first()
-    return F.broadcast(df) if rows <= BROADCAST_KEYS and size <= BROADCAST_BYTES else df
 
+def _streamed(window: int):
+    """Matches of spans sorted by (lo, part, doc_id) in the spans of smaller ids of the same shard."""
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, sign, spans) of the documents that lose words. sign: xxhash64 of the text. spans: word ranges [a, b) as
-    little-endian 32-bit pairs; null for a later copy of a whole text, which loses all words if it has window or more."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    source = id_text(docs, id_col, text_col).filter("doc_id is not null and text <> ''").select("doc_id", F.xxhash64("text").alias("sign"), "text")
-    signs = source.select("doc_id", "sign", F.xxhash64(F.lit(1), "text").alias("sign_2"))
-    whole = signs.groupBy("sign", "sign_2").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).filter("first_id < last_id")
-    copies = written(signs.join(written(whole, "whole"), ["sign", "sign_2"]).filter("doc_id > first_id").select("doc_id", "sign").distinct(), "copies")
-    unique = source.join(_by_size(copies), ["doc_id", "sign"], "left_anti")
-    anchors = written(unique.mapInArrow(_anchors(window, anchor), "doc_id long, sign long, word int, anchor long"), "anchors")
-    shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n")).filter("lo < hi").select("anchor", (F.col("n") > HOT).cast("int").alias("hot"))
-    # Written first: a join that follows the aggregate on its own exchange can't have its hot anchors split.
-    hits = anchors.join(written(shared, "shared"), "anchor").select("doc_id", "sign", (F.col("word") * 2 + F.col("hot")).alias("hit"))
-    hits = hits.groupBy("doc_id", "sign").agg(F.collect_list("hit").alias("hit")).mapInArrow(_packed, "doc_id long, sign long, hits binary")
-    hits = written(hits, "hits")
-    segments = unique.select("doc_id", "sign", "text").join(_by_size(hits, "hits"), ["doc_id", "sign"]).select("doc_id", "sign", "text", "hits")
-    segments = segments.mapInArrow(_segments(window, anchor), "shard_key long, doc_id long, sign long, word int, windows int, stretch string")
-    segments = written(segments.withColumn("mark_1", F.xxhash64("stretch")).withColumn("mark_2", F.xxhash64(F.lit(1), "stretch")), "segments")
-    distinct = written(segments.groupBy("shard_key", "mark_1", "mark_2", "stretch").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")), "distinct")
-    shards = max(1, -(-distinct.count() // SHARD))
-    known = distinct.withColumn("shard", F.pmod(F.xxhash64("shard_key"), F.lit(shards))).select("shard", "mark_1", "mark_2", "stretch", "low").groupBy("shard").applyInArrow(_shard(window), "mark_1 long, mark_2 long, lows array<long>")
-    known = known.filter(F.size("lows") > 0)
-    found = segments.select("doc_id", "sign", "word", "mark_1", "mark_2").join(known, ["mark_1", "mark_2"])
-    starts = F.filter(F.transform("lows", lambda low, i: F.when(low < F.col("doc_id"), F.col("word") + i)), lambda x: x.isNotNull())
-    found = found.select("doc_id", "sign", starts.alias("starts")).filter(F.size("starts") > 0)
-    found = found.groupBy("doc_id", "sign").agg(F.flatten(F.collect_list("starts")).alias("starts")).withColumn("window", F.lit(window))
-    spans = found.mapInArrow(_spans, "doc_id long, sign long, spans binary")
-    return written(spans.unionByName(copies.withColumn("spans", F.lit(None).cast("binary"))), "spans")
-
-
-def _packed(batches):
-    for batch in batches:
-        hits = [np.array(h, "<i4").tobytes() for h in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(hits, pa.binary())], ["doc_id", "sign", "hits"])
-
-
-def _kept_words(words: Words, d: int, found: bool, spans: bytes | None, window: int) -> np.ndarray:
-    """Which words of text d stay."""
-    n = int(words.count[d])
-    keep = np.ones(n, bool)
-    if found and spans is None:
-        keep[:] = n < window
-    elif found:
-        for a, b in np.frombuffer(spans, "<i4").reshape(-1, 2):
-            keep[a:b] = False
-    return keep
-
-
-def _report(window: int):
     def run(batches):
+        key = doc = None
+        automaton, seen, waiting = SuffixAutomaton(), set(), []
         for whole in batches:
-            for batch in pieces(whole):
-                words = Words(batch.column(1))
-                data = words.data.tobytes()
-                n, lost, digest = [], [], []
-                for d, (found, spans) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-                    keep = _kept_words(words, d, found, spans, window)
-                    a, b = words.first[d], words.first[d + 1]
-                    kept = b" ".join([data[x:y] for x, y in zip(words.start[a:b][keep].tolist(), words.stop[a:b][keep].tolist(), strict=True)])
-                    n.append(len(keep))
-                    lost.append(int(len(keep) - keep.sum()))
-                    digest.append(sha256(kept).hexdigest())
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(lost, pa.int64()), pa.array(digest, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
+            for batch in pieces(whole, SLICE):
+                out = []
+                for lo, part, d, sign, at, span in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
+                    if (lo, part) != key:
+                        key, doc, automaton, seen, waiting = (lo, part), d, SuffixAutomaton(), set(), []
+                    elif d != doc:
+                        for text, words in waiting:
+                            automaton.add(words)
+                            seen.add(text)
+                        doc, waiting = d, []
+                    words = span.split(b" ")
+                    if span in seen:
+                        out.append((d, sign, at, at + len(words)))
+                        continue
+                    spans, whole_known = automaton.matched(words, window)
+                    out += [(d, sign, at + a, at + b) for a, b in spans]
+                    if not whole_known:
+                        waiting.append((span, words))
+                cols = list(zip(*out, strict=True)) or [()] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["doc_id", "sign", "begin", "finish"])
 
     return run
 
 
+def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, sign, spans) of the documents that lose words. sign: xxhash64 of the text. spans: word ranges to remove, an
+    array of (begin, finish); they may overlap. Texts meet their hits in a shuffle, at every size."""
+    source = id_text(docs, id_col, text_col).filter("doc_id is not null and text <> ''")
+    with small_batches(docs.sparkSession):
+        anchors = source.mapInArrow(_anchors(window, anchor), "anchor long, doc_id long, word int")
+        ordered = anchors.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "word")
+        hits = ordered.mapInArrow(_shared(BLOCK, HOT), "doc_id long, word int, lo long, part int")
+        hits = hits.groupBy("doc_id").agg(F.collect_list(F.struct("word", "lo", "part")).alias("hits"))
+        found = source.join(hits, "doc_id").select("doc_id", F.xxhash64("text").alias("sign"), "text", "hits")
+        spans = written(found.mapInArrow(_spans(window, anchor), "lo long, part int, doc_id long, sign long, word int, n int, span binary"), "spans")
+        del anchors, ordered, hits, found
+        ordered = spans.filter("span is not null").drop("n").repartition("lo", "part").sortWithinPartitions("lo", "part", "doc_id", "word")
+        settled = spans.filter("span is null").select("doc_id", "sign", F.col("word").alias("begin"), (F.col("word") + F.col("n")).alias("finish"))
+        ranges = written(ordered.mapInArrow(_streamed(window), RANGES).unionByName(settled), "ranges")
+        del ordered, settled
+    discard(spans)
+    return ranges.groupBy("doc_id", "sign").agg(F.collect_list(F.struct("begin", "finish")).alias("spans"))
+
+
+def _kept(words: Words, spans: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Which words of a column stay, and how many of each text go. spans: ranges of each text's words, or null."""
+    n = np.array([0 if x is None else x for x in pc.list_value_length(spans).to_pylist()], np.int64)
+    doc = np.repeat(np.arange(len(spans)), n)
+    ranges = spans.flatten()
+    begin, finish = (ranges.field(k).to_numpy() + words.first[doc] for k in range(2))
+    change = np.zeros(len(words.start) + 1, np.int32)
+    np.add.at(change, begin, 1)
+    np.add.at(change, finish, -1)
+    gone = np.cumsum(change[:-1]) > 0
+    return ~gone, np.diff(np.r_[0, np.cumsum(gone)][words.first])
+
+
+def _report(batches):
+    for whole in batches:
+        for batch in pieces(whole, SLICE):
+            words = Words(batch.column(1))
+            keep, lost = _kept(words, batch.column(2))
+            text, starts, stops = words.joined()
+            # Runs of kept words, cut at the texts' ends: a run's bytes are contiguous.
+            first = np.zeros(len(keep), bool)
+            first[words.first[:-1][words.count > 0]] = True
+            begins = np.flatnonzero(keep & np.r_[True, ~keep[:-1]] | keep & first) if len(keep) else np.zeros(0, np.int64)
+            last = np.r_[first[1:], True] if len(keep) else first
+            ends = np.flatnonzero(keep & np.r_[~keep[1:], True] | keep & last) if len(keep) else begins
+            cuts = np.searchsorted(begins, words.first).tolist()
+            x, y = starts[begins].tolist(), stops[ends].tolist()
+            digest = [sha256(b" ".join([text[x[i] : y[i]] for i in range(a, b)])).hexdigest() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words.count.astype(np.int64)), pa.array(lost.astype(np.int64)), pa.array(digest, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
+
+
 def dedup_report(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) per row: what is left of each whole text without the words of windows
     that start in a document with a smaller id too. Null and empty texts have no words; a row with a null id neither
     loses nor takes; repeated rows of one id are one document; other columns are left out."""
-    spans = repeated_spans(docs, window, id_col=id_col, text_col=text_col).withColumn("found", F.lit(True))
+    spans = repeated_spans(docs, window, id_col=id_col, text_col=text_col)
     source = id_text(docs, id_col, text_col).withColumn("sign", F.xxhash64("text"))
-    joined = source.join(_by_size(spans, "spans"), ["doc_id", "sign"], "left").select("doc_id", "text", "found", "spans")
-    return joined.mapInArrow(_report(window), "doc_id long, n_words long, n_removed long, kept_sha256 string")
-
-
-def _cut(window: int):
-    def run(batches):
-        for whole in batches:
-            for batch in pieces(whole):
-                words = Words(batch.column(0))
-                data = words.data.tobytes()
-                texts = batch.column(0).to_pylist()
-                for d, (found, spans) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
-                    if not found or texts[d] is None:
-                        continue
-                    keep = _kept_words(words, d, found, spans, window)
-                    begin = words.start[words.first[d] : words.first[d + 1]].tolist()
-                    begin.append(int(words.text_start[d + 1]))
-                    lead = data[int(words.text_start[d]) : begin[0]]
-                    texts[d] = (lead + b"".join([data[begin[i] : begin[i + 1]] for i in np.flatnonzero(keep).tolist()])).decode()
-                yield batch.set_column(0, batch.schema.names[0], pa.array(texts, pa.string()))
-
-    return run
+    joined = source.join(spans, ["doc_id", "sign"], "left").select("doc_id", "text", "spans")
+    return joined.mapInArrow(_report, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+
+
+def _cut(batches):
+    for whole in batches:
+        for batch in pieces(whole, SLICE):
+            words = Words(batch.column(0))
+            data = words.data.tobytes()
+            keep, lost = _kept(words, batch.column(1))
+            texts = batch.column(0).to_pylist()
+            for d in np.flatnonzero(lost).tolist():
+                a, b = words.first[d], words.first[d + 1]
+                begin = words.start[a:b].tolist()
+                begin.append(int(words.text_start[d + 1]))
+                lead = data[int(words.text_start[d]) : begin[0]]
+                texts[d] = (lead + b"".join([data[begin[i] : begin[i + 1]] for i in np.flatnonzero(keep[a:b]).tolist()])).decode()
+            yield batch.set_column(0, batch.schema.names[0], pa.array(texts, pa.string()))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs, all rows and columns, with the repeated words cut out of text_col together with the white space after them.
-    Texts without repeats stay as they are to the byte."""
+    Texts without repeats stay as they are to the byte, null ones stay null. A row with a null id neither loses nor takes;
+    repeated rows of one id are one document, and each stays a row."""
     from pyspark.sql import types as T
 
     spans = repeated_spans(docs, window, id_col=id_col, text_col=text_col)
-    spans = spans.select(F.col("doc_id").alias("_span_id"), F.col("sign").alias("_span_sign"), F.lit(True).alias("_found"), F.col("spans").alias("_spans"))
+    spans = spans.select(F.col("doc_id").alias("_span_id"), F.col("sign").alias("_span_sign"), F.col("spans").alias("_spans"))
     names = docs.columns
     plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
     text, key = f"c{names.index(text_col)}", f"c{names.index(id_col)}"
-    joined = plain.join(_by_size(spans, "_spans"), (F.col(key).cast("long") == F.col("_span_id")) & (F.xxhash64(text) == F.col("_span_sign")), "left").drop("_span_id", "_span_sign")
-    joined = joined.select(text, "_found", "_spans", *(c for c in plain.columns if c != text))
-    out = joined.mapInArrow(_cut(window), T.StructType([T.StructField(f.name, f.dataType) for f in joined.schema]))
+    joined = plain.join(spans, (F.col(key).cast("long") == F.col("_span_id")) & (F.xxhash64(text) == F.col("_span_sign")), "left").drop("_span_id", "_span_sign")
+    joined = joined.select(text, "_spans", *(c for c in plain.columns if c != text))
+    out = joined.mapInArrow(_cut, T.StructType([T.StructField(f.name, f.dataType) for f in joined.schema]))
     return out.select(*plain.columns).toDF(*names)

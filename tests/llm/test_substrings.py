@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -30,9 +32,10 @@ def brute(rows, window):
     return sorted(out)
 
 
-@pytest.mark.parametrize("hot", [1000, 2])
-def test_report_equals_brute_force(hard, hard_rows, hot, monkeypatch):
+@pytest.mark.parametrize(("hot", "known"), [(500, 50_000), (2, 0), (2, 50_000)])
+def test_report_equals_brute_force(hard, hard_rows, hot, known, monkeypatch):
     monkeypatch.setattr(substrings, "HOT", hot)
+    monkeypatch.setattr(substrings, "KNOWN", known)
     found = substrings.dedup_report(hard).collect()
     assert sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], r["kept_sha256"]) for r in found) == brute(hard_rows, 13)
 
@@ -55,14 +58,27 @@ def test_empty_table(nothing):
 
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 3), max_size=12), min_size=1, max_size=6), st.lists(st.integers(0, 3), max_size=14), st.integers(1, 5))
-def test_automaton_knows_the_smallest_id(texts, probe, window):
+def test_automaton_finds_the_maximal_matches(texts, probe, window):
     automaton = substrings.SuffixAutomaton()
-    for i, t in enumerate(texts):
-        automaton.add(t, 10 - i)
-    automaton.finish()
-    want = []
-    for j in range(len(probe) - window + 1):
-        part = probe[j : j + window]
-        ids = [10 - i for i, t in enumerate(texts) if any(t[a : a + window] == part for a in range(len(t)))]
-        want.append(min(ids, default=1 << 62))
-    assert automaton.lows(probe, window) == want
+    for t in texts:
+        automaton.add(t)
+    known = lambda part: any(t[a : a + len(part)] == part for t in texts for a in range(len(t) - len(part) + 1))
+    covered = [any(known(probe[j : j + window]) for j in range(max(0, i - window + 1), min(i, len(probe) - window) + 1)) for i in range(len(probe))]
+    spans, whole = automaton.matched(probe, window)
+    found = [any(a <= i < b for a, b in spans) for i in range(len(probe))]
+    assert found == covered and whole == (not probe or known(probe))
+
+
+def test_ranges_are_merged():
+    doc, begin, finish = (np.array(x) for x in ([1, 0, 0, 0, 1], [5, 0, 10, 3, 9], [9, 4, 12, 8, 20]))
+    assert [x.tolist() for x in substrings._merged(doc, begin, finish)] == [[0, 0, 1], [0, 10, 5], [8, 12, 20]]
+
+
+@pytest.mark.parametrize("cut", [1, 2, 3, 7])
+def test_shared_anchors_over_batches(cut):
+    """Rows of an anchor that goes on over batches are treated as if they came at once."""
+    rows = sorted([(a, d, w) for a, ds in ((1, [5]), (2, [3, 3, 4]), (3, [1, 1]), (4, [2, 3, 4, 5, 6, 7]), (5, [8, 9])) for w, d in enumerate(ds)])
+    table = pa.table({"anchor": [r[0] for r in rows], "doc_id": [r[1] for r in rows], "word": pa.array([100 + r[2] for r in rows], pa.int32())})
+    out = pa.Table.from_batches(list(substrings._shared(64, 4)(table.to_batches(max_chunksize=cut)))).to_pylist()
+    want = [(3, 100, 3, 1), (3, 101, 3, 1), (4, 102, 3, 1), *((d, 98 + d, 2, -1) for d in range(2, 8)), (8, 100, 8, 1), (9, 101, 8, 1)]
+    assert sorted(tuple(r.values()) for r in out) == sorted(want)
