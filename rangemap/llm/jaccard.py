@@ -1,13 +1,17 @@
-"""N-gram Jaccard join: near-duplicate documents by their sets of word shingles.
+"""N-gram Jaccard join: near-duplicate documents by their sets of word shingles. Exact.
 
 1. Every text becomes a set of 64-bit shingle hashes; texts with equal sets are one class from here on.
-2. Classes that share a min-hash band form a family. Bands are so many that a pair at the threshold shares none with a
-   probability below MISS, so a family holds all links of its members.
-3. Families are cut into size-banded tiles: a document meets only those of its own and the next size band. In a tile,
-   hashed bitmaps bound the overlap of a pair from above by counting bits; pairs that pass are settled by intersecting
-   their sorted arrays. Pairs already joined through others need no test.
-4. A tile of more than TILE documents is dealt into blocks. After a first round inside the blocks, the documents outside
-   the tile's largest component visit every block, which is all that can still join anything.
+2. Two sets that link share one of the first n - ceil(n percent / 100) + 1 shingles of either, in whatever order, if it is
+   the same for all. The order is by four ranges of the hash, then rare shingles first, then by hash. So a set needs counts
+   of the shingles in its first ranges only, mostly a quarter of them. They are sorted by Spark, and only shingles of several
+   sets come back; the others count as one each. A text with enough shingles of its own has no partner and is left out.
+3. What is left of a set's first shingles puts it into tiles: a shingle and a size band, the set's own or the one below. A
+   tile is a star: its first class and the others. In a tile, hashed bitmaps bound the overlap of a pair from above by
+   counting bits; pairs that pass are settled by intersecting their sorted arrays. Pairs already joined through others need
+   no test. Tiles are not closed transitively.
+4. At first a class goes to one star only, the smallest it is in; stars whose members are then in several components meet
+   as a whole. Large stars are dealt into blocks; there the classes outside the star's largest component visit every block,
+   which is all that can still join anything.
 """
 
 from __future__ import annotations
@@ -19,18 +23,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_KEYS, Words, bounded_batches, id_text, mix64, pieces, written
+from .common import Words, discard, id_text, mix64, pieces, small_batches, written
 from .components import connected_components
 
-MISS = 1e-12
-ROWS = 3
 BITS = 2048
-TILE = 1000
-
-
-def bands_for(percent: int) -> int:
-    """Bands of ROWS min-hashes with (1 - t ** ROWS) ** bands <= MISS."""
-    return math.ceil(math.log(MISS) / math.log1p(-((percent / 100) ** ROWS)))
+#: Most classes of a block, most shingles of a block (8 MB), on average.
+TILE, TILE_SHINGLES = 1000, 1_000_000
+#: Bytes of text worked on at once; sets a task remembers so that it sends the parts of copies once.
+SLICE, KNOWN = 1 << 20, 50_000
+#: Sets from which on a shingle's count is not told.
+COMMON = 1000
 
 
 def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -56,70 +58,144 @@ def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     return runs, np.searchsorted(doc, np.arange(len(texts) + 1))
 
 
-def min_hashes(sets: np.ndarray, starts: np.ndarray, n: int, seed: int = 7) -> np.ndarray:
-    """n min-hashes (columns) of each non-empty set that begins at starts."""
-    rng = np.random.default_rng(seed)
-    salts, factors = rng.integers(0, 1 << 32, n, np.uint64).astype(np.uint32), (rng.integers(0, 1 << 31, n, np.uint64) * 2 + 1).astype(np.uint32)
-    short = (sets >> np.uint64(32)).astype(np.uint32) ^ sets.astype(np.uint32)
-    out = np.empty((len(starts), n), np.uint32)
-    buffer = np.empty_like(short)
-    for j in range(n):
-        np.bitwise_xor(short, salts[j], out=buffer)
-        np.multiply(buffer, factors[j], out=buffer)
-        out[:, j] = np.minimum.reduceat(buffer, starts)
-    return out
-
-
-def tile_keys(hashes: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band of ROWS min-hashes."""
-    keys = np.empty((len(hashes), hashes.shape[1] // ROWS), np.uint64)
-    for b in range(keys.shape[1]):
-        key = np.full(len(hashes), b + 1, np.uint64)
-        for j in range(ROWS):
-            key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + hashes[:, b * ROWS + j])
-        keys[:, b] = key
-    return keys
-
-
-def _signatures(k: int, bands: int):
+def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
+    return np.where(n > 0, n - -(-n * percent // 100) + 1, 0)
+
+
+def prefix_ranges(sets: np.ndarray, first: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Which shingles lie in the hash ranges that a set's prefix can reach; and for each set the last such range, how many
+    of its shingles lie in the ranges before it, and how many in it. sets: ascending in each set."""
+    n = np.diff(first)
+    of, level = np.repeat(np.arange(len(n)), n), (sets >> np.uint64(62)).astype(np.int64)
+    count = np.bincount(of * 4 + level, minlength=4 * len(n)).reshape(-1, 4)
+    total = count.cumsum(axis=1)
+    last = (total >= prefix_length(n, percent)[:, None]).argmax(axis=1)
+    rows = np.arange(len(n))
+    return level <= last[of], last, (total - count)[rows, last], count[rows, last]
+
+
+def _sums(sets: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each set as a whole."""
+    full = np.flatnonzero(np.diff(first))
+    one, two = np.zeros(len(first) - 1, np.uint64), np.zeros(len(first) - 1, np.uint64)
+    if len(full):
+        one[full] = np.add.reduceat(mix64(sets), first[full])
+        two[full] = np.add.reduceat(mix64(sets ^ np.uint64(0xA0761D6478BD642F)), first[full])
+    return one.view(np.int64), two.view(np.int64)
+
+
+def _signatures(k: int, percent: int):
     def run(batches):
         for whole in batches:
-            for batch in pieces(whole):
+            for batch in pieces(whole, SLICE):
                 sets, first = shingle_sets(batch.column(1), k)
-                n = np.diff(first)
-                full = np.flatnonzero(n)
-                one, two = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
-                keys = np.zeros((0, bands), np.uint64)
-                if len(full):
-                    one[full] = np.add.reduceat(mix64(sets), first[full])
-                    two[full] = np.add.reduceat(mix64(sets ^ np.uint64(0xA0761D6478BD642F)), first[full])
-                    keys = tile_keys(min_hashes(sets, first[full], bands * ROWS))
-                ends = np.cumsum(np.r_[0, np.where(n > 0, bands, 0)]).astype(np.int32)
-                tiles = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), tiles], ["doc_id", "n_shingles", "one", "two", "tiles"])
+                one, two = _sums(sets, first)
+                _, last, before, at = prefix_ranges(sets, first, percent)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(first)), pa.array(one), pa.array(two), *(pa.array(x) for x in (last, before, at))], ["doc_id", "n_shingles", "one", "two", "last", "before", "at"])
 
     return run
 
 
+def _prefixes(k: int, percent: int):
+    """(shingle, one) of the shingles that a set's prefix can reach; copies that a task has met lately are left out."""
+
+    def run(batches):
+        known: set[int] = set()
+        for whole in batches:
+            for batch in pieces(whole, SLICE):
+                sets, first = shingle_sets(batch.column(1), k)
+                one, _ = _sums(sets, first)
+                send = prefix_ranges(sets, first, percent)[0]
+                fresh = np.zeros(len(one), bool)
+                for i, x in enumerate(one.tolist()):
+                    fresh[i] = x not in known
+                    known.add(x)
+                if len(known) > KNOWN:
+                    known.clear()
+                of = np.repeat(np.arange(len(one)), np.diff(first))
+                send &= fresh[of]
+                yield pa.RecordBatch.from_arrays([pa.array(sets[send].view(np.int64)), pa.array(one[of[send]])], ["shingle", "one"])
+
+    return run
+
+
+def _counted(batches):
+    """(one, shingle, c) of shingles in several sets, sorted by (shingle, one): c sets, COMMON at most. No more than COMMON
+    rows of a shingle are held back."""
+    held_a = held_b = np.zeros(0, np.int64)  # distinct rows of a shingle whose end hasn't come yet
+    many = None  # (shingle, last set) of one that has reached COMMON
+    for batch in batches:
+        a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        out = []
+        if many is not None and len(a):
+            n = len(a) if a[-1] == many[0] else int(np.argmax(a != many[0]))
+            rows = b[:n][b[:n] != np.r_[many[1], b[: n - 1]]] if n else b[:0]
+            out.append((rows, np.full(len(rows), many[0]), np.full(len(rows), COMMON)))
+            many = (many[0], b[n - 1]) if n == len(a) else None
+            a, b = a[n:], b[n:]
+        if len(a):
+            a, b = np.r_[held_a, a], np.r_[held_b, b]
+            fresh = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]
+            a, b = a[fresh], b[fresh]
+            first = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
+            size = np.diff(np.r_[first, len(a)])
+            if size[-1] >= COMMON:
+                many, end = (a[-1], b[-1]), len(a)
+                held_a = held_b = a[:0]
+            else:
+                end = first[-1]
+                held_a, held_b = a[end:], b[end:]
+            c = np.repeat(np.minimum(size, COMMON), size)[:end]
+            rows = c > 1
+            out.append((b[:end][rows], a[:end][rows], c[rows]))
+        if out:
+            yield _rows(out)
+    if len(held_a) > 1:
+        yield _rows([(held_b, held_a, np.full(len(held_a), min(len(held_a), COMMON)))])
+
+
+def _rows(parts) -> pa.RecordBatch:
+    one, shingle, c = (np.concatenate(x) for x in zip(*parts, strict=True))
+    return pa.RecordBatch.from_arrays([pa.array(one), pa.array(shingle), pa.array(c.astype(np.int32))], ["one", "shingle", "c"])
+
+
+def _stars(batches):
+    """(low, node) of tiles' nodes, sorted by (tile, node): low is the first node of the tile."""
+    tile = low = last = None
+    for batch in batches:
+        a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        if not len(a):
+            continue
+        first = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
+        lows = b[first].copy()
+        before = np.r_[b[0], b[:-1]]
+        before[first] = b[first]
+        if a[0] == tile:
+            lows[0], before[0] = low, last
+        lows = np.repeat(lows, np.diff(np.r_[first, len(a)]))
+        other = b != before
+        tile, low, last = a[-1], lows[-1], b[-1]
+        yield pa.RecordBatch.from_arrays([pa.array(lows[other]), pa.array(b[other])], ["low", "node"])
+
+
 def bitmaps(sets: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """BITS bits per set, packed in 64-bit words; each member sets one."""
+    """BITS bits per set, packed in 64-bit words; each member flips one, so that bits tell apart sets of any size."""
     out = np.zeros((len(first) - 1, BITS // 8), np.uint8)
     bit = (sets >> np.uint64(20)).astype(np.int64) & (BITS - 1)
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    np.bitwise_or.at(out, (row, bit >> 3), (1 << (bit & 7)).astype(np.uint8))
+    np.bitwise_xor.at(out, (row, bit >> 3), (1 << (bit & 7)).astype(np.uint8))
     return out.view(np.uint64)
 
 
 def _sets(k: int):
     def run(batches):
         for whole in batches:
-            for batch in pieces(whole):
+            for batch in pieces(whole, SLICE):
                 sets, first = shingle_sets(batch.column(1), k)
                 marks = bitmaps(sets, first)
                 ends = pa.array((first * 8).astype(np.int32)).buffers()[1]
                 members = pa.BinaryArray.from_buffers(pa.binary(), len(batch), [None, ends, pa.py_buffer(sets.tobytes())])
-                digest = [int(mix64(sets[a:b]).sum(dtype=np.uint64).view(np.int64)) for a, b in zip(first[:-1], first[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(first)), pa.array(digest, pa.int64()), pa.array([m.tobytes() for m in marks], pa.binary()), members], ["doc_id", "n_shingles", "one", "bits", "members"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_sums(sets, first)[0]), pa.array([m.tobytes() for m in marks], pa.binary()), members], ["doc_id", "one", "bits", "members"])
 
     return run
 
@@ -132,17 +208,15 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
-def join_tile(ids, sizes, bits, members, component, probe, percent: int) -> list[tuple[int, int]]:
-    """Links that connect a tile as far as it goes. component: groups known to be connected. probe: if any is set, only
-    pairs of a set and an unset place are tested."""
-    ids, sizes = np.asarray(ids), np.asarray(sizes)
+def join_tile(ids, sizes, bits, member, component, probe, percent: int) -> list[tuple[int, int]]:
+    """Edges that connect a tile as far as it goes, from each component's smallest id. component: groups known to be
+    connected. probe: if any is set, only pairs of a set and an unset place are tested. member: the set at a place."""
     order = np.lexsort((ids, sizes))
-    ids, sizes, probe = ids[order], sizes[order], np.asarray(probe)[order]
-    bits = np.frombuffer(b"".join(bits[i] for i in order), np.uint64).reshape(len(ids), -1)
-    _, group = np.unique(np.asarray(component)[order], return_inverse=True)
-    arrays: dict[int, np.ndarray] = {}
-    links = []
+    ids, sizes, probe, bits = ids[order], sizes[order], probe[order], bits[order]
+    _, known = np.unique(component[order], return_inverse=True)
+    group = known.copy()
     one_sided = bool(probe.any())
+    arrays: dict[int, np.ndarray] = {}
     for i in range(1, len(ids)):
         low = np.searchsorted(sizes[:i], -(-percent * int(sizes[i]) // 100))
         span = np.arange(low, i)
@@ -161,18 +235,33 @@ def join_tile(ids, sizes, bits, members, component, probe, percent: int) -> list
                 continue
             for x in (i, j):
                 if x not in arrays:
-                    arrays[x] = np.frombuffer(members[order[x]], np.uint64)
+                    arrays[x] = member(order[x])
             if linked(arrays[i], arrays[j], percent):
-                links.append((int(ids[j]), int(ids[i])))
                 group[group == group[j]] = group[i]
-    return links
+    if (group == known).all():
+        return []
+    order = np.lexsort((ids, group))
+    root = ids[order][np.searchsorted(group[order], group, side="left")]
+    order = np.lexsort((ids, known))
+    first = np.searchsorted(known[order], np.arange(known.max() + 1), side="left")
+    own = order[first]  # of each component that was known, its smallest id
+    return [(int(a), int(b)) for a, b in zip(root[own], ids[own], strict=True) if a != b]
 
 
-def _tile(percent: int):
+def _tiles(percent: int):
     def run(table: pa.Table) -> pa.Table:
-        members = table.column("members").to_pylist()
-        links = join_tile(table.column("doc_id").to_numpy(), table.column("n_shingles").to_numpy(), table.column("bits").to_pylist(), members, table.column("component").to_numpy(), table.column("probe").to_numpy(), percent)
-        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+        table = table.combine_chunks()
+        ids, sizes, family, x, y, component, probe = (table.column(c).to_numpy() for c in ("doc_id", "n", "family", "x", "y", "component", "probe"))
+        bits, members = (table.column(c).chunk(0) if table.column(c).num_chunks else pa.array([], pa.binary()) for c in ("bits", "members"))
+        bits = np.frombuffer(b"".join(bits.to_pylist()), np.uint64).reshape(len(ids), -1)
+        order = np.lexsort((y, x, family))
+        keys = np.stack([family, x, y])[:, order]
+        cuts = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0), True])
+        links = []
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            rows = order[a:b]
+            links += join_tile(ids[rows], sizes[rows], bits[rows], lambda i, rows=rows: np.frombuffer(members[int(rows[i])].as_buffer(), np.uint64), component[rows], probe[rows], percent)
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
     return run
 
@@ -185,74 +274,103 @@ def jaccard_components(docs: DataFrame, k: int, percent: int, id_col: str = "doc
     100 * intersection >= percent * union. Repeated rows are rows of one document; a row with a null id has no links and
     a null component.
     """
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    bands = bands_for(percent)
     source = id_text(docs, id_col, text_col)
-    signs = written(source.mapInArrow(_signatures(k, bands), "doc_id long, n_shingles long, one long, two long, tiles array<long>"), "signatures")
     key = ["n_shingles", "one", "two"]
-    known = signs.filter("doc_id is not null and n_shingles > 0")
-    classes = written(known.groupBy(*key).agg(F.min("doc_id").alias("class")), "classes")
-    tiles = known.join(classes, key).filter("doc_id = class").groupBy("class").agg(F.min("tiles").alias("tiles")).select("class", F.explode("tiles").alias("tile"))
-    # A document that repeats with another text counts with all its classes.
-    again = known.join(classes, key).filter("doc_id <> class").select(F.col("class").alias("a"), F.col("doc_id").alias("b"))
-    low = tiles.groupBy("tile").agg(F.min("class").alias("low"), F.count("*").alias("n")).filter("n > 1")
-    stars = tiles.join(low, "tile").filter("class <> low").select(F.col("low").alias("a"), F.col("class").alias("b"))
-    families = written(connected_components(stars).select(F.col("node").alias("doc_id"), F.col("component").alias("family")), "families")
-    links = verified_links(source, families, classes, k, percent)
-    parts = connected_components(links.unionByName(again))
-    joined = signs.join(classes, key, "left").join(parts.withColumnRenamed("node", "class"), "class", "left")
+    with small_batches(docs.sparkSession):
+        signs = written(source.mapInArrow(_signatures(k, percent), "doc_id long, n_shingles long, one long, two long, last long, before long, at long"), "signatures")
+        known = signs.filter("doc_id is not null and n_shingles > 0")
+        ranges = ["last", "before", "at"]
+        classes = written(known.groupBy(*key, *ranges).agg(F.min("doc_id").alias("class")), "classes")
+        links = verified_links(source.filter("doc_id is not null"), classes, k, percent)
+        # A document that repeats with another text counts with all its classes.
+        classes = classes.drop(*ranges)
+        again = known.join(classes, key).select("doc_id", "class").distinct()
+        several = again.groupBy("doc_id").agg(F.min("class").alias("a"), F.max("class").alias("z")).filter("a < z").select("doc_id", "a")
+        parts = connected_components(links.unionByName(again.join(several, "doc_id").select("a", F.col("class").alias("b"))))
+        parts = written(parts.withColumnRenamed("node", "class"), "parts")
+        discard(links)
+    joined = signs.join(classes, key, "left").join(parts, "class", "left")
     return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "class", "doc_id")).alias("component_id"))
 
 
-def verified_links(source: DataFrame, families: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links (a, b) among the members of each family, enough to connect all that are connected."""
+def tiles(source: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """(tile, node): the tiles of every class that has shared shingles in its prefix."""
+    rows = source.select("doc_id", "text").mapInArrow(_prefixes(k, percent), "shingle long, one long")
+    hits = rows.repartition("shingle").sortWithinPartitions("shingle", "one").mapInArrow(_counted, "one long, shingle long, c int")
+    level = F.shiftrightunsigned("shingle", 62).cast("int").alias("level")
+    hits = hits.groupBy("one").agg(F.array_sort(F.collect_list(F.struct(level, "c", "shingle"))).alias("hits"))
+    hits = hits.join(classes.select("one", "last", "before", "at", F.col("n_shingles").alias("n"), "class"), "one")
+    here = F.size(F.filter("hits", lambda x: x["level"] == F.col("last")))
+    # Shingles of one set come first in the last range; what of the prefix is left there are the rarest of several sets.
+    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    left = F.least(F.greatest(length - F.col("before") - (F.col("at") - here), F.lit(0)), here)
+    hits = hits.withColumn("take", (F.size("hits") - here + left).cast("int")).filter("take > 0")
     width = -math.log(percent / 100 - 0.002)
-    place = families.join(classes.select(F.col("class").alias("doc_id"), "n_shingles", "one"), "doc_id").groupBy("doc_id").agg(F.first("family").alias("family"), F.max("n_shingles").alias("n"), F.max(F.struct("n_shingles", "one"))["one"].alias("sign")).withColumn("band", F.floor(F.log("n") / width).cast("int"))
-    place = written(place, "place")
-    spread = place.groupBy("family").agg(F.min("band").alias("lo"), F.max("band").alias("hi"), F.count("*").alias("size"))
-    spread = written(spread, "spread")
-    own = F.when(F.col("hi") - F.col("lo") <= 1, F.array("lo")).otherwise(F.filter(F.array(F.col("band") - 1, F.col("band")), lambda b: (b >= F.col("lo")) & (b < F.col("hi"))))
-    placed = written(place.join(spread, "family").filter("size > 1").select("doc_id", "n", "sign", "family", F.explode(own).alias("tile_band")), "placed")
-    count = placed.groupBy("family", "tile_band").agg(F.count("*").alias("in_tile"))
-    placed = written(placed.join(written(count, "count"), ["family", "tile_band"]).filter("in_tile > 1").withColumn("blocks", F.ceil(F.col("in_tile") / TILE).cast("int")).withColumn("block", F.pmod(F.xxhash64("doc_id", "tile_band"), F.col("blocks")).cast("int")), "placed")
-    # Copies often link to their common original and not to each other, and the original is often the oldest: a family's
-    # first document is in every block, which leaves few documents for the second round.
-    blocks = F.when(F.col("doc_id") == F.col("family"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
-    dealt = placed.withColumn("block", F.explode(blocks))
-    needed = placed.select("doc_id", "sign").distinct()
-    rows = needed.count()
-    if rows <= BROADCAST_KEYS:
-        needed = F.broadcast(needed)
-    sets = source.join(needed.select("doc_id"), "doc_id", "left_semi").mapInArrow(_sets(k), "doc_id long, n_shingles long, one long, bits binary, members binary")
+    hits = hits.select("class", F.floor(F.log("n") / width).cast("int").alias("band"), F.explode(F.slice("hits", 1, F.col("take"))).alias("hit"))
+    hits = hits.select(F.col("class").alias("node"), "hit.shingle", F.explode(F.array(F.col("band") - 1, F.col("band"))).alias("band"))
+    return hits.select(F.xxhash64("shingle", "band").alias("tile"), "node")
+
+
+def star_pairs(source: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """(family, doc_id, n, sign): the classes of each star, its first one included."""
+    rows = written(tiles(source, classes, k, percent), "tiles")
+    stars = written(rows.repartition("tile").sortWithinPartitions("tile", "node").mapInArrow(_stars, "low long, node long").distinct(), "stars")
+    named = classes.select(F.col("class").alias("node"), F.col("n_shingles").alias("n"), F.col("one").alias("sign"))
+    every = stars.unionByName(stars.select("low", F.col("low").alias("node")).distinct())
+    pairs = written(every.join(named, "node").select(F.col("low").alias("family"), F.col("node").alias("doc_id"), "n", "sign"), "pairs")
+    discard(rows, stars)
+    return pairs
+
+
+def _blocks(count: str, shingles: str) -> F.Column:
+    return F.ceil(F.greatest(F.col(count) / TILE, F.col(shingles) / TILE_SHINGLES)).cast("int")
+
+
+def _joined(sets: DataFrame, rows: DataFrame, percent: int, name: str) -> DataFrame:
+    """Edges found in the tiles of rows (doc_id, sign, n, family, x, y, component, probe), several tiles to a call."""
+    shards = max(1, rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] // (2 * TILE_SHINGLES))
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("family", "x", "y"), F.lit(shards)))
+    full = sets.join(rows, ["doc_id", "sign"])
+    return written(full.groupBy("shard").applyInArrow(_tiles(percent), "a long, b long"), name)
+
+
+def verified_links(source: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (a, b) among the members of each star, enough to connect all that are connected."""
+    pairs = star_pairs(source, classes, k, percent)
+    sets = source.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(_sets(k), "doc_id long, one long, bits binary, members binary")
+    sets = sets.withColumnRenamed("one", "sign").join(pairs.select("doc_id", "sign").distinct(), ["doc_id", "sign"], "left_semi").dropDuplicates(["doc_id", "sign"])
     sets = written(sets, "sets")
-    first = sets.join(dealt, (sets["doc_id"] == dealt["doc_id"]) & (sets["one"] == dealt["sign"])).select(sets["doc_id"], "n_shingles", "bits", "members", "family", "tile_band", "block", sets["doc_id"].alias("component"), F.lit(False).alias("probe"))
-    links = written(first.groupBy("family", "tile_band", "block").applyInArrow(_tile(percent), "a long, b long"), "links")
-    large = placed.filter("blocks > 1")
-    if large.isEmpty():
-        return links
-    parts = connected_components(links)
-    large = large.join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    sizes = large.groupBy("family", "tile_band", "component").agg(F.count("*").alias("m"))
-    main = sizes.groupBy("family", "tile_band").agg(F.max(F.struct("m", "component"))["component"].alias("main"), F.sum("m").alias("all"), F.max("m").alias("most"))
-    large = written(large.join(main.filter("most < all"), ["family", "tile_band"]), "large")
-    if large.isEmpty():
-        return links
-    # Every document in its block; those outside the largest component, in stray blocks of at most about TILE, visit all.
-    strays = large.filter("component <> main")
-    stray_count = strays.groupBy("family", "tile_band").agg(F.ceil(F.count("*") / TILE).cast("int").alias("stray_blocks"))
-    large = large.join(stray_count, ["family", "tile_band"])
-    keep = ["doc_id", "sign", "family", "tile_band", "component"]
-    still = large.select(*keep, F.col("block").alias("x"), F.explode(F.sequence(F.lit(0), F.col("stray_blocks") - 1)).alias("y"), F.lit(False).alias("probe"))
+    keep = ["doc_id", "sign", "n", "family"]
+    # A star's first class is in every block, which leaves few classes for the second round.
+    own = pairs.filter("doc_id <> family").groupBy("doc_id").agg(F.min(F.struct("family", "n", "sign")).alias("s")).select("doc_id", "s.sign", "s.n", "s.family")
+    counts = own.groupBy("family").agg(F.count("*").alias("c"), F.sum("n").alias("m")).select("family", _blocks("c", "m").alias("blocks"))
+    counts = written(counts, "counts")
+    dealt = own.join(counts, "family").select(*keep, F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("x"))
+    centres = pairs.filter("doc_id = family").join(counts, "family").select(*keep, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("x"))
+    rows = dealt.unionByName(centres).select(*keep, "x", F.lit(0).alias("y"), F.col("doc_id").alias("component"), F.lit(False).alias("probe"))
+    links = _joined(sets, written(rows, "rows"), percent, "links")
+    parts = written(connected_components(links), "parts")
+    placed = pairs.join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    spread = placed.groupBy("family").agg(F.min("component").alias("a"), F.max("component").alias("z"), F.count("*").alias("c"), F.sum("n").alias("m")).filter("a <> z and c > 2")
+    open_stars = written(spread.select("family", _blocks("c", "m").alias("blocks")), "open")
+    placed = written(placed.join(open_stars, "family"), "placed")
+    keep.append("component")
+    small = placed.filter("blocks = 1").select(*keep, F.lit(0).alias("x"), F.lit(0).alias("y"), F.lit(False).alias("probe"))
+    large = placed.filter("blocks > 1").withColumn("x", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    sizes = large.groupBy("family", "component").agg(F.count("*").alias("c"))
+    main = sizes.groupBy("family").agg(F.max(F.struct("c", "component"))["component"].alias("main"))
+    large = written(large.join(main, "family"), "large")
+    # Every class in its block; those outside the largest component, in stray blocks of bounded size, visit all.
+    strays = large.filter("component <> main").groupBy("family").agg(F.count("*").alias("c"), F.sum("n").alias("m")).select("family", _blocks("c", "m").alias("stray_blocks"))
+    large = large.join(strays, "family")
+    still = large.select(*keep, "x", F.explode(F.sequence(F.lit(0), F.col("stray_blocks") - 1)).alias("y"), F.lit(False).alias("probe"))
     visit = large.filter("component <> main").select(*keep, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("x"), F.pmod(F.xxhash64("doc_id", F.lit("stray")), F.col("stray_blocks")).cast("int").alias("y"), F.lit(True).alias("probe"))
-    pairs = still.unionByName(visit)
-    second = sets.join(pairs, (sets["doc_id"] == pairs["doc_id"]) & (sets["one"] == pairs["sign"])).select(sets["doc_id"], "n_shingles", "bits", "members", "family", "tile_band", "x", "y", "component", "probe")
-    more = second.groupBy("family", "tile_band", "x", "y").applyInArrow(_tile(percent), "a long, b long")
-    return written(links.unionByName(more), "links")
+    more = _joined(sets, written(small.unionByName(still).unionByName(visit), "rows"), percent, "more")
+    discard(sets, pairs, counts, open_stars, placed, large)
+    return links.unionByName(more)
 
 
 def keep_first(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """docs' rows but those of a component whose smallest id is another; all columns. Null ids stay."""
     found = jaccard_components(docs, k, percent).filter("doc_id <> component_id").select("doc_id").distinct()
-    found = written(found, "later-copies")
-    return docs.join(F.broadcast(found) if found.count() <= BROADCAST_KEYS else found, "doc_id", "left_anti")
+    return docs.join(found, "doc_id", "left_anti")

@@ -7,13 +7,13 @@ The reference grows with the corpus, so its automata are not broadcast, which wo
 shard; a span goes to the one shard that can match it:
 
 1. Each window has an anchor, its smallest hash of ANCHOR consecutive words. Consecutive windows with one anchor make a
-   stretch. Equal windows have equal anchors, so a window can recur only if its anchor does. Anchors are sorted by Spark;
-   those in one document only are dropped.
+   stretch. Equal windows have equal anchors, so a window can recur only if its anchor does. Documents' anchors are sorted
+   by Spark; those in one document only are dropped.
 2. The first document that has an anchor, and the place there in blocks of BLOCK words, name the anchor's shard. What
    copies one document travels in long spans that way, since its stretches have neighbouring shards in the same order.
    A span that a task has already sent for a smaller id is settled there and needs no shard, so that a group of copies
-   is pre-aggregated before the shuffle. An anchor of more than HOT stretches deals its windows singly, each by its own
-   hash, so that no shard holds more than about BLOCK * HOT stretches.
+   is pre-aggregated before the shuffle. An anchor of more than HOT documents deals its windows singly, each by its own
+   hash, so that no shard holds more than about BLOCK * HOT documents' stretches.
 3. Shards are sorted by Spark and streamed. A task holds one shard's automaton at a time.
 """
 
@@ -119,18 +119,50 @@ def stretches(words: Words, window: int, anchor: int):
     return best[first], at[good[first]], np.diff(np.r_[first, len(good)])
 
 
-def _anchors(window: int, anchor: int):
+def _anchors(window: int, anchor: int, hot: int):
+    """(anchor, doc_id, word) of every anchor of every text, with the first word of its first stretch. A task sends no more
+    than hot + 1 rows of one anchor, enough to show that it is hot; its further ones go anywhere, marked by a negative word,
+    so that no anchor gathers the rows of a third of all texts."""
+
     def run(batches):
+        sent: dict[int, int] = {}
         for whole in batches:
             for batch in pieces(whole, SLICE):
                 words = Words(batch.column(1))
                 marks, at, _ = stretches(words, window, anchor)
                 doc = np.searchsorted(words.first, at, side="right") - 1
-                yield pa.RecordBatch.from_arrays([pa.array(marks.view(np.int64)), batch.column(0).take(pa.array(doc)), pa.array((at - words.first[doc]).astype(np.int32))], ["anchor", "doc_id", "word"])
+                first = _groups(doc, marks)[0]
+                marks, at, doc = marks[first], at[first], doc[first]
+                word = at - words.first[doc]
+                order = np.argsort(marks, kind="stable")
+                begins = np.flatnonzero(np.r_[True, np.diff(marks[order]) != 0]) if len(order) else order
+                size = np.diff(np.r_[begins, len(order)])
+                some = np.flatnonzero(size > 1)
+                free = np.full(len(begins), hot + 1)
+                for i, mark, n in zip(some.tolist(), marks[order[begins[some]]].tolist(), size[some].tolist(), strict=True):
+                    free[i] -= sent.get(mark, 0)
+                    sent[mark] = sent.get(mark, 0) + min(n, int(free[i]))
+                if len(sent) > KNOWN:
+                    sent.clear()
+                over = order[np.arange(len(order)) - np.repeat(begins, size) >= np.repeat(free, size)]
+                marks[over] = mix64((doc[over].astype(np.uint64) << np.uint64(32)) + word[over].astype(np.uint64))
+                word[over] = -1 - word[over]
+                yield pa.RecordBatch.from_arrays([pa.array(marks.view(np.int64)), batch.column(0).take(pa.array(doc)), pa.array(word.astype(np.int32))], ["anchor", "doc_id", "word"])
 
     return run
 
 
+def _groups(doc: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches of one text with one anchor: the first of each group, in order; the group of every stretch; and the
+    stretches by group with where each group begins (n + 1)."""
+    order = np.lexsort((marks, doc))
+    fresh = np.r_[True, (np.diff(doc[order]) != 0) | (np.diff(marks[order]) != 0)] if len(order) else np.zeros(0, bool)
+    begins = np.flatnonzero(fresh)
+    group = np.empty(len(order), np.int64)
+    group[order] = np.cumsum(fresh) - 1
+    return np.sort(order[begins]), group, order, np.r_[begins, len(order)]
+
+
 def _shared(block: int, hot: int):
     """Of anchors sorted by (anchor, doc_id, word): the stretches of those in several documents, with their shards. Of an
     anchor that goes on over batches, no more than hot rows are held back until it is known to be shared, or hot."""
@@ -140,9 +172,12 @@ def _shared(block: int, hot: int):
         settled = None  # (anchor, lo, part) of an anchor whose further rows need no decision
         for batch in batches:
             a, d, w = (batch.column(k).to_numpy() for k in range(3))
+            sure = w < 0
+            out = [(d[sure], -1 - w[sure], d[sure], np.full(sure.sum(), -1))]
+            a, d, w = a[~sure], d[~sure], w[~sure]
             if not len(a):
+                yield _hits(out)
                 continue
-            out = []
             if settled is not None:
                 n = int(np.searchsorted(a != settled[0], True)) if a[-1] != settled[0] else len(a)
                 out.append((d[:n], w[:n], np.full(n, settled[1]), np.full(n, settled[2])))
@@ -195,6 +230,12 @@ def _spans(window: int, anchor: int):
                 good = (word < words.count[doc]) & (s < len(at))
                 good[good] = at[s[good]] == (words.first[doc] + word)[good]
                 s, lo, part = s[good], lo[good], part[good]
+                # A hit tells of the first stretch that has the anchor: the text's others have it too.
+                _, group, members, begins = _groups(np.searchsorted(words.first, at, side="right") - 1, marks)
+                g = group[s]
+                more = begins[g + 1] - begins[g]
+                place = np.repeat(begins[g] - np.r_[0, np.cumsum(more)[:-1]], more) + np.arange(more.sum()) if len(g) else g
+                s, lo, part = members[place], np.repeat(lo, more), np.repeat(part, more)
                 single = np.unique(s[part < 0])
                 s, lo, part = s[part >= 0], lo[part >= 0], part[part >= 0]
                 order = np.lexsort((s, part, lo))
@@ -286,7 +327,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     array of (begin, finish); they may overlap. Texts meet their hits in a shuffle, at every size."""
     source = id_text(docs, id_col, text_col).filter("doc_id is not null and text <> ''")
     with small_batches(docs.sparkSession):
-        anchors = source.mapInArrow(_anchors(window, anchor), "anchor long, doc_id long, word int")
+        anchors = source.mapInArrow(_anchors(window, anchor, HOT), "anchor long, doc_id long, word int")
         ordered = anchors.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "word")
         hits = ordered.mapInArrow(_shared(BLOCK, HOT), "doc_id long, word int, lo long, part int")
         hits = hits.groupBy("doc_id").agg(F.collect_list(F.struct("word", "lo", "part")).alias("hits"))

@@ -1,6 +1,9 @@
+import os
 import re
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -8,6 +11,7 @@ from hypothesis import strategies as st
 from rangemap.llm import jaccard
 from rangemap.llm.components import connected_components
 
+DATA = os.environ.get("RANGEMAP_TESTDATA", "/root/testdata")
 LOWER = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
 
 
@@ -54,19 +58,6 @@ def test_keep_first_keeps_columns_and_first_copies(hard, hard_rows):
     assert sorted(str(r["doc_id"]) for r in found.collect()) == want
 
 
-def test_bands_miss_less_than_stated():
-    for percent in (80, 85, 95):
-        assert (1 - (percent / 100) ** jaccard.ROWS) ** jaccard.bands_for(percent) <= jaccard.MISS
-
-
-def test_min_hashes_agree_as_often_as_sets_do():
-    rng = np.random.default_rng(3)
-    common, rest = rng.integers(0, 1 << 63, 850, np.uint64), rng.integers(0, 1 << 63, 150, np.uint64)
-    sets = np.concatenate([np.sort(np.r_[common, rest[:75]]), np.sort(np.r_[common, rest[75:]])])
-    h = jaccard.min_hashes(sets, np.array([0, 925]), 600)
-    assert abs((h[0] == h[1]).mean() - 0.85) < 0.06
-
-
 @settings(max_examples=60, deadline=None)
 @given(st.sets(st.integers(0, 60)), st.sets(st.integers(0, 60)), st.integers(50, 100))
 def test_linked_and_bitmap_bound(a, b, percent):
@@ -86,16 +77,77 @@ def test_connected_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-@pytest.mark.parametrize(("percent", "union", "pairs"), [(p, u, n) for p in (85, 80) for u, n in ((20, 20_000), (100, 8000), (400, 2000))])
-def test_bands_of_pairs_at_the_threshold(percent, union, pairs):
-    """Pairs that are exactly percent alike share bands as if min-hashes were independent, and never none."""
-    bands, both = jaccard.bands_for(percent), union * percent // 100
-    left = (union - both) // 2
-    every = np.random.default_rng(1).integers(0, 1 << 64, (pairs, union), np.uint64)
-    keys = []
-    for sets in (every[:, : both + left], np.hstack([every[:, :both], every[:, both + left :]])):
-        keys.append(jaccard.tile_keys(jaccard.min_hashes(sets.ravel(), np.arange(pairs) * sets.shape[1], bands * jaccard.ROWS)))
-    shared = (keys[0] == keys[1]).sum(axis=1)
-    alike = (percent / 100) ** jaccard.ROWS
-    assert shared.min() > 0
-    assert abs(shared.mean() - bands * alike) < 0.15 and abs(shared.var() / (bands * alike * (1 - alike)) - 1) < 0.15
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 40), max_size=30), min_size=1, max_size=12), st.sampled_from([80, 85, 95]))
+def test_prefix_ranges_hold_the_prefix(values, percent):
+    """The ranges that a set tells of hold its prefix, and no fewer ranges would."""
+    values = [sorted(int(jaccard.mix64(np.array([x], np.uint64))[0]) for x in v) for v in values]
+    first = np.cumsum([0, *map(len, values)])
+    send, last, before, at = jaccard.prefix_ranges(np.array([x for v in values for x in v], np.uint64), first, percent)
+    for i, v in enumerate(values):
+        need = len(v) - -(-len(v) * percent // 100) + 1 if v else 0
+        assert before[i] == sum(x >> 62 < last[i] for x in v) and at[i] == sum(x >> 62 == last[i] for x in v)
+        assert before[i] + at[i] >= need and (before[i] < need or not v)
+        assert send[first[i] : first[i + 1]].tolist() == [x >> 62 <= last[i] for x in v]
+
+
+def near(rng, words, changes):
+    words = list(words)
+    for _ in range(changes):
+        words[rng.integers(len(words))] = f"w{rng.integers(1 << 30)}"
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("tile, common", [(1000, 1000), (5, 3)])
+def test_many_sizes_at_the_threshold(spark, tile, common, monkeypatch):
+    """Texts of all sizes with as many changes as a link may have, about the threshold on both sides; shared passages."""
+    monkeypatch.setattr(jaccard, "TILE", tile)
+    monkeypatch.setattr(jaccard, "COMMON", common)
+    rng = np.random.default_rng(5)
+    passage = [f"p{i}" for i in range(40)]
+    rows = []
+    for size in (4, 5, 9, 15, 30, 60, 120, 400):
+        for _ in range(6):
+            base = [f"w{x}" for x in rng.integers(0, 1 << 30, size)] + (passage if rng.random() < 0.5 else [])
+            rows += [near(rng, base, c) for c in (0, 0, max(1, len(base) // 50), max(1, len(base) // 40), max(1, len(base) // 30))]
+            rows.append(" ".join(base[: len(base) * 9 // 10]))
+    rows = [(i, t) for i, t in enumerate(rng.permutation(rows).tolist())]
+    for k, percent in ((4, 85), (5, 80)):
+        found = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), k, percent).collect()
+        assert sorted((str(r["doc_id"]), r["n_shingles"], r["component_id"]) for r in found) == brute(rows, k, percent)
+
+
+def test_all_pairs_of_a_whole_table(spark):
+    """All links of a thousand documents, against all pairs."""
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{DATA}/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    sets = {i: shingles(t, 4) for i, t in rows}
+    index = {}
+    for i, s in sets.items():
+        for g in s:
+            index.setdefault(g, []).append(i)
+    common = Counter((a, b) for ids in index.values() for x, a in enumerate(ids) for b in ids[x + 1 :])
+    place = {i: i for i in sets}
+    for (a, b), n in common.items():
+        if 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n):
+            x, y = sorted((place[a], place[b]))
+            place = {k: x if v == y else v for k, v in place.items()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(docs, 4, 85).collect()}
+    assert found == place and any(i != c for i, c in place.items())
+
+
+def test_stars_over_batches():
+    rows = [(1, 5), (1, 5), (1, 7), (1, 7), (2, 3), (3, 1), (3, 2), (3, 9), (4, 4), (4, 4)]
+    table = pa.table({"tile": [r[0] for r in rows], "node": [r[1] for r in rows]})
+    for cut in (1, 2, 3, 20):
+        out = pa.Table.from_batches(list(jaccard._stars(table.to_batches(max_chunksize=cut))))
+        assert [tuple(r.values()) for r in out.to_pylist()] == [(5, 7), (1, 2), (1, 9)]
+
+
+def test_counts_over_batches(monkeypatch):
+    monkeypatch.setattr(jaccard, "COMMON", 3)
+    rows = [(1, 5), (1, 5), (1, 7), (1, 7), (2, 3), (3, 1), (3, 2), (3, 9), (3, 9), (3, 10), (3, 12), (4, 4), (4, 4), (5, 1), (5, 2)]
+    table = pa.table({"shingle": [r[0] for r in rows], "one": [r[1] for r in rows]})
+    for cut in (1, 2, 3, 20):
+        out = pa.Table.from_batches(list(jaccard._counted(table.to_batches(max_chunksize=cut)))).to_pylist()
+        assert sorted((r["shingle"], r["one"], r["c"]) for r in out) == [(1, 5, 2), (1, 7, 2), (3, 1, 3), (3, 2, 3), (3, 9, 3), (3, 10, 3), (3, 12, 3), (5, 1, 2), (5, 2, 2)]

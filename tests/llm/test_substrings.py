@@ -82,3 +82,14 @@ def test_shared_anchors_over_batches(cut):
     out = pa.Table.from_batches(list(substrings._shared(64, 4)(table.to_batches(max_chunksize=cut)))).to_pylist()
     want = [(3, 100, 3, 1), (3, 101, 3, 1), (4, 102, 3, 1), *((d, 98 + d, 2, -1) for d in range(2, 8)), (8, 100, 8, 1), (9, 101, 8, 1)]
     assert sorted(tuple(r.values()) for r in out) == sorted(want)
+
+
+def test_common_anchors_leave_their_shard():
+    """Of an anchor in many texts a task sends a bounded number of rows under its own name."""
+    text = " ".join(f"w{i}" for i in range(13))
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(40)), "text": [text] * 40})
+    out = pa.Table.from_batches(list(substrings._anchors(13, 5, 3)([batch, batch]))).to_pylist()
+    assert len(out) == 80 and sum(r["word"] == 0 for r in out) == 4 and sum(r["word"] == -1 for r in out) == 76
+    assert len({r["anchor"] for r in out if r["word"] == 0}) == 1 and len({r["anchor"] for r in out}) > 30
+    hits = pa.Table.from_batches(list(substrings._shared(64, 3)(pa.Table.from_pylist(sorted(out, key=lambda r: (r["anchor"], r["doc_id"]))).to_batches())))
+    assert len(hits) == 80 and set(hits["part"].to_pylist()) == {-1} and set(hits["word"].to_pylist()) == {0}
