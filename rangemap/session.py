@@ -54,11 +54,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write the rows to the shared folder and read them back. A lost executor then costs its own tasks only.
-    Spark gives back the shuffle files of earlier steps once nothing refers to them, which a collection of garbage finds
-    out; discard() deletes the table when what was made of it is written too."""
+    discard() deletes the table when what was made of it is written too."""
     spark = df.sparkSession
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
     path = f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.option("compression", "zstd").parquet(path)
     found = spark.read.schema(df.schema).parquet(path)
@@ -67,10 +64,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete tables that written() returned and that no later step reads any more; others are left alone."""
+    """Delete tables that written() returned and that no later step reads any more; others are left alone. Shuffle files of
+    finished steps go as well: Spark gives them back once it finds that nothing refers to them."""
     for table in tables:
         path = getattr(table, "written_to", None) if "written_to" in vars(table) else None
         if path:
             jvm, context = table.sparkSession.sparkContext._jvm, table.sparkSession.sparkContext._jsc
             folder = jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(context.hadoopConfiguration()).delete(folder, True)
+    if tables:
+        gc.collect()
+        tables[0].sparkSession.sparkContext._jvm.System.gc()
