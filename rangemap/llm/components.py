@@ -18,7 +18,7 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     shared folder. Rows with a null end and loops are left out; no edges give no rows.
     """
     edges = written(edges.select("a", "b").filter("a is not null and b is not null and a <> b").distinct(), "edges")
-    place, steps = edges.select(F.col("a").alias("node"), F.col("a").alias("root")).limit(0), []
+    steps: list[DataFrame] = []
     for r in range(rounds):
         if edges.isEmpty():
             break
@@ -36,11 +36,11 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         edges = after
     else:
         raise RuntimeError("the components did not settle")
-    for i, moves in enumerate(steps):
-        if not i:
-            place = moves.select(F.col("from").alias("node"), F.col("to").alias("root"))
-        else:
-            place = place.join(moves, place["root"] == moves["from"], "left").select("node", F.coalesce("to", "root").alias("root"))
+    if not steps:
+        return edges.select(F.col("a").alias("node"), F.col("a").alias("component"))
+    place = steps[0].select(F.col("from").alias("node"), F.col("to").alias("root"))
+    for moves in steps[1:]:
+        place = place.join(moves, place["root"] == moves["from"], "left").select("node", F.coalesce("to", "root").alias("root"))
     place = written(place, "place")
     discard(edges, *steps)
     low = place.groupBy("root").agg(F.min("node").alias("component"))

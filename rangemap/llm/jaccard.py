@@ -275,22 +275,24 @@ def jaccard_components(docs: DataFrame, k: int, percent: int, id_col: str = "doc
     a null component.
     """
     source = id_text(docs, id_col, text_col)
-    key = ["n_shingles", "one", "two"]
+    key, ranges = ["n_shingles", "one", "two"], ["last", "before", "at"]
     with small_batches(docs.sparkSession):
         signs = written(source.mapInArrow(_signatures(k, percent), "doc_id long, n_shingles long, one long, two long, last long, before long, at long"), "signatures")
         known = signs.filter("doc_id is not null and n_shingles > 0")
-        ranges = ["last", "before", "at"]
         classes = written(known.groupBy(*key, *ranges).agg(F.min("doc_id").alias("class")), "classes")
-        links = verified_links(source.filter("doc_id is not null"), classes, k, percent)
-        # A document that repeats with another text counts with all its classes.
+        first, more = verified_links(source.filter("doc_id is not null"), classes, k, percent)
         classes = classes.drop(*ranges)
+        # A document that repeats with another text counts with all its classes.
         again = known.join(classes, key).select("doc_id", "class").distinct()
         several = again.groupBy("doc_id").agg(F.min("class").alias("a"), F.max("class").alias("z")).filter("a < z").select("doc_id", "a")
-        parts = connected_components(links.unionByName(again.join(several, "doc_id").select("a", F.col("class").alias("b"))))
-        parts = written(parts.withColumnRenamed("node", "class"), "parts")
-        discard(links)
-    joined = signs.join(classes, key, "left").join(parts, "class", "left")
-    return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "class", "doc_id")).alias("component_id"))
+        more = more.unionByName(again.join(several, "doc_id").select("a", F.col("class").alias("b")))
+        for end in ("a", "b"):
+            named = first.select(F.col("node").alias(end), F.col("component").alias("to"))
+            more = more.join(named, end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
+        second = connected_components(more)
+    joined = signs.join(classes, key, "left").join(first.withColumnRenamed("node", "class"), "class", "left").withColumn("node", F.coalesce("component", "class", "doc_id"))
+    joined = joined.drop("component").join(second, "node", "left")
+    return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node")).alias("component_id"))
 
 
 def tiles(source: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
@@ -326,17 +328,17 @@ def _blocks(count: str, shingles: str) -> F.Column:
     return F.ceil(F.greatest(F.col(count) / TILE, F.col(shingles) / TILE_SHINGLES)).cast("int")
 
 
-def _joined(sets: DataFrame, rows: DataFrame, percent: int, name: str) -> DataFrame:
+def _joined(sets: DataFrame, rows: DataFrame, shards: int, percent: int, name: str) -> DataFrame:
     """Edges found in the tiles of rows (doc_id, sign, n, family, x, y, component, probe), several tiles to a call."""
-    shards = max(1, rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] // (2 * TILE_SHINGLES))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("family", "x", "y"), F.lit(shards)))
-    full = sets.join(rows, ["doc_id", "sign"])
+    full = sets.join(rows.withColumn("shard", F.pmod(F.xxhash64("family", "x", "y"), F.lit(shards))), ["doc_id", "sign"])
     return written(full.groupBy("shard").applyInArrow(_tiles(percent), "a long, b long"), name)
 
 
-def verified_links(source: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links (a, b) among the members of each star, enough to connect all that are connected."""
+def verified_links(source: DataFrame, classes: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Components (node, component) of the links found in every class's smallest star, and further links (a, b): together
+    they connect all classes that are connected."""
     pairs = star_pairs(source, classes, k, percent)
+    shards = max(1, pairs.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] // (2 * TILE_SHINGLES))
     sets = source.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(_sets(k), "doc_id long, one long, bits binary, members binary")
     sets = sets.withColumnRenamed("one", "sign").join(pairs.select("doc_id", "sign").distinct(), ["doc_id", "sign"], "left_semi").dropDuplicates(["doc_id", "sign"])
     sets = written(sets, "sets")
@@ -344,30 +346,31 @@ def verified_links(source: DataFrame, classes: DataFrame, k: int, percent: int)
     # A star's first class is in every block, which leaves few classes for the second round.
     own = pairs.filter("doc_id <> family").groupBy("doc_id").agg(F.min(F.struct("family", "n", "sign")).alias("s")).select("doc_id", "s.sign", "s.n", "s.family")
     counts = own.groupBy("family").agg(F.count("*").alias("c"), F.sum("n").alias("m")).select("family", _blocks("c", "m").alias("blocks"))
-    counts = written(counts, "counts")
     dealt = own.join(counts, "family").select(*keep, F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("x"))
     centres = pairs.filter("doc_id = family").join(counts, "family").select(*keep, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("x"))
     rows = dealt.unionByName(centres).select(*keep, "x", F.lit(0).alias("y"), F.col("doc_id").alias("component"), F.lit(False).alias("probe"))
-    links = _joined(sets, written(rows, "rows"), percent, "links")
+    links = _joined(sets, rows, shards, percent, "links")
     parts = written(connected_components(links), "parts")
     placed = pairs.join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    spread = placed.groupBy("family").agg(F.min("component").alias("a"), F.max("component").alias("z"), F.count("*").alias("c"), F.sum("n").alias("m")).filter("a <> z and c > 2")
-    open_stars = written(spread.select("family", _blocks("c", "m").alias("blocks")), "open")
-    placed = written(placed.join(open_stars, "family"), "placed")
+    placed = placed.join(own.select("doc_id", F.col("family").alias("own")), "doc_id", "left")
+    here = F.count_if((F.col("own") == F.col("family")) & (F.col("doc_id") != F.col("family"))) + 1
+    spread = placed.groupBy("family").agg(F.min("component").alias("a"), F.max("component").alias("z"), F.count("*").alias("c"), F.sum("n").alias("m"), here.alias("here"))
+    # Open is a star of several components, unless it was a single block that all its members were in.
+    spread = spread.select("*", _blocks("c", "m").alias("blocks")).filter("a <> z AND (blocks > 1 OR here < c)")
+    placed = written(placed.drop("own").join(spread.select("family", "blocks"), "family"), "placed")
     keep.append("component")
     small = placed.filter("blocks = 1").select(*keep, F.lit(0).alias("x"), F.lit(0).alias("y"), F.lit(False).alias("probe"))
     large = placed.filter("blocks > 1").withColumn("x", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    sizes = large.groupBy("family", "component").agg(F.count("*").alias("c"))
-    main = sizes.groupBy("family").agg(F.max(F.struct("c", "component"))["component"].alias("main"))
-    large = written(large.join(main, "family"), "large")
+    main = large.groupBy("family", "component").agg(F.count("*").alias("c")).groupBy("family").agg(F.max(F.struct("c", "component"))["component"].alias("main"))
+    large = large.join(main, "family")
     # Every class in its block; those outside the largest component, in stray blocks of bounded size, visit all.
     strays = large.filter("component <> main").groupBy("family").agg(F.count("*").alias("c"), F.sum("n").alias("m")).select("family", _blocks("c", "m").alias("stray_blocks"))
     large = large.join(strays, "family")
     still = large.select(*keep, "x", F.explode(F.sequence(F.lit(0), F.col("stray_blocks") - 1)).alias("y"), F.lit(False).alias("probe"))
     visit = large.filter("component <> main").select(*keep, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("x"), F.pmod(F.xxhash64("doc_id", F.lit("stray")), F.col("stray_blocks")).cast("int").alias("y"), F.lit(True).alias("probe"))
-    more = _joined(sets, written(small.unionByName(still).unionByName(visit), "rows"), percent, "more")
-    discard(sets, pairs, counts, open_stars, placed, large)
-    return links.unionByName(more)
+    more = links.limit(0) if placed.isEmpty() else _joined(sets, small.unionByName(still).unionByName(visit), shards, percent, "more")
+    discard(sets, pairs, placed)
+    return parts, more
 
 
 def keep_first(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:

@@ -334,6 +334,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
         found = source.join(hits, "doc_id").select("doc_id", F.xxhash64("text").alias("sign"), "text", "hits")
         spans = written(found.mapInArrow(_spans(window, anchor), "lo long, part int, doc_id long, sign long, word int, n int, span binary"), "spans")
         del anchors, ordered, hits, found
+        discard(docs)  # only the shuffle files so far
         ordered = spans.filter("span is not null").drop("n").repartition("lo", "part").sortWithinPartitions("lo", "part", "doc_id", "word")
         settled = spans.filter("span is null").select("doc_id", "sign", F.col("word").alias("begin"), (F.col("word") + F.col("n")).alias("finish"))
         ranges = written(ordered.mapInArrow(_streamed(window), RANGES).unionByName(settled), "ranges")

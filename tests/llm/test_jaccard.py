@@ -136,6 +136,19 @@ def test_all_pairs_of_a_whole_table(spark):
     assert found == place and any(i != c for i, c in place.items())
 
 
+def test_links_outside_a_smallest_star(spark):
+    """A text whose smallest star holds no partner links in another star."""
+    rng = np.random.default_rng(9)
+    words = lambda n: [f"w{x}" for x in rng.integers(0, 1 << 30, n)]
+    rows = []
+    for g in range(12):
+        x, p, q, z, r = words(50), words(10), words(10), words(50), words(90)
+        rows += [(g * 10 + i, " ".join(t)) for i, t in enumerate((p + r, r + words(60), x + q + z, x + p + z, p + words(80)))]
+    found = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 4, 75).collect()
+    want = brute(rows, 4, 75)
+    assert sorted((str(r["doc_id"]), r["n_shingles"], r["component_id"]) for r in found) == want and any(str(c) != i for i, _, c in want)
+
+
 def test_stars_over_batches():
     rows = [(1, 5), (1, 5), (1, 7), (1, 7), (2, 3), (3, 1), (3, 2), (3, 9), (4, 4), (4, 4)]
     table = pa.table({"tile": [r[0] for r in rows], "node": [r[1] for r in rows]})
