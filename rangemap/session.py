@@ -65,7 +65,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def discard(*tables: DataFrame) -> None:
     """Delete tables that written() returned and that no later step reads any more; others are left alone. Shuffle files of
-    finished steps go as well: Spark gives them back once it finds that nothing refers to them."""
+    finished steps go as well."""
     for table in tables:
         path = getattr(table, "written_to", None) if "written_to" in vars(table) else None
         if path:
@@ -73,5 +73,10 @@ def discard(*tables: DataFrame) -> None:
             folder = jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(context.hadoopConfiguration()).delete(folder, True)
     if tables:
-        gc.collect()
-        tables[0].sparkSession.sparkContext._jvm.System.gc()
+        release(tables[0].sparkSession)
+
+
+def release(spark: SparkSession) -> None:
+    """Have Spark find out which shuffle files nothing refers to any more, and delete them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
