@@ -338,14 +338,16 @@ def verified_links(source: DataFrame, classes: DataFrame, k: int, percent: int)
     """Components (node, component) of the links found in every class's smallest star, and further links (a, b): together
     they connect all classes that are connected."""
     pairs = star_pairs(source, classes, k, percent)
-    shards = max(1, pairs.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] // (2 * TILE_SHINGLES))
-    sets = source.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(_sets(k), "doc_id long, one long, bits binary, members binary")
+    shards = max(1, pairs.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] // (TILE_SHINGLES // 2))
+    # Sorted and merged at every size: there is no telling how many ids there are.
+    sets = source.join(pairs.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi").mapInArrow(_sets(k), "doc_id long, one long, bits binary, members binary")
     sets = sets.withColumnRenamed("one", "sign").join(pairs.select("doc_id", "sign").distinct(), ["doc_id", "sign"], "left_semi").dropDuplicates(["doc_id", "sign"])
     sets = written(sets, "sets")
     keep = ["doc_id", "sign", "n", "family"]
     # A star's first class is in every block, which leaves few classes for the second round.
     own = pairs.filter("doc_id <> family").groupBy("doc_id").agg(F.min(F.struct("family", "n", "sign")).alias("s")).select("doc_id", "s.sign", "s.n", "s.family")
     counts = own.groupBy("family").agg(F.count("*").alias("c"), F.sum("n").alias("m")).select("family", _blocks("c", "m").alias("blocks"))
+    counts = written(counts, "counts")  # a join right behind the aggregate couldn't be split where a star is large
     dealt = own.join(counts, "family").select(*keep, F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int").alias("x"))
     centres = pairs.filter("doc_id = family").join(counts, "family").select(*keep, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("x"))
     rows = dealt.unionByName(centres).select(*keep, "x", F.lit(0).alias("y"), F.col("doc_id").alias("component"), F.lit(False).alias("probe"))
@@ -357,7 +359,8 @@ def verified_links(source: DataFrame, classes: DataFrame, k: int, percent: int)
     spread = placed.groupBy("family").agg(F.min("component").alias("a"), F.max("component").alias("z"), F.count("*").alias("c"), F.sum("n").alias("m"), here.alias("here"))
     # Open is a star of several components, unless it was a single block that all its members were in.
     spread = spread.select("*", _blocks("c", "m").alias("blocks")).filter("a <> z AND (blocks > 1 OR here < c)")
-    placed = written(placed.drop("own").join(spread.select("family", "blocks"), "family"), "placed")
+    spread = written(spread.select("family", "blocks"), "open")
+    placed = written(placed.drop("own").join(spread, "family"), "placed")
     keep.append("component")
     small = placed.filter("blocks = 1").select(*keep, F.lit(0).alias("x"), F.lit(0).alias("y"), F.lit(False).alias("probe"))
     large = placed.filter("blocks > 1").withColumn("x", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
@@ -369,11 +372,11 @@ def verified_links(source: DataFrame, classes: DataFrame, k: int, percent: int)
     still = large.select(*keep, "x", F.explode(F.sequence(F.lit(0), F.col("stray_blocks") - 1)).alias("y"), F.lit(False).alias("probe"))
     visit = large.filter("component <> main").select(*keep, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("x"), F.pmod(F.xxhash64("doc_id", F.lit("stray")), F.col("stray_blocks")).cast("int").alias("y"), F.lit(True).alias("probe"))
     more = links.limit(0) if placed.isEmpty() else _joined(sets, small.unionByName(still).unionByName(visit), shards, percent, "more")
-    discard(sets, pairs, placed)
+    discard(sets, pairs, counts, spread, placed)
     return parts, more
 
 
 def keep_first(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """docs' rows but those of a component whose smallest id is another; all columns. Null ids stay."""
     found = jaccard_components(docs, k, percent).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti")
+    return docs.join(found.hint("merge"), "doc_id", "left_anti")
