@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, discard, id_text, mix64, pieces, small_batches, written
+from .common import Words, discard, id_text, mix64, pieces, release, small_batches, written
 
 WINDOW, ANCHOR = 13, 5
 BLOCK = 64
@@ -331,10 +331,10 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
         ordered = anchors.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "word")
         hits = ordered.mapInArrow(_shared(BLOCK, HOT), "doc_id long, word int, lo long, part int")
         hits = hits.groupBy("doc_id").agg(F.collect_list(F.struct("word", "lo", "part")).alias("hits"))
-        found = source.join(hits, "doc_id").select("doc_id", F.xxhash64("text").alias("sign"), "text", "hits")
+        found = source.join(hits.hint("merge"), "doc_id").select("doc_id", F.xxhash64("text").alias("sign"), "text", "hits")
         spans = written(found.mapInArrow(_spans(window, anchor), "lo long, part int, doc_id long, sign long, word int, n int, span binary"), "spans")
         del anchors, ordered, hits, found
-        discard(docs)  # only the shuffle files so far
+        release(docs.sparkSession)
         ordered = spans.filter("span is not null").drop("n").repartition("lo", "part").sortWithinPartitions("lo", "part", "doc_id", "word")
         settled = spans.filter("span is null").select("doc_id", "sign", F.col("word").alias("begin"), (F.col("word") + F.col("n")).alias("finish"))
         ranges = written(ordered.mapInArrow(_streamed(window), RANGES).unionByName(settled), "ranges")
@@ -380,7 +380,7 @@ def dedup_report(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
     loses nor takes; repeated rows of one id are one document; other columns are left out."""
     spans = repeated_spans(docs, window, id_col=id_col, text_col=text_col)
     source = id_text(docs, id_col, text_col).withColumn("sign", F.xxhash64("text"))
-    joined = source.join(spans, ["doc_id", "sign"], "left").select("doc_id", "text", "spans")
+    joined = source.join(spans.hint("merge"), ["doc_id", "sign"], "left").select("doc_id", "text", "spans")
     return joined.mapInArrow(_report, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
@@ -411,7 +411,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     names = docs.columns
     plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
     text, key = f"c{names.index(text_col)}", f"c{names.index(id_col)}"
-    joined = plain.join(spans, (F.col(key).cast("long") == F.col("_span_id")) & (F.xxhash64(text) == F.col("_span_sign")), "left").drop("_span_id", "_span_sign")
+    joined = plain.join(spans.hint("merge"), (F.col(key).cast("long") == F.col("_span_id")) & (F.xxhash64(text) == F.col("_span_sign")), "left").drop("_span_id", "_span_sign")
     joined = joined.select(text, "_spans", *(c for c in plain.columns if c != text))
     out = joined.mapInArrow(_cut, T.StructType([T.StructField(f.name, f.dataType) for f in joined.schema]))
     return out.select(*plain.columns).toDF(*names)
