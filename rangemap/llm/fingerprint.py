@@ -8,6 +8,7 @@ digests, so that two documents share a group only if their canonical bytes are e
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from hashlib import sha256
 
 import pyarrow as pa
@@ -17,8 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import bounded_batches, id_text, semi_by_size, written
+from .common import id_text, pieces, release, written
 
+SLICE = 1 << 20
 PAIR_SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, part int, place string, text string"
 
 
@@ -33,42 +35,46 @@ def digest(canon: bytes) -> str:
     return xxhash.xxh3_128_hexdigest(canon)
 
 
-def _fingerprints(batches):
-    for batch in batches:
-        marks = [digest(canonical(t)) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.string())], ["doc_id", "fingerprint"])
+def _fingerprints(mark: Callable[[bytes], str]):
+    def run(batches):
+        for batch in (p for whole in batches for p in pieces(whole, SLICE)):
+            marks = [mark(canonical(t)) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.string())], ["doc_id", "fingerprint"])
+
+    return run
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: Callable[[bytes], str] = digest) -> DataFrame:
     """(doc_id, fingerprint) per row; a null text counts as empty. A narrow map."""
-    bounded_batches(docs.sparkSession)
-    return id_text(docs, id_col, text_col).mapInArrow(_fingerprints, "doc_id long, fingerprint string")
+    return id_text(docs, id_col, text_col).mapInArrow(_fingerprints(mark), "doc_id long, fingerprint string")
 
 
-def _canonicals(batches):
-    for batch in batches:
-        canon = [canonical(t) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([digest(c) for c in canon], pa.string()), pa.array(canon, pa.binary())], ["doc_id", "fingerprint", "canon"])
+def _canonicals(mark: Callable[[bytes], str]):
+    def run(batches):
+        for batch in (p for whole in batches for p in pieces(whole, SLICE)):
+            canon = [canonical(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([mark(c) for c in canon], pa.string()), pa.array(canon, pa.binary())], ["doc_id", "fingerprint", "canon"])
+
+    return run
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", marks: DataFrame | None = None) -> DataFrame:
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", marks: DataFrame | None = None, mark: Callable[[bytes], str] = digest) -> DataFrame:
     """(doc_id, fingerprint, group_id) per document: group_id is the smallest id with the same canonical bytes.
 
-    marks: the documents' fingerprints, if known. Buckets of one document need no comparison, and their texts are not
+    marks: the documents' fingerprints by mark, if known. Buckets of one document need no comparison, and their texts are not
     moved. In the others each member's bytes are joined to those of the bucket's first document; a member that differs
     (a collision of 128 bits) forms a group with the members of its own SHA-256. The join's member side can be split,
     so a bucket with a third of all rows is no single task. Rows of one id with several texts count once each; rows with
     a null id get a null group.
     """
-    bounded_batches(docs.sparkSession)
     source = id_text(docs, id_col, text_col)
     if marks is None:
-        marks = written(fingerprints(docs, id_col, text_col), "marks")
+        marks = written(fingerprints(docs, id_col, text_col, mark), "marks")
     marks = marks.select("doc_id", "fingerprint")
     buckets = marks.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
     full = written(buckets.filter("n > 1"), "buckets")
     members = marks.join(full, "fingerprint", "left_semi")
-    texts = semi_by_size(source, members.select("doc_id").distinct(), "doc_id").mapInArrow(_canonicals, "doc_id long, fingerprint string, canon binary")
+    texts = source.join(members.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi").mapInArrow(_canonicals(mark), "doc_id long, fingerprint string, canon binary")
     texts = texts.join(full.select("fingerprint"), "fingerprint", "left_semi")
     first = texts.join(full.select(F.col("first_id").alias("doc_id"), F.col("fingerprint").alias("bucket")), "doc_id").filter("fingerprint = bucket").groupBy("fingerprint").agg(F.min("canon").alias("first_canon"), F.min("doc_id").alias("first_id"))
     first = written(first, "first")
@@ -139,7 +145,6 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     no task sees more than its range. Null texts count as empty.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = id_text(docs, id_col, text_col).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
     found = written(ranged.mapInArrow(_neighbours, PAIR_SCHEMA), "neighbours")
@@ -157,6 +162,7 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 def fingerprint_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """compare_with_next with group_id of exact_groups, where the bytes inside equal buckets are compared."""
     rows = written(compare_with_next(docs, id_col, text_col), "report")
+    release(docs.sparkSession)  # the texts' shuffle
     groups = exact_groups(docs, id_col, text_col, rows)
     groups = groups.groupBy("doc_id").agg(F.min("fingerprint").alias("checked"), F.min("group_id").alias("group_id"))
     return rows.join(groups, "doc_id", "left").select("doc_id", "n_chars", "edited_sha256", F.coalesce("checked", "fingerprint").alias("fingerprint"), "edited_fingerprint", "near_edited", "near_next", "group_id")
