@@ -15,11 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, bounded_batches, id_text, mix64, pieces, written
+from .common import Words, discard, id_text, mix64, pieces, small_batches, written
 
 CLASSES, MEMBERS = 64, 64
 SIDE, WIDTH, HIDDEN = 2, 16, 32
-MASK, BATCH, RATE = 8, 2048, 0.08
+MASK, BATCH, RATE = 8, 4096, 0.08
 IDS = CLASSES * MEMBERS
 COPIES, BLOCK = "block int, value binary, seen long", 4096
 COMMON = 200_000  # words whose counts are broadcast at most, about 3 MB
@@ -239,6 +239,7 @@ def train(ids: DataFrame) -> dict[str, np.ndarray]:
         found = ids.mapInArrow(_train(values, turn), COPIES).groupBy("block").applyInArrow(_mean, "block int, value binary").toArrow().sort_by("block")
         if len(found):
             values = np.frombuffer(b"".join(found["value"].to_pylist()), "<f4")
+    discard(ids)
     return shaped(values)
 
 
@@ -264,7 +265,10 @@ def _score(values: np.ndarray, words: np.ndarray, n: np.ndarray, cut: int, total
                 rare &= cut > 1  # else what is not among the words occurs once, and the logarithm of its count is 0
                 left = np.r_[0, np.cumsum(rare)][first]
                 lists = pa.ListArray.from_arrays(pa.array(left.astype(np.int32)), pa.array(hashes[rare].view(np.int64)))
-                total = np.diff(np.r_[0.0, np.cumsum(logs)][first])
+                total = np.zeros(len(first) - 1)
+                full = np.flatnonzero(np.diff(first))
+                if len(full):
+                    total[full] = np.add.reduceat(logs, first[full])
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.diff(first)), pa.array(total), lists], ["row", "doc_id", "n_words", "log_likelihood", "rare"])
 
     return run
@@ -277,15 +281,16 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most:
     other columns are left out. An empty table trains nothing and gives no rows. Counts of the most frequent words travel
     to the texts by broadcast, up to most of them; those of rarer ones meet their occurrences in a shuffle.
     """
-    bounded_batches(docs.sparkSession)
-    ids = tokens(docs, id_col, text_col)
-    counts = vocabulary(ids)
-    words, n, cut = common(counts, most)
-    found = ids.mapInArrow(_score(flat(train(ids)), words, n, cut, bucket_totals(counts)), "row long, doc_id long, n_words long, log_likelihood double, rare array<long>")
+    with small_batches(docs.sparkSession):
+        ids = tokens(docs, id_col, text_col)
+        counts = vocabulary(ids)
+        words, n, cut = common(counts, most)
+        found = ids.mapInArrow(_score(flat(train(ids)), words, n, cut, bucket_totals(counts)), "row long, doc_id long, n_words long, log_likelihood double, rare array<long>")
+        found = found if cut == 1 else written(found, "scores")
     mean = F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")).otherwise(0.0).alias("mean_log_prob")
     if cut == 1:
         return found.select("doc_id", "n_words", "log_likelihood", mean)
-    found = written(found, "scores")
+    discard(ids)
     rare = found.select("row", F.explode("rare").alias("word")).join(counts.filter(F.col("n") <= cut), "word")
     terms = rare.select("row", F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("n_words"), F.log("n").alias("log_likelihood"))
     every = found.drop("rare").unionByName(terms).groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.sum("n_words").alias("n_words"), F.sum("log_likelihood").alias("log_likelihood"))
