@@ -21,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import bounded_batches, id_text, pieces
+from .common import id_text, pieces
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Entries after which a worker forgets the pieces or pairs that it has seen.
@@ -39,7 +39,6 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
-        self.tokens = {r: t for t, r in ranks.items()}
         self.split: dict[int, tuple[int, int]] = {}
         self.joined: dict[tuple[int, int], int] = {}
         for token, rank in sorted(ranks.items(), key=lambda x: x[1]):
@@ -175,10 +174,6 @@ class Encoder:
             lead = " "
         return b"".join(out)
 
-    def decode(self, ids: bytes) -> bytes:
-        tokens = self.tokens
-        return b"".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
-
 
 @lru_cache(2)
 def encoder(path: str, pattern: str) -> Encoder:
@@ -203,23 +198,32 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     path: a vocabulary of `base64 rank` lines, which every executor has at that place. A narrow map; no special tokens.
     Null and empty texts have no ids; a null id stays null.
     """
-    bounded_batches(docs.sparkSession)
     return id_text(docs, id_col, text_col).mapInArrow(_encoded(path, pattern), "doc_id long, ids binary")
 
 
-def _decoded(path: str, pattern: str):
+@lru_cache(2)
+def token_table(path: str) -> dict[int, bytes]:
+    """Of a vocabulary: the bytes of each rank. All that decoding needs."""
+    return {r: t for t, r in load_ranks(path).items()}
+
+
+def decoded(tokens: dict[int, bytes], ids: bytes) -> bytes:
+    return b"".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
+
+
+def _decoded(path: str):
     def run(batches):
-        coder = encoder(path, pattern)
-        for batch in batches:
-            data = [coder.decode(x) for x in batch.column(1).to_pylist()]
+        tokens = token_table(path)
+        for batch in (p for whole in batches for p in pieces(whole)):
+            data = [decoded(tokens, x) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(data, pa.binary())], ["doc_id", "ids", "decoded"])
 
     return run
 
 
-def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
-    """encode's rows with the bytes that the ids stand for."""
-    return encoded.select("doc_id", "ids").mapInArrow(_decoded(path, pattern), "doc_id long, ids binary, decoded binary")
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """encode's rows with the bytes that the ids stand for. An id that the vocabulary lacks fails the task."""
+    return encoded.select("doc_id", "ids").mapInArrow(_decoded(path), "doc_id long, ids binary, decoded binary")
 
 
 def digests(decoded: DataFrame) -> DataFrame:

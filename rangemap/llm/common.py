@@ -9,9 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import discard, shared_dir, written
+from ..session import discard, release, shared_dir, written
 
-__all__ = ["discard", "shared_dir", "written"]
+__all__ = ["discard", "release", "shared_dir", "written"]
 
 #: White space that separates words: space, and tab to carriage return.
 WORD_GAP = r"[\x20\x09-\x0D]+"
@@ -26,12 +26,6 @@ def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return df.select(df[id_col].cast("long").alias("doc_id"), F.coalesce(df[text_col], F.lit("")).alias("text"))
 
 
-def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Hold Arrow batches to a few MB of text, so that a Python worker's memory doesn't follow the partition's size."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-
-
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 2000, size: str = "4m"):
     """Inside, Arrow batches have a few MB at most, so that no task's memory follows the length of rows; afterwards the
@@ -47,18 +41,7 @@ def small_batches(spark: SparkSession, rows: int = 2000, size: str = "4m"):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-#: Most keys that are broadcast: about 40 MB in each executor.
-BROADCAST_KEYS = 1_000_000
-
-
-def semi_by_size(df: DataFrame, keys: DataFrame, on: str, most: int = BROADCAST_KEYS) -> DataFrame:
-    """df's rows whose key is in keys (one long column, distinct). The keys are counted first: up to most of them are
-    broadcast and df stays where it is, beyond that both sides are shuffled."""
-    keys = written(keys, "keys")
-    return df.join(F.broadcast(keys) if keys.count() <= most else keys, on, "left_semi")
-
-
-def pieces(batch: pa.RecordBatch, most: int = 8 << 20):
+def pieces(batch: pa.RecordBatch, most: int = 2 << 20):
     """Slices of a batch of about most bytes of text, in order."""
     step = max(1, int(len(batch) * most / max(batch.nbytes, most)))
     for at in range(0, len(batch), step):
