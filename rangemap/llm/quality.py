@@ -16,8 +16,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import bounded_batches, id_text, pieces
+from .common import id_text, pieces
 
 SCORE_SCHEMA = "doc_id long, score double"
 #: Bytes compressed at once: in a longer stretch the text's own past would outweigh the dictionary.
@@ -120,9 +121,11 @@ def held_out(id_col: F.Column) -> F.Column:
     return F.crc32(id_col.cast("string").cast("binary")) % 4 == 2
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 1000, dict_bytes: int = 1 << 16) -> Model:
-    """Fit on at most per_class labelled documents of each class (a documented bound of the sample): those with the
-    smallest hash of the id among labelled rows that are not held out. Null labels, ids and texts are left out."""
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 1000, dict_bytes: int = 1 << 16, class_bytes: int = 32 << 20) -> Model:
+    """Fit on at most per_class labelled documents of each class, whole texts, of class_bytes in all (documented bounds of
+    the sample): those with the smallest hash of the id among labelled rows that are not held out, as long as they fit.
+    Null labels, ids and texts are left out; of several texts of one id the first in order counts; a document with both
+    labels is in both classes."""
     spark = docs.sparkSession
     known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select(F.col("doc_id").cast("long").alias("doc_id"), "quality").distinct()
     counts = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
@@ -130,15 +133,16 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1000, dict_bytes:
     chosen = [known.filter(F.col("quality") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
     rows = chosen[0].unionByName(chosen[1]).collect()  # at most 2 * per_class pairs
     few = spark.createDataFrame(rows, "doc_id long, quality int")
-    texts = id_text(docs).filter("text <> ''").join(F.broadcast(few), "doc_id").select("doc_id", "quality", "text")
-    found = sorted(texts.limit(4 * per_class).collect(), key=lambda r: (r["doc_id"], r["text"]))
+    texts = id_text(docs).filter("text <> ''").join(F.broadcast(few), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    so_far = F.sum(F.octet_length("text")).over(Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id"))  # of per_class rows
+    found = sorted(texts.withColumn("so_far", so_far).filter(F.col("so_far") <= class_bytes).collect(), key=lambda r: (r["doc_id"], r["quality"]))
     return fit([r["text"] for r in found], [r["quality"] for r in found], dict_bytes, share)
 
 
 def _scores(model: Model):
     def run(batches):
         for whole in batches:
-            for batch in pieces(whole):
+            for batch in pieces(whole, 1 << 20):
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.of(batch.column(1).to_pylist()), pa.float64())], ["doc_id", "score"])
 
     return run
@@ -147,26 +151,27 @@ def _scores(model: Model):
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score) for every row from its whole text; empty and null texts get the share of good ones.
     A narrow map; the model is two dictionaries of fixed size."""
-    bounded_batches(docs.sparkSession)
     return id_text(docs, id_col, text_col).mapInArrow(_scores(model), SCORE_SCHEMA)
 
 
 def classify(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
-    """Score and decision per document, with held_out telling which rows no label was learnt from."""
+    """Score and decision per document, with held_out telling which rows no label was learnt from. Null and empty texts get
+    the share of good ones; repeated rows get equal results; a null id stays null and isn't held out; other columns are
+    left out."""
     scored = score(docs, train(docs, labels))
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
 
 
 def _keep(model: Model, cut: float, at: int):
     def run(batches):
         for whole in batches:
-            for batch in pieces(whole):
+            for batch in pieces(whole, 1 << 20):
                 yield batch.filter(pa.array(model.of(batch.column(at).to_pylist()) >= cut))
 
     return run
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, cut: float = CUT, text_col: str = "text") -> DataFrame:
-    """docs' rows, all columns, whose score reaches cut."""
-    bounded_batches(docs.sparkSession)
+    """docs' rows, all columns, whose score reaches cut. Null and empty texts are judged by the share of good labels;
+    repeated rows stay or go together."""
     return docs.mapInArrow(_keep(train(docs, labels), cut, docs.columns.index(text_col)), docs.schema)

@@ -12,10 +12,11 @@ import zlib
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import bounded_batches, id_text
+from .common import id_text, pieces
 
 # The expressions of the base kinds, and the issuers' token formats.
 ASSIGN = rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -28,6 +29,7 @@ KINDS = (*BASE_KINDS, "checked")
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 12, 18, 16
+SLICE = 1 << 20
 _HEX = bytes(104 if c in b"0123456789abcdef" else 46 for c in range(256))
 _PATTERNS = {"assign": re.compile(ASSIGN, re.I), "access": re.compile(ACCESS), "checked": re.compile(CHECKED)}
 
@@ -82,7 +84,10 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
         found.append(("hex", at, over))
         at = marks.find(b"h" * MIN_HEX, over)
     if len(data) != len(text):
-        found = [(k, len(data[:a].decode()), len(data[:b].decode())) for k, a, b in found]
+        # Code points before each byte: all but continuation bytes count.
+        before = np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
+        before = np.r_[0, before]
+        found = [(k, int(before[a]), int(before[b])) for k, a, b in found]
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
@@ -103,7 +108,7 @@ def _joined(spans) -> str:
 def _scan(batches):
     from hashlib import sha256
 
-    for batch in batches:
+    for batch in (p for whole in batches for p in pieces(whole, SLICE)):
         ids, rows = batch.column(0), []
         for text in batch.column(1).to_pylist():
             spans = find_spans(text)
@@ -119,12 +124,11 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     A narrow map: no shuffle, nothing gathered. Null and empty texts have no spans; equal rows give equal rows; a null
     id stays null; other columns of docs are left out.
     """
-    bounded_batches(docs.sparkSession)
     return id_text(docs, id_col, text_col).mapInArrow(_scan, SCHEMA)
 
 
 def _redact(batches):
-    for batch in batches:
+    for batch in (p for whole in batches for p in pieces(whole, SLICE)):
         texts = [redacted(t, find_spans(t)) for t in batch.column("_text").to_pylist()]
         yield batch.set_column(batch.schema.get_field_index("_text"), "_text", pa.array(texts, pa.string()))
 
@@ -134,7 +138,6 @@ def redact_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
     from pyspark.sql import functions as F
     from pyspark.sql import types as T
 
-    bounded_batches(docs.sparkSession)
     names = docs.columns
     inner = docs.toDF(*(f"c{i}" if c != text_col else "_text" for i, c in enumerate(names)))
     null = "n" + str(len(names))

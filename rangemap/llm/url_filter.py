@@ -12,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FEATURES = 1 << 12
+FEATURES = 1 << 15
 GRAMS = (3, 4)
 
 # The rules of the contract.
@@ -24,24 +24,10 @@ RULES: list[tuple[str, str, str]] = [
     ("com", "/de/", "block"),
 ]
 
-# The labelled table: 1 is to be blocked. Host and path as host_of and path_of give them.
-LABELLED = """
-1 spam-farm.example.org /en/728 | 1 www.cheap-pills.example.com /en/450 | 1 cheap-pills.example.net /buy/now
-1 best-casino.example.net /win/bonus | 1 m.free-casino.example.com /slots/5 | 1 poker-bonus.example.org /play
-1 discount-viagra.example.net /order.html | 1 pills-online.example.com /cheap/12 | 1 hot-dates.example.net /xxx/7
-1 adult-cams.example.com /live/xxx | 1 clickbait-news.example.net /shock/9 | 1 win-prizes.example.com /claim?id
-1 seo-links.example.net /buy-links | 1 link-farm.example.com /page/88 | 1 spam-blog.example.net /en/1
-1 replica-watches.example.com /sale | 1 payday-loans.example.net /apply | 1 torrent-free.example.org /download
-1 crack-keygen.example.net /get | 1 malware-host.example.com /setup.exe | 1 phish-login.example.net /verify
-1 content-farm.example.org /en/42 | 1 doorway-pages.example.com /de/17 | 1 www.spam-farm.example.net /fr/81
-0 ththre.example.com /fr/825 | 0 m.ththth.example.net /en/25 | 0 thther.example.org /en/685 | 0 therin.example.net /en/770
-0 blog.tiontion.example.com /en/853/ | 0 blog.ththan.example.net /en/960 | 0 m.therou.example.com /en/474.html
-0 news.example.net /2024/05/story.html | 0 wiki.example.org /article/History | 0 docs.example.com /guide/install
-0 library.example.org /catalog/17 | 0 www.university.example.net /courses | 0 museum.example.org /exhibits/3
-0 blog.example.net /posts/spark-joins | 0 city-council.example.com /minutes | 0 weather.example.net /en/today
-0 recipes.example.com /soup/12 | 0 journal.example.org /volume/8 | 0 archive.example.net /en/203 | 0 school.example.com /de/9
-0 www.ththen.example.com /en/148.html | 0 blog.thernd.example.net /de/612 | 0 thering.example.com /en/328/ | 0 m.thou.example.net /es/31
-"""
+# Terms of the default labelled table.
+BLOCKED = "adult bet betting bonus cams casino cheap click crack dates escort free hack jackpot keygen loans malware payday phish pills poker porn prize replica slots spam torrent viagra warez win xxx".split()
+ALLOWED = "archive art bakery bird book bridge city clinic coast college cook council daily field forest garden guide harbour health history home house journal kitchen lab library local map market museum music news paper park photo physics post recipe review river school science shop society sport story street study theatre town travel tree valley village weather wiki work world".split()
+SYLLABLES = "an ba be ca co da de el en er ga ha he in is ka la le li lo ma me mi mo na ne no on or pa pe ra re ri ro sa se si sh so ta te th ti tion to tu un va ve wa we wh".split()
 
 
 def host_of(url: Column) -> Column:
@@ -65,11 +51,26 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Co
     return found if found is not None else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
-def labelled(spark: SparkSession, text: str = LABELLED) -> DataFrame:
-    """(label, host, path) of a labelled list of `label host path`."""
-    rows = [r.split() for line in text.strip().splitlines() for r in line.split("|")]
-    values = ", ".join(f"({int(y)}D, '{h}', '{p}')" for y, h, p in rows)
-    return spark.sql(f"SELECT * FROM VALUES {values} AS t(label, host, path)")
+def labelled(spark: SparkSession, rows: int = 9000, seed: int = 0) -> DataFrame:
+    """(label, host, path): the default labelled table, 1 is to be blocked; distinct rows of about that number.
+
+    Made from terms by rule. Hosts have one or two terms, or syllables, under a common domain, paths a language or section and a
+    number, as host_of and path_of give them. A row is to be blocked if a blocked term stands in its host or path.
+    """
+    draw = lambda n, key: F.pmod(F.xxhash64("id", F.lit(f"{key} {seed}")), F.lit(n)).cast("int")
+    pick = lambda values, key: F.element_at(F.array(*(F.lit(v) for v in values)), draw(len(values), key) + 1)
+    bad, made = draw(5, "bad") < 2, draw(3, "made") == 0
+    name = F.concat(*(pick(SYLLABLES, f"s{i}") for i in range(3)))
+    in_path = draw(3, "where") == 0  # the blocked term stands in the path only
+    good_term = F.when(made, name).otherwise(pick(ALLOWED, "a"))
+    term = F.when(bad & ~in_path, pick(BLOCKED, "b")).otherwise(good_term)
+    other = F.when(draw(3, "both") == 0, pick(BLOCKED, "c")).otherwise(pick(ALLOWED, "d"))
+    second = F.when(bad & ~in_path, other).otherwise(pick(ALLOWED, "d"))
+    pair = F.when((made | (draw(2, "one") == 0)) & ~(bad & ~in_path), term).when(draw(2, "turn") == 0, F.concat_ws("-", term, second)).otherwise(F.concat_ws("-", second, term))
+    host = F.concat(pick(["", "", "www.", "m.", "blog."], "prefix"), pair, pick([".example.com", ".example.net", ".example.org"], "domain"))
+    section = F.when(bad & in_path, pick(BLOCKED, "p")).otherwise(pick(["en", "fr", "de", "es", "en", "fr", "de", "es", *ALLOWED], "q"))
+    path = F.concat(F.lit("/"), section, F.lit("/"), draw(1000, "number").cast("string"), pick(["", "", "/", ".html"], "end"))
+    return spark.range(rows).select(bad.cast("double").alias("label"), host.alias("host"), path.alias("path")).distinct()
 
 
 def _marked(text: Column, mark: str) -> Column:
@@ -85,17 +86,17 @@ def with_features(df: DataFrame, features: int = FEATURES) -> DataFrame:
 
 
 def train(table: DataFrame, features: int = FEATURES) -> LogisticRegressionModel:
-    """From a small table of (label, host, path): its size is bounded by its being labelled by hand."""
-    return LogisticRegression(maxIter=30, regParam=0.02, standardization=False).fit(with_features(table, features))
+    """From a small table of (label, host, path), of thousands of rows."""
+    return LogisticRegression(maxIter=60, regParam=0.0001, standardization=False).fit(with_features(table, features))
 
 
-def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, model: LogisticRegressionModel | None = None, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, table: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """(page_id, host, path, rule, verdict, block_score) per row of pages; a narrow map that reads two columns.
 
-    Null urls and those without `://` have an empty host and path and are judged by the method like any other; repeated
+    The method learns from table (label, host, path), by default labelled(). Null urls and those without `://` have an empty host and path and are judged by the method like any other; repeated
     rows get equal results; null ids stay null; other columns are left out.
     """
-    model = model or train(labelled(pages.sparkSession))
+    model = train(labelled(pages.sparkSession) if table is None else table)
     urls = pages.select(pages[id_col].alias("page_id"), host_of(pages[url_col]).alias("host"), path_of(pages[url_col]).alias("path"))
     scored = model.transform(with_features(urls, model.numFeatures)).withColumn("block_score", vector_to_array("probability")[1])
     scored = scored.withColumn("fit", rule_of(F.col("host"), F.col("path"), rules))

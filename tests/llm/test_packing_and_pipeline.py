@@ -54,6 +54,21 @@ def test_packing_of_hard_rows(hard, hard_rows, nothing):
                 key = r["shard"], r["bin"], source[r["doc_id"]]
                 assert key not in seen
                 seen.add(key)
+        texts = {r[0]: r[1] or "" for r in hard_rows}
+        alike = [(r["shard"], r["bin"], texts[r["doc_id"]]) for r in rows if r["doc_id"] is not None and r["piece"] == 0 and r["doc_id"] != 13]
+        assert len(set(alike)) == len(alike)
+
+
+def test_near_copies_share_no_bin(hard, hard_rows):
+    from rangemap.llm import jaccard
+    from pyspark.sql import functions as F
+
+    ids = jaccard.jaccard_components(hard, 5, 80).select("doc_id", "component_id").distinct()
+    group = {r["doc_id"]: r["component_id"] for r in ids.collect()}
+    assert len(set(group.values())) < len(group) - 5
+    rows = packing.best_fit(hard.drop("component").join(ids, "doc_id"), capacity=5000, cluster=F.col("component_id")).collect()
+    held = [(r["shard"], r["bin"], group[r["doc_id"]]) for r in rows if r["doc_id"] != 13]
+    assert len(set(held)) == len(held)
     assert packing.best_fit(nothing).count() == 0
 
 

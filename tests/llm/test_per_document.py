@@ -100,18 +100,18 @@ def known(vocabulary):
 
 
 def test_bpe_equals_the_library(vocabulary, known):
-    coder = bpe.encoder(*vocabulary)
+    coder, tokens = bpe.encoder(*vocabulary), bpe.token_table(vocabulary[0])
     rng = random.Random(2)
     parts = ["a", "b", "th", "é", "ß", "1", "!!", " ", "  ", "\n", "語", "the", "ing", "🙂", "'s", "x", "\x1c", "\xa0", "²", "​"]
     texts = ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(1500)] + ["a" * 5000, " " * 3000, "ab" * 3000, "éa" * 900]
     for t in texts:
         ids = coder.encode(t)
         assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == known.encode_ordinary(t)
-        assert coder.decode(ids) == t.encode()
+        assert bpe.decoded(tokens, ids) == t.encode()
 
 
 def test_bpe_query_rows(hard, hard_rows, nothing, vocabulary, known):
-    found = bpe.digests(bpe.decode(bpe.encode(hard, *vocabulary), *vocabulary)).collect()
+    found = bpe.digests(bpe.decode(bpe.encode(hard, *vocabulary), vocabulary[0])).collect()
     want = []
     for r in hard_rows:
         ids = known.encode_ordinary(r[1] or "")
@@ -344,3 +344,132 @@ def test_url_model_learns_its_table(spark):
     model = url_filter.train(table)
     out = model.transform(url_filter.with_features(table))
     assert out.filter("label = prediction").count() >= 0.95 * table.count()
+
+
+def test_url_table_teaches_what_it_holds_back(spark):
+    """Held out by hash of the row; the score is the fitted line through the hashed n-grams of host and path."""
+    from pyspark.ml.feature import HashingTF
+    from pyspark.sql import functions as F
+
+    table = url_filter.labelled(spark).cache()
+    assert table.count() > 5000 and 0.3 < table.agg(F.avg("label")).first()[0] < 0.5
+    back = F.pmod(F.xxhash64("host", "path"), F.lit(5)) == 0
+    known, held = table.filter(~back), table.filter(back).withColumn("url", F.concat(F.lit("http://"), "host", "path"))
+    pages = held.select(F.monotonically_increasing_id().alias("page_id"), "url", "label")
+    found = url_filter.filter_urls(pages, [], known).join(pages, "page_id").collect()
+    right = [(r["verdict"] == "block") == (r["label"] == 1) for r in found]
+    print("held out:", len(right), sum(right) / len(right))
+    assert len(right) > 1000 and sum(right) / len(right) > 0.94
+    model, hashing = url_filter.train(known), HashingTF(numFeatures=url_filter.FEATURES)
+    for r in found[:20]:
+        grams = set()
+        for text, mark in ((r["host"], "h:"), (re.sub("[0-9]+", "0", r["path"]), "p:")):
+            whole = f"^{text}$"
+            grams |= {hashing.indexOf(mark + whole[i : i + n]) for n in url_filter.GRAMS for i in range(max(1, len(whole) - n + 1))}
+        eta = model.intercept + sum(model.coefficients[i] for i in grams)
+        assert r["block_score"] == pytest.approx(1 / (1 + np.exp(-eta)), abs=1e-6)
+
+
+def test_quality_equals_plain_sizes_and_curve(spark, sf):
+    """Scores from whole sizes by the plain library, and the curve against gradient descent."""
+    import zstandard
+
+    sf = sf.replace("sf0.001", "sf0.01")
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = quality.train(docs, labels)
+    sizes = [zstandard.ZstdCompressor(level=quality.LEVEL, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False) for d in (model.good, model.bad)]
+    found = {r["doc_id"]: r["score"] for r in quality.score(docs, model).collect()}
+    for r in docs.orderBy("doc_id").limit(60).collect():
+        data = r["text"].encode()
+        parts = [data[i : i + quality.CHUNK] for i in range(0, len(data), quality.CHUNK)]
+        by_good, by_bad = (sum(len(c.compress(x)) for x in parts) for c in sizes)
+        eta = (model.slope * (by_bad - by_good) + model.whole * len(data)) / (len(data) + quality.SHORT) + model.offset
+        assert found[r["doc_id"]] == pytest.approx(1 / (1 + np.exp(-eta)), abs=1e-9)
+    rng = np.random.default_rng(2)
+    x, y = rng.normal(size=(300, 2)), (rng.random(300) < 0.4).astype(float)
+    x[:, 0] += y
+    w, b = np.where(y == 1, 0.3 / y.sum(), 0.7 / (1 - y).sum()), np.zeros(2)
+    for _ in range(20_000):
+        b -= 2.0 * (x.T @ (w * (1 / (1 + np.exp(-(x @ b - 0.8))) - y)) + 1e-4 * b)
+    assert quality._curve(x, y, 0.3, -0.8) == pytest.approx(b, abs=1e-5)
+
+
+def test_quality_sample_is_bounded_and_repeatable(spark):
+    rows = [(i % 40, f"text {i} " * (i % 7 + 1)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)] + [(3, 0, 0)], "doc_id long, quality int, toxic int")
+    seen = []
+    for df in (docs, docs.repartition(5)):
+        model = quality.train(df, labels, per_class=10, class_bytes=300)
+        seen.append((model.good, model.bad, model.slope, model.offset))
+    assert seen[0] == seen[1]
+
+
+def test_score_equals_a_plain_loop(spark):
+    """log P of every word: softmax of class, softmax of member, and the word's share of its bucket, word by word."""
+    import pyarrow as pa
+
+    p = pseudo_likelihood
+    rows = [(1, "the cat sat on the mat"), (2, "a cat"), (3, ""), (4, "the dog sat on the mat by the cat " * 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ids = p.tokens(docs)
+    model = p.train(ids)
+    counts = {r["word"]: r["n"] for r in p.vocabulary(ids).collect()}
+    total = {}
+    for word, n in counts.items():
+        total[(word % (1 << 64)) >> 52] = total.get((word % (1 << 64)) >> 52, 0) + n
+    found = {r["doc_id"]: r["log_likelihood"] for r in p.score(docs).collect()}
+    for i, text in rows:
+        hashes = Words(pa.array([text])).hash
+        buckets = [int(h >> np.uint64(52)) for h in hashes]
+        want = 0.0
+        for at, (h, bucket) in enumerate(zip(hashes, buckets, strict=True)):
+            near = [buckets[j] if 0 <= j < len(buckets) else p.EDGE for j in (at - 2, at - 1, at + 1, at + 2)]
+            x = np.concatenate([model["embed"][j] for j in near]).astype(float)
+            hidden = np.tanh(x @ model["into"] + model["into_0"])
+            for logits, k in ((hidden @ model["group"] + model["group_0"], bucket // p.MEMBERS), (hidden @ model["member"][bucket // p.MEMBERS] + model["member_0"][bucket // p.MEMBERS], bucket % p.MEMBERS)):
+                want += logits[k] - np.log(np.exp(logits).sum())
+            want += np.log(counts[int(h.view(np.int64))] / total[bucket])
+        assert found[i] == pytest.approx(want, rel=1e-3, abs=1e-3)
+
+
+def test_colliding_digests_are_told_apart(spark):
+    rows = [(5, "Same text"), (2, "same  TEXT"), (9, "other"), (7, "OTHER "), (1, "third"), (None, "other"), (4, None)]
+    found = fingerprint.exact_groups(spark.createDataFrame(rows, "doc_id long, text string"), mark=lambda canon: "one").collect()
+    assert {r["doc_id"]: r["group_id"] for r in found if r["doc_id"] is not None} == {5: 2, 2: 2, 9: 7, 7: 7, 1: 1, 4: 4}
+    marks = {r["doc_id"]: r["fingerprint"] for r in found}
+    assert marks[5] == marks[2] and marks[9] == marks[7] and len({marks[i] for i in (2, 7, 1, 4)}) == 4
+
+
+def test_cosine_hash_equals_a_plain_transform():
+    """Block means over 32 x 32, then the sums of the transform's definition."""
+    rng = np.random.default_rng(1)
+    for rows in (1, 5, 32, 70):
+        image = rng.integers(0, 256, (rows, 64), np.uint8)
+        n = media.GRID
+
+        def blocks(size):
+            return [range(i * size // n, (i + 1) * size // n) if size >= n else [i * size // n] for i in range(n)]
+
+        grid = np.array([[np.mean([[float(image[r, c]) for c in cs] for r in rs]) for cs in blocks(64)] for rs in blocks(rows)])
+        low = np.array([[sum(grid[i, j] * np.cos(np.pi * (2 * i + 1) * u / (2 * n)) * np.cos(np.pi * (2 * j + 1) * v / (2 * n)) for i in range(n) for j in range(n)) for v in range(media.LOW)] for u in range(media.LOW)]).ravel()
+        want = [u > 0 and low[u] > np.median(low[1:]) for u in range(64)]
+        found = np.unpackbits(np.frombuffer(bytes.fromhex(media.cosine_hash(image)), np.uint8)).astype(bool)
+        assert (found == want).mean() > 0.98  # rounding may turn a bit that lies at the median
+
+
+def test_very_long_texts(spark, vocabulary, known):
+    """A text of a megabyte, beside its copy and a short one, through every operator on single documents."""
+    rng = random.Random(3)
+    long = " ".join("".join(rng.choices("abcdeé", k=rng.randint(1, 9))) for _ in range(170_000)) + " token = 0123456789abcdef0123"
+    docs = spark.createDataFrame([(1, long), (2, long), (3, "short")], "doc_id long, text string")
+    assert len(long) > 900_000
+    scans = {r["doc_id"]: r["spans"] for r in secrets.scan_secrets(docs).collect()}
+    assert scans[1] == scans[2] == ",".join(brute_spans(long)) and scans[3] == ""
+    rows = {r["doc_id"]: r for r in media.media_features(media.with_media(docs)).collect()}
+    assert rows[1]["payload_sha256"] == sha(media.padded(long.encode())) and rows[1]["feature"] == rows[2]["feature"]
+    ids = known.encode_ordinary(long)
+    coded = {r["doc_id"]: r for r in bpe.digests(bpe.decode(bpe.encode(docs, *vocabulary), vocabulary[0])).collect()}
+    assert coded[2]["ids_sha256"] == sha(struct.pack(f"<{len(ids)}I", *ids)) and coded[2]["decoded_sha256"] == sha(long)
+    marks = {r["doc_id"]: r["group_id"] for r in fingerprint.fingerprint_report(docs).collect()}
+    assert marks == {1: 1, 2: 1, 3: 3}

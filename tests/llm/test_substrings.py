@@ -93,3 +93,12 @@ def test_common_anchors_leave_their_shard():
     assert len({r["anchor"] for r in out if r["word"] == 0}) == 1 and len({r["anchor"] for r in out}) > 30
     hits = pa.Table.from_batches(list(substrings._shared(64, 3)(pa.Table.from_pylist(sorted(out, key=lambda r: (r["anchor"], r["doc_id"]))).to_batches())))
     assert len(hits) == 80 and set(hits["part"].to_pylist()) == {-1} and set(hits["word"].to_pylist()) == {0}
+
+
+def test_very_long_texts(spark):
+    """A text of a megabyte, its copy, and one that begins in its middle."""
+    rng = np.random.default_rng(3)
+    words = [f"w{x}" for x in rng.integers(0, 50_000, 160_000)]
+    rows = [(1, " ".join(words)), (2, "\n".join(words)), (3, " ".join(words[80_000:] + ["end"] * 30)), (4, "end " * 20)]
+    found = substrings.dedup_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], r["kept_sha256"]) for r in found) == brute(rows, 13)
