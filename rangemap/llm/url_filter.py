@@ -90,13 +90,13 @@ def train(table: DataFrame, features: int = FEATURES) -> LogisticRegressionModel
     return LogisticRegression(maxIter=60, regParam=0.0001, standardization=False).fit(with_features(table, features))
 
 
-def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, table: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, table: DataFrame | None = None, model: LogisticRegressionModel | None = None, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """(page_id, host, path, rule, verdict, block_score) per row of pages; a narrow map that reads two columns.
 
-    The method learns from table (label, host, path), by default labelled(). Null urls and those without `://` have an empty host and path and are judged by the method like any other; repeated
+    The method is a model that train() gave, or learns from table (label, host, path), by default labelled(). Null urls and those without `://` have an empty host and path and are judged by the method like any other; repeated
     rows get equal results; null ids stay null; other columns are left out.
     """
-    model = train(labelled(pages.sparkSession) if table is None else table)
+    model = model or train(labelled(pages.sparkSession) if table is None else table)
     urls = pages.select(pages[id_col].alias("page_id"), host_of(pages[url_col]).alias("host"), path_of(pages[url_col]).alias("path"))
     scored = model.transform(with_features(urls, model.numFeatures)).withColumn("block_score", vector_to_array("probability")[1])
     scored = scored.withColumn("fit", rule_of(F.col("host"), F.col("path"), rules))

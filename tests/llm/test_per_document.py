@@ -356,11 +356,11 @@ def test_url_table_teaches_what_it_holds_back(spark):
     back = F.pmod(F.xxhash64("host", "path"), F.lit(5)) == 0
     known, held = table.filter(~back), table.filter(back).withColumn("url", F.concat(F.lit("http://"), "host", "path"))
     pages = held.select(F.monotonically_increasing_id().alias("page_id"), "url", "label")
-    found = url_filter.filter_urls(pages, [], known).join(pages, "page_id").collect()
+    model, hashing = url_filter.train(known), HashingTF(numFeatures=url_filter.FEATURES)
+    found = url_filter.filter_urls(pages, [], model=model).join(pages, "page_id").collect()
     right = [(r["verdict"] == "block") == (r["label"] == 1) for r in found]
     print("held out:", len(right), sum(right) / len(right))
     assert len(right) > 1000 and sum(right) / len(right) > 0.94
-    model, hashing = url_filter.train(known), HashingTF(numFeatures=url_filter.FEATURES)
     for r in found[:20]:
         grams = set()
         for text, mark in ((r["host"], "h:"), (re.sub("[0-9]+", "0", r["path"]), "p:")):
