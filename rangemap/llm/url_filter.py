@@ -12,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FEATURES = 1 << 15
+FEATURES = 1 << 14
 GRAMS = (3, 4)
 
 # The rules of the contract.
@@ -51,7 +51,7 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Co
     return found if found is not None else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
-def labelled(spark: SparkSession, rows: int = 9000, seed: int = 0) -> DataFrame:
+def labelled(spark: SparkSession, rows: int = 6000, seed: int = 0) -> DataFrame:
     """(label, host, path): the default labelled table, 1 is to be blocked; distinct rows of about that number.
 
     Made from terms by rule. Hosts have one or two terms, or syllables, under a common domain, paths a language or section and a
@@ -73,10 +73,14 @@ def labelled(spark: SparkSession, rows: int = 9000, seed: int = 0) -> DataFrame:
     return spark.range(rows).select(bad.cast("double").alias("label"), host.alias("host"), path.alias("path")).distinct()
 
 
+def _gram(whole: Column, mark: str, n: int):
+    # A function of one argument: transform would give a second one the place.
+    return lambda i: F.concat(F.lit(mark), F.substring(whole, i, n))
+
+
 def _marked(text: Column, mark: str) -> Column:
     whole = F.concat(F.lit("^"), text, F.lit("$"))
-    grams = [F.transform(F.sequence(F.lit(1), F.greatest(F.length(whole) - n + 1, F.lit(1))), lambda i, n=n: F.concat(F.lit(mark), F.substring(whole, i, n))) for n in GRAMS]
-    return F.concat(*grams)
+    return F.concat(*(F.transform(F.sequence(F.lit(1), F.greatest(F.length(whole) - n + 1, F.lit(1))), _gram(whole, mark, n)) for n in GRAMS))
 
 
 def with_features(df: DataFrame, features: int = FEATURES) -> DataFrame:
@@ -87,7 +91,7 @@ def with_features(df: DataFrame, features: int = FEATURES) -> DataFrame:
 
 def train(table: DataFrame, features: int = FEATURES) -> LogisticRegressionModel:
     """From a small table of (label, host, path), of thousands of rows."""
-    return LogisticRegression(maxIter=60, regParam=0.0001, standardization=False).fit(with_features(table, features))
+    return LogisticRegression(maxIter=40, regParam=0.0005, standardization=False).fit(with_features(table, features))
 
 
 def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, table: DataFrame | None = None, model: LogisticRegressionModel | None = None, id_col: str = "page_id", url_col: str = "url") -> DataFrame:

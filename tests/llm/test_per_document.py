@@ -360,7 +360,7 @@ def test_url_table_teaches_what_it_holds_back(spark):
     found = url_filter.filter_urls(pages, [], model=model).join(pages, "page_id").collect()
     right = [(r["verdict"] == "block") == (r["label"] == 1) for r in found]
     print("held out:", len(right), sum(right) / len(right))
-    assert len(right) > 1000 and sum(right) / len(right) > 0.94
+    assert len(right) > 1000 and sum(right) / len(right) > 0.99
     for r in found[:20]:
         grams = set()
         for text, mark in ((r["host"], "h:"), (re.sub("[0-9]+", "0", r["path"]), "p:")):
@@ -452,7 +452,7 @@ def test_cosine_hash_equals_a_plain_transform():
             return [range(i * size // n, (i + 1) * size // n) if size >= n else [i * size // n] for i in range(n)]
 
         grid = np.array([[np.mean([[float(image[r, c]) for c in cs] for r in rs]) for cs in blocks(64)] for rs in blocks(rows)])
-        low = np.array([[sum(grid[i, j] * np.cos(np.pi * (2 * i + 1) * u / (2 * n)) * np.cos(np.pi * (2 * j + 1) * v / (2 * n)) for i in range(n) for j in range(n)) for v in range(media.LOW)] for u in range(media.LOW)]).ravel()
+        low = np.array([[sum(grid[i, j] * np.cos(np.pi * (2 * i + 1) * u / (2 * n)) * np.cos(np.pi * (2 * j + 1) * v / (2 * n)) for i in range(n) for j in range(n)) for v in range(media.LOW)] for u in range(media.LOW)]).round(6).ravel()
         want = [u > 0 and low[u] > np.median(low[1:]) for u in range(64)]
         found = np.unpackbits(np.frombuffer(bytes.fromhex(media.cosine_hash(image)), np.uint8)).astype(bool)
         assert (found == want).mean() > 0.98  # rounding may turn a bit that lies at the median
