@@ -148,3 +148,17 @@ def reproject(points: DataFrame, source: int, target: int, x: str = "x", y: str
         out = _datum(_unproject(points, x, y), "_lo", "_la", back=True)
         return out.withColumns({x: F.col("_lon"), y: F.col("_lat")}).drop("_lo", "_la", "_lon", "_lat")
     raise ValueError(f"no way from EPSG {source} to {target}")
+
+
+def reproject_shapes(shapes: DataFrame, source: int, target: int) -> DataFrame:
+    """shapes with rings moved as reproject moves points, vertex by vertex. (geom_id, part) names a row."""
+    if source == target:
+        return shapes
+    key = ["geom_id", "part"]
+    each = shapes.select(*key, F.posexplode("rings").alias("_r", "_ring")).select(*key, "_r", F.posexplode("_ring").alias("_v", "_p"))
+    moved = reproject(each.select(*key, "_r", "_v", F.col("_p")[0].alias("x"), F.col("_p")[1].alias("y")), source, target)
+    ring = moved.groupBy(*key, "_r").agg(F.sort_array(F.collect_list(F.struct("_v", F.array("x", "y").alias("p")))).alias("_ring"))
+    ring = ring.select(*key, "_r", F.transform("_ring", lambda v: v["p"]).alias("_ring"))
+    rings = ring.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("_r", "_ring"))).alias("_rings"))
+    rings = rings.select(*key, F.transform("_rings", lambda r: r["_ring"]).alias("rings"))
+    return shapes.drop("rings").join(rings, key).select(*shapes.columns)

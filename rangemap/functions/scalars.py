@@ -18,14 +18,18 @@ CLIMATE = {
 }
 
 
+# The characters that separate parts of a name.
+SEPARATORS = r"[\s\-/\\.:;,()\[\]{}]"
+
+
 def tidy_name(name: str) -> str:
     """Separators to _, lower case, only letters, digits and _, no runs of _ and none at the ends."""
-    return re.sub(r"_+", "_", re.sub(r"[^a-z0-9_]", "", re.sub(r"[\s\-./]+", "_", name).lower())).strip("_")
+    return re.sub(r"_+", "_", re.sub(r"[^a-z0-9_]", "", re.sub(SEPARATORS, "_", name).lower())).strip("_")
 
 
 def tidy(name: Column) -> Column:
     """tidy_name of a column."""
-    kept = F.regexp_replace(F.lower(F.regexp_replace(name, r"[\s\-./]+", "_")), r"[^a-z0-9_]", "")
+    kept = F.regexp_replace(F.lower(F.regexp_replace(name, SEPARATORS, "_")), r"[^a-z0-9_]", "")
     return F.regexp_replace(F.regexp_replace(kept, r"_+", "_"), r"^_|_$", "")
 
 
@@ -72,6 +76,11 @@ def from_percent(value: Column) -> Column:
     return F.when(value >= 0, value / 100)
 
 
+def nonzero(value: Column, eps: float = 1e-6) -> Column:
+    """A value that may be divided by."""
+    return value + F.lit(eps)
+
+
 def no_nan(value: Column, sentinel: float | None = -9999.0, huge: float = 1e30) -> Column:
     """NaN, the sentinel and anything beyond huge as NULL."""
     value = value.cast("double")

@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .ordered import join_groups, running
+
 
 def auc(df: DataFrame, by: list[str], label: str = "class", score: str = "p") -> DataFrame:
-    """(by, auc): exact, ties count half; null if a group has one class only. The ordered window sees one row per distinct
-    score of a group."""
+    """(by, auc): exact, ties count half; null if a group has one class only. Distinct scores are dealt by ranges, so a
+    group of any size spreads over tasks."""
     counts = df.groupBy(*by, score).agg(F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) == 0).alias("_n"))
-    below = F.coalesce(F.sum("_n").over(Window.partitionBy(*by).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    won = counts.select(*by, "_p", "_n", (F.col("_p") * (below + F.col("_n") / 2)).alias("_won"))
+    won = running(counts, by, score, {"_below": "_n"}).withColumn("_won", F.col("_p") * (F.col("_below") + F.col("_n") / 2))
     total = won.groupBy(*by).agg(F.sum("_won").alias("w"), F.sum("_p").alias("p"), F.sum("_n").alias("n"))
     return total.select(*by, F.when((F.col("p") > 0) & (F.col("n") > 0), F.col("w") / (F.col("p") * F.col("n"))).alias("auc"))
 
@@ -20,9 +21,10 @@ def auc(df: DataFrame, by: list[str], label: str = "class", score: str = "p") ->
 def roc_points(df: DataFrame, by: list[str], label: str = "class", score: str = "p") -> DataFrame:
     """(by, threshold, tpr, fpr) at each distinct score, from the highest."""
     counts = df.groupBy(*by, F.col(score).alias("threshold")).agg(F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) == 0).alias("_n"))
-    so_far, whole = Window.partitionBy(*by).orderBy(F.desc("threshold")), Window.partitionBy(*by)
-    share = lambda c: F.sum(c).over(so_far) / F.nullif(F.sum(c).over(whole), F.lit(0))
-    return counts.select(*by, "threshold", share("_p").alias("tpr"), share("_n").alias("fpr"))
+    so_far = running(counts, by, "threshold", {"_ahead_p": "_p", "_ahead_n": "_n"}, descending=True)
+    whole = counts.groupBy(*by).agg(F.sum("_p").alias("_all_p"), F.sum("_n").alias("_all_n"))
+    share = lambda c: (F.col(f"_ahead_{c}") + F.col(f"_{c}")) / F.nullif(F.col(f"_all_{c}"), F.lit(0))
+    return join_groups(so_far, whole, by).select(*by, "threshold", share("p").alias("tpr"), share("n").alias("fpr"))
 
 
 def confusion(df: DataFrame, by: list[str], label: str = "class", score: str = "p", threshold: float = 0.5) -> DataFrame:
@@ -56,7 +58,13 @@ def with_lower_bound(importance: DataFrame, z: float = 1.96) -> DataFrame:
     return importance.withColumns({"lower": low, "negative": low < 0})
 
 
-def importance_summary(importance: DataFrame, by: list[str]) -> DataFrame:
-    """(by, mean_importance, keep_var), most important first."""
+def importance_summary(importance: DataFrame, by: list[str], top: int | None = None) -> DataFrame:
+    """(by, mean_importance, keep_var), most important first, at most top."""
     out = importance.groupBy(*by).agg(F.avg("importance").alias("mean_importance"))
-    return out.withColumn("keep_var", F.col("mean_importance") > 0).orderBy(F.desc("mean_importance"), *by)
+    out = out.withColumn("keep_var", F.col("mean_importance") > 0).orderBy(F.desc("mean_importance"), *by)
+    return out.limit(top) if top is not None else out
+
+
+def by_group(df: DataFrame, by: list[str], value: str, descending: bool = True) -> DataFrame:
+    """Rows sorted by group and, within it, by value."""
+    return df.orderBy(*by, F.desc(value) if descending else F.asc(value))

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.scalars import unit_hash
+from ..session import written
 from .evaluate import auc
-from .maxent import FINAL, iterate_models
-from .predict import probability
+from .ordered import first_rows, quantiles
+from .predict import score, score_own
 from .sampling import exact_sample
 
 
@@ -19,8 +20,8 @@ def permutation_importance(training: DataFrame, coefficients: DataFrame, feature
     At most most_rows rows of each identifier take part. For each feature and repeat the values' order by one hash is
     matched with the rows' order by another, within the identifier.
     """
-    ranked = training.withColumn("_rank", F.row_number().over(Window.partitionBy("identifier").orderBy(unit_hash(F.col(key), seed), key, "class")))
-    rows = ranked.filter(F.col("_rank") <= most_rows).withColumn("_row", F.col("_rank").cast("long"))
+    ranked = first_rows(training, ["identifier"], [unit_hash(F.col(key), seed), F.asc(key), F.asc("class")], most_rows, key)
+    rows = written(ranked.withColumn("_row", F.col("_rank").cast("long")).select("identifier", "class", "_row", *features), "rows")
     names = F.array(*(F.lit(f) for f in features))
     every = rows.withColumn("feature", F.explode(names)).withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
     value = F.coalesce(*(F.when(F.col("feature") == f, F.col(f)) for f in features))
@@ -30,14 +31,8 @@ def permutation_importance(training: DataFrame, coefficients: DataFrame, feature
     given = dealt.select("identifier", "feature", "repeat", F.col("_to").cast("long").alias("_row"), F.col("_value").alias("_given"))
     mixed = every.join(given, ["identifier", "feature", "repeat", "_row"])
     mixed = mixed.select("identifier", "feature", "repeat", "class", *(F.when(F.col("feature") == f, F.col("_given")).otherwise(F.col(f)).alias(f) for f in features))
-    p = base = None
-    for name, model in iterate_models(coefficients, FINAL):
-        value = probability(model, features)
-        p = F.when(F.col("identifier") == name, value) if p is None else p.when(F.col("identifier") == name, value)
-    if p is None:
-        raise ValueError("no model was fitted")
-    base = auc(rows.select("identifier", "class", p.alias("p")), ["identifier"]).withColumnRenamed("auc", "base")
-    after = auc(mixed.select("identifier", "feature", "repeat", "class", p.alias("p")), ["identifier", "feature", "repeat"])
+    base = auc(score_own(rows, coefficients, features, ["identifier", "class"]), ["identifier"]).withColumnRenamed("auc", "base")
+    after = auc(score_own(mixed, coefficients, features, ["identifier", "feature", "repeat", "class"]), ["identifier", "feature", "repeat"])
     fall = after.join(base, "identifier").withColumn("fall", F.col("base") - F.col("auc"))
     return fall.groupBy("identifier", "feature").agg(F.avg("fall").alias("mean"), F.stddev_pop("fall").alias("std")).withColumn("importance", F.col("mean"))
 
@@ -47,14 +42,14 @@ def partial_dependence(cells: DataFrame, coefficients: DataFrame, features: list
     feature set to each of `points` values from its 5th to its 95th percentile; centred on the first. vary: the features to show, by default all of the models'."""
     vary = vary or features
     full = cells.na.drop(subset=features)
-    ends = full.agg(*(F.percentile(f, F.array(F.lit(0.05), F.lit(0.95))).alias(f) for f in vary)).first()
+    long = full.select(F.explode(F.array(*(F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in vary))).alias("e")).select("e.*")
+    ends = {r["feature"]: (r["low"], r["high"]) for r in quantiles(long, ["feature"], "value", {"low": 0.05, "high": 0.95}).collect()}  # a row per feature
     sample = exact_sample(full, most_rows, key, seed)
     grid = [(f, i, float(ends[f][0] + (ends[f][1] - ends[f][0]) * i / (points - 1))) for f in vary for i in range(points)]
     steps = cells.sparkSession.createDataFrame(grid, "feature string, step int, value double")
     mixed = sample.crossJoin(F.broadcast(steps))  # at most most_rows by features by points
     mixed = mixed.select("feature", "step", "value", *(F.when(F.col("feature") == f, F.col("value")).otherwise(F.col(f)).alias(f) for f in features))
-    models = [F.struct(F.lit(n).alias("identifier"), probability(m, features).alias("p")) for n, m in iterate_models(coefficients, FINAL)]
-    scored = mixed.select("feature", "step", "value", F.explode(F.array(*models)).alias("m"))
-    mean = scored.groupBy(F.col("m.identifier").alias("identifier"), "feature", "step", "value").agg(F.avg("m.p").alias("p"))
+    scored = score(mixed, coefficients, features, ["feature", "step", "value"])
+    mean = scored.groupBy("identifier", "feature", "step", "value").agg(F.avg("p").alias("p"))
     first = F.first("p").over(Window.partitionBy("identifier", "feature").orderBy("step").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     return mean.withColumn("centred", F.col("p") - first)

@@ -111,3 +111,23 @@ def with_prefix(columns: list[str], prefixes: list[str]) -> list[str]:
 def included(flags: DataFrame) -> list[str]:
     """Variables whose include is 1, of a table with one row per variable."""
     return [r["variable"] for r in flags.filter("include = 1").orderBy("variable").collect()]
+
+
+def subset(df: DataFrame, names: list[str], keys: list[str] = (), drop_missing: bool = False) -> DataFrame:
+    """keys and the named features of df; drop_missing: only rows with all of them. An absent feature is an error."""
+    absent = [n for n in names if n not in df.columns]
+    if absent:
+        raise ValueError(f"no such features: {absent}")
+    out = df.select(*keys, *(F.col(f"`{n}`") for n in names))
+    return out.na.drop(subset=list(names)) if drop_missing else out
+
+
+def missing_from(wanted: DataFrame, known: DataFrame, on: str) -> DataFrame:
+    """Distinct values of on that are wanted and not known."""
+    return wanted.select(on).distinct().join(known.select(on), on, "left_anti")
+
+
+def explode_lists(df: DataFrame, lists: list[str]) -> DataFrame:
+    """A row for each place of several lists of one length; other columns are repeated."""
+    rest = [c for c in df.columns if c not in lists]
+    return df.select(*rest, F.explode(F.arrays_zip(*lists)).alias("_z")).select(*rest, *(F.col("_z")[c].alias(c) for c in lists))

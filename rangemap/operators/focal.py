@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,10 +73,13 @@ def position_index(cells: DataFrame, band: str, window: int = 3, name: str = "tp
 
 
 def ruggedness_index(cells: DataFrame, band: str, window: int = 3, name: str = "tri") -> DataFrame:
-    """sqrt of the sum of squared differences to the centre over each full window."""
-    out = focal(cells, [window], [band], SUM | SQUARE)
-    n, s, q = (F.col(f"_{p}_{band}_{window}") for p in "nsq")
-    v = F.col(band)
+    """sqrt of the sum of squared differences to the centre over each full window. Values are taken from the band's mean
+    first, against cancellation."""
+    mean = cells.agg(F.avg(band).alias("_mean"))
+    centred = cells.crossJoin(F.broadcast(mean)).withColumn("_v", F.col(band) - F.col("_mean"))  # one row
+    out = focal(centred, [window], ["_v"], SUM | SQUARE)
+    n, s, q = (F.col(f"_{p}__v_{window}") for p in "nsq")
+    v = F.col("_v")
     return out.select(*KEY, F.when(n == window * window, F.sqrt(F.greatest(q - 2 * v * s + n * v * v, F.lit(0.0)))).alias(name))
 
 
@@ -132,32 +136,24 @@ def focal_apply(cells: DataFrame, band: str, window: int, fn: Callable[[Column],
     return both.select(*KEY, F.when(full, fn(values)).alias(name))
 
 
-def _shifted(by: int) -> Callable[[Column], Column]:
-    return lambda p: p + by
-
-
-def _below(n: int) -> Callable[[Column], Column]:
-    return lambda p: (p >= 0) & (p < n)
-
-
 def gaussian(cells: DataFrame, nrows: int, ncols: int, band: str, sigma: float = 1.5, cut: float = 4.0, name: str | None = None) -> DataFrame:
-    """Gaussian smoothing of a dense raster, mirrored at the edges, one axis after the other.
-
-    Each cell's value goes to the cells it weighs on, mirrored where they lie outside; weights are summed before the
-    shuffle's far side. The copies grow with sigma, not with its square.
-    """
+    """Gaussian smoothing of a dense raster (a row for every cell; nulls weigh nothing), mirrored at the edges, one axis
+    after the other. A window gives each cell its neighbours along a line and their weighted sum is taken in place: two
+    shuffles, and no cell is copied."""
     reach = int(cut * sigma + 0.5)
     weights = [math.exp(-0.5 * (d / sigma) ** 2) for d in range(-reach, reach + 1)]
     total = sum(weights)
-    kernel = F.array(*(F.struct(F.lit(d).alias("d"), F.lit(w / total).alias("w")) for d, w in zip(range(-reach, reach + 1), weights, strict=True)))
-    out = cells.select(*KEY, F.col(band).alias("_v"))
+    out = cells.select(*KEY, F.col(band).cast("double").alias("_v"))
     for axis, n in (("row", nrows), ("col", ncols)):
-        # A cell reads place p of a line mirrored without end; of the 2n places of a period, i and 2n - 1 - i are cell i.
-        out = out.withColumn("k", F.explode(kernel))
-        reads = F.array(F.col(axis) + F.col("k.d"), F.lit(2 * n - 1) - F.col(axis) + F.col("k.d"))
-        periods = range(-(reach // (2 * n)) - 1, reach // (2 * n) + 2)
-        places = F.concat(*(F.transform(reads, _shifted(2 * n * t)) for t in periods))
-        out = out.withColumn("_to", F.explode(F.filter(places, _below(n))))
-        other = "col" if axis == "row" else "row"
-        out = out.groupBy(other, F.col("_to").alias(axis)).agg(F.sum(F.col("_v") * F.col("k.w")).alias("_v"))
+        line = Window.partitionBy("col" if axis == "row" else "row").orderBy(axis).rowsBetween(-reach, reach)
+        out = out.withColumn("_near", F.collect_list(F.struct("_v")).over(line))
+        first = F.greatest(F.col(axis) - reach, F.lit(0))
+        terms = []
+        for d, w in zip(range(-reach, reach + 1), weights, strict=True):
+            # A line mirrored without end: of the 2n places of a period, i and 2n - 1 - i are cell i.
+            at = F.pmod(F.col(axis) + d, F.lit(2 * n))
+            at = F.when(at < n, at).otherwise(F.lit(2 * n - 1) - at)
+            terms.append(F.coalesce(F.get("_near", at - first)["_v"], F.lit(0.0)) * (w / total))
+        known = F.exists("_near", lambda x: x["_v"].isNotNull())
+        out = out.select(*KEY, F.when(known, reduce(Column.__add__, terms)).alias("_v"))
     return out.select(*KEY, F.col("_v").alias(name or band))

@@ -7,7 +7,7 @@ fold in a task of its own; a model of very many rows is fitted by Spark's own lo
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -222,7 +222,10 @@ def _predict(rows: pd.DataFrame, found: list[dict], clamp: bool) -> np.ndarray:
     return eta
 
 
-def _group(features_of: dict[str, list[str]], default: list[str], config: Config):
+Metric = Callable[[np.ndarray, np.ndarray], float | None]
+
+
+def _group(features_of: dict[str, list[str]], default: list[str], config: Config, metric: Metric):
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pandas()
         identifier, fold = rows["identifier"].iloc[0], int(rows["model_fold"].iloc[0])
@@ -239,7 +242,7 @@ def _group(features_of: dict[str, list[str]], default: list[str], config: Config
         else:
             try:
                 out, _ = _fit(train, features, config)
-                score = rank_auc(test["class"].to_numpy(), _predict(test, out, config.clamp)) if len(test) else None
+                score = metric(test["class"].to_numpy(), _predict(test, out, config.clamp)) if len(test) else None
                 out.append({"kind": "auc", "coef": score})
             except (np.linalg.LinAlgError, FloatingPointError) as e:
                 status, out = f"Error: {e}", []
@@ -263,18 +266,19 @@ def with_random_folds(training: DataFrame, k: int = 3, seed: int = 42, by: str =
     return training.withColumn("fold", F.ntile(k).over(order) - 1)
 
 
-def fit_all(training: DataFrame, features: dict[str, list[str]] | list[str], config: Config = Config(), k: int = 3) -> DataFrame:
+def fit_all(training: DataFrame, features: dict[str, list[str]] | list[str], config: Config = Config(), k: int = 3, metric: Metric = rank_auc) -> DataFrame:
     """The coefficient table of one model per identifier and fold 0..k-1, and of fold FINAL on all rows.
 
     training: identifier, class, sample_weight, fold, features. features: for all, or by the activity that ends an
     identifier. Rows of kind auc, status, n_presence, n_background carry a model's outcome; a group that can't be fitted
     has a status and no coefficients. A group is one model's rows for one fold and goes to one task: for identifiers of
-    more rows than a task should hold use fit_large.
+    more rows than a task should hold use fit_large. metric: of the classes and linear predictors of a fold's held-out rows;
+    its value is kept as kind auc, whatever it is.
     """
     by_activity = features if isinstance(features, dict) else {}
     default = features if isinstance(features, list) else sorted({f for v in features.values() for f in v})
     every = training.select("identifier", "class", "sample_weight", "fold", *default).withColumn("model_fold", F.explode(F.array(*(F.lit(f) for f in (*range(k), FINAL)))))
-    return every.groupBy("identifier", "model_fold").applyInArrow(_group(by_activity, default, config), COEFFICIENTS)
+    return every.groupBy("identifier", "model_fold").applyInArrow(_group(by_activity, default, config, metric), COEFFICIENTS)
 
 
 def fit_large(training: DataFrame, features: list[str], config: Config = Config()) -> tuple[DataFrame, float]:

@@ -2,50 +2,115 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .maxent import FINAL, HINGE, LINEAR, PRODUCT, QUADRATIC, THRESHOLD, column, iterate_models, scaled_column
+from .maxent import FINAL, HINGE, LINEAR, PRODUCT, QUADRATIC, THRESHOLD, iterate_models, matrix
 from .raster import KEY
 
 
-def link(rows: list, clamp: bool = True) -> tuple[Column, float, float]:
-    """The linear predictor of one model's coefficient rows, its alpha and its entropy."""
-    parts, fixed = [], {"alpha": 0.0, "entropy": 0.0}
-    for r in sorted(rows, key=lambda r: (r["kind"], r["a"] or "", r["b"] or "", r["knot"] or 0.0)):
-        if r["kind"] in fixed:
-            fixed[r["kind"]] = r["coef"]
-        elif r["kind"] in (LINEAR, QUADRATIC, PRODUCT, HINGE, THRESHOLD):
-            a = scaled_column(r["a"], r["lo_a"], r["hi_a"], clamp)
-            b = scaled_column(r["b"], r["lo_b"], r["hi_b"], clamp) if r["b"] else None
-            parts.append(F.lit(r["coef"]) * column(r["kind"], a, b, r["knot"], r["up"]))
-    return reduce(Column.__add__, parts, F.lit(0.0)), fixed["alpha"], fixed["entropy"]
-
-
-def probability(rows: list, features: list[str], transform: str = "cloglog", clamp: bool = True) -> Column:
-    """cloglog 1 - exp(-exp(eta + alpha + entropy)), logistic, or raw; null if any feature is null."""
-    eta, alpha, entropy = link(rows, clamp)
-    if transform == "cloglog":
-        p = 1 - F.exp(-F.exp(eta + F.lit(alpha + entropy)))
-    elif transform == "logistic":
-        p = 1 / (1 + F.exp(-(eta + F.lit(alpha + entropy))))
-    else:
-        p = F.exp(eta + F.lit(alpha))
-    known = reduce(Column.__and__, [F.col(f"`{f}`").isNotNull() for f in features])
-    return F.when(known, p)
-
-
-def score(df: DataFrame, coefficients: DataFrame, features: list[str] | dict[str, list[str]], keys: list[str] = KEY, fold: int = FINAL, transform: str = "cloglog") -> DataFrame:
-    """(keys, identifier, p) of every row with every model: one narrow projection, an expression per model."""
-    made = []
-    for name, rows in iterate_models(coefficients, fold):
-        own = features.get(name.rsplit("_", 1)[-1], []) if isinstance(features, dict) else features
-        made.append(F.struct(F.lit(name).alias("identifier"), probability(rows, own, transform).alias("p")))
-    if not made:
-        return df.select(*keys, F.lit(None).cast("string").alias("identifier"), F.lit(None).cast("double").alias("p")).limit(0)
-    return df.select(*keys, F.explode(F.array(*made)).alias("m")).select(*keys, "m.identifier", "m.p")
+@dataclass(frozen=True)
+class Scorer:
+    """One model's terms as arrays, small enough to travel with a task. Values are scaled to the training range."""
+
+    name: str
+    features: list[str]  # without a value in any of them there is no prediction
+    terms: list[tuple[str, str, str | None, float, bool, float]]  # kind, a, b, knot, up, coefficient
+    range: dict[str, tuple[float, float]]
+    alpha: float
+    entropy: float
+
+    @staticmethod
+    def of(name: str, rows: list, features: list[str]) -> Scorer:
+        fixed = {r["kind"]: r["coef"] for r in rows if r["kind"] in ("alpha", "entropy")}
+        kept = [r for r in rows if r["kind"] in (LINEAR, QUADRATIC, PRODUCT, HINGE, THRESHOLD)]
+        kept.sort(key=lambda r: (r["kind"], r["a"] or "", r["b"] or "", r["knot"] or 0.0, r["up"]))
+        span = {r["a"]: (r["lo_a"], r["hi_a"]) for r in kept} | {r["b"]: (r["lo_b"], r["hi_b"]) for r in kept if r["b"]}
+        return Scorer(name, features, [(r["kind"], r["a"], r["b"], r["knot"], r["up"], r["coef"]) for r in kept], span, fixed.get("alpha", 0.0), fixed.get("entropy", 0.0))
+
+    @property
+    def columns(self) -> list[str]:
+        return list(dict.fromkeys([*self.features, *self.range]))
+
+    def probability(self, values: dict[str, np.ndarray], transform: str, clamp: bool) -> np.ndarray:
+        """cloglog 1 - exp(-exp(eta + alpha + entropy)), logistic, or raw; NaN where a feature is."""
+        n = len(next(iter(values.values())))
+        scaled = {}
+        for f, (lo, hi) in self.range.items():
+            v = (values[f] - lo) / (hi - lo if hi > lo else 1.0)
+            scaled[f] = np.clip(v, 0.0, 1.0) if clamp else v
+        made = matrix(scaled, [t[:5] for t in self.terms]) if self.terms else np.zeros((n, 0))
+        eta = made @ np.array([t[5] for t in self.terms])
+        if transform == "cloglog":
+            p = 1 - np.exp(-np.exp(eta + self.alpha + self.entropy))
+        elif transform == "logistic":
+            p = 1 / (1 + np.exp(-(eta + self.alpha + self.entropy)))
+        else:
+            p = np.exp(eta + self.alpha)
+        missing = np.zeros(n, bool)
+        for f in self.features:
+            missing |= np.isnan(values[f])
+        return np.where(missing, np.nan, p)
+
+
+def scorers(coefficients: DataFrame, features: list[str] | dict[str, list[str]], fold: int = FINAL) -> list[Scorer]:
+    """The models of a fold; features for all, or by the activity that ends an identifier."""
+    of = lambda name: features.get(name.rsplit("_", 1)[-1], []) if isinstance(features, dict) else features
+    return [Scorer.of(name, rows, of(name)) for name, rows in iterate_models(coefficients, fold)]
+
+
+def _values(batch: pa.RecordBatch, names: list[str], rows: np.ndarray | None = None) -> dict[str, np.ndarray]:
+    cols = {f: batch.column(f).cast(pa.float64()).to_numpy(zero_copy_only=False) for f in names}
+    return cols if rows is None else {f: c[rows] for f, c in cols.items()}
+
+
+def _rows(batch: pa.RecordBatch, keys: list[str], name: str | None, p: np.ndarray, rows: np.ndarray | None = None) -> pa.RecordBatch:
+    cols = [batch.column(k) if rows is None else batch.column(k).take(pa.array(np.flatnonzero(rows))) for k in keys]
+    own = [] if name is None else [pa.array([name] * len(p), pa.string())]
+    return pa.RecordBatch.from_arrays([*cols, *own, pa.array(p, pa.float64(), from_pandas=True)], [*keys, *(["identifier"] if own else []), "p"])
+
+
+def _schema(df: DataFrame, keys: list[str], *more: T.StructField) -> T.StructType:
+    kinds = {f.name: f.dataType for f in df.schema}
+    return T.StructType([T.StructField(k, kinds[k]) for k in keys] + list(more))
+
+
+def score(df: DataFrame, coefficients: DataFrame, features: list[str] | dict[str, list[str]], keys: list[str] = KEY, fold: int = FINAL, transform: str = "cloglog", clamp: bool = True) -> DataFrame:
+    """(keys, identifier, p) of every row with every model; null if a feature is null. One narrow map over Arrow batches with
+    the models' terms, as many as species, activities and terms, whatever the rows; no code grows with the models."""
+    models = scorers(coefficients, features, fold)
+    used = list(dict.fromkeys(c for m in models for c in m.columns))
+
+    def run(batches):
+        for batch in batches:
+            values = _values(batch, used)
+            for m in models:
+                yield _rows(batch, keys, m.name, m.probability(values, transform, clamp))
+
+    schema = _schema(df, keys, T.StructField("identifier", T.StringType()), T.StructField("p", T.DoubleType()))
+    return df.select(*dict.fromkeys([*keys, *used])).mapInArrow(run, schema)
+
+
+def score_own(df: DataFrame, coefficients: DataFrame, features: list[str] | dict[str, list[str]], keys: list[str], identifier: str = "identifier", fold: int = FINAL, transform: str = "cloglog", clamp: bool = True) -> DataFrame:
+    """(keys, p) of every row with the model that its identifier names; rows without a model are left out."""
+    models = {m.name: m for m in scorers(coefficients, features, fold)}
+    if not models:
+        raise ValueError("no model was fitted")
+    used = list(dict.fromkeys(c for m in models.values() for c in m.columns))
+
+    def run(batches):
+        for batch in batches:
+            names = np.array(batch.column(identifier).to_pylist(), object)
+            for name in sorted({n for n in names if n in models}):
+                rows = names == name
+                yield _rows(batch, keys, None, models[name].probability(_values(batch, used, rows), transform, clamp), rows)
+
+    return df.select(*dict.fromkeys([*keys, identifier, *used])).mapInArrow(run, _schema(df, keys, T.StructField("p", T.DoubleType())))
 
 
 def richness(predictions: DataFrame, threshold: float = 0.7) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.scalars import tidy_name
 from .grid import GridSpec
 
 KEY = ["row", "col"]
@@ -96,16 +97,17 @@ def clip_cells(cells: DataFrame, inside: DataFrame) -> DataFrame:
 def interpolate_gaps(cells: DataFrame, bands: list[str] | None = None) -> DataFrame:
     """Fill nulls between known neighbours linearly, along columns first, then along rows; no extrapolation.
 
-    Gaps must be rows with a null (see densify). Two shuffles, for all bands together.
+    Gaps must be rows with a null (see densify). Two shuffles, for all bands together; frames only grow, so a line costs its
+    length.
     """
     for across, along in (("col", "row"), ("row", "col")):
         back = Window.partitionBy(across).orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
-        ahead = Window.partitionBy(across).orderBy(along).rowsBetween(1, Window.unboundedFollowing)
+        ahead = Window.partitionBy(across).orderBy(F.desc(along)).rowsBetween(Window.unboundedPreceding, -1)
         made = {}
         for b in bands or bands_of(cells):
             at = F.when(F.col(b).isNotNull(), F.col(along))
-            v0, v1 = F.last(b, True).over(back), F.first(b, True).over(ahead)
-            p0, p1 = F.last(at, True).over(back), F.first(at, True).over(ahead)
+            v0, v1 = F.last(b, True).over(back), F.last(b, True).over(ahead)
+            p0, p1 = F.last(at, True).over(back), F.last(at, True).over(ahead)
             made[b] = F.coalesce(F.col(b), v0 + (v1 - v0) * (F.col(along) - p0) / (p1 - p0))
         cells = cells.withColumns(made)
     return cells
@@ -158,3 +160,29 @@ def min_max(cells: DataFrame, bands: list[str], clip: bool = True) -> DataFrame:
         return F.when(F.col(b).isNotNull() & (lo == hi), F.lit(0.5)).otherwise(F.when(lo != hi, v)).alias(b)
 
     return cells.crossJoin(F.broadcast(stats)).select(*(c for c in cells.columns if c not in bands), *map(scaled, bands))
+
+
+def layer_paths(items: list[str]) -> dict[str, str]:
+    """`name=path` items to paths by name; a bare path is named by its file's stem."""
+    out = {}
+    for item in items:
+        name, has_name, path = item.partition("=")
+        path = path if has_name else item
+        name = name if has_name else path.rstrip("/").rsplit("/", 1)[-1].split(".")[0]
+        if name in out:
+            raise ValueError(f"two layers named {name}")
+        out[name] = path
+    return out
+
+
+def merge_on_grid(layers: dict[str, tuple[DataFrame, GridSpec]], spec: GridSpec, targets: DataFrame, inside: DataFrame | None = None) -> DataFrame:
+    """Layers on their own grids to one stack on spec's: bands named by the layer, or {layer}_{band} where it has several,
+    tidied; resampled bilinearly unless they are on the grid already; merged; cut to inside."""
+    placed = {}
+    for name, (cells, own) in layers.items():
+        bands = bands_of(cells)
+        names = {b: tidy_name(name if len(bands) == 1 else f"{name}_{b}") for b in bands}
+        moved = cells if own == spec else resample(cells, own, spec, targets)
+        placed[name] = moved.select(*KEY, *(F.col(f"`{b}`").cast("double").alias(n) for b, n in names.items()))
+    out = merge_layers(placed)
+    return clip_cells(out, inside) if inside is not None else out

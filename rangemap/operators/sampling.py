@@ -17,16 +17,15 @@ from . import focal
 from .distance import knn_weights
 from .grid import GridSpec, model_grid, with_centre
 from .occurrence import annotate, background_size, densest, drop_in_presence_cells, stack, thin_to_cells, with_enough
+from .ordered import first_rows, quantiles, running
 from .raster import KEY, point_counts
 
 
 def average_rank(df: DataFrame, value: str, name: str = "rank") -> DataFrame:
-    """df with the average rank of value over n. Ranks are taken over distinct values with their counts, so the ordered
-    window sees one row per value."""
+    """df with the average rank of value over n. Ranks are taken over distinct values with their counts, dealt by ranges."""
     counts = df.groupBy(value).agg(F.count("*").alias("_n"))
     n = df.agg(F.count("*").alias("_all"))
-    before = F.sum("_n").over(Window.orderBy(value).rowsBetween(Window.unboundedPreceding, -1))
-    ranks = counts.select(value, (F.coalesce(before, F.lit(0)) + (F.col("_n") + 1) / 2).alias("_rank")).crossJoin(F.broadcast(n))  # one row
+    ranks = running(counts, [], value, {"_before": "_n"}).select(value, (F.col("_before") + (F.col("_n") + 1) / 2).alias("_rank")).crossJoin(F.broadcast(n))  # one row
     return df.join(ranks.select(value, (F.col("_rank") / F.col("_all")).alias(name)), value)
 
 
@@ -40,7 +39,7 @@ def transform_counts(cells: DataFrame, method: str, cap_percentile: float = 90.0
     if method == "presence":
         return cells.withColumn(band, (v > 0).cast("double"))
     if method == "cap":
-        cap = cells.filter(v > 0).agg(F.percentile(band, cap_percentile / 100).alias("_cap"))
+        cap = quantiles(cells.filter(v > 0), [], band, {"_cap": cap_percentile / 100})
         return cells.crossJoin(F.broadcast(cap)).withColumn(band, F.when(F.col("_cap").isNull(), v).otherwise(F.least(v, F.col("_cap")))).drop("_cap")
     if method == "rank":
         return average_rank(cells, band, "_r").drop(band).withColumnRenamed("_r", band)
@@ -60,7 +59,8 @@ def probabilities(cells: DataFrame, method: str, value: float, band: str = "valu
     elif method in ("contrast", "scale"):
         floor = F.max(band) * float(min(max(value, 0.0), 1.0) if method == "contrast" else value)
     elif method == "percentile":
-        floor = F.percentile(band, value / 100)
+        floor = F.first("_q")
+        known = known.crossJoin(F.broadcast(quantiles(known, [], band, {"_q": value / 100})))  # one row
     elif method == "fixed":
         floor = F.lit(float(value))
     else:
@@ -69,7 +69,7 @@ def probabilities(cells: DataFrame, method: str, value: float, band: str = "valu
     raised = known.crossJoin(F.broadcast(low)).withColumn("_v", F.greatest(band, "_floor"))
     total = raised.agg(F.sum("_v").alias("_sum"), F.count("*").alias("_n"))
     p = F.when(F.col("_sum") > 1e-9, F.col("_v") / F.col("_sum")).otherwise(1 / F.col("_n"))
-    return raised.crossJoin(F.broadcast(total)).withColumn("p", p).drop("_floor", "_v", "_sum", "_n")
+    return raised.crossJoin(F.broadcast(total)).withColumn("p", p).drop("_floor", "_v", "_sum", "_n", "_q")
 
 
 def weighted_sample(df: DataFrame, n: int, key: str, p: str = "p", seed: int = 42) -> DataFrame:
@@ -138,12 +138,11 @@ def training_table(presence: DataFrame, background: DataFrame, cells: DataFrame,
     thin = thin_to_cells(enough.select(by, point_id, "x", "y"), spec, [by], point_id, tolerance)
     base = thin_to_cells(background.select(point_id, "x", "y", "weight"), spec, [], point_id, tolerance)
     names = thin.select(by).distinct()
-    every = drop_in_presence_cells(base.crossJoin(F.broadcast(names)), thin, [by])  # names: a vocabulary
+    every = drop_in_presence_cells(base.crossJoin(names), thin, [by])  # every identifier gets the whole background
     if subset is not None:
         wanted = thin.groupBy(by).agg(background_size(F.count("*")).alias("_want"))
         order = F.desc("weight") if subset == "density" else unit_hash(F.col(point_id), seed)
-        rank = F.row_number().over(Window.partitionBy(by).orderBy(order, point_id))
-        every = every.join(F.broadcast(wanted), by).withColumn("_rank", rank).filter("_rank <= _want").drop("_rank", "_want")
+        every = first_rows(every.join(wanted, by), [by], [order, F.asc(point_id)], F.col("_want"), point_id).drop("_rank", "_want")
     both = stack(thin.select(by, point_id, "x", "y"), every.select(by, point_id, "x", "y"))
     known = annotate(both, cells, spec, bands)
     known = known.withColumn("_key", F.concat_ws(":", "class", point_id))

@@ -85,11 +85,22 @@ def feature_cover(layers: dict[str, tuple[DataFrame, bool]], spec: GridSpec, gri
 
 
 def point_in_layer(points: DataFrame, layer: DataFrame, spec: GridSpec, point_id: str = "point_id") -> DataFrame:
-    """(point_id, geom_id) of each point inside each polygon. Points meet only polygons that touch their cell of spec, a
-    coarse grid of the caller's choice, before the exact test."""
-    keyed = points.select(point_id, "x", "y", spec.row(F.col("y")).alias("row"), spec.col(F.col("x")).alias("col"))
-    near = keyed.join(touched_cells(layer, spec), KEY).join(layer.select("geom_id", "rings"), "geom_id")
-    return near.filter(G.inside(F.col("x"), F.col("y"), F.col("rings"))).select(point_id, "geom_id")
+    """Distinct (point_id, geom_id) of each point inside each polygon, on spec, a grid of the caller's choice that covers all.
+
+    A cell that no edge of a polygon enters lies inside or outside as a whole, as its centre does. In the others a point's
+    crossings with the polygon's edges in the cell's row decide; no geometry is joined as a whole.
+    """
+    keyed = points.select(point_id, "x", "y", spec.row(F.col("y")).alias("row"), spec.col(F.col("x")).alias("col")).distinct()
+    entered = line_cells(layer, spec)
+    whole = polygon_cells(layer, spec).join(entered, ["geom_id", *KEY], "left_anti")
+    sure = keyed.join(whole, KEY).select(point_id, "geom_id")
+    edges = segments(layer).filter("y1 <> y2").withColumns({"_a": spec.row(F.greatest("y1", "y2")), "_b": spec.row(F.least("y1", "y2"))}).filter((F.col("_b") >= 0) & (F.col("_a") < spec.nrows))
+    edges = edges.withColumn("row", F.explode(F.sequence(_clamped(F.col("_a"), spec.nrows), _clamped(F.col("_b"), spec.nrows)))).drop("_a", "_b")
+    x, y = F.col("x"), F.col("y")
+    crosses = ((F.col("y1") > y) != (F.col("y2") > y)) & (x < (F.col("x2") - F.col("x1")) * (y - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1"))
+    met = keyed.join(entered, KEY).join(edges, ["geom_id", "row"]).filter(crosses)
+    odd = met.groupBy(point_id, "x", "y", "geom_id").agg(F.count("*").alias("_n")).filter("_n % 2 = 1")
+    return sure.unionByName(odd.select(point_id, "geom_id")).distinct()
 
 
 def split_roads(roads: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
@@ -127,8 +138,9 @@ def dissolved_edges(layer: DataFrame, by: str) -> DataFrame:
 
 
 def dissolve(layer: DataFrame, by: str) -> DataFrame:
-    """One multi-part geometry per group: all members' polygons, a point being inside if it is in any."""
-    return layer.groupBy(by).agg(F.collect_list("rings").alias("parts"))
+    """(by, part, rings): a multi-part geometry per group, a row per part, named by the polygon it was; a point is inside a
+    group if it is inside any part. A group may hold any number of polygons, so they stay rows."""
+    return layer.select(by, F.col("geom_id").alias("part"), "rings")
 
 
 def difference_cells(near: DataFrame, land: DataFrame) -> DataFrame:
@@ -141,7 +153,7 @@ def join_regions(counties: DataFrame, regions: DataFrame, on: str) -> DataFrame:
     absent = regions.join(counties.select(on), on, "left_anti").limit(20).collect()
     if absent:
         raise ValueError(f"not among the counties: {[r[on] for r in absent]}")
-    return counties.join(F.broadcast(regions), on)  # a hand-made map
+    return counties.join(regions, on)
 
 
 def whole_rings(layer: DataFrame) -> DataFrame:

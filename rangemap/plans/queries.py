@@ -10,17 +10,14 @@ from pyspark.sql import functions as F
 from ..functions import geometry as G
 from ..functions import scalars as S
 from ..operators import distance, evaluate, features, focal, grid, landcover, occurrence, raster, sampling, terrain, vector
-from ..operators import imagery, predict
+from ..operators import imagery, maxent, predict
 from . import standins as T
-from .standins import SPEC, with_tables
+from .standins import with_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 KEY = ["row", "col"]
-#: A coarse grid beyond all points, to meet polygons on.
-WIDE = grid.GridSpec(-400.0, 4600.0, 200.0, 26, 24)
-HALF = grid.GridSpec(SPEC.x0, SPEC.ytop, 200.0, 21, 19)
 
 
 def query(name: str, body: str | None = None, *tables: str) -> Callable[[Query], Query]:
@@ -45,7 +42,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def dense(spark: SparkSession, sf: str) -> DataFrame:
-    return raster.densify(T.cells(spark, sf), grid.model_grid(spark, SPEC))
+    return raster.densify(T.cells(spark, sf), grid.model_grid(spark, T.spec(spark, sf)))
 
 
 # ---------------------------------------------------------------- occurrences
@@ -53,8 +50,8 @@ def dense(spark: SparkSession, sf: str) -> DataFrame:
 @query("flagship_habitat", """SELECT t.latin_name, count(*) AS n_cells, round(avg(c.v), 6) + 0.0 AS mean_v FROM thin t JOIN cells c ON c."row" = t."row" AND c.col = t.col GROUP BY 1""", "thin", "cells")
 def flagship_habitat(spark, sf):
     """Per species: cells with a record within 50 m of the centre, and the mean environment there."""
-    thin = occurrence.thin_to_cells(T.points(spark, sf), SPEC, ["latin_name"], "point_id", 50.0)
-    found = occurrence.annotate(thin.drop(*KEY), T.cells(spark, sf), SPEC, ["v"])
+    thin = occurrence.thin_to_cells(T.points(spark, sf), T.spec(spark, sf), ["latin_name"], "point_id", 50.0)
+    found = occurrence.annotate(thin.drop(*KEY), T.cells(spark, sf), T.spec(spark, sf), ["v"])
     return found.groupBy("latin_name").agg(F.count("*").alias("n_cells"), r6(F.avg("v"), "mean_v"))
 
 
@@ -68,12 +65,12 @@ def s2(spark, sf):
     return occurrence.with_weight(T.points(spark, sf)).groupBy("latin_name").agg(F.count("*").alias("n"), F.sum("weight").alias("weight"))
 
 
-@query("s9_box_pushdown", "SELECT geom_id FROM (SELECT geom_id, cx - w AS minx, cy - w AS miny, cx + w AS maxx, cy + w AS maxy FROM diamonds) d WHERE minx >= 500 AND miny >= 500 AND maxx <= 3000 AND maxy <= 3000", "diamonds")
+@query("s9_box_pushdown", "SELECT geom_id FROM (SELECT geom_id, cx - w AS minx, cy - w AS miny, cx + w AS maxx, cy + w AS maxy FROM diamonds) d WHERE minx >= 500 AND miny >= 500 AND maxx <= 3000 * @M AND maxy <= 3000 * @M", "diamonds")
 def s9(spark, sf):
     from ..sources.tables import within_box
 
     d = T.diamonds(spark, sf).selectExpr("geom_id", "cx - w AS minx", "cy - w AS miny", "cx + w AS maxx", "cy + w AS maxy")
-    return within_box(d, (500, 500, 3000, 3000)).select("geom_id")
+    return within_box(d, (500, 500, 3000 * T.scale(spark, sf), 3000 * T.scale(spark, sf))).select("geom_id")
 
 
 @query("s16_s18_k6_grid_points", """SELECT "row", col FROM cells WHERE v IS NOT NULL AND d IS NOT NULL AND t IS NOT NULL""", "cells")
@@ -105,15 +102,15 @@ def p3(spark, sf):
     return occurrence.succeeded(o).select("o_orderkey")
 
 
-@query("p4_point_in_polygon", "SELECT p.point_id, d.geom_id FROM points p JOIN zones d ON abs(p.x - d.cx) + abs(p.y - d.cy) < d.w", "points", "zones")
+@query("p4_point_in_polygon", "SELECT p.point_id, d.geom_id FROM points p JOIN diamonds d ON abs(p.x - d.cx) + abs(p.y - d.cy) < d.w", "points", "diamonds")
 def p4(spark, sf):
-    return vector.point_in_layer(T.points(spark, sf), T.zones(spark, sf), WIDE)
+    return vector.point_in_layer(T.points(spark, sf), T.diamonds(spark, sf), T.wide(spark, sf))
 
 
-@query("p5_box_overlap", "SELECT geom_id FROM diamonds WHERE cx - w <= 1500 AND cx + w >= 1000 AND cy - w <= 2500 AND cy + w >= 1000", "diamonds")
+@query("p5_box_overlap", "SELECT geom_id FROM diamonds WHERE cx - w <= 1500 * @M AND cx + w >= 1000 AND cy - w <= 2500 * @M AND cy + w >= 1000", "diamonds")
 def p5(spark, sf):
     d = T.diamonds(spark, sf)
-    return d.filter(G.meets_box(G.box_of(F.col("rings")), (1000, 1000, 1500, 2500))).select("geom_id")
+    return d.filter(G.meets_box(G.box_of(F.col("rings")), (1000, 1000, 1500 * T.scale(spark, sf), 2500 * T.scale(spark, sf)))).select("geom_id")
 
 
 _TOUCH = """SELECT DISTINCT geom_id, "row", col FROM (
@@ -123,24 +120,24 @@ _TOUCH = """SELECT DISTINCT geom_id, "row", col FROM (
 
 @query("p6_touched_cells", _TOUCH, "grid", "diamonds")
 def p6(spark, sf):
-    return vector.touched_cells(T.diamonds(spark, sf), SPEC)
+    return vector.touched_cells(T.diamonds(spark, sf), T.spec(spark, sf))
 
 
-@query("p6_p7_clip", """SELECT c."row", c.col, c.v FROM cells c JOIN grid g ON g."row" = c."row" AND g.col = c.col WHERE EXISTS (SELECT 1 FROM zones d WHERE abs(g.x - d.cx) + abs(g.y - d.cy) < d.w)""", "grid", "zones", "cells")
+@query("p6_p7_clip", """SELECT c."row", c.col, c.v FROM cells c JOIN grid g ON g."row" = c."row" AND g.col = c.col WHERE EXISTS (SELECT 1 FROM diamonds d WHERE abs(g.x - d.cx) + abs(g.y - d.cy) < d.w)""", "grid", "diamonds", "cells")
 def p7(spark, sf):
-    inside = vector.polygon_cells(T.zones(spark, sf), SPEC)
+    inside = vector.polygon_cells(T.diamonds(spark, sf), T.spec(spark, sf))
     return raster.clip_cells(T.cells(spark, sf).select("row", "col", "v"), inside)
 
 
-@query("p8_clip_box", """SELECT c."row", c.col, c.v FROM cells c JOIN grid g ON g."row" = c."row" AND g.col = c.col WHERE g.x BETWEEN 500 AND 2000 AND g.y BETWEEN 1000 AND 3000""", "grid", "cells")
+@query("p8_clip_box", """SELECT c."row", c.col, c.v FROM cells c JOIN grid g ON g."row" = c."row" AND g.col = c.col WHERE g.x BETWEEN 500 AND 2000 * @M AND g.y BETWEEN 1000 AND 3000 * @M""", "grid", "cells")
 def p8(spark, sf):
-    return raster.clip_box(T.cells(spark, sf), SPEC, (500, 1000, 2000, 3000)).select("row", "col", "v")
+    return raster.clip_box(T.cells(spark, sf), T.spec(spark, sf), (500, 1000, 2000 * T.scale(spark, sf), 3000 * T.scale(spark, sf))).select("row", "col", "v")
 
 
 @query("p10_p11_p9_subset", """SELECT point_id, accuracy, CASE WHEN user_id % 3 = 0 THEN 1 ELSE 0 END AS class FROM points WHERE user_id % 4 <> 0""", "points")
 def p10(spark, sf):
     p = T.points(spark, sf).withColumn("f", F.when(F.col("user_id") % 4 != 0, 1.0)).withColumn("class", F.when(F.col("user_id") % 3 == 0, 1).otherwise(0))
-    return p.na.drop(subset=["f"]).select("point_id", "accuracy", "class")
+    return features.subset(p, ["f"], ["point_id", "accuracy", "class"], drop_missing=True).drop("f")
 
 
 @query("p12_large_parts", "SELECT geom_id, round(2 * w * w, 6) + 0.0 AS area FROM diamonds WHERE 2 * w * w / 1e6 > 0.02", "diamonds")
@@ -152,7 +149,8 @@ def p12(spark, sf):
 @query("p13_prefix_p14_p9", """SELECT "row", col, d FROM cells""", "cells")
 def p13(spark, sf):
     c = T.cells(spark, sf)
-    return c.select(*KEY, *features.with_prefix(raster.bands_of(c), ["d"]))
+    flags = spark.createDataFrame([("v", 0), ("d", 1), ("t", 0)], "variable string, include int")  # a table of the user's choices
+    return features.subset(c, [b for b in features.with_prefix(raster.bands_of(c), ["d", "v"]) if b in features.included(flags)], KEY)
 
 
 @query("p15_valid_rings", "SELECT geom_id FROM diamonds WHERE geom_id % 5 <> 0", "diamonds")
@@ -165,18 +163,19 @@ def p15(spark, sf):
 
 @query("j1_annotate", """SELECT p.point_id, c.v, c.d FROM placed p JOIN cells c ON c."row" = p."row" AND c.col = p.col""", "placed", "cells")
 def j1(spark, sf):
-    return occurrence.annotate(T.points(spark, sf), T.cells(spark, sf), SPEC, ["v", "d"]).select("point_id", "v", "d")
+    return occurrence.annotate(T.points(spark, sf), T.cells(spark, sf), T.spec(spark, sf), ["v", "d"]).select("point_id", "v", "d")
 
 
 @query("j2_j3_sample_band", """SELECT p.point_id, c.v FROM placed p LEFT JOIN cells c ON c."row" = p."row" + 5 AND c.col = p.col""", "placed", "cells")
 def j2(spark, sf):
-    shifted = grid.GridSpec(SPEC.x0, SPEC.ytop + 500, 100.0, 42, 38)
+    spec = T.spec(spark, sf)
+    shifted = grid.GridSpec(spec.x0, spec.ytop + 500, spec.res, spec.nrows, spec.ncols)
     return occurrence.annotate(T.points(spark, sf), T.cells(spark, sf), shifted, ["v"], drop_missing=False).select("point_id", "v")
 
 
 @query("j4_t20_thin", """SELECT point_id, latin_name, "row", col FROM thin""", "thin")
 def j4(spark, sf):
-    return occurrence.thin_to_cells(T.points(spark, sf), SPEC, ["latin_name"], "point_id", 50.0).select("point_id", "latin_name", "row", "col")
+    return occurrence.thin_to_cells(T.points(spark, sf), T.spec(spark, sf), ["latin_name"], "point_id", 50.0).select("point_id", "latin_name", "row", "col")
 
 
 @query("j5_merge_layers", """SELECT coalesce(a."row", b."row") AS "row", coalesce(a.col, b.col) AS col, a.v, b.k FROM cells a FULL JOIN (SELECT "row" + 5 AS "row", col - 3 AS col, k FROM classes) b ON a."row" = b."row" AND a.col = b.col""", "cells", "classes")
@@ -186,8 +185,8 @@ def j5(spark, sf):
 
 @query("j6_background_outside_presence", """SELECT b.point_id FROM bgplaced b WHERE NOT EXISTS (SELECT 1 FROM placed p WHERE p.latin_name = 'purchase' AND p.activity_type = 'Roost' AND p."row" = b."row" AND p.col = b.col)""", "placed", "bgplaced")
 def j6(spark, sf):
-    pres = grid.with_cell(occurrence.filter_records(T.points(spark, sf), latin_name="purchase", activity_type="Roost"), SPEC, inside=False)
-    return occurrence.drop_in_presence_cells(grid.with_cell(T.background(spark, sf), SPEC, inside=False), pres).select("point_id")
+    pres = grid.with_cell(occurrence.filter_records(T.points(spark, sf), latin_name="purchase", activity_type="Roost"), T.spec(spark, sf), inside=False)
+    return occurrence.drop_in_presence_cells(grid.with_cell(T.background(spark, sf), T.spec(spark, sf), inside=False), pres).select("point_id")
 
 
 @query("j8_regions", "SELECT c.c_custkey, n.n_name FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey")
@@ -220,15 +219,15 @@ def a1(spark, sf):
 _BLOCK = """CAST("row" // 4 AS INTEGER) AS "row", CAST(col // 4 AS INTEGER) AS col"""
 
 
-@query("a2_a5_coarsen_sum", f"""SELECT {_BLOCK}, round(coalesce(sum(v), 0), 6) + 0.0 AS v FROM cells WHERE "row" < 40 AND col < 36 GROUP BY 1, 2""", "cells")
+@query("a2_a5_coarsen_sum", f"""SELECT {_BLOCK}, round(coalesce(sum(v), 0), 6) + 0.0 AS v FROM cells WHERE "row" < @R // 4 * 4 AND col < @C // 4 * 4 GROUP BY 1, 2""", "cells")
 def a2(spark, sf):
-    return rounded(raster.coarsen_sum(T.cells(spark, sf).select(*KEY, "v"), SPEC, 4))
+    return rounded(raster.coarsen_sum(T.cells(spark, sf).select(*KEY, "v"), T.spec(spark, sf), 4))
 
 
-@query("a3_coarsen_strict", f"""SELECT {_BLOCK}, CASE WHEN count(v) = 16 THEN round(sum(v), 6) + 0.0 END AS v FROM (SELECT "row", col, CASE WHEN ("row" * 31 + col * 17) % 23 <> 0 THEN v END AS v FROM cells) c WHERE "row" < 40 AND col < 36 GROUP BY 1, 2""", "cells")
+@query("a3_coarsen_strict", f"""SELECT {_BLOCK}, CASE WHEN count(v) = 16 THEN round(sum(v), 6) + 0.0 END AS v FROM (SELECT "row", col, CASE WHEN ("row" * 31 + col * 17) % 23 <> 0 THEN v END AS v FROM cells) c WHERE "row" < @R // 4 * 4 AND col < @C // 4 * 4 GROUP BY 1, 2""", "cells")
 def a3(spark, sf):
     c = T.cells(spark, sf).select(*KEY, F.when((F.col("row") * 31 + F.col("col") * 17) % 23 != 0, F.col("v")).alias("v"))
-    return rounded(raster.coarsen_sum(c, SPEC, 4, strict=True))
+    return rounded(raster.coarsen_sum(c, T.spec(spark, sf), 4, strict=True))
 
 
 @query("a4_coarsen_stats", f"""SELECT {_BLOCK}, round(avg(v), 6) + 0.0 AS veg_mean_400m, round(min(v), 6) + 0.0 AS veg_min_400m, round(max(v), 6) + 0.0 AS veg_max_400m, round(stddev_pop(v), 6) + 0.0 AS veg_std_400m FROM cells GROUP BY 1, 2""", "cells")
@@ -236,9 +235,9 @@ def a4(spark, sf):
     return rounded(raster.coarsen_stats(T.cells(spark, sf), 4, "v", "veg", 400))
 
 
-@query("a6_point_counts", """SELECT g."row", g.col, CAST(count(p.point_id) AS DOUBLE) AS value FROM grid g LEFT JOIN placed p ON least(p."row", 41) = g."row" AND p.col = g.col GROUP BY 1, 2""", "grid", "placed")
+@query("a6_point_counts", """SELECT g."row", g.col, CAST(count(p.point_id) AS DOUBLE) AS value FROM grid g LEFT JOIN placed p ON least(p."row", @R - 1) = g."row" AND p.col = g.col GROUP BY 1, 2""", "grid", "placed")
 def a6(spark, sf):
-    return raster.point_counts(T.points(spark, sf), SPEC, grid.model_grid(spark, SPEC))
+    return raster.point_counts(T.points(spark, sf), T.spec(spark, sf), grid.model_grid(spark, T.spec(spark, sf)))
 
 
 @query("a7_a8_a10_class_counts", """SELECT latin_name || '_' || activity_type AS identifier, count(*) FILTER (user_id % 3 = 0) AS n_presence, count(*) FILTER (user_id % 3 <> 0) AS n_background FROM points GROUP BY 1""", "points")
@@ -271,7 +270,7 @@ def a13(spark, sf):
 
 @query("a14_mutual_information")
 def a14(spark, sf):
-    p = occurrence.annotate(T.points(spark, sf), T.cells(spark, sf), SPEC, ["v", "d", "t"])
+    p = occurrence.annotate(T.points(spark, sf), T.cells(spark, sf), T.spec(spark, sf), ["v", "d", "t"])
     return features.mutual_information(p, ["v", "d", "t", "x", "y"], "latin_name")
 
 
@@ -381,14 +380,14 @@ def t9(spark, sf):
 
 @query("t18_extremes", """SELECT a."row", a.col, a.low, b.high FROM (""" + _focal_sql(3, "min(n.v) AS low") + ") a JOIN (" + _focal_sql(5, "max(n.v) AS high") + """) b ON a."row" = b."row" AND a.col = b.col""", "cells")
 def t18(spark, sf):
-    c = raster.densify(T.cells(spark, sf), grid.model_grid(spark, SPEC)).select(*KEY, "v")
+    c = raster.densify(T.cells(spark, sf), grid.model_grid(spark, T.spec(spark, sf))).select(*KEY, "v")
     both = focal.focal_extreme(c, "v", 3, "min", "low").join(focal.focal_extreme(c, "v", 5, "max", "high"), KEY)
     return both.join(T.cells(spark, sf).select(*KEY), KEY, "left_semi")
 
 
 @query("t10_diversity", """SELECT c."row", c.col, CAST(count(DISTINCT n.k) AS INTEGER) AS diversity FROM classes c JOIN classes n ON n."row" BETWEEN c."row" - 1 AND c."row" + 1 AND n.col BETWEEN c.col - 1 AND c.col + 1 GROUP BY 1, 2""", "classes")
 def t10(spark, sf):
-    dense_k = raster.densify(T.classes(spark, sf), grid.model_grid(spark, SPEC))
+    dense_k = raster.densify(T.classes(spark, sf), grid.model_grid(spark, T.spec(spark, sf)))
     return focal.diversity(dense_k, "k", 3).join(T.classes(spark, sf).select(*KEY), KEY, "left_semi")
 
 
@@ -446,21 +445,29 @@ def t13(spark, sf):
     return rounded(terrain.wetness_index(T.cells(spark, sf).select(*KEY, "v"), "v", 100.0))
 
 
-@query("t15_terrain_bundle")
+_BUNDLE = f""", horn AS ({_HORN}), base AS (SELECT "row", col, atan(sqrt(dx * dx + dy * dy)) AS slope, CASE WHEN dx <> 0 OR dy <> 0 THEN radians((degrees(atan2(-dx, -dy)) + 360) % 360) END AS a FROM horn),
+ rough AS ({_focal_sql(3, _strict(3, "stddev_pop(n.slope)", "roughness", "slope"), "slope", "base")}), tpi AS ({_focal_sql(3, _strict(3, "c.v - avg(n.v)", "tpi"))})
+ SELECT b."row", b.col, round(b.slope, 6) + 0.0 AS slope, round(sin(a), 6) + 0.0 AS eastness, round(cos(a), 6) + 0.0 AS northness, round(b.slope * sin(a), 6) + 0.0 AS weighted_eastness, round(b.slope * cos(a), 6) + 0.0 AS weighted_northness, r.roughness, t.tpi, round(ln(f.flow / greatest(b.slope, 0.001)), 6) + 0.0 AS twi,
+  CASE WHEN gg * gg + hh * hh = 0 THEN 0.0 ELSE round(-2 * (dd * hh * hh + ee * gg * gg - ff * gg * hh) / (gg * gg + hh * hh) * 100, 6) + 0.0 END AS planform_curvature
+ FROM base b JOIN rough r ON r."row" = b."row" AND r.col = b.col JOIN tpi t ON t."row" = b."row" AND t.col = b.col JOIN flow f ON f."row" = b."row" AND f.col = b.col
+ JOIN (SELECT "row", col, ((d + f) / 2 - e) / 10000.0 AS dd, ((b + h) / 2 - e) / 10000.0 AS ee, (c + g - a - i) / 40000.0 AS ff, (f - d) / 200.0 AS gg, (b - h) / 200.0 AS hh FROM ({_FILLED}) z) k ON k."row" = b."row" AND k.col = b.col"""
+
+
+@query("t15_terrain_bundle", _flow_sql(_BUNDLE))
 def t15(spark, sf):
-    return terrain.terrain_attributes(T.cells(spark, sf), "v", 100.0)
+    return rounded(terrain.terrain_attributes(T.cells(spark, sf), "v", 100.0))
 
 
-def _mirror(axis: str, n: int) -> str:
-    return f"CASE WHEN {axis} < 0 THEN -1 - ({axis}) WHEN {axis} >= {n} THEN {2 * n - 1} - ({axis}) ELSE {axis} END"
+def _mirror(axis: str, n: str) -> str:
+    return f"CASE WHEN {axis} < 0 THEN -1 - ({axis}) WHEN {axis} >= {n} THEN 2 * {n} - 1 - ({axis}) ELSE {axis} END"
 
 
 _KERNEL = "SELECT d, exp(-0.5 * d * d / 2.25) / (SELECT sum(exp(-0.5 * q * q / 2.25)) FROM range(-6, 7) b(q)) AS w FROM range(-6, 7) a(d)"
 
 
-@query("t16_gaussian", f"""SELECT "row", col, round(s, 6) + 0.0 AS v FROM (SELECT g."row", g.col, sum(ka.w * kb.w * c.v) AS s FROM grid g CROSS JOIN ({_KERNEL}) ka CROSS JOIN ({_KERNEL}) kb JOIN full_ c ON c."row" = {_mirror('g."row" + ka.d', 42)} AND c.col = {_mirror('g.col + kb.d', 38)} GROUP BY 1, 2) z""".replace("full_ c", """(SELECT g."row", g.col, coalesce(c.v, 0) AS v FROM grid g LEFT JOIN cells c ON c."row" = g."row" AND c.col = g.col) c"""), "grid", "cells")
+@query("t16_gaussian", f"""SELECT "row", col, round(s, 6) + 0.0 AS v FROM (SELECT g."row", g.col, sum(ka.w * kb.w * c.v) AS s FROM grid g CROSS JOIN ({_KERNEL}) ka CROSS JOIN ({_KERNEL}) kb JOIN full_ c ON c."row" = {_mirror('g."row" + ka.d', "@R")} AND c.col = {_mirror('g.col + kb.d', "@C")} GROUP BY 1, 2) z""".replace("full_ c", """(SELECT g."row", g.col, coalesce(c.v, 0) AS v FROM grid g LEFT JOIN cells c ON c."row" = g."row" AND c.col = g.col) c"""), "grid", "cells")
 def t16(spark, sf):
-    return rounded(focal.gaussian(dense(spark, sf).na.fill(0.0, ["v"]), 42, 38, "v", 1.5))
+    return rounded(focal.gaussian(dense(spark, sf).na.fill(0.0, ["v"]), T.spec(spark, sf).nrows, T.spec(spark, sf).ncols, "v", 1.5))
 
 
 _GAPS = """SELECT g."row", g.col, CASE WHEN (g."row" * 31 + g.col * 17) % 7 < 5 THEN c.v END AS v FROM grid g LEFT JOIN cells c ON c."row" = g."row" AND c.col = g.col"""
@@ -505,29 +512,37 @@ def u1(spark, sf):
     return occurrence.stack(T.points(spark, sf).select("point_id"), T.background(spark, sf).select("point_id"))
 
 
-@query("u2_s15_mosaic", """SELECT "row", col, v FROM (SELECT *, row_number() OVER (PARTITION BY "row", col ORDER BY tile) AS rn FROM (SELECT "row", col, v, 1 AS tile FROM cells WHERE "row" < 25 UNION ALL SELECT "row", col, v + 1, 2 FROM cells WHERE "row" >= 20) u) q WHERE rn = 1""", "cells")
+@query("u2_s15_mosaic", """SELECT "row", col, v FROM (SELECT *, row_number() OVER (PARTITION BY "row", col ORDER BY tile) AS rn FROM (SELECT "row", col, v, 1 AS tile FROM cells WHERE "row" < 25 * @M UNION ALL SELECT "row", col, v + 1, 2 FROM cells WHERE "row" >= 20 * @M) u) q WHERE rn = 1""", "cells")
 def u2(spark, sf):
     c = T.cells(spark, sf).select(*KEY, "v")
-    return raster.mosaic([c.filter("row < 25").withColumn("tile", F.lit(1)), c.filter("row >= 20").withColumn("v", F.col("v") + 1).withColumn("tile", F.lit(2))], "tile").select(*KEY, "v")
+    return raster.mosaic([c.filter(F.col("row") < 25 * T.scale(spark, sf)).withColumn("tile", F.lit(1)), c.filter(F.col("row") >= 20 * T.scale(spark, sf)).withColumn("v", F.col("v") + 1).withColumn("tile", F.lit(2))], "tile").select(*KEY, "v")
 
 
 @query("u4_missing_features", "SELECT DISTINCT l_partkey FROM lineitem EXCEPT SELECT p_partkey FROM part WHERE p_size > 25")
 def u4(spark, sf):
-    return T.read(spark, sf, "lineitem").select("l_partkey").distinct().join(T.read(spark, sf, "part").filter("p_size > 25").select(F.col("p_partkey").alias("l_partkey")), "l_partkey", "left_anti")
+    return features.missing_from(T.read(spark, sf, "lineitem"), T.read(spark, sf, "part").filter("p_size > 25").select(F.col("p_partkey").alias("l_partkey")), "l_partkey")
 
 
-@query("u5_sea_within_buffer", """SELECT g."row", g.col FROM grid g WHERE EXISTS (SELECT 1 FROM zones d WHERE abs(g.x - d.cx) + abs(g.y - d.cy) < d.w + 100) AND NOT EXISTS (SELECT 1 FROM zones d WHERE abs(g.x - d.cx) + abs(g.y - d.cy) < d.w)""", "grid", "zones")
+@query("u5_sea_within_buffer", """SELECT g."row", g.col FROM grid g WHERE EXISTS (SELECT 1 FROM diamonds d WHERE abs(g.x - d.cx) + abs(g.y - d.cy) < d.w + 100) AND NOT EXISTS (SELECT 1 FROM diamonds d WHERE abs(g.x - d.cx) + abs(g.y - d.cy) < d.w)""", "grid", "diamonds")
 def u5(spark, sf):
-    z = T.zones(spark, sf)
-    near = vector.polygon_cells(T.with_diamond(z, 100.0), SPEC).select(*KEY).distinct()
-    return vector.difference_cells(near, vector.polygon_cells(z, SPEC))
+    z = T.diamonds(spark, sf)
+    near = vector.polygon_cells(T.with_diamond(z, 100.0), T.spec(spark, sf)).select(*KEY).distinct()
+    return vector.difference_cells(near, vector.polygon_cells(z, T.spec(spark, sf)))
 
 
-@query("u6_explode_parts", "SELECT brand, count(*) AS parts, round(sum(2 * w * w), 3) + 0.0 AS area FROM diamonds GROUP BY 1", "diamonds")
+@query("u6_explode_parts", "SELECT brand, count(*) AS parts, round(sum(2 * w * w), 3) + 0.0 AS area FROM (SELECT brand, w FROM diamonds UNION ALL SELECT brand, w / 2 FROM diamonds) d GROUP BY 1", "diamonds")
 def u6(spark, sf):
-    one = vector.dissolve(T.diamonds(spark, sf), "brand").withColumnRenamed("brand", "geom_id")
-    p = vector.parts(one)
-    return p.groupBy(F.col("geom_id").alias("brand")).agg(F.count("*").alias("parts"), r6(F.sum(G.ring_area(F.col("rings")[0])), "area", 3))
+    """Multi-part geometries of two diamonds each, to parts; a brand's parts are its dissolved geometry."""
+    d = T.diamonds(spark, sf)
+    half = T.with_diamond(d.withColumn("w", F.col("w") / 2)).select("geom_id", F.col("rings").alias("inner"))
+    p = vector.parts(d.join(half, "geom_id").select("geom_id", F.array("rings", "inner").alias("parts")))
+    p = vector.dissolve(p.join(d.select("geom_id", "brand"), "geom_id").select("brand", F.concat_ws(".", "geom_id", "part").alias("geom_id"), "rings"), "brand")
+    return p.groupBy("brand").agg(F.count("*").alias("parts"), r6(F.sum(G.ring_area(F.col("rings")[0])), "area", 3))
+
+
+@query("l5_by_group", "SELECT latin_name, point_id, accuracy FROM points ORDER BY latin_name, accuracy DESC, point_id", "points")
+def l5(spark, sf):
+    return evaluate.by_group(T.points(spark, sf).select("latin_name", "point_id", "accuracy"), ["latin_name"], "accuracy")
 
 
 # ---------------------------------------------------------------- grid and geometry
@@ -539,15 +554,12 @@ def g1(spark, sf):
     return back.select("point_id", ((F.abs(F.col("x") - F.col("x0")) < 0.5) & (F.abs(F.col("y") - F.col("y0")) < 0.5)).alias("close"))
 
 
-@query("g5_g6_grid_squares", "SELECT point_id, x - x % 100 AS xmin, y - y % 100 AS ymin FROM points", "points")
+@query("g5_g6_grid_squares", "SELECT point_id, round(x - x % 100, 1) + 0.0 AS xmin, round(y - y % 100, 1) + 0.0 AS ymin FROM points", "points")
 def g6(spark, sf):
     s = grid.squares(T.points(spark, sf), 100.0)
     return s.select("point_id", r6("xmin", "xmin", 1), r6("ymin", "ymin", 1))
 
 
-ORACLE_SQL["g5_g6_grid_squares"] = with_tables("SELECT point_id, round(x - x % 100, 1) + 0.0 AS xmin, round(y - y % 100, 1) + 0.0 AS ymin FROM points", "points")
-
-
 @query("g7_g8_tiles", "SELECT CAST(floor(x / 500) * 500 AS DOUBLE) AS xmin, CAST(floor(y / 500) * 500 AS DOUBLE) AS ymin, count(*) AS n FROM points GROUP BY 1, 2", "points")
 def g7(spark, sf):
     p = T.points(spark, sf)
@@ -563,9 +575,9 @@ def g10(spark, sf):
     return s.select("geom_id", F.col("p")[0].alias("x"), F.col("p")[1].alias("y"))
 
 
-@query("v1_rasterise", """SELECT g."row", g.col, CASE WHEN EXISTS (SELECT 1 FROM zones d WHERE abs(g.x - d.cx) + abs(g.y - d.cy) < d.w) THEN 1 ELSE 0 END AS value FROM grid g""", "grid", "zones")
+@query("v1_rasterise", """SELECT g."row", g.col, CASE WHEN EXISTS (SELECT 1 FROM diamonds d WHERE abs(g.x - d.cx) + abs(g.y - d.cy) < d.w) THEN 1 ELSE 0 END AS value FROM grid g""", "grid", "diamonds")
 def v1(spark, sf):
-    return vector.rasterise(T.zones(spark, sf), SPEC, grid.model_grid(spark, SPEC))
+    return vector.rasterise(T.diamonds(spark, sf), T.spec(spark, sf), grid.model_grid(spark, T.spec(spark, sf)))
 
 
 _SLAB = """SELECT DISTINCT r.geom_id, g."row", g.col FROM grid g JOIN roads r ON greatest((g.x - 50 - r.x1) / nullif(r.x2 - r.x1, 0), (g.y - 50 - r.y1) / (r.y2 - r.y1), 0) < least((g.x + 50 - r.x1) / nullif(r.x2 - r.x1, 0), (g.y + 50 - r.y1) / (r.y2 - r.y1), 1) WHERE r.x2 > r.x1 OR (r.x1 >= g.x - 50 AND r.x1 < g.x + 50)"""
@@ -573,30 +585,27 @@ _SLAB = """SELECT DISTINCT r.geom_id, g."row", g.col FROM grid g JOIN roads r ON
 
 @query("v2_line_cells", _SLAB, "grid", "roads")
 def v2(spark, sf):
-    return vector.line_cells(T.roads(spark, sf), SPEC)
+    return vector.line_cells(T.roads(spark, sf), T.spec(spark, sf))
 
 
-_FINE = """SELECT CAST(r AS INTEGER) AS r, CAST(c AS INTEGER) AS c, (c + 0.5) * CAST(20 AS DOUBLE) AS x, 4200 - (r + 0.5) * CAST(20 AS DOUBLE) AS y FROM range(210) a(r), range(190) b(c)"""
+_FINE = """SELECT CAST(r AS INTEGER) AS r, CAST(c AS INTEGER) AS c, (c + 0.5) * CAST(20 AS DOUBLE) AS x, @Y - (r + 0.5) * CAST(20 AS DOUBLE) AS y FROM (SELECT unnest(range(210 * m)) AS r FROM size) a, (SELECT unnest(range(190 * m)) AS c FROM size) b"""
 
 
 @query("v3_feature_cover", f"""SELECT g."row", g.col, CAST(coalesce(n, 0) AS BIGINT) AS buildings FROM grid g LEFT JOIN (SELECT CAST(r // 5 AS INTEGER) AS "row", CAST(c // 5 AS INTEGER) AS col, count(*) AS n FROM ({_FINE}) f WHERE EXISTS (SELECT 1 FROM zones d WHERE abs(f.x - d.cx) + abs(f.y - d.cy) < d.w) GROUP BY 1, 2) h ON h."row" = g."row" AND h.col = g.col""", "grid", "zones")
 def v3(spark, sf):
-    return vector.feature_cover({"buildings": (T.zones(spark, sf), False)}, SPEC, grid.model_grid(spark, SPEC), 20.0)
+    return vector.feature_cover({"buildings": (T.zones(spark, sf), False)}, T.spec(spark, sf), grid.model_grid(spark, T.spec(spark, sf)), 20.0)
 
 
-@query("v6_j9_split_roads", "SELECT p_partkey, regexp_matches(p_type, 'Motorway*|A Road*|PROMO') AND false OR coalesce(regexp_matches(CASE WHEN p_size % 3 = 0 THEN 'A Road' WHEN p_size % 3 = 1 THEN 'Minor Road' END, 'Motorway*|A Road*'), false) AS major_road FROM part")
+@query("v6_j9_split_roads", "SELECT p_partkey, p_size % 3 = 0 AS major_road FROM part")
 def v6(spark, sf):
     p = T.read(spark, sf, "part").selectExpr("p_partkey", "CASE WHEN p_size % 3 = 0 THEN 'A Road' WHEN p_size % 3 = 1 THEN 'Minor Road' END AS class")
     major, minor = vector.split_roads(p, "class")
     return major.unionByName(minor).select("p_partkey", "major_road")
 
 
-ORACLE_SQL["v6_j9_split_roads"] = "SELECT p_partkey, p_size % 3 = 0 AS major_road FROM part"
-
-
-@query("n1_distance_to_points", """SELECT g."row", g.col, round(min(sqrt((g.x - p.cx) * (g.x - p.cx) + (g.y - p.cy) * (g.y - p.cy))), 6) + 0.0 AS distance FROM grid g CROSS JOIN zones p GROUP BY 1, 2""", "grid", "zones")
+@query("n1_distance_to_points", """SELECT g."row", g.col, round(min(sqrt((g.x - p.x) * (g.x - p.x) + (g.y - p.y) * (g.y - p.y))), 6) + 0.0 AS distance FROM grid g CROSS JOIN points p GROUP BY 1, 2""", "grid", "points")
 def n1(spark, sf):
-    return rounded(distance.to_points(grid.model_grid(spark, SPEC), T.zones(spark, sf).select(F.col("cx").alias("x"), F.col("cy").alias("y")), KEY, 50.0))
+    return rounded(distance.to_points(grid.model_grid(spark, T.spec(spark, sf)), T.points(spark, sf).select("x", "y"), KEY, 50.0))
 
 
 _SEG = """sqrt(power(g.x - (r.x1 + k * (r.x2 - r.x1)), 2) + power(g.y - (r.y1 + k * (r.y2 - r.y1)), 2))"""
@@ -605,13 +614,13 @@ _ONTO = """least(greatest(((g.x - r.x1) * (r.x2 - r.x1) + (g.y - r.y1) * (r.y2 -
 
 @query("n2_distance_to_lines", f"""SELECT g."row", g.col, round(min({_SEG.replace('k *', _ONTO + ' *')}), 6) + 0.0 AS distance FROM grid g CROSS JOIN roads r GROUP BY 1, 2""", "grid", "roads")
 def n2(spark, sf):
-    return rounded(distance.to_segments(grid.model_grid(spark, SPEC), vector.segments(T.roads(spark, sf)), KEY, 50.0))
+    return rounded(distance.to_segments(grid.model_grid(spark, T.spec(spark, sf)), vector.segments(T.roads(spark, sf)), KEY, 50.0))
 
 
-@query("n2_n4_distance_to_polygons", """SELECT g."row", g.col, round(min(CASE WHEN abs(g.x - d.cx) + abs(g.y - d.cy) < d.w THEN 0 ELSE greatest((abs(g.x - d.cx) + abs(g.y - d.cy) - d.w) / sqrt(2), CASE WHEN abs(abs(g.x - d.cx) - abs(g.y - d.cy)) > d.w THEN sqrt(power(least(abs(g.x - d.cx), abs(g.y - d.cy)), 2) + power(greatest(abs(g.x - d.cx), abs(g.y - d.cy)) - d.w, 2)) ELSE 0 END) END), 6) + 0.0 AS distance FROM grid g CROSS JOIN zones d GROUP BY 1, 2""", "grid", "zones")
+@query("n2_n4_distance_to_polygons", """SELECT g."row", g.col, round(min(CASE WHEN abs(g.x - d.cx) + abs(g.y - d.cy) < d.w THEN 0 ELSE greatest((abs(g.x - d.cx) + abs(g.y - d.cy) - d.w) / sqrt(2), CASE WHEN abs(abs(g.x - d.cx) - abs(g.y - d.cy)) > d.w THEN sqrt(power(least(abs(g.x - d.cx), abs(g.y - d.cy)), 2) + power(greatest(abs(g.x - d.cx), abs(g.y - d.cy)) - d.w, 2)) ELSE 0 END) END), 6) + 0.0 AS distance FROM grid g CROSS JOIN diamonds d GROUP BY 1, 2""", "grid", "diamonds")
 def n2p(spark, sf):
-    z = T.zones(spark, sf)
-    return rounded(distance.to_segments(grid.model_grid(spark, SPEC), vector.segments(z), KEY, 50.0, vector.polygon_cells(z, SPEC)))
+    z = T.diamonds(spark, sf)
+    return rounded(distance.to_segments(grid.model_grid(spark, T.spec(spark, sf)), vector.segments(z), KEY, 50.0, vector.polygon_cells(z, T.spec(spark, sf))))
 
 
 @query("n3_knn_weights", """, near5 AS (SELECT a.latin_name, a.point_id, a.dist FROM (SELECT a.latin_name, a.point_id, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS dist, row_number() OVER (PARTITION BY a.point_id ORDER BY sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)), b.point_id) AS rn FROM points a JOIN points b ON a.latin_name = b.latin_name AND a.point_id <> b.point_id) a WHERE rn <= 5), means AS (SELECT latin_name, point_id, avg(dist) AS m FROM near5 GROUP BY 1, 2) SELECT m.latin_name, m.point_id, round(m.m, 6) + 0.0 AS mean_distance, round(m.m / q.med, 6) + 0.0 AS weight FROM means m JOIN (SELECT latin_name, quantile_cont(m, 0.5) AS med FROM means GROUP BY 1) q ON q.latin_name = m.latin_name""", "points")
@@ -619,14 +628,14 @@ def n3(spark, sf):
     return rounded(distance.knn_weights(T.points(spark, sf), "latin_name", "point_id", 5, 50.0))
 
 
-@query("r14_resample_bilinear", """, tgt AS (SELECT CAST(r AS INTEGER) AS "row", CAST(c AS INTEGER) AS col, (c + 0.5) * 2 - 0.5 AS fx, (r + 0.5) * 2 - 0.5 AS fy FROM range(21) a(r), range(19) b(c)) SELECT t."row", t.col, round(sum((1 - abs(t.fx - c.col)) * (1 - abs(t.fy - c."row")) * c.v) / sum((1 - abs(t.fx - c.col)) * (1 - abs(t.fy - c."row"))), 6) + 0.0 AS v FROM tgt t JOIN cells c ON abs(t.fx - c.col) < 1 AND abs(t.fy - c."row") < 1 GROUP BY 1, 2""", "cells")
+@query("r14_resample_bilinear", """, tgt AS (SELECT CAST(r AS INTEGER) AS "row", CAST(c AS INTEGER) AS col, (c + 0.5) * 2 - 0.5 AS fx, (r + 0.5) * 2 - 0.5 AS fy FROM (SELECT unnest(range(42 * m // 2)) AS r FROM size) a, (SELECT unnest(range(38 * m // 2)) AS c FROM size) b) SELECT t."row", t.col, round(sum((1 - abs(t.fx - c.col)) * (1 - abs(t.fy - c."row")) * c.v) / sum((1 - abs(t.fx - c.col)) * (1 - abs(t.fy - c."row"))), 6) + 0.0 AS v FROM tgt t JOIN cells c ON abs(t.fx - c.col) < 1 AND abs(t.fy - c."row") < 1 GROUP BY 1, 2""", "cells")
 def r14(spark, sf):
-    return rounded(raster.resample(T.cells(spark, sf).select(*KEY, "v"), SPEC, HALF, grid.model_grid(spark, HALF)))
+    return rounded(raster.resample(T.cells(spark, sf).select(*KEY, "v"), T.spec(spark, sf), T.spec(spark, sf, 200.0), grid.model_grid(spark, T.spec(spark, sf, 200.0))))
 
 
 @query("r14_resample_average", """SELECT CAST("row" // 2 AS INTEGER) AS "row", CAST(col // 2 AS INTEGER) AS col, round(avg(v), 6) + 0.0 AS v FROM cells GROUP BY 1, 2""", "cells")
 def r14a(spark, sf):
-    out = raster.resample(T.cells(spark, sf).select(*KEY, "v"), SPEC, HALF, grid.model_grid(spark, HALF), "average")
+    out = raster.resample(T.cells(spark, sf).select(*KEY, "v"), T.spec(spark, sf), T.spec(spark, sf, 200.0), grid.model_grid(spark, T.spec(spark, sf, 200.0)), "average")
     return rounded(out.filter("v IS NOT NULL"))
 
 
@@ -637,9 +646,9 @@ def _u(key: str, seed: int = 42) -> str:
     return f"(({m} * 69621 + 11) % 2147483647 + 1) / CAST(2147483649 AS DOUBLE)"
 
 
-@query("x2_count_transforms", """, counts AS (SELECT g."row", g.col, CAST(count(p.point_id) AS DOUBLE) AS n FROM grid g LEFT JOIN placed p ON least(p."row", 41) = g."row" AND p.col = g.col GROUP BY 1, 2) SELECT c."row", c.col, round(ln(1 + n), 6) + 0.0 AS log, round(sqrt(n), 6) + 0.0 AS sqrt, CAST(CASE WHEN n > 0 THEN 1 ELSE 0 END AS DOUBLE) AS presence, least(n, (SELECT quantile_cont(n, 0.9) FROM counts WHERE n > 0)) AS cap FROM counts c""", "grid", "placed")
+@query("x2_count_transforms", """, counts AS (SELECT g."row", g.col, CAST(count(p.point_id) AS DOUBLE) AS n FROM grid g LEFT JOIN placed p ON least(p."row", @R - 1) = g."row" AND p.col = g.col GROUP BY 1, 2) SELECT c."row", c.col, round(ln(1 + n), 6) + 0.0 AS log, round(sqrt(n), 6) + 0.0 AS sqrt, CAST(CASE WHEN n > 0 THEN 1 ELSE 0 END AS DOUBLE) AS presence, least(n, (SELECT quantile_cont(n, 0.9) FROM counts WHERE n > 0)) AS cap FROM counts c""", "grid", "placed")
 def x2(spark, sf):
-    counts = raster.point_counts(T.points(spark, sf), SPEC, grid.model_grid(spark, SPEC))
+    counts = raster.point_counts(T.points(spark, sf), T.spec(spark, sf), grid.model_grid(spark, T.spec(spark, sf)))
     out = counts
     for m in ("log", "sqrt", "presence", "cap"):
         out = out.withColumn(m, F.col("value"))
@@ -669,26 +678,26 @@ def x7(spark, sf):
 
 @query("x8_with_enough", """SELECT point_id FROM placed p WHERE (SELECT count(*) FROM placed q WHERE q."row" = p."row" AND q.col = p.col) >= 5""", "placed")
 def x8(spark, sf):
-    return occurrence.with_enough(grid.with_cell(T.points(spark, sf), SPEC, inside=False), KEY, 5).select("point_id")
-
-
-@query("x1_background_points")
-def x1(spark, sf):
-    return rounded(sampling.background_points(T.points(spark, sf), SPEC, 400))
+    return occurrence.with_enough(grid.with_cell(T.points(spark, sf), T.spec(spark, sf), inside=False), KEY, 5).select("point_id")
 
 
 @query("x9_x10_training_table")
 def x9(spark, sf):
     p = T.points(spark, sf).withColumn("identifier", S.identifier(F.col("latin_name"), F.col("activity_type")))
-    return rounded(sampling.training_table(p, T.background(spark, sf), T.cells(spark, sf), SPEC, ["v", "d", "t"], subset="density"))
+    return rounded(sampling.training_table(p, T.background(spark, sf), T.cells(spark, sf), T.spec(spark, sf), ["v", "d", "t"], subset="density"))
 
 
 # ---------------------------------------------------------------- scalars
 
-@query("f1_f3_f4_names", """SELECT p_partkey, trim(regexp_replace(regexp_replace(regexp_replace(lower(p_type), '[\\s\\-./]+', '_', 'g'), '[^a-z0-9_]', '', 'g'), '_+', '_', 'g'), '_') AS tidy, p_brand || '_' || p_type AS identifier FROM part""")
+_SEPARATED = """CASE p_partkey % 4 WHEN 0 THEN p_type || ':(' || p_brand || ')' WHEN 1 THEN ' ' || p_type || ' {' || p_brand || '}, [x];' WHEN 2 THEN p_type || '\\' || p_brand || './-y' ELSE p_type || '__&' || p_brand END"""
+
+
+@query("f1_f3_f4_f5_names", f"""SELECT p_partkey, trim(regexp_replace(regexp_replace(regexp_replace(lower({_SEPARATED}), '[\\s\\-/\\\\.:;,()\\[\\]{{}}]', '_', 'g'), '[^a-z0-9_]', '', 'g'), '_+', '_', 'g'), '_') AS tidy, p_brand || '_' || p_type AS identifier, substring(split_part(p_type, ' ', 1), 1, 3) || CASE WHEN p_type LIKE '% %' THEN '_' || substring(split_part(p_type, ' ', 2), 1, 3) ELSE '' END AS code, CASE p_size % 3 WHEN 0 THEN 'Bioclimatic variable 7' WHEN 1 THEN 'Wind speed' ELSE 'other' END AS climate FROM part""")
 def f1(spark, sf):
-    p = T.read(spark, sf, "part")
-    return p.select("p_partkey", S.tidy(F.col("p_type")).alias("tidy"), S.identifier(F.col("p_brand"), F.col("p_type")).alias("identifier"))
+    names = {"bio_7": 0, "wind": 1, "other": 2}
+    climate = F.coalesce(*(F.when(F.col("p_size") % 3 == i, F.lit(S.climate_name(c))) for c, i in names.items()))
+    p = T.read(spark, sf, "part").withColumn("name", F.expr(_SEPARATED.replace("'\\'", "'\\\\'")))
+    return p.select("p_partkey", S.tidy(F.col("name")).alias("tidy"), S.identifier(F.col("p_brand"), F.col("p_type")).alias("identifier"), S.species_code(F.col("p_type")).alias("code"), climate.alias("climate"))
 
 
 @query("f6_z_score", """SELECT "row", col, round((v - m) / greatest(s, 1e-8), 6) + 0.0 AS v FROM cells CROSS JOIN (SELECT avg(v) AS m, stddev_pop(v) AS s FROM cells) q""", "cells")
@@ -704,13 +713,13 @@ def f7(spark, sf):
 @query("f9_to_f15_arithmetic", """SELECT "row", col, v + CAST(1e-6 AS DOUBLE) AS eps, greatest(d - t, 0) AS rural, v * (d / 10) AS inside, v * (1 - d / 10) AS outside, least(greatest(v, 20), 30) AS clamped, round(d / 10 * 100) AS pct, round(d - 1.96 * t, 6) + 0.0 AS lower FROM cells""", "cells")
 def f9(spark, sf):
     inside, outside = S.woodland_split(F.col("v"), F.col("d") / 10)
-    return T.cells(spark, sf).select(*KEY, (F.col("v") + 1e-6).alias("eps"), S.rural_roads(F.col("d"), F.col("t")).alias("rural"), inside.alias("inside"), outside.alias("outside"), S.clamp(F.col("v"), 20, 30).alias("clamped"), S.percent(F.col("d") / 10).alias("pct"), r6(S.lower_bound(F.col("d"), F.col("t")), "lower"))
+    return T.cells(spark, sf).select(*KEY, S.nonzero(F.col("v")).alias("eps"), S.rural_roads(F.col("d"), F.col("t")).alias("rural"), inside.alias("inside"), outside.alias("outside"), S.clamp(F.col("v"), 20, 30).alias("clamped"), S.percent(F.col("d") / 10).alias("pct"), r6(S.lower_bound(F.col("d"), F.col("t")), "lower"))
 
 
 @query("f14_f16_explode_lists", """SELECT p_partkey, size AS s, name FROM (SELECT p_partkey, p_size AS size, p_name AS name FROM part UNION ALL SELECT p_partkey, p_size + 1, p_brand FROM part) u""")
 def f16(spark, sf):
     p = T.read(spark, sf, "part").select("p_partkey", F.array(F.col("p_size"), F.col("p_size") + 1).alias("s"), F.array("p_name", "p_brand").alias("name"))
-    return p.select("p_partkey", F.explode(F.arrays_zip("s", "name")).alias("z")).select("p_partkey", "z.s", "z.name")
+    return features.explode_lists(p, ["s", "name"])
 
 
 @query("f17_melt", """SELECT "row", col, 'v' AS variable, v AS value FROM cells UNION ALL SELECT "row", col, 'd', d FROM cells""", "cells")
@@ -728,7 +737,13 @@ def f20(spark, sf):
     return imagery.shadows(imagery.flags(T.pixels(spark, sf)), 90.0, 2).distinct()
 
 
-@query("f21_t18_mask")
+_MASK = """, px AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY scene, "row", col ORDER BY event_id) AS rn FROM pixels) q WHERE rn = 1),
+ bad AS (SELECT p.scene, p."row", p.col FROM px p WHERE p.probability > 95 OR (p.nir < 1500 AND p.scl <> 6 AND EXISTS (SELECT 1 FROM px c WHERE c.scene = p.scene AND c."row" = p."row" AND c.col = p.col - 1 AND c.probability > 95))),
+ along AS (SELECT DISTINCT p.scene, p."row", p.col FROM px p JOIN bad b ON b.scene = p.scene AND b."row" = p."row" AND b.col BETWEEN p.col - 1 AND p.col + 1)
+ SELECT scene, "row", col, event_id FROM px p WHERE NOT EXISTS (SELECT 1 FROM along a WHERE a.scene = p.scene AND a.col = p.col AND a."row" BETWEEN p."row" - 1 AND p."row" + 1)"""
+
+
+@query("f21_t18_mask", _MASK, "pixels")
 def f21(spark, sf):
     px = imagery.flags(occurrence.first_of(T.pixels(spark, sf), ["scene", *KEY], "event_id"), cloud_above=95.0)
     return imagery.masked(px, 90.0, 1, 1, 3).select("scene", *KEY, "event_id")
@@ -785,3 +800,50 @@ def m21(spark, sf):
 def d11(spark, sf):
     names = ["A_Roost", "N_Roost", "R_Roost"]
     return predict.wide(T.predictions(spark, sf), names).withColumnsRenamed(dict(zip(names, "anr", strict=True)))
+
+
+_MODELS = [
+    ("a_Roost", "linear", "v", None, 0.0, True, 10.0, 40.0, 1.5), ("a_Roost", "quadratic", "d", None, 0.0, True, 2.0, 8.0, -0.7),
+    ("a_Roost", "hinge", "t", None, 0.5, True, 1.0, 7.0, 0.9), ("a_Roost", "hinge", "t", None, 0.5, False, 1.0, 7.0, -0.4),
+    ("a_Roost", "product", "v", "d", 0.0, True, 10.0, 40.0, 0.6), ("a_Roost", "alpha", None, None, None, None, None, None, -2.5), ("a_Roost", "entropy", None, None, None, None, None, None, 1.25),
+    ("b_Roost", "threshold", "v", None, 0.4, True, 10.0, 40.0, 1.1), ("b_Roost", "linear", "t", None, 0.0, True, 1.0, 7.0, -0.8), ("b_Roost", "alpha", None, None, None, None, None, None, -1.5), ("b_Roost", "entropy", None, None, None, None, None, None, 0.5),
+]
+_SCALED = """SELECT *, least(greatest((v - 10) / 30.0, 0), 1) AS sv, least(greatest((d - 2) / 6.0, 0), 1) AS sd, least(greatest((t - 1) / 6.0, 0), 1) AS st FROM {}"""
+_BOTH = """SELECT {key}, 'a_Roost' AS identifier, round(1 - exp(-exp(1.5 * sv - 0.7 * sd * sd + 0.9 * greatest((st - 0.5) / 0.5, 0) - 0.4 * greatest((0.5 - st) / 0.5, 0) + 0.6 * sv * sd - 1.25)), 6) + 0.0 AS p FROM z UNION ALL SELECT {key}, 'b_Roost', round(1 - exp(-exp(1.1 * CASE WHEN sv >= 0.4 THEN 1 ELSE 0 END - 0.8 * st - 1.0)), 6) + 0.0 FROM z"""
+
+
+def fixed_models(spark: SparkSession) -> DataFrame:
+    """A coefficient table that SQL repeats."""
+    rows = [(i, -1, k, a, b, knot, up, lo, hi, 2.0 if b else None, 8.0 if b else None, c) for i, k, a, b, knot, up, lo, hi, c in _MODELS]
+    return spark.createDataFrame(rows, maxent.COEFFICIENTS)
+
+
+@query("m11_score_cells", f""", z AS ({_SCALED.format("cells")}) """ + _BOTH.format(key='"row", col'), "cells")
+def m11(spark, sf):
+    return rounded(predict.score(T.cells(spark, sf), fixed_models(spark), ["v", "d", "t"]))
+
+
+@query("m13_score_points_fixed", f""", z AS ({_SCALED.format('(SELECT p.point_id, c.v, c.d, c.t FROM placed p JOIN cells c ON c."row" = p."row" AND c.col = p.col) q')}) """ + _BOTH.format(key="point_id"), "placed", "cells")
+def m13(spark, sf):
+    found = occurrence.annotate(T.points(spark, sf), T.cells(spark, sf), T.spec(spark, sf), ["v", "d", "t"])
+    return rounded(predict.score(found, fixed_models(spark), ["v", "d", "t"], ["point_id"]))
+
+
+@query("m3_terms", """SELECT "row", col, sv AS linear_v, sv * sv AS quadratic_v, sv * sd AS product_v_d, greatest((sv - 0.25) / 0.75, 0) AS hinge_v, CAST(CASE WHEN sv >= 0.5 THEN 1 ELSE 0 END AS DOUBLE) AS threshold_v FROM (""" + _SCALED.format("cells") + ") z", "cells")
+def m3(spark, sf):
+    """The expansion of features to terms, by columns."""
+    v, d = maxent.scaled_column("v", 10.0, 40.0), maxent.scaled_column("d", 2.0, 8.0)
+    made = {"linear_v": (maxent.LINEAR, None, 0.0), "quadratic_v": (maxent.QUADRATIC, None, 0.0), "product_v_d": (maxent.PRODUCT, d, 0.0), "hinge_v": (maxent.HINGE, None, 0.25), "threshold_v": (maxent.THRESHOLD, None, 0.5)}
+    return T.cells(spark, sf).select(*KEY, *(maxent.column(k, v, b, knot, True).alias(n) for n, (k, b, knot) in made.items()))
+
+
+_BACK = f""", counts AS (SELECT g."row", g.col, ln(1 + CAST(count(p.point_id) AS DOUBLE)) AS v FROM grid g LEFT JOIN placed p ON least(p."row", @R - 1) = g."row" AND p.col = g.col GROUP BY 1, 2),
+ smooth AS (SELECT g."row", g.col, g.x, g.y, sum(ka.w * kb.w * c.v) AS v FROM grid g CROSS JOIN ({_KERNEL}) ka CROSS JOIN ({_KERNEL}) kb JOIN counts c ON c."row" = {_mirror('g."row" + ka.d', "@R")} AND c.col = {_mirror('g.col + kb.d', "@C")} GROUP BY 1, 2, 3, 4),
+ raised AS (SELECT *, greatest(v, 0.1 * (SELECT max(v) FROM smooth)) AS w FROM smooth),
+ shares AS (SELECT *, w / (SELECT sum(w) FROM raised) AS p, "row" * @C + col AS id FROM raised)
+ SELECT "row", col, x, y, round(p, 6) + 0.0 AS p, 0 AS presence FROM shares ORDER BY ln({_u("id")}) / p DESC, id LIMIT 400"""
+
+
+@query("x1_background_points", _BACK, "grid", "placed")
+def x1(spark, sf):
+    return rounded(sampling.background_points(T.points(spark, sf), T.spec(spark, sf), 400))

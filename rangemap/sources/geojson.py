@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.geometry import reproject
+from ..functions.geometry import reproject, reproject_shapes
 from ..operators.grid import GridSpec
 from ..operators.occurrence import accurate
 
@@ -48,11 +48,12 @@ def _parts(kind: Column, text: Column) -> Column:
     )
 
 
-def read_shapes(spark: SparkSession, path: str, properties: dict[str, str], id_property: str | None = None) -> DataFrame:
-    """Lines and polygons: properties, geom_id, part and rings, one row per part."""
+def read_shapes(spark: SparkSession, path: str, properties: dict[str, str], id_property: str | None = None, source: int = 27700, target: int = 27700) -> DataFrame:
+    """Lines and polygons: properties, geom_id, part and rings, one row per part; moved from source to target (EPSG)."""
     rows = read_features(spark, path, properties).filter("geom_type <> 'Point'")
     rows = rows.withColumn("geom_id", F.col(id_property).cast("string") if id_property else F.sha2("coordinates", 256))
-    return rows.select(*properties, "geom_id", F.posexplode(_parts(F.col("geom_type"), F.col("coordinates"))).alias("part", "rings"))
+    shapes = rows.select(*properties, "geom_id", F.posexplode(_parts(F.col("geom_type"), F.col("coordinates"))).alias("part", "rings"))
+    return reproject_shapes(shapes, source, target)
 
 
 def boundary_grid(shapes: DataFrame, res: float, buffer: float = 0.0) -> GridSpec:

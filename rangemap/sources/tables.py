@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.geometry import box_of, meets_box
 from ..functions.scalars import from_percent, no_nan
 from ..operators.occurrence import with_weight
 from ..operators.raster import KEY, bands_of, clip_cells, merge_layers
@@ -69,10 +70,11 @@ def read_tiles(spark: SparkSession, folder: str, keyword: str, dataset: str) ->
     return spark.read.option("pathGlobFilter", f"*{keyword}*").option("recursiveFileLookup", "true").parquet(folder).withColumn("dataset", F.lit(dataset))
 
 
-def cache_layer(layer: DataFrame, path: str, overwrite: bool = False) -> DataFrame:
-    """Write a layer unless it is there already, and read it."""
+def cache_layer(layer: DataFrame, path: str, overwrite: bool = False, bounds: tuple[float, float, float, float] | None = None) -> DataFrame:
+    """Write a layer unless it is there already, and read it. bounds: only geometries whose box meets them are written."""
     spark = layer.sparkSession
     if overwrite or not exists(spark, path):
+        layer = layer if bounds is None else layer.filter(meets_box(box_of(F.col("rings")), bounds))
         layer.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
@@ -119,8 +121,9 @@ def write_cells(cells: DataFrame, path: str) -> None:
     (cells.write.mode("overwrite").partitionBy("tile") if "tile" in cells.columns else cells.write.mode("overwrite")).parquet(path)
 
 
-def write_training(training: DataFrame, path: str) -> None:
-    training.repartition("identifier").write.mode("overwrite").partitionBy("identifier").parquet(path)
+def write_training(training: DataFrame, path: str, files: int = 8) -> None:
+    """A folder per identifier, of at most `files` files, each written by a task of its own."""
+    training.repartition("identifier", F.pmod(F.xxhash64(*training.columns), F.lit(files))).write.mode("overwrite").partitionBy("identifier").parquet(path)
 
 
 def write_results(results: DataFrame, path: str) -> None:

@@ -4,8 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rangemap.functions import scalars as S
-from rangemap.operators import grid, occurrence
-from rangemap.plans import jobs
+from rangemap.operators import grid, occurrence, raster
 from rangemap.sources import geojson, tables
 
 
@@ -102,5 +101,5 @@ def test_filter_on_absent_column_only_warns(spark):
 def test_merge_names(spark):
     spec = grid.GridSpec(0, 2, 1, 2, 2)
     cells = grid.model_grid(spark, spec).select("row", "col", F.lit(1.0).alias("A b"), F.lit(2.0).alias("C"))
-    out = jobs.merge_ev_layers({"Layer X": (cells, spec), "one": (cells.select("row", "col", F.lit(3.0).alias("q")), spec)}, spec, grid.model_grid(spark, spec))
+    out = raster.merge_on_grid({"Layer X": (cells, spec), "one": (cells.select("row", "col", F.lit(3.0).alias("q")), spec)}, spec, grid.model_grid(spark, spec))
     assert set(out.columns) == {"row", "col", "layer_x_a_b", "layer_x_c", "one"}
