@@ -11,8 +11,8 @@ shard; a span goes to the one shard that can match it:
    by Spark; those in one document only are dropped.
 2. The first document that has an anchor, and the place there in blocks of BLOCK words, name the anchor's shard. What
    copies one document travels in long spans that way, since its stretches have neighbouring shards in the same order.
-   A span that a task has already sent for a smaller id is settled there and needs no shard, so that a group of copies
-   is pre-aggregated before the shuffle. An anchor of more than HOT documents deals its windows singly, each by its own
+   A span that a task has already sent for a smaller id is settled there and needs no shard, and one that repeats in a
+   text is sent once, so that a group of copies is pre-aggregated before the shuffle. An anchor of more than HOT documents deals its windows singly, each by its own
    hash, so that no shard holds more than about BLOCK * HOT documents' stretches.
 3. Shards are sorted by Spark and streamed. A task holds one shard's automaton at a time.
 """
@@ -35,6 +35,7 @@ BLOCK = 64
 HOT = 500
 #: Spans a task remembers to settle copies before the shuffle, and bytes of text worked on at once.
 KNOWN, SLICE = 50_000, 1 << 20
+SETTLED, REPEATED = 1, 2
 
 RANGES = "doc_id long, sign long, begin int, finish int"
 
@@ -254,26 +255,32 @@ def _spans(window: int, anchor: int):
                 doc = np.searchsorted(words.first, a, side="right") - 1
                 ids, signs = batch.column(0).to_numpy(), batch.column(1).to_numpy()
                 x, y = starts[a].tolist(), stops[a + size - 1].tolist()
-                out = []
-                for i, (d, begin_byte, end_byte) in enumerate(zip(ids[doc].tolist(), x, y, strict=True)):
+                where = a - words.first[doc]
+                out, again, sent = [], [], {}  # texts to send, their other places in the same row, and which they are
+                state = np.zeros(len(a), np.int8)
+                for i, (row, d, begin_byte, end_byte) in enumerate(zip(doc.tolist(), ids[doc].tolist(), x, y, strict=True)):
                     span = text[begin_byte:end_byte]
                     digest = xxhash.xxh3_128_digest(span)
                     low = known.get(digest)
                     if low is not None and low < d:
-                        out.append(None)
-                        continue
-                    known[digest] = d
-                    out.append(span)
+                        state[i] = SETTLED
+                    elif (digest, row) in sent:
+                        state[i] = REPEATED
+                        again[sent[digest, row]].append(int(where[i]))
+                    else:
+                        known[digest] = d
+                        sent[digest, row] = len(out)
+                        out.append(span)
+                        again.append([])
                 if len(known) > KNOWN:
                     known.clear()
-                send = np.array([o is not None for o in out], bool)
-                where = a - words.first[doc]
+                send, settled = state == 0, state == SETTLED
                 cols = [lo[send], part[send], ids[doc][send], signs[doc][send], where[send], size[send]]
-                done = _merged(doc[~send], where[~send], where[~send] + size[~send])
+                done = _merged(doc[settled], where[settled], where[settled] + size[settled])
                 k = len(done[0])
                 cols = [np.r_[c, e] for c, e in zip(cols, [np.zeros(k), np.zeros(k), ids[done[0]], signs[done[0]], done[1], done[2] - done[1]], strict=True)]
                 kinds = (np.int64, np.int32, np.int64, np.int64, np.int32, np.int32)
-                yield pa.RecordBatch.from_arrays([*(pa.array(c.astype(t)) for c, t in zip(cols, kinds, strict=True)), pa.array([o for o in out if o is not None] + [None] * k, pa.binary())], ["lo", "part", "doc_id", "sign", "word", "n", "span"])
+                yield pa.RecordBatch.from_arrays([*(pa.array(c.astype(t)) for c, t in zip(cols, kinds, strict=True)), pa.array(out + [None] * k, pa.binary()), pa.array(again + [[]] * k, pa.list_(pa.int32()))], ["lo", "part", "doc_id", "sign", "word", "n", "span", "again"])
 
     return run
 
@@ -300,7 +307,7 @@ def _streamed(window: int):
         for whole in batches:
             for batch in pieces(whole, SLICE):
                 out = []
-                for lo, part, d, sign, at, span in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
+                for lo, part, d, sign, at, span, again in zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True):
                     if (lo, part) != key:
                         key, doc, automaton, seen, waiting = (lo, part), d, SuffixAutomaton(), set(), []
                     elif d != doc:
@@ -310,10 +317,10 @@ def _streamed(window: int):
                         doc, waiting = d, []
                     words = span.split(b" ")
                     if span in seen:
-                        out.append((d, sign, at, at + len(words)))
+                        out += [(d, sign, p, p + len(words)) for p in (at, *again)]
                         continue
                     spans, whole_known = automaton.matched(words, window)
-                    out += [(d, sign, at + a, at + b) for a, b in spans]
+                    out += [(d, sign, p + a, p + b) for p in (at, *again) for a, b in spans]
                     if not whole_known:
                         waiting.append((span, words))
                 cols = list(zip(*out, strict=True)) or [()] * 4
@@ -332,7 +339,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
         hits = ordered.mapInArrow(_shared(BLOCK, HOT), "doc_id long, word int, lo long, part int")
         hits = hits.groupBy("doc_id").agg(F.collect_list(F.struct("word", "lo", "part")).alias("hits"))
         found = source.join(hits.hint("merge"), "doc_id").select("doc_id", F.xxhash64("text").alias("sign"), "text", "hits")
-        spans = written(found.mapInArrow(_spans(window, anchor), "lo long, part int, doc_id long, sign long, word int, n int, span binary"), "spans")
+        spans = written(found.mapInArrow(_spans(window, anchor), "lo long, part int, doc_id long, sign long, word int, n int, span binary, again array<int>"), "spans")
         del anchors, ordered, hits, found
         release(docs.sparkSession)
         ordered = spans.filter("span is not null").drop("n").repartition("lo", "part").sortWithinPartitions("lo", "part", "doc_id", "word")
