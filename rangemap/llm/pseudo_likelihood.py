@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .common import Words, discard, id_text, mix64, pieces, small_batches, written
 
 CLASSES, MEMBERS = 64, 64
-SIDE, WIDTH, HIDDEN = 2, 16, 32
+SIDE, WIDTH, HIDDEN = 2, 16, 24
 MASK, BATCH, RATE = 8, 4096, 0.08
 IDS = CLASSES * MEMBERS
 COPIES, BLOCK = "block int, value binary, seen long", 4096
@@ -45,29 +45,40 @@ def shaped(values: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def contexts(ids: np.ndarray, first: np.ndarray, where: np.ndarray) -> np.ndarray:
-    """Ids of the SIDE words before and after each place; EDGE beyond the ends of its text. first: where texts begin."""
-    doc = np.searchsorted(first, where, side="right") - 1
-    lo, hi = first[doc], first[doc + 1]
-    out = np.full((len(where), 2 * SIDE), EDGE, np.int64)
+def texts_of(first: np.ndarray) -> np.ndarray:
+    """The text of each word. first: where texts begin (n + 1)."""
+    return np.repeat(np.arange(len(first) - 1, dtype=np.int32), np.diff(first))
+
+
+def contexts(ids: np.ndarray, first: np.ndarray, where: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Ids of the SIDE words before and after each place; EDGE beyond the ends of its text. doc: texts_of(first)."""
+    own = doc[where]
+    out = np.empty((len(where), 2 * SIDE), np.int64)
+    last = len(ids) - 1
     for j, step in enumerate((*range(-SIDE, 0), *range(1, SIDE + 1))):
-        at = where + step
-        good = (at >= lo) & (at < hi)
-        out[good, j] = ids[at[good]]
+        at = np.minimum(np.maximum(where + step, 0), last)
+        out[:, j] = np.where((doc[at] == own) & (at == where + step), ids[at], EDGE)
     return out
 
 
-def _softmax(logits: np.ndarray) -> np.ndarray:
+def _bounded(weights: np.ndarray, shift: np.ndarray) -> bool:
+    """No logit of hidden values in -1..1 can be so large that its exponential overflows."""
+    return bool((np.abs(weights).sum(axis=-2) + np.abs(shift)).max() < 60)
+
+
+def _softmax(logits: np.ndarray, bounded: bool) -> np.ndarray:
     """Each row's softmax. Changes logits."""
-    logits -= logits.max(axis=1, keepdims=True)
+    if not bounded:
+        logits -= logits.max(axis=1, keepdims=True)
     np.exp(logits, out=logits)
     logits /= logits.sum(axis=1, keepdims=True)
     return logits
 
 
-def _picked(logits: np.ndarray, n: np.ndarray, at: np.ndarray) -> np.ndarray:
+def _picked(logits: np.ndarray, n: np.ndarray, at: np.ndarray, bounded: bool) -> np.ndarray:
     """The log-softmax of each row n, at its column at. Changes logits."""
-    logits -= logits.max(axis=1, keepdims=True)
+    if not bounded:
+        logits -= logits.max(axis=1, keepdims=True)
     own = logits[n, at].astype(np.float64)
     return own - np.log(np.exp(logits, out=logits).sum(axis=1))
 
@@ -78,14 +89,14 @@ def log_probs(model: dict[str, np.ndarray], near: np.ndarray, target: np.ndarray
     target, n = target[order], np.arange(len(target))
     group, member = target // MEMBERS, target % MEMBERS
     hidden = np.tanh(model["embed"][near[order]].reshape(len(near), -1) @ model["into"] + model["into_0"])
-    logs = _picked(hidden @ model["group"] + model["group_0"], n, group)
+    logs = _picked(hidden @ model["group"] + model["group_0"], n, group, _bounded(model["group"], model["group_0"]))
     cuts = np.searchsorted(group, np.arange(CLASSES + 1))
     logits = model["member_0"][group]
     for g in range(CLASSES):
         if cuts[g] < cuts[g + 1]:
             logits[cuts[g] : cuts[g + 1]] += hidden[cuts[g] : cuts[g + 1]] @ model["member"][g]
     out = np.empty(len(target))
-    out[order] = logs + _picked(logits, n, member)
+    out[order] = logs + _picked(logits, n, member, _bounded(model["member"], model["member_0"]))
     return out
 
 
@@ -98,7 +109,7 @@ def train_step(model: dict[str, np.ndarray], sums: dict[str, np.ndarray], near:
     x = model["embed"][near].reshape(n, -1)
     hidden = np.tanh(x @ model["into"] + model["into_0"])
     grad = {"member": np.zeros(SHAPES["member"], np.float32), "member_0": np.zeros(SHAPES["member_0"], np.float32)}
-    off = _softmax(hidden @ model["group"] + model["group_0"])
+    off = _softmax(hidden @ model["group"] + model["group_0"], _bounded(model["group"], model["group_0"]))
     off[each, group] -= 1
     grad["group"], grad["group_0"] = hidden.T @ off, off.sum(axis=0)
     back = off @ model["group"].T
@@ -107,7 +118,7 @@ def train_step(model: dict[str, np.ndarray], sums: dict[str, np.ndarray], near:
     off = model["member_0"][group]
     for g, rows in some:
         off[rows] += hidden[rows] @ model["member"][g]
-    off = _softmax(off)
+    off = _softmax(off, _bounded(model["member"], model["member_0"]))
     off[each, member] -= 1
     for g, rows in some:
         np.matmul(hidden[rows].T, off[rows], out=grad["member"][g])
@@ -115,16 +126,11 @@ def train_step(model: dict[str, np.ndarray], sums: dict[str, np.ndarray], near:
     grad["member_0"][[g for g, _ in some]] = np.add.reduceat(off, [rows.start for _, rows in some], axis=0)
     back *= 1 - hidden * hidden
     grad["into"], grad["into_0"] = x.T @ back, back.sum(axis=0)
-    near = near.ravel().astype(np.uint16)
-    order = np.argsort(near, kind="stable")
-    near = near[order]
-    begins = np.flatnonzero(np.r_[True, near[1:] != near[:-1]])
-    moved = near[begins]  # other rows of embed have no gradient and stay
-    g = np.add.reduceat((back @ model["into"].T).reshape(-1, WIDTH)[order], begins, axis=0)
-    g /= n
-    s = sums["embed"][moved] + g * g
-    sums["embed"][moved] = s
-    model["embed"][moved] -= RATE * g / (np.sqrt(s) + 1e-6)
+    into = (model["into"] @ back.T).reshape(2 * SIDE, WIDTH, n)
+    places, embed = near.T.ravel(), np.empty(SHAPES["embed"], np.float32)
+    for j in range(WIDTH):
+        embed[:, j] = np.bincount(places, into[:, j].ravel(), len(embed))
+    grad["embed"] = embed
     for k, g in grad.items():
         g /= n
         sums[k] += g * g
@@ -162,11 +168,14 @@ def _counts(batches):
 
 
 def targets(row: np.ndarray, first: np.ndarray, turn: int) -> np.ndarray:
-    """The words masked in a round, in random order. Over the MASK rounds each word is in one, by its row's number and its place."""
-    place = np.arange(first[-1]) - np.repeat(first[:-1], np.diff(first))
-    draw = mix64(np.repeat(mix64(row.astype(np.uint64)), np.diff(first)) + place.astype(np.uint64))
-    where = np.flatnonzero(draw % np.uint64(MASK) == turn)
-    return where[np.argsort(draw[where], kind="stable")]
+    """The words masked in a round, in random order: every MASK-th of a text, from a place drawn by its row's number. Over the
+    MASK rounds each word is in one."""
+    begin = ((mix64(row.astype(np.uint64)) + np.uint64(turn)) % np.uint64(MASK)).astype(np.int64)
+    n = np.maximum(0, -(-(np.diff(first) - begin) // MASK))
+    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    where = np.repeat(first[:-1] + begin, n) + MASK * step
+    draw = mix64(mix64(np.repeat(row.astype(np.uint64), n)) + step.astype(np.uint64))
+    return where[np.argsort(draw, kind="stable")]
 
 
 def _train(values: np.ndarray, turn: int):
@@ -180,10 +189,10 @@ def _train(values: np.ndarray, turn: int):
                 if not len(ids):
                     continue
                 ids = ids.astype(np.int64)
-                where = targets(batch.column(0).to_numpy(), first, turn)
+                where, doc = targets(batch.column(0).to_numpy(), first, turn), texts_of(first)
                 for a in range(0, len(where), BATCH):
                     part = where[a : a + BATCH]
-                    train_step(model, sums, contexts(ids, first, part), ids[part])
+                    train_step(model, sums, contexts(ids, first, part, doc), ids[part])
                 seen += len(where)
         if seen:
             parts = [x.astype("<f4").tobytes() for x in np.split(flat(model), range(BLOCK, len(values), BLOCK))]
@@ -252,10 +261,10 @@ def _score(values: np.ndarray, words: np.ndarray, n: np.ndarray, cut: int, total
                 ids, first = _unpacked(batch.column(2))
                 hashes, _ = _unpacked(batch.column(3), "<u8")
                 ids = ids.astype(np.int64)
-                logs = np.empty(len(ids))
+                logs, doc = np.empty(len(ids)), texts_of(first)
                 for a in range(0, len(ids), 1 << 13):
                     part = np.arange(a, min(a + (1 << 13), len(ids)))
-                    logs[part] = log_probs(model, contexts(ids, first, part), ids[part])
+                    logs[part] = log_probs(model, contexts(ids, first, part, doc), ids[part])
                 logs -= whole_bucket[ids]
                 rare = np.ones(len(ids), bool)
                 if len(words):
