@@ -407,7 +407,7 @@ def t5(spark, sf):
     return s.select(*KEY, r6("slope", "slope", 9), r6("aspect", "aspect"))
 
 
-@query("t6_slope_aspect_strict", f"""SELECT "row", col, CASE WHEN full_ THEN round(degrees(atan(sqrt(dx * dx + dy * dy))), 6) + 0.0 END AS slope, CASE WHEN full_ THEN round((degrees(atan2(dy, -dx)) + 360) % 360, 6) + 0.0 END AS aspect FROM (SELECT *, (f - d) / 200.0 AS dx, (h - b) / 200.0 AS dy, a + b + c + d + e + f + g + h + i IS NOT NULL AS full_ FROM ({_NINE}) z) z2""", "cells")
+@query("t6_slope_aspect_strict", f"""SELECT "row", col, CASE WHEN full_ THEN round(degrees(atan(sqrt(dx * dx + dy * dy))), 6) + 0.0 END AS slope, CASE WHEN full_ THEN round((degrees(atan2(dy, CASE WHEN dx = 0 THEN 0.0 ELSE -dx END)) + 360) % 360, 6) + 0.0 END AS aspect FROM (SELECT *, (f - d) / 200.0 AS dx, (h - b) / 200.0 AS dy, a + b + c + d + e + f + g + h + i IS NOT NULL AS full_ FROM ({_NINE}) z) z2""", "cells")
 def t6(spark, sf):
     return rounded(terrain.slope_aspect_strict(T.cells(spark, sf), "v", 100.0))
 
@@ -837,9 +837,10 @@ def m3(spark, sf):
     return T.cells(spark, sf).select(*KEY, *(maxent.column(k, v, b, knot, True).alias(n) for n, (k, b, knot) in made.items()))
 
 
-_BACK = f""", counts AS (SELECT g."row", g.col, ln(1 + CAST(count(p.point_id) AS DOUBLE)) AS v FROM grid g LEFT JOIN placed p ON least(p."row", @R - 1) = g."row" AND p.col = g.col GROUP BY 1, 2),
- smooth AS (SELECT g."row", g.col, g.x, g.y, sum(ka.w * kb.w * c.v) AS v FROM grid g CROSS JOIN ({_KERNEL}) ka CROSS JOIN ({_KERNEL}) kb JOIN counts c ON c."row" = {_mirror('g."row" + ka.d', "@R")} AND c.col = {_mirror('g.col + kb.d', "@C")} GROUP BY 1, 2, 3, 4),
- raised AS (SELECT *, greatest(v, 0.1 * (SELECT max(v) FROM smooth)) AS w FROM smooth),
+_BACK = f""", counts AS MATERIALIZED (SELECT g."row", g.col, ln(1 + CAST(coalesce(n, 0) AS DOUBLE)) AS v FROM grid g LEFT JOIN (SELECT least("row", @R - 1) AS r, col AS c, count(*) AS n FROM placed GROUP BY 1, 2) p ON p.r = g."row" AND p.c = g.col),
+ first_ AS MATERIALIZED (SELECT g.r AS "row", g.col, sum(g.w * c.v) AS v FROM (SELECT g."row" AS r, g.col, k.w, {_mirror('g."row" + k.d', "@R")} AS at FROM grid g CROSS JOIN ({_KERNEL}) k) g JOIN counts c ON c."row" = g.at AND c.col = g.col GROUP BY 1, 2),
+ smooth AS MATERIALIZED (SELECT g."row", g.c AS col, g.x, g.y, sum(g.w * c.v) AS v FROM (SELECT g."row", g.col AS c, g.x, g.y, k.w, {_mirror('g.col + k.d', "@C")} AS at FROM grid g CROSS JOIN ({_KERNEL}) k) g JOIN first_ c ON c."row" = g."row" AND c.col = g.at GROUP BY 1, 2, 3, 4),
+ raised AS MATERIALIZED (SELECT *, greatest(v, 0.1 * (SELECT max(v) FROM smooth)) AS w FROM smooth),
  shares AS (SELECT *, w / (SELECT sum(w) FROM raised) AS p, "row" * @C + col AS id FROM raised)
  SELECT "row", col, x, y, round(p, 6) + 0.0 AS p, 0 AS presence FROM shares ORDER BY ln({_u("id")}) / p DESC, id LIMIT 400"""
 
