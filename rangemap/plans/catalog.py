@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jobs, queries
+from . import io_queries, jobs, queries
 
-QUERIES = queries.QUERIES | jobs.QUERIES
-ORACLE_SQL = queries.ORACLE_SQL | jobs.ORACLE_SQL
+QUERIES = queries.QUERIES | io_queries.QUERIES | jobs.QUERIES
+ORACLE_SQL = queries.ORACLE_SQL | io_queries.ORACLE_SQL | jobs.ORACLE_SQL

@@ -101,8 +101,8 @@ def test_dissolve_cancels_shared_edges(spark):
     layer = spark.createDataFrame([("1", square(0.0, 0.0, 1.0, 1.0), "r"), ("2", square(1.0, 0.0, 2.0, 1.0), "r"), ("3", square(2.0, 0.0, 3.0, 1.0), "s")], RINGS + ", region string")
     edges = vector.dissolved_edges(layer, "region").groupBy("region").count().collect()
     assert {r["region"]: r["count"] for r in edges} == {"r": 6, "s": 4}
-    parts = vector.parts(vector.dissolve(layer, "region").withColumnRenamed("region", "geom_id"))
-    assert parts.count() == 3
+    parts = vector.dissolve(layer, "region")
+    assert parts.columns == ["region", "part", "rings"] and parts.count() == 3
 
 
 def test_simplify_validity_and_parts(spark):
