@@ -19,7 +19,7 @@ from .common import Words, discard, id_text, mix64, pieces, small_batches, writt
 
 CLASSES, MEMBERS = 64, 64
 SIDE, WIDTH, HIDDEN = 2, 16, 24
-MASK, BATCH, RATE = 8, 4096, 0.08
+MASK, BATCH, RATE = 8, 8192, 0.08
 IDS = CLASSES * MEMBERS
 COPIES, BLOCK = "block int, value binary, seen long", 4096
 COMMON = 200_000  # words whose counts are broadcast at most, about 3 MB
