@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from .common import Words, discard, id_text, mix64, pieces, small_batches, written
 
 CLASSES, MEMBERS = 64, 64
-SIDE, WIDTH, HIDDEN = 2, 16, 24
-MASK, BATCH, RATE = 8, 8192, 0.08
+SIDE, WIDTH, HIDDEN = 2, 16, 32
+MASK, BATCH, RATE = 8, 2048, 0.08
 IDS = CLASSES * MEMBERS
 COPIES, BLOCK = "block int, value binary, seen long", 4096
 COMMON = 200_000  # words whose counts are broadcast at most, about 3 MB
@@ -174,8 +174,8 @@ def targets(row: np.ndarray, first: np.ndarray, turn: int) -> np.ndarray:
     n = np.maximum(0, -(-(np.diff(first) - begin) // MASK))
     step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     where = np.repeat(first[:-1] + begin, n) + MASK * step
-    draw = mix64(mix64(np.repeat(row.astype(np.uint64), n)) + step.astype(np.uint64))
-    return where[np.argsort(draw, kind="stable")]
+    draw = mix64(np.repeat(mix64(row.astype(np.uint64)), n) + step.astype(np.uint64)) >> np.uint64(48)
+    return where[np.argsort(draw.astype(np.uint16), kind="stable")]
 
 
 def _train(values: np.ndarray, turn: int):
