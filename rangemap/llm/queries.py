@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, jaccard, media, packing, pseudo_likelihood, quality, secrets, substrings, url_filter
+from . import bpe, fingerprint, jaccard, media, packing, phrases, pseudo_likelihood, quality, secrets, substrings, url_filter, whitening
 from .common import table
 
 
@@ -53,6 +53,14 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_report(table(spark, sf_dir, "documents"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -64,6 +72,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scans": op8_secret_scans,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_fingerprints": op10_fingerprints,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_phrase_mining": op13_phrase_mining,
 }
 
 _WORDS = r"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -92,4 +102,24 @@ gone AS (SELECT doc_id, list(p) AS ps, count(*) AS n FROM hit GROUP BY 1)
 SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
   sha256(array_to_string(list_filter(ws, lambda x, i: ps IS NULL OR NOT list_contains(ps, i)), ' ')) AS kept_sha256
 FROM w LEFT JOIN gone USING (doc_id)""",
+    "op13_phrase_mining": r"""
+WITH p AS (
+  SELECT row_number() OVER () AS piece, lang, list_filter(regexp_split_to_array(s, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS s FROM documents)),
+f AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM p, range(1, 6) t(k), LATERAL unnest(range(1, len(ws) - k + 2)) u(i) GROUP BY ALL HAVING count(*) >= 100),
+n AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM p GROUP BY lang),
+c AS (
+  SELECT lang, k, phrase, string_split(phrase, ' ') AS ws, f AS a FROM f WHERE k > 1),
+kept AS (
+  SELECT * FROM c WHERE NOT EXISTS (
+    SELECT 1 FROM c d WHERE d.lang = c.lang AND d.k > c.k AND contains(' ' || d.phrase || ' ', ' ' || c.phrase || ' ') AND 100 * d.a >= 100 * c.a)),
+cuts AS (
+  SELECT kept.lang, kept.phrase, a, x.f AS l, y.f AS r, n, h, 1000 * a::HUGEINT * n // (x.f::HUGEINT * y.f) AS score
+  FROM kept JOIN n USING (lang), range(1, 5) t(h), f x, f y
+  WHERE h < kept.k AND x.lang = kept.lang AND y.lang = kept.lang AND x.phrase = array_to_string(ws[1:h], ' ') AND y.phrase = array_to_string(ws[h + 1:], ' ')),
+worst AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, h) AS w FROM cuts),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM worst WHERE w = 1)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000""",
 }
