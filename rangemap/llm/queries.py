@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, jaccard, media, packing, phrases, pseudo_likelihood, quality, secrets, substrings, url_filter, whitening
+from . import bpe, fingerprint, jaccard, media, packing, personal, phrases, pseudo_likelihood, quality, secrets, substrings, url_filter, whitening
 from .common import table
 
 
@@ -53,6 +53,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_report(table(spark, sf_dir, "documents"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scans": op8_secret_scans,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_fingerprints": op10_fingerprints,
+    "op11_personal_data": op11_personal_data,
     "op12_embedding_whitening": op12_embedding_whitening,
     "op13_phrase_mining": op13_phrase_mining,
 }
