@@ -1,19 +1,19 @@
 """MaxEnt-style models: feature expansion, fitting, cross-validation, coefficient tables.
 
 A model is an infinitely weighted logistic regression of presences against background with an L1 penalty per term, and
-is kept as rows of a coefficient table. Many models of few rows are fitted side by side, a group of rows per model and
-fold in a task of its own; a model of very many rows is fitted by Spark's own logistic regression over all executors.
+is kept as rows of a coefficient table. All models and folds are fitted together by Newton steps (solver.py): what Spark
+adds up over the rows has the size of a model's terms, so one model may have few rows or all of a cluster's.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -21,11 +21,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.scalars import unit_hash
+from ..session import discard, written
+from . import evaluate
+from .solver import Problem, added_up, minimise, values_of
 
 LINEAR, QUADRATIC, PRODUCT, HINGE, THRESHOLD = "linear", "quadratic", "product", "hinge", "threshold"
 COEFFICIENTS = "identifier string, fold int, kind string, a string, b string, knot double, up boolean, lo_a double, hi_a double, lo_b double, hi_b double, coef double"
-_TYPES = {"string": pa.string(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}
-ARROW = pa.schema([(n, _TYPES[t]) for n, t in (c.split() for c in COEFFICIENTS.split(", "))])
 FINAL = -1  # the fold of the model fitted on all rows
 
 # The published regularisation of term kinds by number of presences (points of a broken line).
@@ -88,8 +89,8 @@ class Config:
     beta: float = 1.5
     beta_kind: dict[str, float] = field(default_factory=lambda: {LINEAR: 1.0, QUADRATIC: 1.0, PRODUCT: 1.0, HINGE: 1.0, THRESHOLD: 1.0})
     background_weight: float | str = 100.0  # or "balanced"
-    tolerance: float = 1e-5
-    iterations: int = 400
+    tolerance: float = 1e-7  # of the gap between the objective and its dual, relative
+    iterations: int = 200
     transform: str = "cloglog"
 
 
@@ -140,43 +141,10 @@ def scaled_column(name: str, lo: float, hi: float, clamp: bool = True) -> Column
     return F.when(F.col(f"`{name}`").isNotNull(), F.least(F.greatest(v, F.lit(0.0)), F.lit(1.0))) if clamp else v
 
 
-def penalties(x: np.ndarray, y: np.ndarray, made: list, config: Config) -> np.ndarray:
-    """Of each term: the published value for the number of presences, times the term's spread among them."""
-    n = int(y.sum())
-    spread = np.maximum(x[y == 1].std(axis=0), 1e-3) / np.sqrt(max(n, 1))
+def penalties(spread: np.ndarray, n: int, made: list, config: Config) -> np.ndarray:
+    """Of each term: the published value for n presences, times the term's spread among them."""
     base = np.array([np.interp(n, *PENALTY[t[0]]) * config.beta_kind[t[0]] for t in made])
-    return config.beta * base * spread
-
-
-def solve(x: np.ndarray, y: np.ndarray, w: np.ndarray, lam: np.ndarray, tolerance: float, iterations: int) -> tuple[np.ndarray, float]:
-    """Minimise sum(w * logistic loss) + sum(lam * |coef|) by accelerated proximal steps; the intercept is free."""
-    total = w.sum()
-    a = np.hstack([x, np.ones((len(x), 1))])
-    lam = np.r_[lam, 0.0] / total
-    w = w / total
-    v = np.random.default_rng(0).normal(size=a.shape[1])
-    for _ in range(30):
-        v = a.T @ (w * (a @ v))
-        norm = np.linalg.norm(v)
-        v = v / norm if norm else v
-    step = 1 / max(0.25 * norm * 1.05, 1e-12)
-    beta = np.zeros(a.shape[1])
-    share = float((w * y).sum())
-    beta[-1] = np.log(max(share, 1e-9) / max(1 - share, 1e-9))
-    ahead, t = beta.copy(), 1.0
-    for _ in range(iterations):
-        p = 1 / (1 + np.exp(-np.clip(a @ ahead, -35, 35)))
-        moved = ahead - step * (a.T @ (w * (p - y)))
-        new = np.sign(moved) * np.maximum(np.abs(moved) - step * lam, 0)
-        t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        if (ahead - new) @ (new - beta) > 0:  # restart when the momentum points uphill
-            t_new = 1.0
-        ahead = new + (t - 1) / t_new * (new - beta)
-        done = np.abs(new - beta).max() < tolerance * max(1.0, np.abs(new).max())
-        beta, t = new, t_new
-        if done:
-            break
-    return beta[:-1], float(beta[-1])
+    return config.beta * base * np.maximum(spread, 1e-3) * np.sqrt(n)
 
 
 def rank_auc(y: np.ndarray, s: np.ndarray) -> float | None:
@@ -187,69 +155,49 @@ def rank_auc(y: np.ndarray, s: np.ndarray) -> float | None:
     return float((ranks[y == 1].sum() - p * (p + 1) / 2) / (p * n))
 
 
-def _fit(rows: pd.DataFrame, features: list[str], config: Config) -> tuple[list[dict], np.ndarray]:
-    y, sample = rows["class"].to_numpy(float), rows["sample_weight"].to_numpy(float)
-    lo, hi = rows[features].min(), rows[features].max()
-    scale = {f: (rows[f].to_numpy(float) - lo[f]) / ((hi[f] - lo[f]) or 1.0) for f in features}
-    made = terms(features, config)
-    x = matrix(scale, made)
-    heavy = config.background_weight if config.background_weight != "balanced" else max(1.0, y.sum()) / max(1.0, (1 - y).sum())
-    w = np.where(y == 1, 1.0, heavy) * sample
-    coef, intercept = solve(x, y, w, penalties(x, y, made, config) * y.sum(), config.tolerance, config.iterations)
-    eta = x @ coef
-    back = eta[y == 0] if (y == 0).any() else eta
-    top = back.max()
-    alpha = -(top + np.log(np.exp(back - top).sum()))
-    raw = np.exp(back + alpha)
-    entropy = float(-(raw * np.log(np.maximum(raw, 1e-300))).sum())
-    out = [{"kind": "intercept", "coef": intercept}, {"kind": "alpha", "coef": float(alpha)}, {"kind": "entropy", "coef": entropy}]
-    for (kind, a, b, knot, up), c in zip(made, coef, strict=True):
-        if c:
-            out.append({"kind": kind, "a": a, "b": b or None, "knot": knot, "up": up, "lo_a": float(lo[a]), "hi_a": float(hi[a]), "lo_b": float(lo[b]) if b else None, "hi_b": float(hi[b]) if b else None, "coef": float(c)})
-    return out, made
-
-
-def _predict(rows: pd.DataFrame, found: list[dict], clamp: bool) -> np.ndarray:
-    eta = np.zeros(len(rows))
-    for t in found:
-        if t["kind"] in ("intercept", "alpha", "entropy"):
-            continue
-        values = []
-        for f, lo, hi in ((t["a"], t["lo_a"], t["hi_a"]), (t["b"], t["lo_b"], t["hi_b"])):
-            v = (rows[f].to_numpy(float) - lo) / ((hi - lo) or 1.0) if f else None
-            values.append(np.clip(v, 0, 1) if f and clamp else v)
-        eta += t["coef"] * _value(t["kind"], *values, t["knot"], t["up"], lambda v: np.maximum(v, 0))
-    return eta
-
-
 Metric = Callable[[np.ndarray, np.ndarray], float | None]
 
 
-def _group(features_of: dict[str, list[str]], default: list[str], config: Config, metric: Metric):
+@dataclass(frozen=True)
+class Part:
+    """One model and fold: its rows and terms."""
+
+    identifier: str
+    fold: int
+    features: tuple[str, ...]
+    terms: tuple
+    lo: dict[str, float]
+    hi: dict[str, float]
+
+    def known(self, values: dict[str, np.ndarray]) -> np.ndarray:
+        """Indices of the identifier's rows that have all features."""
+        mine = values["identifier"] == self.identifier
+        for f in self.features:
+            mine &= ~np.isnan(values[f])
+        return np.flatnonzero(mine)
+
+    def fitted_on(self, values: dict[str, np.ndarray]) -> np.ndarray:
+        rows = self.known(values)
+        return rows if self.fold == FINAL else rows[values["fold"][rows] != self.fold]
+
+    def design(self, values: dict[str, np.ndarray], rows: np.ndarray, clamp: bool = False) -> np.ndarray:
+        scaled = {f: (values[f][rows] - self.lo[f]) / ((self.hi[f] - self.lo[f]) or 1.0) for f in self.features}
+        return matrix({f: np.clip(v, 0, 1) for f, v in scaled.items()} if clamp else scaled, self.terms)
+
+    def presence_moments(self, values: dict[str, np.ndarray]) -> np.ndarray | None:
+        """Of the presences fitted on: the terms' sums and sums of squares, about a half, and their number."""
+        rows = self.fitted_on(values)
+        rows = rows[values["class"][rows] == 1]
+        if not len(rows):
+            return None
+        x = self.design(values, rows) - 0.5
+        return np.concatenate([x.sum(0), (x * x).sum(0), [len(rows)]])
+
+
+def _custom(metric: Metric):
     def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pandas()
-        identifier, fold = rows["identifier"].iloc[0], int(rows["model_fold"].iloc[0])
-        features = features_of.get(identifier.rsplit("_", 1)[-1], default)
-        rows = rows.dropna(subset=features)
-        train, test = rows[rows["fold"] != fold], rows[rows["fold"] == fold]
-        status, out = "Success", []
-        if fold == FINAL:
-            train, test = rows, rows
-        if not (train["class"] == 1).any():
-            status = "No presence data"
-        elif not (train["class"] == 0).any():
-            status = "No background data"
-        else:
-            try:
-                out, _ = _fit(train, features, config)
-                score = metric(test["class"].to_numpy(), _predict(test, out, config.clamp)) if len(test) else None
-                out.append({"kind": "auc", "coef": score})
-            except (np.linalg.LinAlgError, FloatingPointError) as e:
-                status, out = f"Error: {e}", []
-        out.append({"kind": "status", "a": status})
-        out.append({"kind": "n_presence", "coef": float((rows["class"] == 1).sum())})
-        out.append({"kind": "n_background", "coef": float((rows["class"] == 0).sum())})
-        return pa.Table.from_pylist([{"identifier": identifier, "fold": fold} | row for row in out], ARROW)
+        value = metric(table.column("class").to_numpy(), table.column("eta").to_numpy())
+        return pa.table({"key": table.column("key").slice(0, 1), "auc": pa.array([value], pa.float64())})
 
     return run
 
@@ -266,39 +214,95 @@ def with_random_folds(training: DataFrame, k: int = 3, seed: int = 42, by: str =
     return training.withColumn("fold", F.ntile(k).over(order) - 1)
 
 
-def fit_all(training: DataFrame, features: dict[str, list[str]] | list[str], config: Config = Config(), k: int = 3, metric: Metric = rank_auc) -> DataFrame:
+def fit_all(training: DataFrame, features: dict[str, list[str]] | list[str], config: Config = Config(), k: int = 3, metric: Metric | None = None) -> DataFrame:
     """The coefficient table of one model per identifier and fold 0..k-1, and of fold FINAL on all rows.
 
     training: identifier, class, sample_weight, fold, features. features: for all, or by the activity that ends an
-    identifier. Rows of kind auc, status, n_presence, n_background carry a model's outcome; a group that can't be fitted
-    has a status and no coefficients. A group is one model's rows for one fold and goes to one task: for identifiers of
-    more rows than a task should hold use fit_large. metric: of the classes and linear predictors of a fold's held-out rows;
-    its value is kept as kind auc, whatever it is.
+    identifier. Rows with a null feature are left out. Rows of kind auc, status, n_presence, n_background carry a model's
+    outcome, gap how far its objective may be from the least one, relative to it; a model without presences or without
+    background has a status and no coefficients. Models and their terms are few and pass through the driver; rows never do, and a
+    model's rows may be in any number of tasks. metric: instead of the AUC, of the classes and linear predictors of a
+    fold's held-out rows, which it gets as arrays in one task.
     """
+    spark = training.sparkSession
     by_activity = features if isinstance(features, dict) else {}
-    default = features if isinstance(features, list) else sorted({f for v in features.values() for f in v})
-    every = training.select("identifier", "class", "sample_weight", "fold", *default).withColumn("model_fold", F.explode(F.array(*(F.lit(f) for f in (*range(k), FINAL)))))
-    return every.groupBy("identifier", "model_fold").applyInArrow(_group(by_activity, default, config, metric), COEFFICIENTS)
-
-
-def fit_large(training: DataFrame, features: list[str], config: Config = Config()) -> tuple[DataFrame, float]:
-    """Coefficients (term, coef) and intercept of one model over all rows of training, by distributed logistic regression.
-    Terms are columns scaled by the inverse of their penalties, so that one common penalty fits all."""
-    edges = training.agg(*(x for f in features for x in (F.min(f).alias(f"lo_{f}"), F.max(f).alias(f"hi_{f}")))).first()
-    made = terms(features, config)
-    scaled = {f: scaled_column(f, edges[f"lo_{f}"], edges[f"hi_{f}"], config.clamp) for f in features}
-    cols = [column(k, scaled[a], scaled.get(b), t, up) for k, a, b, t, up in made]
-    wide = training.select("class", "sample_weight", *(c.alias(f"t{i}") for i, c in enumerate(cols)))
-    stats = wide.filter("class = 1").agg(F.count("*").alias("n"), *(F.stddev_pop(f"t{i}").alias(f"s{i}") for i in range(len(cols)))).first()
-    n = max(stats["n"], 1)
-    lam = [config.beta * float(np.interp(n, *PENALTY[t[0]])) * config.beta_kind[t[0]] * max(stats[f"s{i}"] or 0.0, 1e-3) / np.sqrt(n) for i, t in enumerate(made)]
-    heavy = 1.0 if config.background_weight == "balanced" else float(config.background_weight)
-    wide = wide.select(F.col("class").cast("double").alias("label"), (F.col("sample_weight") * F.when(F.col("class") == 1, 1.0).otherwise(heavy)).alias("w"), *((F.col(f"t{i}") / lam[i]).alias(f"t{i}") for i in range(len(cols))))
-    total = wide.agg(F.sum("w")).first()[0]
-    rows = VectorAssembler(inputCols=[f"t{i}" for i in range(len(cols))], outputCol="features").transform(wide)
-    model = LogisticRegression(weightCol="w", elasticNetParam=1.0, regParam=n / total, standardization=False, maxIter=100, tol=config.tolerance).fit(rows)
-    found = [(f"{t[0]}:{t[1]}:{t[2]}:{t[3]:.6g}:{'up' if t[4] else 'down'}", float(c / lam[i])) for i, (t, c) in enumerate(zip(made, model.coefficients.toArray(), strict=True)) if c]
-    return training.sparkSession.createDataFrame(found, "term string, coef double"), float(model.intercept)
+    every = features if isinstance(features, list) else sorted({f for v in features.values() for f in v})
+    of = lambda name: by_activity.get(name.rsplit("_", 1)[-1], every)
+    rows = written(training.select("identifier", F.col("class").cast("int").alias("class"), F.col("sample_weight").cast("double").alias("sample_weight"), F.col("fold").cast("int").alias("fold"), *(F.nanvl(F.col(f"`{f}`").cast("double"), F.lit(None).cast("double")).alias(f) for f in every)), "fit-rows")
+    complete = lambda names: reduce(Column.__and__, [F.col(f"`{f}`").isNotNull() for f in names], F.lit(True))
+    activity, known = F.element_at(F.split("identifier", "_"), -1), complete(every)
+    for name, names in by_activity.items():
+        known = F.when(activity == name, complete(names)).otherwise(known)
+    there = lambda c: F.count_if(known & (F.col("class") == c)).alias(f"n{c}")
+    heavy = lambda c: F.sum(F.when(known & (F.col("class") == c), F.col("sample_weight"))).alias(f"w{c}")
+    edges = (x for f in every for x in (F.min(F.when(known, F.col(f"`{f}`"))).alias(f"lo {f}"), F.max(F.when(known, F.col(f"`{f}`"))).alias(f"hi {f}")))
+    # A row per identifier and fold.
+    stats = [r.asDict() for r in rows.groupBy("identifier", "fold").agg(there(0), there(1), heavy(0), heavy(1), *edges).collect()]
+    total = lambda found, name: sum(r[name] or 0 for r in found)
+    out: list[dict] = []
+    parts: list[Part] = []
+    counts: list[tuple[int, float, float]] = []
+    for name in sorted({r["identifier"] for r in stats}):
+        own = [r for r in stats if r["identifier"] == name]
+        for fold in (*range(k), FINAL):
+            fit = [r for r in own if fold == FINAL or r["fold"] != fold]
+            n1, n0 = total(fit, "n1"), total(fit, "n0")
+            status = "No presence data" if not n1 else "No background data" if not n0 else "Success"
+            base = {"identifier": name, "fold": fold}
+            out += [base | {"kind": "status", "a": status}, base | {"kind": "n_presence", "coef": float(total(own, "n1"))}, base | {"kind": "n_background", "coef": float(total(own, "n0"))}]
+            if status == "Success":
+                lo = {f: min(r[f"lo {f}"] for r in fit if r[f"lo {f}"] is not None) for f in of(name)}
+                hi = {f: max(r[f"hi {f}"] for r in fit if r[f"hi {f}"] is not None) for f in of(name)}
+                parts.append(Part(name, fold, tuple(of(name)), tuple(terms(of(name), config)), lo, hi))
+                weight = n1 / n0 if config.background_weight == "balanced" else float(config.background_weight)
+                counts.append((n1, weight, total(fit, "w1") / max(total(fit, "w1") + weight * total(fit, "w0"), 1e-300)))
+    used = ["identifier", "class", "fold", *every]
+    moments = added_up(rows, used, {i: p.presence_moments for i, p in enumerate(parts)}) if parts else {}
+    problems = []
+    for i, (p, (n, weight, share)) in enumerate(zip(parts, counts, strict=True)):
+        s = np.frombuffer(moments[i])
+        m = len(p.terms)
+        spread = np.sqrt(np.maximum(s[m : 2 * m] / s[-1] - (s[:m] / s[-1]) ** 2, 0))
+        problems.append(Problem(["identifier", "fold", *p.features], p.fitted_on, p.design, penalties(spread, n, list(p.terms), config), weight, share))
+    states = minimise(rows, problems, config.tolerance, config.iterations)
+    coefs = [s.beta for s in states]
+
+    def predictors(batches):
+        for batch in batches:
+            values = values_of(batch, used)
+            for i, (p, beta) in enumerate(zip(parts, coefs, strict=True)):
+                mine = p.known(values)
+                eta = p.design(values, mine, config.clamp) @ beta[:-1]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(mine), i, np.int32)), pa.array(values["class"][mine].astype(np.int32)), pa.array(values["fold"][mine] == p.fold), pa.array(eta)], ["key", "class", "held", "eta"])
+
+    if parts:
+        etas = written(rows.select(*used).mapInArrow(predictors, "key int, class int, held boolean, eta double"), "predictors")
+        final = F.col("key").isin([i for i, p in enumerate(parts) if p.fold == FINAL])
+        tested = etas.filter(F.col("held") | final)
+        scores = evaluate.auc(tested, ["key"], score="eta") if metric is None else tested.groupBy("key").applyInArrow(_custom(metric), "key int, auc double")
+        auc = {r.key: r.auc for r in scores.collect()}
+        back = etas.filter("class = 0 AND NOT held")
+        tops = back.groupBy("key").agg(F.max("eta").alias("top"))
+        raw = F.exp(F.col("eta") - F.col("top"))
+        sums = back.join(F.broadcast(tops), "key").groupBy("key", "top").agg(F.sum(raw).alias("z"), F.sum(raw * F.col("eta")).alias("e"))
+        spread_of = {r.key: (-(r.top + float(np.log(r.z))), r.e / r.z) for r in sums.collect()}
+        for i, (p, state) in enumerate(zip(parts, states, strict=True)):
+            alpha, mean = spread_of[i]
+            base = {"identifier": p.identifier, "fold": p.fold}
+            fixed = {"intercept": state.beta[-1], "alpha": alpha, "entropy": -(mean + alpha), "auc": auc.get(i), "gap": state.gap if np.isfinite(state.gap) else None}
+            out += [base | {"kind": kind, "coef": None if v is None else float(v)} for kind, v in fixed.items()]
+            for (kind, a, b, knot, up), c in zip(p.terms, state.beta[:-1], strict=True):
+                if c:
+                    out.append(base | {"kind": kind, "a": a, "b": b or None, "knot": knot, "up": up, "lo_a": p.lo[a], "hi_a": p.hi[a], "lo_b": p.lo[b] if b else None, "hi_b": p.hi[b] if b else None, "coef": float(c)})
+        discard(etas)
+    discard(rows)
+    names = [c.split()[0] for c in COEFFICIENTS.split(", ")]
+    return spark.createDataFrame([tuple(r.get(n) for n in names) for r in out], COEFFICIENTS)
+
+
+def fit_large(training: DataFrame, features: list[str], config: Config = Config(), identifier: str = "all_All") -> DataFrame:
+    """The coefficient table of one model over all rows of training, whatever their identifiers."""
+    return fit_all(training.withColumns({"identifier": F.lit(identifier), "fold": F.lit(0)}), features, config, k=0)
 
 
 def results(coefficients: DataFrame) -> DataFrame:

@@ -189,8 +189,8 @@ def _own(table: DataFrame, found: DataFrame) -> DataFrame:
 
 @job("m4_large_fit")
 def large(spark, sf):
-    """One model over all rows by distributed regression."""
-    return maxent.fit_large(training(spark, sf), BANDS, maxent.Config(kinds=(maxent.LINEAR, maxent.HINGE)))[0]
+    """One model over all rows."""
+    return maxent.fit_large(training(spark, sf), BANDS, maxent.Config(kinds=(maxent.LINEAR, maxent.HINGE)))
 
 
 @job("m17_permutation_importance")
