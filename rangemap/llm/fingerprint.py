@@ -164,5 +164,6 @@ def fingerprint_report(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = written(compare_with_next(docs, id_col, text_col), "report")
     release(docs.sparkSession)  # the texts' shuffle
     groups = exact_groups(docs, id_col, text_col, rows)
-    groups = groups.groupBy("doc_id").agg(F.min("fingerprint").alias("checked"), F.min("group_id").alias("group_id"))
-    return rows.join(groups, "doc_id", "left").select("doc_id", "n_chars", "edited_sha256", F.coalesce("checked", "fingerprint").alias("fingerprint"), "edited_fingerprint", "near_edited", "near_next", "group_id")
+    # An id may have several texts, so a row is found again by its digest as well; what tells a collision apart follows that.
+    groups = groups.groupBy("doc_id", F.substring("fingerprint", 1, 32).alias("fingerprint")).agg(F.min("fingerprint").alias("checked"), F.min("group_id").alias("group_id"))
+    return rows.join(groups, ["doc_id", "fingerprint"], "left").select("doc_id", "n_chars", "edited_sha256", F.coalesce("checked", "fingerprint").alias("fingerprint"), "edited_fingerprint", "near_edited", "near_next", "group_id")

@@ -179,6 +179,15 @@ def test_canonical(text):
     assert fingerprint.canonical(plain(text)) == plain(plain(text)).encode()
 
 
+def test_an_id_with_two_texts_keeps_both_fingerprints(spark):
+    texts = [(1, "alpha"), (1, "beta"), (2, "beta"), (None, "beta"), (3, "ALPHA"), (1, "beta"), (None, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = fingerprint.fingerprint_report(docs).collect()
+    marks = {fingerprint.digest(fingerprint.canonical(t or "")): t for _, t in texts}
+    got = sorted((r["doc_id"] or 0, marks[r["fingerprint"]].lower() if marks[r["fingerprint"]] else "", r["group_id"] or 0) for r in found)
+    assert got == [(0, "", 0), (0, "beta", 0), (1, "alpha", 1), (1, "beta", 1), (1, "beta", 1), (2, "beta", 1), (3, "alpha", 1)]
+
+
 def test_fingerprint_report(hard, hard_rows, nothing):
     found = fingerprint.fingerprint_report(hard).collect()
     rows = sorted(((r[0], r[1] or "") for r in hard_rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
