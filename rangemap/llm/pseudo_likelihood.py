@@ -21,6 +21,8 @@ CLASSES, MEMBERS = 64, 64
 SIDE, WIDTH, HIDDEN = 2, 16, 32
 MASK, BATCH, RATE = 8, 2048, 0.08
 IDS = CLASSES * MEMBERS
+#: Shares of the partitions whose copies are averaged first.
+SHARES = 64
 COPIES, BLOCK = "block int, value binary, seen long", 4096
 COMMON = 200_000  # words whose counts are broadcast at most, about 3 MB
 EDGE = IDS  # what stands outside a text
@@ -206,7 +208,7 @@ def _mean(copies: pa.Table) -> pa.Table:
     total, seen = 0.0, 0
     for value, n in zip(copies["value"], copies["seen"].to_pylist(), strict=True):
         total, seen = total + np.frombuffer(value.as_py(), "<f4").astype(np.float64) * n, seen + n
-    return pa.table({"block": copies["block"][:1], "value": pa.array([(total / seen).astype("<f4").tobytes()], pa.binary())})
+    return pa.table({"block": copies["block"][:1], "value": pa.array([(total / seen).astype("<f4").tobytes()], pa.binary()), "seen": pa.array([seen], pa.int64())})
 
 
 def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -245,7 +247,10 @@ def train(ids: DataFrame) -> dict[str, np.ndarray]:
     values = flat(fresh())
     ids = written(ids.select("row", "tokens"), "targets")  # so that partitions, and copies, follow what the rounds read
     for turn in range(MASK):
-        found = ids.mapInArrow(_train(values, turn), COPIES).groupBy("block").applyInArrow(_mean, "block int, value binary").toArrow().sort_by("block")
+        copies = ids.mapInArrow(_train(values, turn), COPIES).withColumn("share", F.spark_partition_id() % SHARES)
+        # In two steps: no task holds a copy of every partition.
+        means = copies.groupBy("block", "share").applyInArrow(_mean, COPIES).groupBy("block").applyInArrow(_mean, COPIES)
+        found = means.toArrow().sort_by("block")
         if len(found):
             values = np.frombuffer(b"".join(found["value"].to_pylist()), "<f4")
     discard(ids)
