@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.geometry import reproject
 from ..functions.scalars import tidy_name
 from .grid import GridSpec
 
@@ -118,17 +119,23 @@ def densify(cells: DataFrame, grid: DataFrame) -> DataFrame:
     return grid.select(*KEY).join(cells, KEY, "left")
 
 
-def resample(cells: DataFrame, source: GridSpec, target: GridSpec, targets: DataFrame, method: str = "bilinear") -> DataFrame:
+def resample(cells: DataFrame, source: GridSpec, target: GridSpec, targets: DataFrame, method: str = "bilinear", source_epsg: int = 27700, target_epsg: int = 27700) -> DataFrame:
     """Bands at the target grid's centres: bilinear (weights of known neighbours, renormalised), nearest, or average of
-    the source cells whose centres fall in a target cell. Both grids share a reference system."""
+    the source cells whose centres fall in a target cell.
+
+    Grids of different reference systems: each target centre is projected back by itself (for averages, each source centre
+    forward), a narrow map of arithmetic, and finds its place among the source's cells without any mesh's error.
+    """
     bands = bands_of(cells)
     if method == "average":
-        keyed = cells.select(target.row(source.y(F.col("row"))).alias("trow"), target.col(source.x(F.col("col"))).alias("tcol"), *bands)
+        centres = reproject(cells.withColumns({"_px": source.x(F.col("col")), "_py": source.y(F.col("row"))}), source_epsg, target_epsg, "_px", "_py")
+        keyed = centres.select(target.row(F.col("_py")).alias("trow"), target.col(F.col("_px")).alias("tcol"), *bands)
         found = keyed.groupBy(F.col("trow").alias("row"), F.col("tcol").alias("col")).agg(*(F.avg(b).alias(b) for b in bands))
         return targets.select(*KEY).join(found, KEY, "left")
-    fx = (target.x(F.col("col")) - F.lit(float(source.x0))) / float(source.res)
-    fy = (F.lit(float(source.ytop)) - target.y(F.col("row"))) / float(source.res)
-    at = targets.select(F.col("row").alias("trow"), F.col("col").alias("tcol"), fx.alias("fx"), fy.alias("fy"))
+    fx = (F.col("_px") - F.lit(float(source.x0))) / float(source.res)
+    fy = (F.lit(float(source.ytop)) - F.col("_py")) / float(source.res)
+    centres = reproject(targets.select(*KEY, target.x(F.col("col")).alias("_px"), target.y(F.col("row")).alias("_py")), target_epsg, source_epsg, "_px", "_py")
+    at = centres.select(F.col("row").alias("trow"), F.col("col").alias("tcol"), fx.alias("fx"), fy.alias("fy"))
     if method == "nearest":
         at = at.select("trow", "tcol", F.floor("fy").cast("int").alias("row"), F.floor("fx").cast("int").alias("col"))
         return at.join(cells, KEY, "left").select(F.col("trow").alias("row"), F.col("tcol").alias("col"), *bands)

@@ -12,6 +12,7 @@ from ..functions import geometry as G
 from ..functions import scalars as S
 from ..operators import distance, evaluate, explain, grid, landcover, maxent, occurrence, predict, raster, sampling, terrain, vector
 from ..session import shared_dir, written
+from . import shape_queries
 from . import standins as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,10 +103,11 @@ ORACLE_SQL["job_extract"] = T.with_tables("""SELECT p.latin_name || '_' || p.act
 
 @job("job_climate")
 def climate(spark, sf):
-    """A coarse climate layer cut to the area, moved to the grid, with statistics by long name."""
-    half = T.spec(spark, sf, 200.0)
-    coarse = raster.coarsen_stats(T.cells(spark, sf), 2, "t", "bio", 200).select(*KEY, F.col("bio_mean_200m").alias("bio5"))
-    moved = raster.resample(coarse, half, T.spec(spark, sf), grid.model_grid(spark, T.spec(spark, sf)))
+    """A climate layer in degrees moved to the National Grid's cells, cut to the area, with statistics by long name."""
+    layer, degrees = shape_queries.degrees(spark, sf)
+    target = shape_queries.devon(spark, sf)
+    moved = raster.resample(layer.select(*KEY, F.col("t").alias("bio5")), degrees, target, grid.model_grid(spark, target), source_epsg=4326)
+    # The area has its own place; row and column are the same.
     inside = vector.polygon_cells(T.diamonds(spark, sf), T.spec(spark, sf))
     return raster.band_statistics(raster.clip_cells(moved, inside).withColumnRenamed("bio5", S.climate_name("bio5")))
 
