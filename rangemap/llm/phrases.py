@@ -6,10 +6,11 @@ the next length. A phrase is frequent only if both phrases it is made of are, so
 
 A relation is stored in blocks, sorted, each of whole texts of one language. Piece and position are one number, `place`,
 that grows by one from word to word and by more where a piece ends, so adjacency is a difference of one. A block's groups
-are numbered, exactly, by its own dictionary; what crosses the network are a block's distinct phrases with their counts.
+are numbered, exactly, by its own dictionary.
 
-The semi-join drops occurrences by a bitmap of the frequent groups' hashes, of at most 64 MB at any size of input. A
-group that passes it by chance is infrequent, so whatever it takes part in is dropped at the next count, which is exact.
+Groups are counted twice. First by 64-bit hashes, of all groups: a hash occurs at least as often as each of its phrases, so
+the semi-join with the frequent hashes, by a bitmap of at most 64 MB at any size of input, drops no frequent phrase. Then
+what is left is counted by its text, which is exact; whatever passed by chance falls out there.
 """
 
 from __future__ import annotations
@@ -23,15 +24,17 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import discard, small_batches, written
+from ..operators.ordered import running
+from .common import discard, mix64, small_batches, written
 
 #: Bits of the largest bitmap of frequent groups, as a power of two.
 MOST_BITS = 29
 
-BLOCK_SCHEMA = "lang string, place array<int>, code array<int>, phrases array<string>"
+BLOCK_SCHEMA = "lang string, words long, place array<int>, code array<int>, phrases array<string>, hash array<long>"
 COUNT_SCHEMA = "lang string, phrase string, n long"
+#: Distinct hashes that a task holds before it sends their counts on.
+HELD = 1_500_000
 _WORD, _GAP, _BREAK = 0, 1, 2
 _KIND = np.full(256, _WORD, np.uint8)
 _KIND[[9, 32]] = _GAP
@@ -39,13 +42,13 @@ _KIND[[ord(c) for c in ".,;:!?\n\v\f\r"]] = _BREAK
 
 
 class Block:
-    """Sorted occurrences: phrases[code[i]] begins at place[i]."""
+    """Sorted occurrences: phrases[code[i]] begins at place[i]; hash has 64 bits of each phrase and the language."""
 
-    def __init__(self, place: np.ndarray, code: np.ndarray, phrases: pa.Array):
-        self.place, self.code, self.phrases = place, code, phrases
+    def __init__(self, place: np.ndarray, code: np.ndarray, phrases: pa.Array, hashes: np.ndarray):
+        self.place, self.code, self.phrases, self.hash = place, code, phrases, hashes
 
     @classmethod
-    def of_texts(cls, texts: list[str]) -> Block:
+    def of_texts(cls, lang: str, texts: list[str]) -> Block:
         """The words of texts. A text's end is a piece's end."""
         raw = "\n".join(texts).encode().lower()  # of bytes: A-Z only
         data = np.frombuffer(raw, np.uint8)
@@ -53,36 +56,59 @@ class Block:
         inside = kind == _WORD
         edge = np.diff(inside.view(np.int8), prepend=0, append=0)
         start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        ended = np.cumsum(kind == _BREAK, dtype=np.int64)
-        place = np.arange(len(start)) + ended[start] if len(start) else np.zeros(0, np.int64)
+        place = np.arange(len(start)) + np.searchsorted(np.flatnonzero(kind == _BREAK), start)
         offsets = np.concatenate([[0], np.cumsum(stop - start)]).astype(np.int64)
         words = pa.Array.from_buffers(pa.large_string(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
         coded = words.dictionary_encode()
-        return cls(place.astype(np.int32), coded.indices.to_numpy(), coded.dictionary.cast(pa.string()))
-
-    def longer(self) -> Block:
-        """The occurrences one word longer: the merge join of the sorted relation with itself at adjacent places."""
+        seed, digest = xxhash.xxh64_intdigest(lang), xxhash.xxh64_intdigest
+        phrases = coded.dictionary.cast(pa.string())
+        hashes = np.fromiter((digest(p, seed) for p in phrases.to_pylist()), np.uint64, len(phrases))
+        return cls(place.astype(np.int32), coded.indices.to_numpy(), phrases, hashes)
+
+    def _pairs(self) -> tuple[np.ndarray, ...]:
+        """The merge join of the sorted relation with itself at adjacent places: where, each row's pair, the distinct pairs'
+        first and second phrase, and their hashes."""
         at = np.flatnonzero(np.diff(self.place) == 1)
-        m = len(self.phrases)
+        m = max(len(self.phrases), 1)
         pairs, code = np.unique(self.code[at].astype(np.int64) * m + self.code[at + 1], return_inverse=True)
-        if not len(pairs):
-            return Block(self.place[:0], self.code[:0], pa.array([], pa.string()))
-        last = pa.array([p.rpartition(" ")[2] for p in self.phrases.to_pylist()], pa.string())
-        phrases = pc.binary_join_element_wise(self.phrases.take(pa.array(pairs // m)), last.take(pa.array(pairs % m)), " ")
-        return Block(self.place[at], code.astype(np.int32), phrases)
+        first, second = pairs // m, pairs % m
+        return at, code, first, second, mix64(self.hash[first] * np.uint64(0x9E3779B97F4A7C15) + self.hash[second])
+
+    def longer_hashes(self) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of the phrases one word longer, and how often each occurs."""
+        _, code, _, _, hashes = self._pairs()
+        return hashes, np.bincount(code, minlength=len(hashes))
+
+    def longer(self, bits: np.ndarray) -> Block:
+        """The occurrences one word longer whose hash is in the bitmap."""
+        at, code, first, second, hashes = self._pairs()
+        good = _hit(hashes, bits)
+        kept, first, second = good[code], first[good], second[good]
+        last = pa.array([p.rpartition(" ")[2] for p in self.phrases.take(pa.array(second)).to_pylist()], pa.string())
+        phrases = pc.binary_join_element_wise(self.phrases.take(pa.array(first)), last, " ")
+        return Block(self.place[at[kept]], (np.cumsum(good) - 1)[code[kept]].astype(np.int32), phrases, hashes[good])
 
     def counts(self) -> np.ndarray:
         return np.bincount(self.code, minlength=len(self.phrases))
 
-    def only(self, good: np.ndarray) -> Block:
-        """The occurrences whose phrase is good, with a dictionary of these."""
+    def only(self, bits: np.ndarray) -> Block:
+        """The occurrences whose hash is in the bitmap, with a dictionary of these."""
+        good = _hit(self.hash, bits)
         kept = good[self.code]
-        renumbered = np.cumsum(good) - 1
-        return Block(self.place[kept], renumbered[self.code[kept]].astype(np.int32), self.phrases.filter(pa.array(good)))
+        return Block(self.place[kept], (np.cumsum(good) - 1)[self.code[kept]].astype(np.int32), self.phrases.filter(pa.array(good)), self.hash[good])
+
+    def row(self, lang: str, words: int) -> pa.RecordBatch:
+        lists = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v)) for v in (self.place, self.code, self.phrases, self.hash.view(np.int64))]
+        return pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([words], pa.int64()), *lists], ["lang", "words", "place", "code", "phrases", "hash"])
 
-    def row(self, lang: str) -> pa.RecordBatch:
-        columns = [pa.array([lang]), *(pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v)) for v in (self.place, self.code, self.phrases))]
-        return pa.RecordBatch.from_arrays(columns, ["lang", "place", "code", "phrases"])
+
+def _hit(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which hashes have both their places in the bitmap."""
+    mask = np.uint64(64 * len(bits) - 1)
+    good = np.ones(len(hashes), bool)
+    for at in (hashes & mask, (hashes >> np.uint64(32)) & mask):
+        good &= (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    return good
 
 
 def _texts(batches):
@@ -92,70 +118,76 @@ def _texts(batches):
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             by_lang.setdefault(lang, []).append(text)
         for lang, texts in by_lang.items():
-            yield lang, Block.of_texts(texts)
+            yield lang, Block.of_texts(lang, texts)
 
 
 def _blocks(batches):
     for batch in batches:
         for i in range(len(batch)):
-            place, code, phrases = (batch.column(c)[i].values for c in ("place", "code", "phrases"))
-            yield batch.column("lang")[i].as_py(), Block(place.to_numpy(), code.to_numpy(), phrases)
+            place, code, phrases, hashes = (batch.column(c)[i].values for c in ("place", "code", "phrases", "hash"))
+            yield batch.column("lang")[i].as_py(), Block(place.to_numpy(), code.to_numpy(), phrases, hashes.to_numpy().view(np.uint64))
 
 
-def _count_rows(lang: str, phrases: pa.Array, counts) -> pa.RecordBatch:
-    n = len(phrases)
-    return pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), phrases, pa.array(counts, pa.int64())], ["lang", "phrase", "n"])
+def _summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    hashes, inverse = np.unique(np.concatenate([h for h, _ in held]), return_inverse=True)
+    return hashes, np.bincount(inverse, np.concatenate([n for _, n in held]), len(hashes)).astype(np.int64)
 
 
-def _word_counts(batches):
-    """Each block's words with their counts, and, with a null phrase, the number of its occurrences."""
-    for lang, block in _texts(batches):
-        yield _count_rows(lang, block.phrases, block.counts())
-        yield _count_rows(lang, pa.array([None], pa.string()), [len(block.code)])
+def _hash_counts(source, longer: bool):
+    """(h, n): counts of the hashes of a task's blocks, added up there as far as HELD allows."""
 
+    def row(held):
+        hashes, n = _summed(held)
+        return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n)], ["h", "n"])
 
-def _longer_counts(batches):
-    for lang, block in _blocks(batches):
-        found = block.longer()
-        if len(found.phrases):
-            yield _count_rows(lang, found.phrases, found.counts())
-
+    def run(batches):
+        held, size = [], 0
+        for _, block in source(batches):
+            held.append(block.longer_hashes() if longer else (block.hash, block.counts()))
+            size += len(held[-1][0])
+            if size > 2 * HELD:
+                held = [_summed(held)]
+                size = len(held[0][0])
+                if size > HELD:
+                    yield row(held)
+                    held, size = [], 0
+        if held:
+            yield row(held)
 
-def _hit(lang: str, phrases: pa.Array, bits: np.ndarray) -> np.ndarray:
-    """Which phrases' two hashed places are set in the bitmap."""
-    seed = xxhash.xxh64_intdigest(lang, 42)
-    digest = xxhash.xxh64_intdigest
-    h = np.fromiter((digest(p, seed) for p in phrases.to_pylist()), np.uint64, len(phrases))
-    mask = np.uint64(64 * len(bits) - 1)
-    good = np.ones(len(h), bool)
-    for at in (h & mask, (h >> np.uint64(32)) & mask):
-        good &= (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-    return good
+    return run
 
 
 def _semi_joined(bits: Broadcast, source, longer: bool):
-    """The source's blocks, or their join with themselves, without the occurrences whose group is not frequent."""
+    """The source's blocks, or their join with themselves, without the occurrences whose hash is not frequent. A block of
+    texts stays, with its number of words, even if nothing of it is left."""
 
     def run(batches):
         for lang, block in source(batches):
-            block = block.longer() if longer else block
-            block = block.only(_hit(lang, block.phrases, bits.value))
-            if len(block.place):
-                yield block.row(lang)
+            words = 0 if longer else len(block.code)
+            block = block.longer(bits.value) if longer else block.only(bits.value)
+            if words or len(block.place):
+                yield block.row(lang, words)
 
     return run
 
 
+def _phrase_counts(batches):
+    for lang, block in _blocks(batches):
+        n = len(block.phrases)
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), block.phrases, pa.array(block.counts(), pa.int64())], ["lang", "phrase", "n"])
+
+
 def _bitmap(frequent: DataFrame) -> Broadcast:
-    """The bitmap of the phrases' hashes: sixteen bits a phrase, in all between 2^16 and 2^MOST_BITS of them, so between 8 KB
-    and 64 MB whatever the input. Spark makes it; the driver only puts its words in order."""
+    """The bitmap of the hashes h: sixteen bits each, in all between 2^16 and 2^MOST_BITS of them, so between 8 KB and 64 MB
+    whatever the input. Spark makes it; the driver only puts its words in order."""
     spark = frequent.sparkSession
     size = min(max((16 * frequent.count()).bit_length(), 16), MOST_BITS)
-    h, mask = F.xxhash64("lang", "phrase"), F.lit((1 << size) - 1)
+    h, mask = F.col("h"), F.lit((1 << size) - 1)
     at = frequent.select(F.explode(F.array(h.bitwiseAND(mask), F.shiftrightunsigned(h, 32).bitwiseAND(mask))).alias("at"))
     words = at.groupBy(F.shiftright("at", 6).alias("slot")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 AS int))")).alias("word"))
     found = words.toArrow()
-    bits = np.zeros(1 << (size - 6), np.uint64)
+    bits = np.zeros(1 << max(size - 6, 0), np.uint64)
     bits[found.column("slot").to_numpy()] = found.column("word").to_numpy().view(np.uint64)
     return spark.sparkContext.broadcast(bits)
 
@@ -163,27 +195,21 @@ def _bitmap(frequent: DataFrame) -> Broadcast:
 def frequent_phrases(docs: DataFrame, least: int = 100, most_words: int = 5, text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, words, f), (lang, n)): the phrases of 1 to most_words words that occur least times or more in a
     language, with their counts, and each language's number of words. Counts are of all texts, overlaps included."""
-    spark = docs.sparkSession
     source = docs.select(F.coalesce(docs[lang_col].cast("string"), F.lit("und")).alias("lang"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    total = lambda df: df.groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
-    with small_batches(spark, 8000, "16m"):
-        counts = total(source.mapInArrow(_word_counts, COUNT_SCHEMA)).filter(F.col("phrase").isNull() | (F.col("f") >= least))
-        counts = written(counts, "word-counts")
-        totals = counts.filter("phrase IS NULL").select("lang", F.col("f").alias("n"))
-        found = [counts.filter("phrase IS NOT NULL")]
-        relation, bits = None, _bitmap(found[0])
-        for k in range(2, most_words + 1):
-            # R(k-1) without what is infrequent, kept sorted; then the groups of its join with itself.
-            if relation is None:
-                pruned = written(source.mapInArrow(_semi_joined(bits, _texts, False), BLOCK_SCHEMA), "relation")
-            else:
-                pruned = written(relation.mapInArrow(_semi_joined(bits, _blocks, True), BLOCK_SCHEMA), "relation")
-                discard(relation)
-            relation = pruned
-            found.append(written(total(relation.mapInArrow(_longer_counts, COUNT_SCHEMA)).filter(F.col("f") >= least), "phrase-counts"))
-            bits = _bitmap(found[-1]) if k < most_words else None
-        if relation is not None:
-            discard(relation)
+    relation, found, totals = None, [], None
+    with small_batches(docs.sparkSession, 4000, "8m"):
+        for k in range(1, most_words + 1):
+            rows, form = (source, _texts) if relation is None else (relation, _blocks)
+            hashes = rows.mapInArrow(_hash_counts(form, k > 1), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+            hashes = written(hashes.filter(F.col("n") >= least).select("h"), "frequent-hashes")
+            joined = written(rows.mapInArrow(_semi_joined(_bitmap(hashes), form, k > 1), BLOCK_SCHEMA), "relation")
+            counts = joined.mapInArrow(_phrase_counts, COUNT_SCHEMA).groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
+            found.append(written(counts.filter(F.col("f") >= least), "phrase-counts"))
+            if totals is None:
+                totals = written(joined.groupBy("lang").agg(F.sum("words").alias("n")), "totals")
+            discard(hashes, *([relation] if relation is not None else []))
+            relation = joined
+        discard(relation)
     frequent = reduce(DataFrame.unionByName, (f.withColumn("words", F.lit(i)) for i, f in enumerate(found, 1)))
     return frequent.select("lang", "phrase", "words", "f"), totals
 
@@ -221,11 +247,12 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, text_col: s
 
     a, l, r are the counts of the phrase, of its first and its other part at the worst cut, n of all words. A null text
     is empty, a null language `und`; repeated rows count each time; ties are ordered by a, then by the phrase's bytes. Other
-    columns are left out. An empty table has no phrases. A task holds some 16 MB of texts, or one longer text.
+    columns are left out. An empty table has no phrases. A task holds some 8 MB of texts, or one longer text.
     """
     frequent, totals = frequent_phrases(docs, least, text_col=text_col, lang_col=lang_col)
     found = scored(maximal(frequent), frequent, totals)
-    # Spark keeps each task's first rows of a language before they are dealt by language.
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
-    return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    # Ranks by ranges of the order, so that no task sees a whole language.
+    order = F.struct(-F.col("score"), -F.col("a"), "phrase")
+    ranked = running(found.withColumns({"order": order, "one": F.lit(1).cast("long")}), ["lang"], "order", {"before": "one"})
+    ranked = ranked.filter(F.col("before") < top).withColumn("rank", F.col("before") + 1)
+    return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
