@@ -164,6 +164,9 @@ def fingerprint_report(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = written(compare_with_next(docs, id_col, text_col), "report")
     release(docs.sparkSession)  # the texts' shuffle
     groups = exact_groups(docs, id_col, text_col, rows)
-    # An id may have several texts, so a row is found again by its digest as well; what tells a collision apart follows that.
-    groups = groups.groupBy("doc_id", F.substring("fingerprint", 1, 32).alias("fingerprint")).agg(F.min("fingerprint").alias("checked"), F.min("group_id").alias("group_id"))
-    return rows.join(groups, ["doc_id", "fingerprint"], "left").select("doc_id", "n_chars", "edited_sha256", F.coalesce("checked", "fingerprint").alias("fingerprint"), "edited_fingerprint", "near_edited", "near_next", "group_id")
+    # An id may have several texts, so a row is found again by a hash of its digest as well. A digest that is not the group's
+    # own, after a collision, is carried; others are known.
+    name, own = F.xxhash64(F.substring("fingerprint", 1, 32)).alias("_mark"), F.when(F.length("fingerprint") > 32, F.col("fingerprint"))
+    groups = groups.select("doc_id", name, own.alias("apart"), "group_id").groupBy("doc_id", "_mark").agg(F.min("apart").alias("apart"), F.min("group_id").alias("group_id"))
+    rows = rows.withColumn("_mark", F.xxhash64("fingerprint"))
+    return rows.join(groups, ["doc_id", "_mark"], "left").select("doc_id", "n_chars", "edited_sha256", F.coalesce("apart", "fingerprint").alias("fingerprint"), "edited_fingerprint", "near_edited", "near_next", "group_id")
