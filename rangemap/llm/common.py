@@ -6,6 +6,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +56,34 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Bits of the largest bitmap of hashes, as a power of two.
+MOST_BITS = 29
+
+
+def bitmap(hashes: DataFrame) -> Broadcast:
+    """The bitmap of the 64-bit hashes h: sixteen bits each, in all between 2^16 and 2^MOST_BITS of them, so between 8 KB and
+    64 MB whatever the input. Spark makes it; the driver only puts its words in order. With more hashes than fit, more of
+    what isn't there passes; what is there always does."""
+    spark = hashes.sparkSession
+    size = min(max((16 * hashes.count()).bit_length(), 16), MOST_BITS)
+    h, mask = F.col("h"), F.lit((1 << size) - 1)
+    at = hashes.select(F.explode(F.array(h.bitwiseAND(mask), F.shiftrightunsigned(h, 32).bitwiseAND(mask))).alias("at"))
+    words = at.groupBy(F.shiftright("at", 6).alias("slot")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 AS int))")).alias("word"))
+    found = words.toArrow()
+    bits = np.zeros(1 << max(size - 6, 0), np.uint64)
+    bits[found.column("slot").to_numpy()] = found.column("word").to_numpy().view(np.uint64)
+    return spark.sparkContext.broadcast(bits)
+
+
+def in_bitmap(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which hashes have both their places in the bitmap."""
+    mask = np.uint64(64 * len(bits) - 1)
+    good = np.ones(len(hashes), bool)
+    for at in (hashes & mask, (hashes >> np.uint64(32)) & mask):
+        good &= (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    return good
+
+
 class Words:
     """The words `[^\\x20\\x09-\\x0D]+` of a column of texts, without a Python object for each.
 

@@ -9,16 +9,17 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Callable
-from hashlib import sha256
+from hashlib import md5, sha256
 
+import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import id_text, pieces, release, written
+from .common import bitmap, id_text, in_bitmap, pieces, release, written
 
 SLICE = 1 << 20
 PAIR_SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, part int, place string, text string"
@@ -49,20 +50,38 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return id_text(docs, id_col, text_col).mapInArrow(_fingerprints(mark), "doc_id long, fingerprint string")
 
 
-def _canonicals(mark: Callable[[bytes], str]):
+def _canonicals(mark: Callable[[bytes], str], bits: Broadcast):
+    """The canonical bytes of the documents whose digest's hash is in the bitmap."""
+
     def run(batches):
         for batch in (p for whole in batches for p in pieces(whole, SLICE)):
             canon = [canonical(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([mark(c) for c in canon], pa.string()), pa.array(canon, pa.binary())], ["doc_id", "fingerprint", "canon"])
+            marks = [mark(c) for c in canon]
+            good = pa.array(in_bitmap(np.fromiter(map(_place, marks), np.uint64, len(marks)), bits.value))
+            found = pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.string()), pa.array(canon, pa.binary())], ["doc_id", "fingerprint", "canon"])
+            yield found.filter(good)
 
     return run
 
 
+def _place(mark: str) -> int:
+    """64 bits of a digest: its MD5's first, as Spark's functions have it too."""
+    return int.from_bytes(md5(mark.encode()).digest()[:8])
+
+
+def _places(marks: DataFrame) -> DataFrame:
+    """h: _place of each fingerprint."""
+    digits = F.md5(F.col("fingerprint").cast("binary"))
+    half = [F.conv(F.substring(digits, at, 8), 16, 10).cast("long") for at in (1, 9)]
+    return marks.select(F.shiftleft(half[0], 32).bitwiseOR(half[1]).alias("h"))
+
+
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", marks: DataFrame | None = None, mark: Callable[[bytes], str] = digest) -> DataFrame:
     """(doc_id, fingerprint, group_id) per document: group_id is the smallest id with the same canonical bytes.
 
     marks: the documents' fingerprints by mark, if known. Buckets of one document need no comparison, and their texts are not
-    moved. In the others each member's bytes are joined to those of the bucket's first document; a member that differs
+    moved: a bitmap of the other buckets' digests, of 64 MB at most, leaves them out where they are read. In the others each
+    member's bytes are joined to those of the bucket's first document; a member that differs
     (a collision of 128 bits) forms a group with the members of its own SHA-256. The join's member side can be split,
     so a bucket with a third of all rows is no single task. Rows of one id with several texts count once each; rows with
     a null id get a null group.
@@ -73,14 +92,15 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     marks = marks.select("doc_id", "fingerprint")
     buckets = marks.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
     full = written(buckets.filter("n > 1"), "buckets")
-    members = marks.join(full, "fingerprint", "left_semi")
-    texts = source.join(members.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi").mapInArrow(_canonicals(mark), "doc_id long, fingerprint string, canon binary")
-    texts = texts.join(full.select("fingerprint"), "fingerprint", "left_semi")
-    first = texts.join(full.select(F.col("first_id").alias("doc_id"), F.col("fingerprint").alias("bucket")), "doc_id").filter("fingerprint = bucket").groupBy("fingerprint").agg(F.min("canon").alias("first_canon"), F.min("doc_id").alias("first_id"))
+    texts = source.mapInArrow(_canonicals(mark, bitmap(_places(full))), "doc_id long, fingerprint string, canon binary")
+    # The first document of a bucket is found by its id, which no bucket's size makes hot.
+    starts = full.select(F.col("first_id").alias("doc_id"), "fingerprint")
+    first = texts.join(starts, ["doc_id", "fingerprint"]).groupBy("fingerprint").agg(F.min("canon").alias("first_canon"), F.min("doc_id").alias("first_id"))
     first = written(first, "first")
+    release(docs.sparkSession)
     same = F.col("canon") == F.col("first_canon")
     # No aggregate follows the join on its key, so a bucket's members can be split among tasks.
-    checked = texts.join(first, "fingerprint", "left").select("doc_id", "fingerprint", "first_id", F.when(same, F.lit("")).otherwise(F.sha2("canon", 256)).alias("apart"))
+    checked = texts.join(full.select("fingerprint"), "fingerprint", "left_semi").join(first, "fingerprint", "left").select("doc_id", "fingerprint", "first_id", F.when(same, F.lit("")).otherwise(F.sha2("canon", 256)).alias("apart"))
     checked = written(checked, "checked")
     odd = checked.filter("apart <> ''")
     ranked = odd.groupBy("fingerprint", "apart").agg(F.min("doc_id").alias("group_id"))
