@@ -26,10 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ordered import running
-from .common import discard, mix64, small_batches, written
-
-#: Bits of the largest bitmap of frequent groups, as a power of two.
-MOST_BITS = 29
+from .common import bitmap, discard, in_bitmap, mix64, small_batches, written
 
 BLOCK_SCHEMA = "lang string, words long, place array<int>, code array<int>, phrases array<string>, hash array<long>"
 COUNT_SCHEMA = "lang string, phrase string, n long"
@@ -82,7 +79,7 @@ class Block:
     def longer(self, bits: np.ndarray) -> Block:
         """The occurrences one word longer whose hash is in the bitmap."""
         at, code, first, second, hashes = self._pairs()
-        good = _hit(hashes, bits)
+        good = in_bitmap(hashes, bits)
         kept, first, second = good[code], first[good], second[good]
         last = pa.array([p.rpartition(" ")[2] for p in self.phrases.take(pa.array(second)).to_pylist()], pa.string())
         phrases = pc.binary_join_element_wise(self.phrases.take(pa.array(first)), last, " ")
@@ -93,7 +90,7 @@ class Block:
 
     def only(self, bits: np.ndarray) -> Block:
         """The occurrences whose hash is in the bitmap, with a dictionary of these."""
-        good = _hit(self.hash, bits)
+        good = in_bitmap(self.hash, bits)
         kept = good[self.code]
         return Block(self.place[kept], (np.cumsum(good) - 1)[self.code[kept]].astype(np.int32), self.phrases.filter(pa.array(good)), self.hash[good])
 
@@ -102,15 +99,6 @@ class Block:
         return pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([words], pa.int64()), *lists], ["lang", "words", "place", "code", "phrases", "hash"])
 
 
-def _hit(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Which hashes have both their places in the bitmap."""
-    mask = np.uint64(64 * len(bits) - 1)
-    good = np.ones(len(hashes), bool)
-    for at in (hashes & mask, (hashes >> np.uint64(32)) & mask):
-        good &= (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-    return good
-
-
 def _texts(batches):
     """(lang, block) of each batch's texts of each language."""
     for batch in batches:
@@ -172,24 +160,25 @@ def _semi_joined(bits: Broadcast, source, longer: bool):
 
 
 def _phrase_counts(batches):
-    for lang, block in _blocks(batches):
-        n = len(block.phrases)
-        if n:
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), block.phrases, pa.array(block.counts(), pa.int64())], ["lang", "phrase", "n"])
+    """(lang, phrase, n): counts of the phrases of a task's blocks, added up there as far as HELD allows."""
+    held, size = [], 0
 
+    def summed():
+        found = pa.concat_tables(held).group_by(["lang", "phrase"]).aggregate([("n", "sum")])
+        return found.rename_columns(["lang", "phrase", "n"])
 
-def _bitmap(frequent: DataFrame) -> Broadcast:
-    """The bitmap of the hashes h: sixteen bits each, in all between 2^16 and 2^MOST_BITS of them, so between 8 KB and 64 MB
-    whatever the input. Spark makes it; the driver only puts its words in order."""
-    spark = frequent.sparkSession
-    size = min(max((16 * frequent.count()).bit_length(), 16), MOST_BITS)
-    h, mask = F.col("h"), F.lit((1 << size) - 1)
-    at = frequent.select(F.explode(F.array(h.bitwiseAND(mask), F.shiftrightunsigned(h, 32).bitwiseAND(mask))).alias("at"))
-    words = at.groupBy(F.shiftright("at", 6).alias("slot")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 AS int))")).alias("word"))
-    found = words.toArrow()
-    bits = np.zeros(1 << max(size - 6, 0), np.uint64)
-    bits[found.column("slot").to_numpy()] = found.column("word").to_numpy().view(np.uint64)
-    return spark.sparkContext.broadcast(bits)
+    for lang, block in _blocks(batches):
+        n = len(block.phrases)
+        held.append(pa.table({"lang": pa.array([lang] * n, pa.string()), "phrase": block.phrases, "n": pa.array(block.counts(), pa.int64())}))
+        size += n
+        if size > HELD:
+            held = [summed()]
+            size = len(held[0])
+            if size > HELD // 2:
+                yield from held[0].to_batches(max_chunksize=100_000)
+                held, size = [], 0
+    if held:
+        yield from summed().to_batches(max_chunksize=100_000)
 
 
 def frequent_phrases(docs: DataFrame, least: int = 100, most_words: int = 5, text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, DataFrame]:
@@ -202,7 +191,7 @@ def frequent_phrases(docs: DataFrame, least: int = 100, most_words: int = 5, tex
             rows, form = (source, _texts) if relation is None else (relation, _blocks)
             hashes = rows.mapInArrow(_hash_counts(form, k > 1), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
             hashes = written(hashes.filter(F.col("n") >= least).select("h"), "frequent-hashes")
-            joined = written(rows.mapInArrow(_semi_joined(_bitmap(hashes), form, k > 1), BLOCK_SCHEMA), "relation")
+            joined = written(rows.mapInArrow(_semi_joined(bitmap(hashes), form, k > 1), BLOCK_SCHEMA), "relation")
             counts = joined.mapInArrow(_phrase_counts, COUNT_SCHEMA).groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
             found.append(written(counts.filter(F.col("f") >= least), "phrase-counts"))
             if totals is None:

@@ -6,7 +6,7 @@ from collections import Counter
 
 import pytest
 
-from rangemap.llm import phrases
+from rangemap.llm import common, phrases
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -77,5 +77,17 @@ def test_products_beyond_64_bits(spark):
 
 
 def test_a_full_bitmap_drops_nothing(spark, hard, hard_rows, monkeypatch):
-    monkeypatch.setattr(phrases, "MOST_BITS", 6)
+    monkeypatch.setattr(common, "MOST_BITS", 6)
     assert rows_of(phrases.collocations(hard, 2)) == brute(hard_rows, 2, 2000)
+
+
+@pytest.mark.parametrize("held", [1, 5, 1_000_000])
+def test_counts_of_a_task_add_up_however_many_it_holds(held, monkeypatch):
+    monkeypatch.setattr(phrases, "HELD", held)
+    texts = [["a b a", "b; b c"], ["c a"], ["a a d", ""]]
+    rows = [phrases.Block.of_texts("en", t).row("en", 1) for t in texts]
+    found = Counter()
+    for batch in phrases._phrase_counts(rows):
+        for lang, phrase, n in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            found[lang, phrase] += n
+    assert found == Counter(("en", w) for t in texts for w in re.findall("[a-d]", " ".join(t)))
