@@ -18,11 +18,11 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.scalars import unit_hash
 from ..session import discard, written
 from . import evaluate
+from .ordered import join_groups, running
 from .solver import Problem, added_up, minimise, values_of
 
 LINEAR, QUADRATIC, PRODUCT, HINGE, THRESHOLD = "linear", "quadratic", "product", "hinge", "threshold"
@@ -209,9 +209,16 @@ def with_geographic_folds(training: DataFrame, k: int = 3, seed: int = 42) -> Da
 
 
 def with_random_folds(training: DataFrame, k: int = 3, seed: int = 42, by: str = "identifier", key: str = "point_id") -> DataFrame:
-    """training with fold: k even shares of each identifier, drawn by a hash of the key."""
-    order = Window.partitionBy(by).orderBy(unit_hash(F.col(key), seed), key, "class")
-    return training.withColumn("fold", F.ntile(k).over(order) - 1)
+    """training with fold: k even shares of each identifier, in the order of a hash of the key; the first shares have one row
+    more where k doesn't divide an identifier's rows. An identifier's rows are numbered by ranges, so they may be in any
+    number of tasks."""
+    order = F.struct(unit_hash(F.col(key), seed).alias("u"), F.col(key).alias("k"), F.col("class").alias("c"))
+    placed = running(training.withColumns({"_order": order, "_one": F.lit(1).cast("long")}), [by], "_order", {"_before": "_one"})
+    placed = join_groups(placed, training.groupBy(by).agg(F.count("*").alias("_n")), [by])
+    before, small = F.col("_before"), F.expr(f"_n DIV {k}")
+    wide = F.col("_n") % k * (small + 1)  # rows in the shares that have one more
+    fold = F.when(before < wide, F.floor(before / (small + 1))).otherwise(F.col("_n") % k + F.floor((before - wide) / small))
+    return placed.withColumn("fold", fold.cast("int")).drop("_order", "_one", "_before", "_n")
 
 
 def fit_all(training: DataFrame, features: dict[str, list[str]] | list[str], config: Config = Config(), k: int = 3, metric: Metric | None = None) -> DataFrame:

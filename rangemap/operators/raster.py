@@ -5,6 +5,7 @@ Missing values are NULL; NaN and sentinels become NULL when a table is read (see
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -84,10 +85,28 @@ def point_counts(points: DataFrame, spec: GridSpec, grid: DataFrame) -> DataFram
     return grid.select(*KEY).join(found, KEY, "left").select(*KEY, F.coalesce("n", F.lit(0)).cast("double").alias("value"))
 
 
-def clip_box(cells: DataFrame, spec: GridSpec, bounds: tuple[float, float, float, float]) -> DataFrame:
-    """Cells whose centres lie in the box: a range filter on the key that reaches the scan."""
+def box_keys(spec: GridSpec, bounds: tuple[float, float, float, float]) -> tuple[int, int, int, int]:
+    """First and last row, first and last col of the cells whose centres lie in the box. Centres are computed as GridSpec.x and
+    y do, so that a centre on the border falls on the same side; a first after its last is an empty box."""
     xmin, ymin, xmax, ymax = bounds
-    return cells.filter(spec.x(F.col("col")).between(xmin, xmax) & spec.y(F.col("row")).between(ymin, ymax))
+    x, y = (lambda c: spec.x0 + (c + 0.5) * spec.res), (lambda r: spec.ytop - (r + 0.5) * spec.res)
+
+    def first(guess: float, reached) -> int:
+        """The least whole number that has reached a bound, near guess."""
+        n = math.floor(guess) - 2
+        while not reached(n):
+            n += 1
+        return n
+
+    cols = first((xmin - spec.x0) / spec.res - 0.5, lambda c: x(c) >= xmin), first((xmax - spec.x0) / spec.res - 0.5, lambda c: x(c) > xmax) - 1
+    rows = first((spec.ytop - ymax) / spec.res - 0.5, lambda r: y(r) <= ymax), first((spec.ytop - ymin) / spec.res - 0.5, lambda r: y(r) < ymin) - 1
+    return *rows, *cols
+
+
+def clip_box(cells: DataFrame, spec: GridSpec, bounds: tuple[float, float, float, float]) -> DataFrame:
+    """Cells whose centres lie in the box: bounds on the stored keys, which reach the scan and prune its row groups."""
+    r0, r1, c0, c1 = box_keys(spec, bounds)
+    return cells.filter(F.col("row").between(r0, r1) & F.col("col").between(c0, c1))
 
 
 def clip_cells(cells: DataFrame, inside: DataFrame) -> DataFrame:

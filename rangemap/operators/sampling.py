@@ -78,20 +78,24 @@ def weighted_sample(df: DataFrame, n: int, key: str, p: str = "p", seed: int = 4
 
 
 def weighted_sample_replace(df: DataFrame, n: int, key: str, p: str = "p", seed: int = 42) -> DataFrame:
-    """n rows with replacement: n uniforms, each taking the row whose stretch of the cumulative sum it falls in. The sum
-    runs within ranges of the key and then over the ranges' totals, and a uniform meets only its own range's rows."""
-    groups = df.sparkSession.range(n).select(F.col("id").alias("draw"), unit_hash(F.col("id"), seed).alias("u"))
-    ranged = df.filter(F.col(p) > 0).withColumn("_g", F.expr(f"{key} DIV 1024"))
-    inner = F.sum(p).over(Window.partitionBy("_g").orderBy(key))
-    rows = ranged.withColumn("_in", inner)
-    totals = ranged.groupBy("_g").agg(F.sum(p).alias("_t"))
-    outer = F.sum("_t").over(Window.orderBy("_g"))
-    totals = totals.withColumn("_end", outer).withColumn("_begin", F.col("_end") - F.col("_t"))
-    whole = totals.agg(F.max("_end").alias("_all"))
-    placed = groups.crossJoin(F.broadcast(whole)).withColumn("u", F.col("u") * F.col("_all"))
-    at = placed.join(totals, (F.col("u") > F.col("_begin")) & (F.col("u") <= F.col("_end"))).withColumn("u", F.col("u") - F.col("_begin"))
-    met = at.select("draw", "u", "_g").join(rows, "_g").filter(F.col("u") <= F.col("_in"))
-    return met.groupBy("draw").agg(F.min(F.struct("_in", *df.columns)).alias("r")).select("draw", *(F.col(f"r.{c}").alias(c) for c in df.columns))
+    """n rows with replacement: n uniforms, each taking the row whose stretch of the cumulative sum it falls in.
+
+    The total is cut into n equal bins, and a row stands in each bin that its stretch meets, so rows and bins together bound
+    the table. A uniform meets its own bin's rows by an equality join and takes the last that begins before it. key is
+    distinct; without a row of positive p there are no draws.
+    """
+    if n <= 0:
+        return df.limit(0).select(F.lit(0).cast("long").alias("draw"), *df.columns)
+    rows = running(df.filter(F.col(p) > 0), [], key, {"_begin": p}).withColumn("_begin", F.col("_begin").cast("double"))
+    whole = rows.agg(F.max(F.col("_begin") + F.col(p)).alias("_all"))
+    bin_of = lambda at: F.least(F.floor(at / F.col("_all") * n), F.lit(n - 1)).cast("long")
+    # The margin closes the gaps that rounding leaves between the end of a stretch and the next one's begin.
+    ends = F.col("_begin") + F.col(p) + F.col("_all") * 1e-12
+    binned = rows.crossJoin(F.broadcast(whole)).withColumn("_bin", F.explode(F.sequence(bin_of(F.col("_begin")), bin_of(ends)))).drop("_all")  # one row
+    draws = df.sparkSession.range(n).select(F.col("id").alias("draw"), unit_hash(F.col("id"), seed).alias("_u"))
+    draws = draws.crossJoin(F.broadcast(whole)).withColumn("_u", F.col("_u") * F.col("_all")).withColumn("_bin", bin_of(F.col("_u"))).drop("_all")  # one row
+    met = draws.join(binned, "_bin").filter(F.col("_begin") <= F.col("_u"))
+    return met.groupBy("draw").agg(F.max(F.struct("_begin", *df.columns)).alias("r")).select("draw", *(F.col(f"r.{c}").alias(c) for c in df.columns))
 
 
 def exact_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:

@@ -6,7 +6,7 @@ import logging
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import box_of, meets_box
@@ -121,6 +121,28 @@ def write_cells(cells: DataFrame, path: str) -> None:
     (cells.write.mode("overwrite").partitionBy("tile") if "tile" in cells.columns else cells.write.mode("overwrite")).parquet(path)
 
 
+def curve_key(row: Column, col: Column, tile: int = 64) -> Column:
+    """The place on the Z-order curve of the tile that a cell is in: the bits of its row and column by turns. For keys from 0
+    to 2^31 - 1."""
+
+    def spread(v: Column) -> Column:
+        v = F.floor(v / tile).cast("long")
+        for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+            v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
+        return v
+
+    return F.shiftleft(spread(row), 1).bitwiseOR(spread(col))
+
+
+def write_clustered(cells: DataFrame, path: str, tile: int = 64, files: int | None = None, group_mb: int = 16) -> None:
+    """A cell table along the Z-order curve of its tiles, in files that each hold a stretch of it: their statistics are narrow boxes
+    of row and col, so bounds on these (see raster.clip_box) skip files and row groups. files: how many ranges the curve is
+    cut into, by default as many as shuffles have."""
+    placed = cells.withColumn("_curve", curve_key(F.col("row"), F.col("col"), tile))
+    ranged = placed.repartitionByRange(files, "_curve") if files else placed.repartitionByRange("_curve")
+    ranged.sortWithinPartitions("_curve", *KEY).drop("_curve").write.option("parquet.block.size", group_mb << 20).parquet(path)
+
+
 def write_training(training: DataFrame, path: str, files: int = 8) -> None:
     """A folder per identifier, of at most `files` files, each written by a task of its own."""
     training.repartition("identifier", F.pmod(F.xxhash64(*training.columns), F.lit(files))).write.mode("overwrite").partitionBy("identifier").parquet(path)

@@ -185,3 +185,29 @@ def test_cloud_mask(spark):
     assert [tuple(r) for r in imagery.shadows(pixels, 90.0, 2).collect()] == [("s", 5, 6)]
     kept = {(r["row"], r["col"]) for r in imagery.masked(pixels, 90.0, 2, 1, 3).collect()}
     assert len(kept) == 121 - 12 and (5, 5) not in kept and (4, 4) not in kept and (5, 7) not in kept and (5, 8) in kept
+
+
+def test_draws_with_replacement_follow_the_weights_without_a_nested_loop(spark):
+    rows = [(i, [0.0, 1.0, 2.0, 1e-9, 97.0][i % 5] if i < 5 else 0.05) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, p double")
+    found = sampling.weighted_sample_replace(df, 20_000, "id")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan.replace("BroadcastNestedLoopJoin BuildRight, Cross", "").replace("BroadcastNestedLoopJoin BuildLeft, Cross", "")
+    out = [r["id"] for r in found.collect()]
+    total = sum(p for _, p in rows)
+    assert len(out) == 20_000 and 0 not in out
+    for i in (1, 2, 4):
+        share = rows[i][1] / total
+        assert abs(out.count(i) / 20_000 - share) < 5 * (share * (1 - share) / 20_000) ** 0.5 + 1e-9
+    assert sampling.weighted_sample_replace(df.filter("p = 0"), 10, "id").count() == 0
+    assert sampling.weighted_sample_replace(df, 0, "id").count() == 0
+
+
+def test_random_folds_of_groups_smaller_than_k_and_of_repeated_rows(spark):
+    rows = [("a", i, i % 2) for i in range(11)] + [("b", 1, 1), ("b", 2, 0)] + [("c", 5, 1)] * 4 + [(None, 3, 1)]
+    df = spark.createDataFrame(rows, "identifier string, point_id long, class int")
+    found = maxent.with_random_folds(df).groupBy("identifier", "fold").count().collect()
+    sizes = {}
+    for r in found:
+        sizes.setdefault(r["identifier"], {})[r["fold"]] = r["count"]
+    assert sizes == {"a": {0: 4, 1: 4, 2: 3}, "b": {0: 1, 1: 1}, "c": {0: 2, 1: 1, 2: 1}, None: {0: 1}}
