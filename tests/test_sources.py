@@ -24,6 +24,78 @@ def collection(tmp_path):
     return str(path)
 
 
+def plain(path):
+    """(unique_id, accuracy, geometry type, coordinates) of all features by the json module."""
+    kept = []
+    for f in json.loads(open(path).read())["features"]:
+        p, g = f["properties"], f["geometry"]
+        kept.append((p.get("unique_id"), p.get("accuracy"), g["type"], json.dumps(g["coordinates"])))
+    return sorted(kept, key=str)
+
+
+def split_rows(spark, path):
+    rows = geojson.read_features(spark, path, {"unique_id": "string", "accuracy": "double"})
+    return sorted(((r[0], r[1], r[2], json.dumps(json.loads(r[3]))) for r in rows.collect()), key=str), rows.rdd.getNumPartitions()
+
+
+@pytest.mark.parametrize("style", [{}, {"indent": 1}, {"separators": (",", ":")}])
+def test_one_collection_is_read_by_several_tasks(spark, tmp_path, style):
+    made = []
+    for i in range(400):
+        # Texts with what a border looks like, escaped as JSON has it, and brackets.
+        name = f'{{"type": "Feature", "n": {i}}}, ]}} \\" \u00e4' if i % 3 == 0 else f"id {i}" * (i % 40)
+        at = [[[i, 0.5], [i + 1, 0], [i, 1], [i, 0.5]]] if i % 2 else [i, -i / 2]
+        made.append({"type": "Feature", "id": i, "properties": {"unique_id": name, "accuracy": i / 4 if i % 5 else None}, "geometry": {"type": "Polygon" if i % 2 else "Point", "coordinates": at}})
+    path = tmp_path / "many.geojson"
+    path.write_text(json.dumps({"type": "FeatureCollection", "crs": {"type": "name", "properties": {"name": "EPSG:27700"}}, "features": made, "bbox": [0, 0, 1, 1]}, **style))
+    settings = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    held = {k: spark.conf.get(k) for k in settings}
+    try:
+        for size in (1 << 30, 3001, 997):
+            for k in settings:
+                spark.conf.set(k, size)
+            rows, tasks = split_rows(spark, str(path))
+            assert rows == plain(path)
+            assert tasks == 1 if size > 1 << 20 else tasks > 10
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
+def test_collections_of_other_forms(spark, tmp_path):
+    feature = lambda i: {"type": "Feature", "properties": {"unique_id": str(i)}, "geometry": {"type": "Point", "coordinates": [i, i]}}
+    turned = lambda i: dict(reversed(feature(i).items()))
+    whole = lambda fs: {"type": "FeatureCollection", "features": fs}
+    cases = {
+        "turned": json.dumps(whole([turned(i) for i in range(3)])),  # the type comes last: read whole
+        "mixed": json.dumps(whole([feature(0), turned(1), feature(2), turned(3), turned(4)])),  # several in a piece
+        "spaced": json.dumps(whole([feature(0)]))[:-2] + ', {"type" :  "Feature", "properties": null, "geometry": {"type": "Point", "coordinates": [1, 1]}}]}',
+        "empty": json.dumps(whole([])),
+        "nested": json.dumps(whole([feature(0), feature(1)])) + "\n",
+    }
+    for name, text in cases.items():
+        path = tmp_path / f"{name}.geojson"
+        path.write_text(text)
+        rows = geojson.read_features(spark, str(path), {"unique_id": "string"})
+        want = [tuple(f["geometry"]["coordinates"]) for f in json.loads(text)["features"]]
+        assert sorted(tuple(json.loads(r["coordinates"])) for r in rows.collect()) == sorted(want), name
+    # Two files of a folder, the second spaced in another way, are both read.
+    folder = tmp_path / "both"
+    folder.mkdir()
+    (folder / "a.geojson").write_text(json.dumps(whole([feature(i) for i in range(5)])))
+    (folder / "b.geojson").write_text(json.dumps(whole([feature(i) for i in range(2)]), separators=(",", ":")))
+    assert geojson.read_features(spark, str(folder), {"unique_id": "string"}).count() == 7
+
+
+def test_a_broken_collection_is_an_error(spark, tmp_path):
+    path = tmp_path / "cut.geojson"
+    path.write_text('{"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {"unique_id": "a"}, "geometry": {"type": "Point", "coordinates": [1, 2]}}, {"type": "Feature", "prop')
+    with pytest.raises(Exception, match="not a feature collection|Malformed"):
+        geojson.read_features(spark, str(path), {"unique_id": "string"}).collect()
+    with pytest.raises(Exception, match="(?i)not exist|PATH_NOT_FOUND"):
+        geojson.read_features(spark, str(tmp_path / "none.geojson"), {"unique_id": "string"})
+
+
 def test_points(spark, collection):
     out = geojson.read_points(spark, collection).collect()
     assert [(r["unique_id"], r["x"], r["y"]) for r in out] == [("a", 430000.5, 433000.0)]
