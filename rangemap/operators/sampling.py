@@ -129,6 +129,20 @@ def background_points(points: DataFrame, spec: GridSpec, n: int, transform: str
     return with_centre(drawn, spec).select(*KEY, "x", "y", "p", F.lit(0).alias("presence"))
 
 
+def first_for_each(rows: DataFrame, groups: DataFrame, order: str, most: str, block: int = 4096) -> DataFrame:
+    """groups' columns with the first rows in order for each group, as many as its column most says; null: all rows.
+
+    Every group takes from the same rows, in which a value of order occurs once. Rows are numbered once, by ranges, and
+    blocks of them are met by an equality join, so the work is that of the rows given out.
+    """
+    numbered = running(rows.withColumn("_one", F.lit(1).cast("long")), [], order, {"_place": "_one"}).drop("_one")
+    numbered = numbered.withColumn("_block", F.floor(F.col("_place") / block))
+    total = F.broadcast(numbered.agg(F.count("*").alias("_total")))  # one row
+    least = groups.crossJoin(total).withColumn("_most", F.least(F.coalesce(most, "_total"), "_total")).filter("_most > 0").drop("_total")
+    spread = least.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_most") - 1) / block))))
+    return spread.join(numbered, "_block").filter(F.col("_place") < F.col("_most")).drop("_block", "_place", "_most")
+
+
 def training_table(presence: DataFrame, background: DataFrame, cells: DataFrame, spec: GridSpec, bands: list[str], by: str = "identifier", point_id: str = "point_id", tolerance: float = 50.0, subset: str | None = None, neighbours: int = 5, least: int = 15, seed: int = 42) -> DataFrame:
     """Training rows of all identifiers at once: by, point_id, x, y, bands, class, sample_weight.
 
@@ -141,12 +155,14 @@ def training_table(presence: DataFrame, background: DataFrame, cells: DataFrame,
     enough = with_enough(presence, [by], least)
     thin = thin_to_cells(enough.select(by, point_id, "x", "y"), spec, [by], point_id, tolerance)
     base = thin_to_cells(background.select(point_id, "x", "y", "weight"), spec, [], point_id, tolerance)
-    names = thin.select(by).distinct()
-    every = drop_in_presence_cells(base.crossJoin(names), thin, [by])  # every identifier gets the whole background
+    sizes = thin.groupBy(by).agg(F.count("*").alias("_held"), background_size(F.count("*")).alias("_want"))
+    # A group loses a background point at most for each of its presences: so many more of the first ones are enough.
+    reach = F.lit(None).cast("long") if subset is None else F.col("_held") + F.col("_want")
+    leading = F.struct(F.col("weight").isNull(), -F.col("weight")) if subset == "density" else F.struct(unit_hash(F.col(point_id), seed))
+    every = first_for_each(base.withColumn("_order", F.struct(leading, point_id, "x", "y")), sizes.select(by, "_want", reach.alias("_reach")), "_order", "_reach")
+    every = drop_in_presence_cells(every, thin, [by])
     if subset is not None:
-        wanted = thin.groupBy(by).agg(background_size(F.count("*")).alias("_want"))
-        order = F.desc("weight") if subset == "density" else unit_hash(F.col(point_id), seed)
-        every = first_rows(every.join(wanted, by), [by], [order, F.asc(point_id)], F.col("_want"), point_id).drop("_rank", "_want")
+        every = first_rows(every, [by], [F.asc("_order")], F.col("_want"), point_id)
     both = stack(thin.select(by, point_id, "x", "y"), every.select(by, point_id, "x", "y"))
     known = annotate(both, cells, spec, bands)
     known = known.withColumn("_key", F.concat_ws(":", "class", point_id))
@@ -154,4 +170,4 @@ def training_table(presence: DataFrame, background: DataFrame, cells: DataFrame,
     return known.join(weights.select(by, "_key", F.col("weight").alias("sample_weight")), [by, "_key"]).select(by, point_id, "x", "y", *bands, "class", "sample_weight")
 
 
-__all__ = ["average_rank", "background_points", "densest", "exact_sample", "points_in_polygon", "probabilities", "training_table", "transform_counts", "weighted_sample", "weighted_sample_replace"]
+__all__ = ["average_rank", "background_points", "densest", "exact_sample", "first_for_each", "points_in_polygon", "probabilities", "training_table", "transform_counts", "weighted_sample", "weighted_sample_replace"]

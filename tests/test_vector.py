@@ -126,3 +126,23 @@ def test_point_in_layer_with_hole(spark):
     points = spark.range(121).select(F.col("id").alias("point_id"), (F.expr("id % 11") + F.lit(0.1)).alias("x"), (F.expr("id DIV 11") + F.lit(0.1)).alias("y"))
     out = vector.point_in_layer(points, layer, grid.GridSpec(-5, 20, 5, 5, 5))
     assert out.count() == 100 - 4
+
+
+def test_neighbours_and_distances_where_nearly_all_points_are_in_one_spot(spark, rng_points=400):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    dense = rng.normal([700.0, 900.0], 0.01, (rng_points * 9 // 10, 2))
+    wide = rng.uniform(-60_000, 60_000, (rng_points // 10 - 2, 2))
+    xy = np.concatenate([dense, wide, [[-1e6, -1e6], [1e6, -1e6]]])
+    data = [("g", str(i), float(x), float(y)) for i, (x, y) in enumerate(xy)] + [("pair", "a", -1.0, 0.0), ("pair", "b", 3.0, -3.0), ("pair", "none", None, 1.0)]
+    found = {(r["g"], r["id"]): r["mean_distance"] for r in distance.knn_weights(spark.createDataFrame(data, "g string, id string, x double, y double"), "g", "id", 5, 100.0).collect()}
+    all_pairs = np.sort(np.hypot(*(xy[:, None] - xy[None]).transpose(2, 0, 1)), axis=1)
+    assert np.allclose([found["g", str(i)] for i in range(len(xy))], all_pairs[:, 1:6].mean(axis=1), rtol=1e-9)
+    assert found["pair", "a"] == found["pair", "b"] == 5.0 and found["pair", "none"] is None
+    spots = np.concatenate([rng.uniform(-2e6, 2e6, (30, 2)), xy[:5] + 0.003, wide[:5] + 40])
+    cells = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(spots)] + [(99, None, 0.0)], "id int, x double, y double")
+    points = spark.createDataFrame([(float(x), float(y)) for x, y in xy] + [(None, 1.0)], "x double, y double")
+    near = {r["id"]: r["distance"] for r in distance.to_points(cells, points, ["id"], 100.0).collect()}
+    assert len(near) == 41 and near[99] is None
+    assert np.allclose([near[i] for i in range(40)], np.hypot(*(spots[:, None] - xy[None]).transpose(2, 0, 1)).min(axis=1), rtol=1e-9)
