@@ -90,12 +90,33 @@ def focal_extreme(cells: DataFrame, band: str, window: int, how: str, name: str
     return out.select(*KEY, F.col(f"_e_{band}_{window}").alias(name or band))
 
 
+#: So many classes of a layer are told apart by bits.
+CLASSES = 512
+
+
 def diversity(cells: DataFrame, band: str, window: int, name: str = "diversity") -> DataFrame:
-    """Number of distinct classes in each window."""
+    """Number of distinct classes in each window of a layer that has all cells of its grid; null counts for none.
+
+    A class is a bit of one of few words of 62, by its rank among the band's classes, and words are joined by "or" along rows
+    and then along columns. Beyond CLASSES classes, cells' classes are sent to the windows and counted there instead.
+    """
     a, b = _reach(window)
-    sets = cells.withColumn("_set", F.collect_set(band).over(_span("row", "col", a, b)))
-    sets = sets.withColumn("_sets", F.collect_list("_set").over(_span("col", "row", a, b)))
-    return sets.select(*KEY, F.size(F.array_distinct(F.flatten("_sets"))).alias(name))
+    classes = sorted(r[0] for r in cells.select(band).filter(F.col(band).isNotNull()).distinct().limit(CLASSES + 1).collect())
+    if len(classes) > CLASSES:
+        spread = lambda col: F.explode(F.sequence(F.col(col) - b, F.col(col) - a)).alias(col)
+        along = cells.filter(F.col(band).isNotNull()).select("row", spread("col"), band).distinct()
+        found = along.select(spread("row"), "col", band).distinct().groupBy(*KEY).agg(F.count("*").cast("int").alias(name))
+        return cells.select(*KEY).join(found, KEY, "left").na.fill(0, [name])
+    size, kind = 62, cells.schema[band].dataType
+    words = [classes[i : i + size] for i in range(0, len(classes), size)]
+    out = cells.select(*KEY, band)
+    for i, word in enumerate(words):
+        bits = F.create_map(*(x for k, c in enumerate(word) for x in (F.lit(c).cast(kind), F.lit(1 << k).cast("long"))))
+        out = out.withColumn(f"_w{i}", F.when(F.col(band).isNotNull(), F.coalesce(bits[F.col(band)], F.lit(0).cast("long"))))
+    for across, along in (("row", "col"), ("col", "row")):
+        out = out.withColumns({f"_w{i}": F.bit_or(f"_w{i}").over(_span(across, along, a, b)) for i in range(len(words))})
+    count = reduce(Column.__add__, (F.bit_count(F.coalesce(f"_w{i}", F.lit(0).cast("long"))) for i in range(len(words))), F.lit(0))
+    return out.select(*KEY, count.cast("int").alias(name))
 
 
 def dominance(cells: DataFrame, band: str, window: int, name: str = "dominance") -> DataFrame:

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .grid import GridSpec, model_grid
 from .maxent import FINAL, HINGE, LINEAR, PRODUCT, QUADRATIC, THRESHOLD, iterate_models, matrix
-from .raster import KEY
+from .raster import KEY, bands_of, merge_layers, resample
 
 
 @dataclass(frozen=True)
@@ -134,8 +135,9 @@ def wide(predictions: DataFrame, identifiers: list[str]) -> DataFrame:
     return predictions.groupBy(*KEY).pivot("identifier", identifiers).agg(F.max("p"))
 
 
-def score_with(df: DataFrame, predict, features: list[str], keys: list[str]) -> DataFrame:
-    """(keys, p) by any callable from a pandas frame of features to an array, batch by batch; null features give null."""
+def score_with(df: DataFrame, predict, features: list[str], keys: list[str], **options) -> DataFrame:
+    """(keys, p) by any callable from a pandas frame of features to an array, batch by batch; null features give null.
+    options go to predict as they are."""
 
     def run(batches):
         for batch in batches:
@@ -143,8 +145,24 @@ def score_with(df: DataFrame, predict, features: list[str], keys: list[str]) ->
             out = batch[keys].copy()
             out["p"] = None
             if known.any():
-                out.loc[known, "p"] = predict(batch.loc[known, features])
+                out.loc[known, "p"] = predict(batch.loc[known, features], **options)
             yield out.astype({"p": "float64"})
 
     types = {f.name: f.dataType.simpleString() for f in df.schema}
     return df.select(*keys, *features).mapInPandas(run, ", ".join(f"`{k}` {types[k]}" for k in keys) + ", p double")
+
+
+def score_aligned(layers: dict[str, tuple[DataFrame, GridSpec]], spec: GridSpec, predict, features: list[str], grids: dict[str, int] | None = None, **options) -> DataFrame:
+    """(row, col, p) on the cells of spec by any callable, from layers that lie on grids of their own.
+
+    layers: a table of cells and its grid by name; features are their bands. A layer on another grid is moved to spec's,
+    bilinear; grids: the EPSG code of those in another reference system. Cells that no layer reaches have a null p.
+    """
+    spark = next(iter(layers.values()))[0].sparkSession
+    cells = model_grid(spark, spec)
+    there: dict[str, DataFrame] = {}
+    for name, (table, own) in layers.items():
+        epsg = (grids or {}).get(name)
+        table = table.select(*KEY, *(b for b in bands_of(table) if b in features))
+        there[name] = table if own == spec and epsg is None else resample(table, own, spec, cells, **({} if epsg is None else {"source_epsg": epsg}))
+    return score_with(cells.select(*KEY).join(merge_layers(there), KEY, "left"), predict, features, KEY, **options)

@@ -175,6 +175,19 @@ def score_any(spark, sf):
     return predict.score_with(T.cells(spark, sf), lambda x: (x["v"] / 50 + x["d"] / 10) / 2, ["v", "d"], KEY)
 
 
+ORACLE_SQL["m12_aligned_layers"] = T.with_tables(f""", b AS (SELECT {_PAIRS}, avg(d) AS d FROM cells GROUP BY 1, 2), moved AS (SELECT g."row", g.col, sum(w * b.d) / sum(w) AS d FROM (SELECT g."row", g.col, b."row" AS br, b.col AS bc, (1 - abs((g.col + 0.5) / 2 - 0.5 - b.col)) * (1 - abs((g."row" + 0.5) / 2 - 0.5 - b."row")) AS w FROM grid g JOIN b ON abs((g.col + 0.5) / 2 - 0.5 - b.col) < 1 AND abs((g."row" + 0.5) / 2 - 0.5 - b."row") < 1) g JOIN b ON b."row" = g.br AND b.col = g.bc GROUP BY 1, 2) SELECT g."row", g.col, round((c.v / 47 + 3 * m.d / 11) / 4, 6) + 0.0 AS p FROM grid g LEFT JOIN cells c ON c."row" = g."row" AND c.col = g.col LEFT JOIN moved m ON m."row" = g."row" AND m.col = g.col""", "grid", "cells")
+
+
+@job("m12_aligned_layers")
+def score_layers(spark, sf):
+    """A user's model with an option over two layers, of which one is on a coarser grid."""
+    spec, half = T.spec(spark, sf), T.spec(spark, sf, 200.0)
+    coarse = raster.coarsen_stats(T.cells(spark, sf), 2, "d", "d", 200).select(*KEY, F.col("d_mean_200m").alias("d"))
+    layers = {"fine": (T.cells(spark, sf).select(*KEY, "v"), spec), "coarse": (coarse, half)}
+    found = predict.score_aligned(layers, spec, lambda x, weight: (x["v"] / 47 + weight * x["d"] / 11) / (1 + weight), ["v", "d"], weight=3)
+    return found.select(*KEY, (F.round("p", 6) + F.lit(0.0)).alias("p"))
+
+
 @job("m7_random_cv_a19")
 def random_cv(spark, sf):
     """Random folds; the final models' confusion on their training rows."""

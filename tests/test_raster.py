@@ -148,3 +148,17 @@ def test_scaling(spark):
     assert table(raster.min_max(cells(spark, [[4, 4]]), ["v"]), "v") == {(0, 0): 0.5, (0, 1): 0.5}
     z = table(raster.z_score(c, ["v"]), "v")
     assert z[0, 1] == 0 and z[0, 3] == pytest.approx(1 / math.sqrt(2 / 3))
+
+
+@pytest.mark.parametrize("classes", [3, 150, 700])
+def test_diversity_of_few_and_many_classes(spark, classes):
+    import numpy as np
+
+    v = np.random.default_rng(1).integers(0, classes, (30, 30))
+    rows = [(r, c, None if (r + c) % 7 == 0 else int(v[r, c])) for r in range(30) for c in range(30)]
+    out = focal.diversity(spark.createDataFrame(rows, "row int, col int, k bigint"), "k", 5).collect()
+    known = {(r, c): k for r, c, k in rows if k is not None}
+    assert len(out) == len(rows)
+    for x in out:
+        seen = {known[q] for q in ((r, c) for r in range(x["row"] - 2, x["row"] + 3) for c in range(x["col"] - 2, x["col"] + 3)) if q in known}
+        assert x["diversity"] == len(seen)
