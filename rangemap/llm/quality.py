@@ -123,7 +123,7 @@ def held_out(id_col: F.Column) -> F.Column:
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 1000, dict_bytes: int = 1 << 16, class_bytes: int = 32 << 20) -> Model:
     """Fit on at most per_class labelled documents of each class, whole texts, of class_bytes in all (documented bounds of
-    the sample): those with the smallest hash of the id among labelled rows that are not held out, as long as they fit.
+    the sample): those with the smallest hash of the id among labelled rows that are not held out, as long as they fit; a text of more than class_bytes is passed over.
     Null labels, ids and texts are left out; of several texts of one id the first in order counts; a document with both
     labels is in both classes."""
     spark = docs.sparkSession
@@ -134,8 +134,10 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1000, dict_bytes:
     rows = chosen[0].unionByName(chosen[1]).collect()  # at most 2 * per_class pairs
     few = spark.createDataFrame(rows, "doc_id long, quality int")
     texts = id_text(docs).filter("text <> ''").join(F.broadcast(few), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
-    so_far = F.sum(F.octet_length("text")).over(Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id"))  # of per_class rows
-    found = sorted(texts.withColumn("so_far", so_far).filter(F.col("so_far") <= class_bytes).collect(), key=lambda r: (r["doc_id"], r["quality"]))
+    # Of per_class rows: a text that alone is beyond the bound is passed over, so that it doesn't shut out all after it.
+    size = F.octet_length("text")
+    so_far = F.sum(F.when(size <= class_bytes, size)).over(Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    found = sorted(texts.withColumn("so_far", so_far).filter((size <= class_bytes) & (F.col("so_far") <= class_bytes)).collect(), key=lambda r: (r["doc_id"], r["quality"]))
     return fit([r["text"] for r in found], [r["quality"] for r in found], dict_bytes, share)
 
 
@@ -149,7 +151,7 @@ def _scores(model: Model):
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, score) for every row from its whole text; empty and null texts get the share of good ones.
+    """(doc_id, score) for every row from its whole text, whose length is an input of the score too; empty and null texts get the share of good ones.
     A narrow map; the model is two dictionaries of fixed size."""
     return id_text(docs, id_col, text_col).mapInArrow(_scores(model), SCORE_SCHEMA)
 

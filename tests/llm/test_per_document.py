@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from rangemap.llm import bpe, fingerprint, media, pseudo_likelihood, quality, secrets, url_filter
 from rangemap.llm.common import Words
@@ -482,3 +483,12 @@ def test_very_long_texts(spark, vocabulary, known):
     assert coded[2]["ids_sha256"] == sha(struct.pack(f"<{len(ids)}I", *ids)) and coded[2]["decoded_sha256"] == sha(long)
     marks = {r["doc_id"]: r["group_id"] for r in fingerprint.fingerprint_report(docs).collect()}
     assert marks == {1: 1, 2: 1, 3: 3}
+
+
+def test_a_text_beyond_the_bound_does_not_shut_out_others(spark):
+    front = spark.range(40, 2000, 2).filter(~quality.held_out(F.col("id"))).orderBy(F.xxhash64("id")).first()[0]
+    rows = [(i, f"text {i} " * (i % 7 + 1)) for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in [*range(40), front]], "doc_id long, quality int")
+    plain = quality.train(spark.createDataFrame(rows, "doc_id long, text string"), labels, class_bytes=300)
+    behind = quality.train(spark.createDataFrame([*rows, (front, "long " * 100)], "doc_id long, text string"), labels, class_bytes=300)
+    assert plain.bad and plain.good and (behind.bad, behind.good) == (plain.bad, plain.good)
