@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
+from ..session import merged
 from .grid import GridSpec
 from .raster import KEY
 
@@ -66,7 +67,7 @@ def touched_cells(layer: DataFrame, spec: GridSpec) -> DataFrame:
 def rasterise(layer: DataFrame, spec: GridSpec, grid: DataFrame, lines: bool = False) -> DataFrame:
     """The dense grid with value 1 in cells of any geometry and 0 elsewhere."""
     found = (line_cells if lines else polygon_cells)(layer, spec).select(*KEY).distinct().withColumn("value", F.lit(1))
-    return grid.select(*KEY).join(found, KEY, "left").select(*KEY, F.coalesce("value", F.lit(0)).cast("int").alias("value"))
+    return grid.select(*KEY).join(merged(found), KEY, "left").select(*KEY, F.coalesce("value", F.lit(0)).cast("int").alias("value"))
 
 
 def feature_cover(layers: dict[str, tuple[DataFrame, bool]], spec: GridSpec, grid: DataFrame, base: float = 10.0) -> DataFrame:
@@ -80,7 +81,7 @@ def feature_cover(layers: dict[str, tuple[DataFrame, bool]], spec: GridSpec, gri
     for name, (layer, lines) in layers.items():
         hit = (line_cells if lines else polygon_cells)(layer, fine).select(*KEY).distinct()
         share = hit.groupBy(F.expr(f"CAST(row DIV {k} AS INT)").alias("row"), F.expr(f"CAST(col DIV {k} AS INT)").alias("col")).agg(F.count("*").alias(name))
-        out = out.join(share, KEY, "left")
+        out = out.join(merged(share), KEY, "left")
     return out.na.fill(0, subset=list(layers))
 
 
@@ -92,13 +93,13 @@ def point_in_layer(points: DataFrame, layer: DataFrame, spec: GridSpec, point_id
     """
     keyed = points.select(point_id, "x", "y", spec.row(F.col("y")).alias("row"), spec.col(F.col("x")).alias("col")).distinct()
     entered = line_cells(layer, spec)
-    whole = polygon_cells(layer, spec).join(entered, ["geom_id", *KEY], "left_anti")
-    sure = keyed.join(whole, KEY).select(point_id, "geom_id")
+    whole = polygon_cells(layer, spec).join(merged(entered), ["geom_id", *KEY], "left_anti")
+    sure = keyed.join(merged(whole), KEY).select(point_id, "geom_id")
     edges = segments(layer).filter("y1 <> y2").withColumns({"_a": spec.row(F.greatest("y1", "y2")), "_b": spec.row(F.least("y1", "y2"))}).filter((F.col("_b") >= 0) & (F.col("_a") < spec.nrows))
     edges = edges.withColumn("row", F.explode(F.sequence(_clamped(F.col("_a"), spec.nrows), _clamped(F.col("_b"), spec.nrows)))).drop("_a", "_b")
     x, y = F.col("x"), F.col("y")
     crosses = ((F.col("y1") > y) != (F.col("y2") > y)) & (x < (F.col("x2") - F.col("x1")) * (y - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1"))
-    met = keyed.join(entered, KEY).join(edges, ["geom_id", "row"]).filter(crosses)
+    met = keyed.join(merged(entered), KEY).join(merged(edges), ["geom_id", "row"]).filter(crosses)
     odd = met.groupBy(point_id, "x", "y", "geom_id").agg(F.count("*").alias("_n")).filter("_n % 2 = 1")
     return sure.unionByName(odd.select(point_id, "geom_id")).distinct()
 
@@ -145,7 +146,7 @@ def dissolve(layer: DataFrame, by: str) -> DataFrame:
 
 def difference_cells(near: DataFrame, land: DataFrame) -> DataFrame:
     """Cells of near that are not in land: a buffer minus land is the sea within its distance."""
-    return near.join(land.select(*KEY).distinct(), KEY, "left_anti")
+    return near.join(merged(land.select(*KEY).distinct()), KEY, "left_anti")
 
 
 def join_regions(counties: DataFrame, regions: DataFrame, on: str) -> DataFrame:

@@ -146,3 +146,14 @@ def test_neighbours_and_distances_where_nearly_all_points_are_in_one_spot(spark,
     near = {r["id"]: r["distance"] for r in distance.to_points(cells, points, ["id"], 100.0).collect()}
     assert len(near) == 41 and near[99] is None
     assert np.allclose([near[i] for i in range(40)], np.hypot(*(spots[:, None] - xy[None]).transpose(2, 0, 1)).min(axis=1), rtol=1e-9)
+
+
+def test_point_in_layer_broadcasts_nothing(spark, tmp_path):
+    """Cells and edges of exploded polygons look as small as the polygons' file; Spark must not collect them on the driver."""
+    spec = grid.GridSpec(0, 100, 10, 10, 10)
+    spark.createDataFrame([("a", square(12.0, 12.0, 38.0, 28.0))], RINGS).write.parquet(str(tmp_path / "layer"))
+    layer = spark.read.parquet(str(tmp_path / "layer"))
+    points = spark.createDataFrame([(1, 20.0, 20.0), (2, 50.0, 50.0)], "point_id int, x double, y double")
+    found = vector.point_in_layer(points, layer, spec)
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in found.collect()] == [(1, "a")]
