@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import merged
 from .grid import GridSpec
 from .raster import KEY
 from .vector import touched_cells
@@ -84,10 +85,11 @@ def distance_transform(cells: DataFrame, features: DataFrame, res: float = 1.0)
     """
     marked = features.select(F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col")).distinct().withColumn("_at", F.col("row"))
     keys = cells.select(F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"))
-    every = keys.join(marked, KEY, "left")
+    every = keys.join(merged(marked), KEY, "left")
     line = Window.partitionBy("col").orderBy("row")
     above = F.last("_at", ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, 0))
-    below = F.first("_at", ignorenulls=True).over(line.rowsBetween(0, Window.unboundedFollowing))
+    # From the other end: a frame up to a line's end is gone through anew for every row, which is a line's length squared.
+    below = F.last("_at", ignorenulls=True).over(Window.partitionBy("col").orderBy(F.desc("row")).rowsBetween(Window.unboundedPreceding, 0))
     steps = F.least(F.col("row") - above, below - F.col("row")).cast("long")  # least() passes over a null
     high = every.select(*KEY, (steps * steps).alias("height"))
     found = high.repartition("row").sortWithinPartitions(*KEY).mapInArrow(_lines, "row int, col int, squared long")

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
-from rangemap.operators import raster, transform
+from rangemap.operators import grid, raster, transform
 from rangemap.operators.grid import GridSpec
 from rangemap.sources import tables
 
@@ -95,3 +95,13 @@ def test_clustered_table_prunes(spark, tmp_path, capsys):
             total += 1
             met += row.min <= 31 and col.min <= 31
     assert total >= 16 and met <= 3
+
+
+def test_no_frame_runs_to_a_lines_end(spark):
+    """A frame from a row to its line's end is gone through anew for each row: work by the square of a line's length."""
+    cells = grid.model_grid(spark, GridSpec(0, 30, 1, 30, 4))
+    features = spark.createDataFrame([(3, 1), (20, 2)], "row int, col int")
+    found = transform.distance_transform(cells, features)
+    assert "unboundedfollowing" not in found._jdf.queryExecution().executedPlan().toString().lower()
+    squared = {(r["row"], r["col"]): r["squared"] for r in found.collect()}
+    assert squared == {(i, j): min((i - a) ** 2 + (j - b) ** 2 for a, b in ((3, 1), (20, 2))) for i in range(30) for j in range(4)}
