@@ -73,3 +73,15 @@ def test_stream(spark, tmp_path):
     q.awaitTermination(120)
     out = {r["point_id"]: r["p"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert set(out) == {1, 2} and out[2] > out[1]
+
+
+def test_simplify_where_corners_fall_together(spark, tmp_path):
+    """Diamonds narrower than the tolerance: the first two corners of some are one place."""
+    spark.range(1, 4001).selectExpr("id AS p_partkey", "'b' AS p_brand", "1 AS p_size").write.parquet(str(tmp_path / "part.parquet"))
+    spark.range(10).selectExpr("id AS l_orderkey").write.parquet(str(tmp_path / "lineitem.parquet"))
+    con = duckdb.connect()
+    for t in ("part", "lineitem"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    df = entry_point.queries()["g10_simplify"](spark, str(tmp_path))
+    found = con.execute(catalog.ORACLE_SQL["g10_simplify"])
+    assert table(df.columns, [tuple(r) for r in df.collect()]) == table([d[0] for d in found.description], found.fetchall())
