@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import geometry as G
-from ..session import discard, written
+from ..session import discard, merged, written
 from .grid import GridSpec
 from .vector import line_cells, point_in_layer, segments
 
@@ -47,9 +47,9 @@ def _cut(edges: DataFrame, by: str, spec: GridSpec) -> DataFrame:
     named = written(edges.withColumn("edge", F.monotonically_increasing_id()), "edges")
     # line_cells names geometries; here each edge is one.
     ring = F.array(F.array(F.array("x1", "y1"), F.array("x2", "y2")))
-    at = written(line_cells(named.select(F.col("edge").alias("geom_id"), ring.alias("rings")), spec).withColumnRenamed("geom_id", "edge").join(named, "edge"), "edge-buckets")
+    at = written(line_cells(named.select(F.col("edge").alias("geom_id"), ring.alias("rings")), spec).withColumnRenamed("geom_id", "edge").join(merged(named), "edge"), "edge-buckets")
     other = at.select(by, "row", "col", *(F.col(c).alias(f"o{c}") for c in ["edge", *_ENDS]))
-    near = at.join(other, [by, "row", "col"]).filter("edge <> oedge")
+    near = at.join(merged(other), [by, "row", "col"]).filter("edge <> oedge")
     near = near.filter((F.least("x1", "x2") <= F.greatest("ox1", "ox2")) & (F.least("ox1", "ox2") <= F.greatest("x1", "x2")) & (F.least("y1", "y2") <= F.greatest("oy1", "oy2")) & (F.least("oy1", "oy2") <= F.greatest("y1", "y2")))
     x1, y1, x2, y2, ox1, oy1, ox2, oy2 = (F.col(c) for c in [*_ENDS, *(f"o{c}" for c in _ENDS)])
     dx, dy, ex, ey = x2 - x1, y2 - y1, ox2 - ox1, oy2 - oy1
@@ -69,7 +69,7 @@ def _cut(edges: DataFrame, by: str, spec: GridSpec) -> DataFrame:
     ends = lambda a, b: F.struct(F.col(a).alias("x"), F.col(b).alias("y"))
     along = lambda p: F.struct(((p["x"] - x1) * dx + (p["y"] - y1) * dy).alias("at"), p["x"].alias("x"), p["y"].alias("y"))
     every = F.array_distinct(F.concat(F.array(ends("x1", "y1")), F.coalesce("cuts", F.array().cast("array<struct<x:double,y:double>>")), F.array(ends("x2", "y2"))))
-    line = named.join(cuts, "edge", "left").withColumn("line", F.array_sort(F.transform(every, along)))
+    line = named.join(merged(cuts), "edge", "left").withColumn("line", F.array_sort(F.transform(every, along)))
     piece = F.transform(F.sequence(F.lit(1), F.size("line") - 1), lambda i: F.struct(F.element_at("line", i)["x"].alias("x1"), F.element_at("line", i)["y"].alias("y1"), F.element_at("line", i + 1)["x"].alias("x2"), F.element_at("line", i + 1)["y"].alias("y2")))
     out = written(line.filter(F.size("line") > 1).select(by, "geom_id", F.explode(piece).alias("s")).select(by, "geom_id", "s.*"), "pieces")
     discard(named, at)
@@ -94,11 +94,11 @@ def outline(layer: DataFrame, by: str, inside: Callable[[Column], Column] = lamb
     spots = named.select(by, "piece", F.explode(sides).alias("p")).select(by, F.concat_ws(":", "piece", "p.side").alias("spot"), "piece", "p.side", "p.x", "p.y")
     rings = layer.select(by, F.col("geom_id").cast("string").alias("geom_id"), F.transform("rings", lambda r: F.transform(r, lambda p: F.array(_snap(p[0]), _snap(p[1])))).alias("rings"))
     held = point_in_layer(spots, rings.select("geom_id", "rings"), spec, "spot")
-    held = held.join(rings.select("geom_id", F.col(by).alias("_of")), "geom_id").join(spots.select("spot", by), "spot").filter(F.col("_of").eqNullSafe(F.col(by)))
+    held = held.join(merged(rings.select("geom_id", F.col(by).alias("_of"))), "geom_id").join(merged(spots.select("spot", by)), "spot").filter(F.col("_of").eqNullSafe(F.col(by)))
     sets = held.groupBy("spot").agg(F.collect_list("geom_id").alias("held"))
-    known = spots.join(sets, "spot", "left").select("piece", "side", inside(F.coalesce("held", F.array().cast("array<string>"))).alias("in"))
+    known = spots.join(merged(sets), "spot", "left").select("piece", "side", inside(F.coalesce("held", F.array().cast("array<string>"))).alias("in"))
     both = known.groupBy("piece").agg(F.bool_or(F.col("in") & (F.col("side") == 1)).alias("left"), F.bool_or(F.col("in") & (F.col("side") == -1)).alias("right"))
-    kept = named.join(both.filter(F.col("left") != F.col("right")), "piece")
+    kept = named.join(merged(both.filter(F.col("left") != F.col("right"))), "piece")
     way = lambda a, b: F.when(F.col("left"), F.col(a)).otherwise(F.col(b)).alias(a)
     out = written(kept.select(by, way("x1", "x2"), way("y1", "y2"), way("x2", "x1"), way("y2", "y1")), "outline")
     discard(pieces, named)
@@ -117,26 +117,26 @@ def rings_of(edges: DataFrame, by: str) -> DataFrame:
     arriving = e.select(by, "edge", F.col("x2").alias("x"), F.col("y2").alias("y"), back.alias("back"))
     leaving = e.select(by, F.col("edge").alias("next"), F.col("x1").alias("x"), F.col("y1").alias("y"), F.atan2(F.col("y2") - F.col("y1"), F.col("x2") - F.col("x1")).alias("ahead"))
     turn = F.pmod(F.col("back") - F.col("ahead") - 1e-12, F.lit(2 * math.pi))
-    links = arriving.join(leaving, [by, "x", "y"]).groupBy("edge").agg(F.min_by("next", turn).alias("next"))
+    links = arriving.join(merged(leaving), [by, "x", "y"]).groupBy("edge").agg(F.min_by("next", turn).alias("next"))
 
     # The least edge of each ring, by doubling: after k rounds an edge knows the least of the 2^k after it.
     state = written(links.select("edge", F.col("next").alias("to"), F.least("edge", "next").alias("ring")), "ring-names")
     while True:
         far = state.select(F.col("edge").alias("to"), F.col("to").alias("beyond"), F.col("ring").alias("theirs"))
-        new = written(state.join(far, "to").select("edge", F.col("beyond").alias("to"), F.least("ring", "theirs").alias("ring"), (F.col("theirs") < F.col("ring")).alias("moved")), "ring-names")
+        new = written(state.join(merged(far), "to").select("edge", F.col("beyond").alias("to"), F.least("ring", "theirs").alias("ring"), (F.col("theirs") < F.col("ring")).alias("moved")), "ring-names")
         discard(state)
         state, moved = new.drop("moved"), new
         if moved.filter("moved").isEmpty():
             break
     # Cut each ring before its least edge; how far the cut is ahead, by doubling, is the order from the end.
-    ends = links.join(state.select("edge", "ring"), "edge")
+    ends = links.join(merged(state.select("edge", "ring")), "edge")
     rank = written(ends.select("edge", "ring", F.when(F.col("next") != F.col("ring"), F.col("next")).alias("to"), F.when(F.col("next") != F.col("ring"), 1).otherwise(0).cast("long").alias("left")), "ring-places")
     while not rank.filter("to IS NOT NULL").isEmpty():
         far = rank.select(F.col("edge").alias("to"), F.col("to").alias("beyond"), F.col("left").alias("more"))
-        new = written(rank.join(far, "to", "left").select("edge", "ring", F.col("beyond").alias("to"), (F.col("left") + F.coalesce("more", F.lit(0))).alias("left")), "ring-places")
+        new = written(rank.join(merged(far), "to", "left").select("edge", "ring", F.col("beyond").alias("to"), (F.col("left") + F.coalesce("more", F.lit(0))).alias("left")), "ring-places")
         discard(rank)
         rank = new
-    placed = e.join(rank.select("edge", "ring", "left"), "edge")
+    placed = e.join(merged(rank.select("edge", "ring", "left")), "edge")
     listed = placed.groupBy(by, "ring").agg(F.sort_array(F.collect_list(F.struct((-F.col("left")).alias("at"), "x1", "y1"))).alias("v"), (F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")) / 2).alias("area"))
     points = F.transform("v", lambda p: F.array(p["x1"], p["y1"]))
     return listed.select(by, "ring", (F.col("area") < 0).alias("hole"), "area", F.concat(points, F.slice(points, 1, 1)).alias("points"))
@@ -161,10 +161,10 @@ def polygons(rings: DataFrame, by: str) -> DataFrame:
     size = F.hypot(q[0] - p[0], q[1] - p[1])
     beside = rings.filter("hole").select(by, "ring", "points", ((p[0] + q[0]) / 2 - BESIDE * (q[1] - p[1]) / size).alias("x"), ((p[1] + q[1]) / 2 + BESIDE * (q[0] - p[0]) / size).alias("y"))
     around = point_in_layer(beside, outer.select("geom_id", "rings"), bucket_grid(segments(outer.select("geom_id", "rings"))), "ring")
-    mine = around.join(outer.select("geom_id", F.col(by).alias("_of"), "area"), "geom_id").join(beside.select("ring", by), "ring").filter(F.col("_of").eqNullSafe(F.col(by)))
+    mine = around.join(merged(outer.select("geom_id", F.col(by).alias("_of"), "area")), "geom_id").join(merged(beside.select("ring", by)), "ring").filter(F.col("_of").eqNullSafe(F.col(by)))
     home = mine.groupBy("ring").agg(F.min_by("geom_id", "area").alias("geom_id"))
-    holes = home.join(beside.select("ring", "points"), "ring").groupBy("geom_id").agg(F.collect_list("points").alias("holes"))
-    joined = outer.join(holes, "geom_id", "left")
+    holes = home.join(merged(beside.select("ring", "points")), "ring").groupBy("geom_id").agg(F.collect_list("points").alias("holes"))
+    joined = outer.join(merged(holes), "geom_id", "left")
     return joined.select(by, "geom_id", F.concat("rings", F.coalesce("holes", F.array().cast("array<array<array<double>>>"))).alias("rings"))
 
 

@@ -74,3 +74,21 @@ def test_union_of_diamonds_covers_what_cells_do(spark):
 def test_no_polygons(spark):
     assert overlay.union(spark.createDataFrame([], SCHEMA), "g").count() == 0
     assert model_grid(spark, GridSpec(0.0, 1.0, 1.0, 1, 1)).count() == 1
+
+
+def test_overlay_broadcasts_nothing(spark, monkeypatch):
+    """Rows of edges may be many at any size of their files; no step may collect them on the driver."""
+    plans = []
+    keep = overlay.written
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, name)
+
+    monkeypatch.setattr(overlay, "written", noted)
+    ring = lambda a, b, c, d: [[[a, b], [c, b], [c, d], [a, d], [a, b]]]
+    layer = spark.createDataFrame([("g", 1, ring(0.0, 0.0, 10.0, 10.0)), ("g", 2, ring(5.0, 5.0, 15.0, 15.0))], "brand string, geom_id int, rings array<array<array<double>>>")
+    whole = overlay.polygons(overlay.union(layer, "brand"), "brand")
+    plans.append(whole._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 5 and not [p for p in plans if "BroadcastHashJoin" in p]
+    assert [r[0] for r in whole.select(overlay.shapes_area()).collect()] == [175.0]
