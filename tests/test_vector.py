@@ -157,3 +157,22 @@ def test_point_in_layer_broadcasts_nothing(spark, tmp_path):
     found = vector.point_in_layer(points, layer, spec)
     assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
     assert [tuple(r) for r in found.collect()] == [(1, "a")]
+
+
+def test_distances_broadcast_no_places(spark, tmp_path, monkeypatch):
+    """Places on several levels are more rows than their file's size says; Spark must not collect them on the driver."""
+    spark.range(60).selectExpr("CAST(id * 37 % 101 AS DOUBLE) AS x", "CAST(id * 53 % 97 AS DOUBLE) AS y").write.parquet(str(tmp_path / "points"))
+    points, plans, keep = spark.read.parquet(str(tmp_path / "points")), [], distance.written
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, name)
+
+    monkeypatch.setattr(distance, "written", noted)
+    cells = grid.model_grid(spark, grid.GridSpec(0, 100, 20, 5, 5))
+    found = distance.to_points(cells, points, ["row", "col"], 10.0).collect()
+    assert plans and not [p for p in plans if "BroadcastHashJoin" in p]
+    at = [(i * 37 % 101, i * 53 % 97) for i in range(60)]
+    for r in found:
+        x, y = r["col"] * 20 + 10, 100 - r["row"] * 20 - 10
+        assert r["distance"] == pytest.approx(min(math.hypot(x - a, y - b) for a, b in at))
