@@ -85,3 +85,18 @@ def test_simplify_where_corners_fall_together(spark, tmp_path):
     df = entry_point.queries()["g10_simplify"](spark, str(tmp_path))
     found = con.execute(catalog.ORACLE_SQL["g10_simplify"])
     assert table(df.columns, [tuple(r) for r in df.collect()]) == table([d[0] for d in found.description], found.fetchall())
+
+
+def test_training_table_of_points_far_apart(spark, tmp_path):
+    """The five nearest are farther than the first blocks of the SQL reach."""
+    put = lambda name, n, *columns: spark.range(1, n + 1).selectExpr(*columns).write.parquet(str(tmp_path / f"{name}.parquet"))
+    put("lineitem", 1596, "id % 42 AS l_partkey", "id DIV 42 AS l_orderkey", "CAST(id % 50 AS DOUBLE) AS l_quantity", "0.05D AS l_discount", "0.02D AS l_tax")
+    put("orders", 8, "id * 17 AS o_orderkey", "CAST(id AS DOUBLE) AS o_totalprice")
+    put("events", 24, "id * 211 AS event_id", "'a' AS event_type", "2L AS user_id", "1.0D AS value", "TIMESTAMP '2024-01-01 00:00:00' AS ts")
+    con = duckdb.connect()
+    for t in ("lineitem", "orders", "events"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    df = entry_point.queries()["x9_x10_training_table"](spark, str(tmp_path))
+    found = con.execute(catalog.ORACLE_SQL["x9_x10_training_table"])
+    rows = [tuple(r) for r in df.collect()]
+    assert len(rows) > 15 and table(df.columns, rows) == table([d[0] for d in found.description], found.fetchall())
