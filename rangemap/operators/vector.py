@@ -131,11 +131,15 @@ def simplify(layer: DataFrame, tolerance: float) -> DataFrame:
 
 
 def dissolved_edges(layer: DataFrame, by: str) -> DataFrame:
-    """(by, x1, y1, x2, y2): a group's outline. An edge that two of its polygons share occurs twice and falls away."""
+    """(by, x1, y1, x2, y2): a group's outline. An edge that two of its polygons share occurs twice and falls away.
+
+    Edges are dealt before they are counted: hardly any is twice in a task that reads polygons, and counts kept there would
+    hold all edges of its file, however many polygons that is."""
     swap = (F.col("x1") > F.col("x2")) | ((F.col("x1") == F.col("x2")) & (F.col("y1") > F.col("y2")))
     pick = lambda a, b: F.when(swap, F.col(b)).otherwise(F.col(a))
     plain = segments(layer, by).select(by, pick("x1", "x2").alias("x1"), pick("y1", "y2").alias("y1"), pick("x2", "x1").alias("x2"), pick("y2", "y1").alias("y2"))
-    return plain.groupBy(by, "x1", "y1", "x2", "y2").count().filter("count % 2 = 1").drop("count")
+    edge = [by, "x1", "y1", "x2", "y2"]
+    return plain.repartition(*edge).groupBy(*edge).count().filter("count % 2 = 1").drop("count")
 
 
 def dissolve(layer: DataFrame, by: str) -> DataFrame:
@@ -149,12 +153,19 @@ def difference_cells(near: DataFrame, land: DataFrame) -> DataFrame:
     return near.join(merged(land.select(*KEY).distinct()), KEY, "left_anti")
 
 
+#: So many rows of a region map are broadcast at most.
+MAPPED = 10_000
+
+
 def join_regions(counties: DataFrame, regions: DataFrame, on: str) -> DataFrame:
-    """Counties that the region map names, with their region. A mapped county that is absent is an error."""
-    absent = regions.join(counties.select(on), on, "left_anti").limit(20).collect()
+    """Counties that the region map names, with their region. A mapped county that is absent is an error.
+
+    A short map goes to the counties, whatever size Spark takes them for: their files may be small and the shapes in them are
+    not, and dealt by name the counties of one region would meet in one task."""
+    absent = regions.join(counties.select(on).distinct(), on, "left_anti").limit(20).collect()
     if absent:
         raise ValueError(f"not among the counties: {[r[on] for r in absent]}")
-    return counties.join(regions, on)
+    return counties.join(F.broadcast(regions) if regions.limit(MAPPED + 1).count() <= MAPPED else merged(regions), on)
 
 
 def whole_rings(layer: DataFrame) -> DataFrame:

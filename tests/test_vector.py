@@ -176,3 +176,24 @@ def test_distances_broadcast_no_places(spark, tmp_path, monkeypatch):
     for r in found:
         x, y = r["col"] * 20 + 10, 100 - r["row"] * 20 - 10
         assert r["distance"] == pytest.approx(min(math.hypot(x - a, y - b) for a, b in at))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dissolved_edges_are_dealt_before_they_are_counted(spark):
+    layer = spark.createDataFrame([("1", square(0.0, 0.0, 1.0, 1.0), "r")], RINGS + ", region string")
+    plan = _plan(vector.dissolved_edges(layer, "region"))
+    assert plan.count("Exchange") == 1 and "HashAggregate" not in plan[plan.index("Exchange") :]
+
+
+def test_short_region_map_goes_to_the_counties(spark, monkeypatch, tmp_path):
+    spark.createDataFrame([(str(i), square(0.0, 0.0, 1.0, 1.0), "r") for i in range(3)], RINGS + ", name string").write.parquet(f"{tmp_path}/c")
+    counties = spark.read.parquet(f"{tmp_path}/c")
+    regions = spark.createDataFrame([("r", "N")], "name string, region string")
+    # By the size of their files the counties would be sent instead.
+    assert "BuildRight" in _plan(vector.join_regions(counties, regions, "name"))
+    monkeypatch.setattr(vector, "MAPPED", 0)
+    joined = vector.join_regions(counties, regions, "name")
+    assert "BroadcastHashJoin" not in _plan(joined) and joined.count() == 3
