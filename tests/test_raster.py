@@ -162,3 +162,24 @@ def test_diversity_of_few_and_many_classes(spark, classes):
     for x in out:
         seen = {known[q] for q in ((r, c) for r in range(x["row"] - 2, x["row"] + 3) for c in range(x["col"] - 2, x["col"] + 3)) if q in known}
         assert x["diversity"] == len(seen)
+
+
+def test_flow_rounds_shrink_and_the_bundle_reads_its_cells_once(spark, monkeypatch, tmp_path):
+    # A path of 40 cells beside 400 pits: after the first round only the path's cells and those they reach are left.
+    path, pits = [(0, c, 100.0 - c) for c in range(40)], [(10 + 2 * r, 2 * c, 1.0) for r in range(20) for c in range(20)]
+    spark.createDataFrame(path + pits, "row int, col int, v double").write.parquet(f"{tmp_path}/cells")
+    cells = spark.read.parquet(f"{tmp_path}/cells")
+    sizes, plain = [], terrain._session.written
+
+    def counted(df, name):
+        out = plain(df, name)
+        if name == "flow":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(terrain._session, "written", counted)
+    flow = {(r["row"], r["col"]): r["flow"] for r in terrain.flow_accumulation(cells, "v").collect()}
+    assert flow == {(0, c): c + 1 for c in range(40)} | {(r, c): 1 for r, c, _ in pits}
+    assert sizes[0] == 440 and all(n <= 40 for n in sizes[1:])
+    bundle = terrain.terrain_attributes(cells, "v", 100.0)
+    assert bundle.count() == 440 and not any(str(tmp_path) in f for f in bundle.inputFiles())
