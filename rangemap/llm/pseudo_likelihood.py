@@ -63,17 +63,33 @@ def contexts(ids: np.ndarray, first: np.ndarray, where: np.ndarray, doc: np.ndar
     return out
 
 
+_ROOM: dict[str, np.ndarray] = {}
+
+
+def _room(name: str, *shape: int) -> np.ndarray:
+    """An array kept from one step to the next: fresh memory for each step costs more than some of the arithmetic in it."""
+    size = int(np.prod(shape))
+    if name not in _ROOM or len(_ROOM[name]) < size:
+        _ROOM[name] = np.empty(size, np.float32)
+    return _ROOM[name][:size].reshape(shape)
+
+
 def _bounded(weights: np.ndarray, shift: np.ndarray) -> bool:
     """No logit of hidden values in -1..1 can be so large that its exponential overflows."""
-    return bool((np.abs(weights).sum(axis=-2) + np.abs(shift)).max() < 60)
+    return bool((np.abs(weights, out=_room("abs", *weights.shape)).sum(axis=-2) + np.abs(shift)).max() < 60)
 
 
-def _softmax(logits: np.ndarray, bounded: bool) -> np.ndarray:
-    """Each row's softmax. Changes logits."""
+def _exp(logits: np.ndarray, bounded: bool) -> np.ndarray:
+    """Each row's exponentials, in place, up to a factor; their sums as a column."""
     if not bounded:
         logits -= logits.max(axis=1, keepdims=True)
     np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
+    return logits @ np.ones((logits.shape[1], 1), np.float32)
+
+
+def _softmax(logits: np.ndarray, bounded: bool) -> np.ndarray:
+    """Each row's softmax. Changes logits."""
+    logits *= 1 / _exp(logits, bounded)
     return logits
 
 
@@ -82,7 +98,33 @@ def _picked(logits: np.ndarray, n: np.ndarray, at: np.ndarray, bounded: bool) ->
     if not bounded:
         logits -= logits.max(axis=1, keepdims=True)
     own = logits[n, at].astype(np.float64)
-    return own - np.log(np.exp(logits, out=logits).sum(axis=1))
+    return own - np.log(_exp(logits, True)[:, 0])
+
+
+def _hidden(model: dict[str, np.ndarray], near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The contexts' embeddings and hidden values."""
+    n = len(near)
+    x = model["embed"].take(near, axis=0, out=_room("x", n, 2 * SIDE, WIDTH), mode="clip").reshape(n, -1)
+    hidden = np.matmul(x, model["into"], out=_room("hidden", n, HIDDEN))
+    hidden += model["into_0"]
+    return x, np.tanh(hidden, out=hidden)
+
+
+def _group_logits(model: dict[str, np.ndarray], hidden: np.ndarray) -> np.ndarray:
+    logits = np.matmul(hidden, model["group"], out=_room("group", len(hidden), CLASSES))
+    logits += model["group_0"]
+    return logits
+
+
+def _member_logits(model: dict[str, np.ndarray], hidden: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Logits of the members of each row's group, rows in the order of groups; and (group, first row, end)."""
+    cuts = np.searchsorted(group, np.arange(CLASSES + 1)).tolist()
+    some = [(g, a, b) for g, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+    logits = _room("member", len(group), MEMBERS)
+    for g, a, b in some:
+        np.dot(hidden[a:b], model["member"][g], out=logits[a:b])
+    logits += model["member_0"].take(group, axis=0, out=_room("shift", len(group), MEMBERS), mode="clip")
+    return logits, some
 
 
 def log_probs(model: dict[str, np.ndarray], near: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -90,13 +132,9 @@ def log_probs(model: dict[str, np.ndarray], near: np.ndarray, target: np.ndarray
     order = np.argsort((target // MEMBERS).astype(np.uint16), kind="stable")
     target, n = target[order], np.arange(len(target))
     group, member = target // MEMBERS, target % MEMBERS
-    hidden = np.tanh(model["embed"][near[order]].reshape(len(near), -1) @ model["into"] + model["into_0"])
-    logs = _picked(hidden @ model["group"] + model["group_0"], n, group, _bounded(model["group"], model["group_0"]))
-    cuts = np.searchsorted(group, np.arange(CLASSES + 1))
-    logits = model["member_0"][group]
-    for g in range(CLASSES):
-        if cuts[g] < cuts[g + 1]:
-            logits[cuts[g] : cuts[g + 1]] += hidden[cuts[g] : cuts[g + 1]] @ model["member"][g]
+    _, hidden = _hidden(model, near[order])
+    logs = _picked(_group_logits(model, hidden), n, group, _bounded(model["group"], model["group_0"]))
+    logits, _ = _member_logits(model, hidden, group)
     out = np.empty(len(target))
     out[order] = logs + _picked(logits, n, member, _bounded(model["member"], model["member_0"]))
     return out
@@ -108,35 +146,38 @@ def train_step(model: dict[str, np.ndarray], sums: dict[str, np.ndarray], near:
     order = np.argsort((target // MEMBERS).astype(np.uint16), kind="stable")
     near, target, each = near[order], target[order], np.arange(n)
     group, member = target // MEMBERS, target % MEMBERS
-    x = model["embed"][near].reshape(n, -1)
-    hidden = np.tanh(x @ model["into"] + model["into_0"])
-    grad = {"member": np.zeros(SHAPES["member"], np.float32), "member_0": np.zeros(SHAPES["member_0"], np.float32)}
-    off = _softmax(hidden @ model["group"] + model["group_0"], _bounded(model["group"], model["group_0"]))
+    x, hidden = _hidden(model, near)
+    grad = {k: _room(f"grad {k}", *s) for k, s in SHAPES.items()}
+    off = _softmax(_group_logits(model, hidden), _bounded(model["group"], model["group_0"]))
     off[each, group] -= 1
-    grad["group"], grad["group_0"] = hidden.T @ off, off.sum(axis=0)
-    back = off @ model["group"].T
-    cuts = np.searchsorted(group, np.arange(CLASSES + 1)).tolist()
-    some = [(g, slice(a, b)) for g, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
-    off = model["member_0"][group]
-    for g, rows in some:
-        off[rows] += hidden[rows] @ model["member"][g]
+    np.matmul(hidden.T, off, out=grad["group"])
+    off.sum(axis=0, out=grad["group_0"])
+    back = np.matmul(off, model["group"].T, out=_room("back", n, HIDDEN))
+    off, some = _member_logits(model, hidden, group)
     off = _softmax(off, _bounded(model["member"], model["member_0"]))
     off[each, member] -= 1
-    for g, rows in some:
-        np.matmul(hidden[rows].T, off[rows], out=grad["member"][g])
-        back[rows] += off[rows] @ model["member"][g].T
-    grad["member_0"][[g for g, _ in some]] = np.add.reduceat(off, [rows.start for _, rows in some], axis=0)
-    back *= 1 - hidden * hidden
-    grad["into"], grad["into_0"] = x.T @ back, back.sum(axis=0)
-    into = (model["into"] @ back.T).reshape(2 * SIDE, WIDTH, n)
-    places, embed = near.T.ravel(), np.empty(SHAPES["embed"], np.float32)
+    more = _room("more", n, HIDDEN)
+    for g, a, b in some:
+        np.dot(hidden[a:b].T, off[a:b], out=grad["member"][g])
+        np.dot(off[a:b], model["member"][g].T, out=more[a:b])
+    back += more
+    there = [g for g, _, _ in some]
+    absent = np.delete(np.arange(CLASSES), there)
+    grad["member"][absent], grad["member_0"][absent] = 0, 0
+    grad["member_0"][there] = np.add.reduceat(off, [a for _, a, _ in some], axis=0)
+    hidden *= hidden
+    back *= np.subtract(1, hidden, out=hidden)
+    np.matmul(x.T, back, out=grad["into"])
+    back.sum(axis=0, out=grad["into_0"])
+    into = np.matmul(model["into"], back.T, out=_room("into", 2 * SIDE * WIDTH, n)).reshape(2 * SIDE, WIDTH, n)
+    places = near.T.ravel()
     for j in range(WIDTH):
-        embed[:, j] = np.bincount(places, into[:, j].ravel(), len(embed))
-    grad["embed"] = embed
+        grad["embed"][:, j] = np.bincount(places, into[:, j].ravel(), IDS + 1)
     for k, g in grad.items():
         g /= n
-        sums[k] += g * g
-        step = np.sqrt(sums[k])
+        step = np.multiply(g, g, out=_room("step", *g.shape))
+        sums[k] += step
+        np.sqrt(sums[k], out=step)
         step += 1e-6
         np.divide(g, step, out=step)
         step *= RATE

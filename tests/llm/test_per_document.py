@@ -492,3 +492,26 @@ def test_a_text_beyond_the_bound_does_not_shut_out_others(spark):
     plain = quality.train(spark.createDataFrame(rows, "doc_id long, text string"), labels, class_bytes=300)
     behind = quality.train(spark.createDataFrame([*rows, (front, "long " * 100)], "doc_id long, text string"), labels, class_bytes=300)
     assert plain.bad and plain.good and (behind.bad, behind.good) == (plain.bad, plain.good)
+
+
+def test_a_training_step_reuses_its_memory():
+    import tracemalloc
+
+    p, rng = pseudo_likelihood, np.random.default_rng(4)
+    batches = [(rng.integers(0, 300, (n, 4)), rng.integers(0, 300, n)) for n in (2048, 300, 2048)]
+
+    def trained(fresh_memory: bool):
+        model, sums = p.fresh(), {k: np.full(s, 1e-3, np.float32) for k, s in p.SHAPES.items()}
+        for near, target in batches:
+            if fresh_memory:
+                p._ROOM.clear()
+            tracemalloc.start()
+            p.train_step(model, sums, near, target)
+            peak = tracemalloc.get_traced_memory()[1]
+            tracemalloc.stop()
+        return p.flat(model), peak
+
+    kept, peak = trained(False)
+    assert peak < 800_000
+    # Nothing of one step is left in the next.
+    assert np.array_equal(kept, trained(True)[0])
