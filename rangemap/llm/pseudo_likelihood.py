@@ -10,6 +10,8 @@ each has seen. The masks of the MASK rounds are disjoint, so that every word of
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -54,12 +56,15 @@ def texts_of(first: np.ndarray) -> np.ndarray:
 
 def contexts(ids: np.ndarray, first: np.ndarray, where: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Ids of the SIDE words before and after each place; EDGE beyond the ends of its text. doc: texts_of(first)."""
-    own = doc[where]
-    out = np.empty((len(where), 2 * SIDE), np.int64)
-    last = len(ids) - 1
-    for j, step in enumerate((*range(-SIDE, 0), *range(1, SIDE + 1))):
-        at = np.minimum(np.maximum(where + step, 0), last)
-        out[:, j] = np.where((doc[at] == own) & (at == where + step), ids[at], EDGE)
+    places = where[:, None] + np.r_[-SIDE:0, 1 : SIDE + 1]
+    out = ids.take(places, mode="clip")
+    # Texts are in order, so what is between two places of one text is of it too; only the others are looked at one by one.
+    first, last = places[:, 0], places[:, -1]
+    some = np.flatnonzero((doc.take(first, mode="clip") != doc.take(last, mode="clip")) | (first < 0) | (last >= len(ids)))
+    if len(some):
+        at = places[some]
+        inside = (at >= 0) & (at < len(ids))
+        out[some] = np.where(inside & (doc.take(at, mode="clip") == doc[where[some], None]), out[some], EDGE)
     return out
 
 
@@ -68,7 +73,7 @@ _ROOM: dict[str, np.ndarray] = {}
 
 def _room(name: str, *shape: int) -> np.ndarray:
     """An array kept from one step to the next: fresh memory for each step costs more than some of the arithmetic in it."""
-    size = int(np.prod(shape))
+    size = math.prod(shape)
     if name not in _ROOM or len(_ROOM[name]) < size:
         _ROOM[name] = np.empty(size, np.float32)
     return _ROOM[name][:size].reshape(shape)
@@ -87,9 +92,11 @@ def _exp(logits: np.ndarray, bounded: bool) -> np.ndarray:
     return logits @ np.ones((logits.shape[1], 1), np.float32)
 
 
-def _softmax(logits: np.ndarray, bounded: bool) -> np.ndarray:
-    """Each row's softmax. Changes logits."""
-    logits *= 1 / _exp(logits, bounded)
+def _off(logits: np.ndarray, each: np.ndarray, at: np.ndarray, bounded: bool) -> np.ndarray:
+    """The gradient of the mean negative log-softmax of each row, at its column at. Changes logits."""
+    part = np.float32(1 / len(logits))
+    logits *= part / _exp(logits, bounded)
+    logits[each, at] -= part
     return logits
 
 
@@ -101,13 +108,23 @@ def _picked(logits: np.ndarray, n: np.ndarray, at: np.ndarray, bounded: bool) ->
     return own - np.log(_exp(logits, True)[:, 0])
 
 
+def _tanh(x: np.ndarray) -> np.ndarray:
+    """In place, as 1 - 2 / (e^2x + 1): numpy's exponential takes less than its tanh."""
+    x *= 2
+    with np.errstate(over="ignore"):  # 1 then
+        np.exp(x, out=x)
+    x += 1
+    np.divide(2, x, out=x)
+    return np.subtract(1, x, out=x)
+
+
 def _hidden(model: dict[str, np.ndarray], near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The contexts' embeddings and hidden values."""
     n = len(near)
     x = model["embed"].take(near, axis=0, out=_room("x", n, 2 * SIDE, WIDTH), mode="clip").reshape(n, -1)
     hidden = np.matmul(x, model["into"], out=_room("hidden", n, HIDDEN))
     hidden += model["into_0"]
-    return x, np.tanh(hidden, out=hidden)
+    return x, _tanh(hidden)
 
 
 def _group_logits(model: dict[str, np.ndarray], hidden: np.ndarray) -> np.ndarray:
@@ -148,33 +165,31 @@ def train_step(model: dict[str, np.ndarray], sums: dict[str, np.ndarray], near:
     group, member = target // MEMBERS, target % MEMBERS
     x, hidden = _hidden(model, near)
     grad = {k: _room(f"grad {k}", *s) for k, s in SHAPES.items()}
-    off = _softmax(_group_logits(model, hidden), _bounded(model["group"], model["group_0"]))
-    off[each, group] -= 1
+    ones = np.ones(n, np.float32)
+    off = _off(_group_logits(model, hidden), each, group, _bounded(model["group"], model["group_0"]))
     np.matmul(hidden.T, off, out=grad["group"])
-    off.sum(axis=0, out=grad["group_0"])
+    np.dot(ones, off, out=grad["group_0"])
     back = np.matmul(off, model["group"].T, out=_room("back", n, HIDDEN))
     off, some = _member_logits(model, hidden, group)
-    off = _softmax(off, _bounded(model["member"], model["member_0"]))
-    off[each, member] -= 1
-    more = _room("more", n, HIDDEN)
+    off = _off(off, each, member, _bounded(model["member"], model["member_0"]))
+    more, columns, turned = _room("more", n, HIDDEN), hidden.T, model["member"].transpose(0, 2, 1)
     for g, a, b in some:
-        np.dot(hidden[a:b].T, off[a:b], out=grad["member"][g])
-        np.dot(off[a:b], model["member"][g].T, out=more[a:b])
+        own = off[a:b]
+        np.dot(columns[:, a:b], own, out=grad["member"][g])
+        np.dot(ones[a:b], own, out=grad["member_0"][g])
+        np.dot(own, turned[g], out=more[a:b])
     back += more
-    there = [g for g, _, _ in some]
-    absent = np.delete(np.arange(CLASSES), there)
-    grad["member"][absent], grad["member_0"][absent] = 0, 0
-    grad["member_0"][there] = np.add.reduceat(off, [a for _, a, _ in some], axis=0)
+    for g in set(range(CLASSES)).difference(g for g, _, _ in some):
+        grad["member"][g], grad["member_0"][g] = 0, 0
     hidden *= hidden
     back *= np.subtract(1, hidden, out=hidden)
     np.matmul(x.T, back, out=grad["into"])
-    back.sum(axis=0, out=grad["into_0"])
+    np.dot(ones, back, out=grad["into_0"])
     into = np.matmul(model["into"], back.T, out=_room("into", 2 * SIDE * WIDTH, n)).reshape(2 * SIDE, WIDTH, n)
     places = near.T.ravel()
     for j in range(WIDTH):
         grad["embed"][:, j] = np.bincount(places, into[:, j].ravel(), IDS + 1)
     for k, g in grad.items():
-        g /= n
         step = np.multiply(g, g, out=_room("step", *g.shape))
         sums[k] += step
         np.sqrt(sums[k], out=step)

@@ -515,3 +515,26 @@ def test_a_training_step_reuses_its_memory():
     assert peak < 800_000
     # Nothing of one step is left in the next.
     assert np.array_equal(kept, trained(True)[0])
+
+
+def test_contexts_and_gradients_equal_plain_ones():
+    p, rng = pseudo_likelihood, np.random.default_rng(5)
+    ids, first = rng.integers(0, 300, 400), np.array([0, 0, 1, 3, 3, 6, 390, 397, 400, 400])
+    doc, where = p.texts_of(first), rng.permutation(400)
+    near = p.contexts(ids, first, where, doc)
+    plain = [[ids[j] if 0 <= j < 400 and doc[j] == doc[i] else p.EDGE for j in (i - 2, i - 1, i + 1, i + 2)] for i in where]
+    assert near.tolist() == plain
+    x = np.array([-1e5, -50, -1e-3, 0, 1e-3, 3, 1e5], np.float32)
+    assert np.allclose(p._tanh(x.copy()), np.tanh(x), rtol=0, atol=2e-7)
+    # A step's first move is RATE times the gradient's sign nearly; its gradient is that of the mean loss, by differences.
+    model = {k: v.astype(np.float32) * 3 for k, v in p.fresh(2).items()}
+    moved, sums = {k: v.copy() for k, v in model.items()}, {k: np.zeros(s, np.float32) for k, s in p.SHAPES.items()}
+    p.train_step(moved, sums, near, ids[where])
+    top = ids[where][0] // p.MEMBERS
+    for k, at in (("member_0", (top, 3)), ("group_0", (top,)), ("into_0", (5,)), ("member", (top, 4, 2)), ("embed", (p.EDGE, 1))):
+        loss = []
+        for by in (-0.02, 0.02):
+            other = {name: v.copy() for name, v in model.items()}
+            other[k][at] += by
+            loss.append(-p.log_probs(other, near, ids[where]).mean())
+        assert np.sqrt(sums[k][at]) == pytest.approx(abs(loss[1] - loss[0]) / 0.04, rel=0.05, abs=2e-5)
