@@ -8,7 +8,7 @@ A relation is stored in blocks, sorted, each of whole texts of one language. Pie
 that grows by one from word to word and by more where a piece ends, so adjacency is a difference of one. A block's groups
 are numbered, exactly, by its own dictionary.
 
-Groups are counted twice. First by 64-bit hashes, of all groups: a hash occurs at least as often as each of its phrases, so
+Words are counted once, by their text. Longer groups are counted twice. First by 64-bit hashes, of all groups: a hash occurs at least as often as each of its phrases, so
 the semi-join with the frequent hashes, by a bitmap of at most 64 MB at any size of input, drops no frequent phrase. Then
 what is left is counted by its text, which is exact; whatever passed by chance falls out there.
 """
@@ -121,28 +121,33 @@ def _summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return hashes, np.bincount(inverse, np.concatenate([n for _, n in held]), len(hashes)).astype(np.int64)
 
 
-def _hash_counts(source, longer: bool):
-    """(h, n): counts of the hashes of a task's blocks, added up there as far as HELD allows."""
+def _hash_counts(batches):
+    """(h, n): counts of the hashes of the phrases one word longer in a task's blocks, added up there as far as HELD allows."""
 
     def row(held):
         hashes, n = _summed(held)
         return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n)], ["h", "n"])
 
-    def run(batches):
-        held, size = [], 0
-        for _, block in source(batches):
-            held.append(block.longer_hashes() if longer else (block.hash, block.counts()))
-            size += len(held[-1][0])
-            if size > 2 * HELD:
-                held = [_summed(held)]
-                size = len(held[0][0])
-                if size > HELD:
-                    yield row(held)
-                    held, size = [], 0
-        if held:
-            yield row(held)
+    held, size = [], 0
+    for _, block in _blocks(batches):
+        held.append(block.longer_hashes())
+        size += len(held[-1][0])
+        if size > 2 * HELD:
+            held = [_summed(held)]
+            size = len(held[0][0])
+            if size > HELD:
+                yield row(held)
+                held, size = [], 0
+    if held:
+        yield row(held)
 
-    return run
+
+def _word_hashes(batches):
+    """(h): the hashes of words, as blocks of texts have them."""
+    for batch in batches:
+        pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+        found = np.fromiter((xxhash.xxh64_intdigest(p, xxhash.xxh64_intdigest(lang)) for lang, p in pairs), np.uint64, len(batch))
+        yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["h"])
 
 
 def _semi_joined(bits: Broadcast, source, longer: bool):
@@ -159,7 +164,7 @@ def _semi_joined(bits: Broadcast, source, longer: bool):
     return run
 
 
-def _phrase_counts(batches):
+def _text_counts(blocks):
     """(lang, phrase, n): counts of the phrases of a task's blocks, added up there as far as HELD allows."""
     held, size = [], 0
 
@@ -167,7 +172,7 @@ def _phrase_counts(batches):
         found = pa.concat_tables(held).group_by(["lang", "phrase"]).aggregate([("n", "sum")])
         return found.rename_columns(["lang", "phrase", "n"])
 
-    for lang, block in _blocks(batches):
+    for lang, block in blocks:
         n = len(block.phrases)
         held.append(pa.table({"lang": pa.array([lang] * n, pa.string()), "phrase": block.phrases, "n": pa.array(block.counts(), pa.int64())}))
         size += n
@@ -181,6 +186,14 @@ def _phrase_counts(batches):
         yield from summed().to_batches(max_chunksize=100_000)
 
 
+def _word_counts(batches):
+    yield from _text_counts(_texts(batches))
+
+
+def _phrase_counts(batches):
+    yield from _text_counts(_blocks(batches))
+
+
 def frequent_phrases(docs: DataFrame, least: int = 100, most_words: int = 5, text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, words, f), (lang, n)): the phrases of 1 to most_words words that occur least times or more in a
     language, with their counts, and each language's number of words. Counts are of all texts, overlaps included."""
@@ -188,19 +201,24 @@ def frequent_phrases(docs: DataFrame, least: int = 100, most_words: int = 5, tex
     relation, found, totals = None, [], None
     with small_batches(docs.sparkSession, 4000, "8m"):
         for k in range(1, most_words + 1):
+            frequent = lambda rows, count: written(rows.mapInArrow(count, COUNT_SCHEMA).groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= least), "phrase-counts")
             rows, form = (source, _texts) if relation is None else (relation, _blocks)
-            hashes = rows.mapInArrow(_hash_counts(form, k > 1), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-            hashes = written(hashes.filter(F.col("n") >= least).select("h"), "frequent-hashes")
+            if relation is None:
+                found.append(frequent(source, _word_counts))
+                hashes = found[0].select("lang", "phrase").mapInArrow(_word_hashes, "h long")
+            else:
+                hashes = relation.mapInArrow(_hash_counts, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("h")
+            hashes = written(hashes, "frequent-hashes")
             joined = written(rows.mapInArrow(_semi_joined(bitmap(hashes), form, k > 1), BLOCK_SCHEMA), "relation")
-            counts = joined.mapInArrow(_phrase_counts, COUNT_SCHEMA).groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
-            found.append(written(counts.filter(F.col("f") >= least), "phrase-counts"))
+            if relation is not None:
+                found.append(frequent(joined, _phrase_counts))
             if totals is None:
                 totals = written(joined.groupBy("lang").agg(F.sum("words").alias("n")), "totals")
             discard(hashes, *([relation] if relation is not None else []))
             relation = joined
         discard(relation)
-    frequent = reduce(DataFrame.unionByName, (f.withColumn("words", F.lit(i)) for i, f in enumerate(found, 1)))
-    return frequent.select("lang", "phrase", "words", "f"), totals
+    every = reduce(DataFrame.unionByName, (f.withColumn("words", F.lit(i)) for i, f in enumerate(found, 1)))
+    return every.select("lang", "phrase", "words", "f"), totals
 
 
 def _part(k: Column | int, rest: bool) -> Column:

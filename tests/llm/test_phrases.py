@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from rangemap.llm import common, phrases
@@ -91,3 +92,19 @@ def test_counts_of_a_task_add_up_however_many_it_holds(held, monkeypatch):
         for lang, phrase, n in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             found[lang, phrase] += n
     assert found == Counter(("en", w) for t in texts for w in re.findall("[a-d]", " ".join(t)))
+
+
+@pytest.mark.parametrize("held", [1, 1_000_000])
+def test_words_are_counted_once_by_their_text(held, monkeypatch):
+    monkeypatch.setattr(phrases, "HELD", held)
+    texts, langs = ["a b A", "b; c b", None, "d\ta"], ["en", "de", "en", "en"]
+    batches = [pa.RecordBatch.from_pydict({"lang": langs[i : i + 2], "text": [t or "" for t in texts[i : i + 2]]}) for i in (0, 2)]
+    found = Counter()
+    for batch in phrases._word_counts(batches):
+        for lang, phrase, n in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            found[lang, phrase] += n
+    assert found == {("en", "a"): 3, ("en", "b"): 1, ("en", "d"): 1, ("de", "b"): 2, ("de", "c"): 1}
+    words = pa.RecordBatch.from_pydict({"lang": ["en", "en", "de"], "phrase": ["a", "b", "b"]})
+    hashes = next(phrases._word_hashes([words])).column(0).to_numpy().view("uint64").tolist()
+    block = phrases.Block.of_texts("en", ["a b"])
+    assert hashes[:2] == block.hash.tolist() and hashes[2] not in hashes[:2]
