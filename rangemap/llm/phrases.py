@@ -26,12 +26,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ordered import running
+from ..session import FEW_ROWS
 from .common import bitmap, discard, in_bitmap, mix64, small_batches, written
 
 BLOCK_SCHEMA = "lang string, words long, place array<int>, code array<int>, phrases array<string>, hash array<long>"
 COUNT_SCHEMA = "lang string, phrase string, n long"
-#: Distinct hashes that a task holds before it sends their counts on.
-HELD = 1_500_000
+#: Distinct hashes that a task holds before it sends their counts on (of phrases, half as many again), and rows of a batch of
+#: them. Hardly any hash of a pair is in a task more often than in its block, so a task gains little by holding many.
+HELD, SENT = 500_000, 100_000
 _WORD, _GAP, _BREAK = 0, 1, 2
 _KIND = np.full(256, _WORD, np.uint8)
 _KIND[[9, 32]] = _GAP
@@ -117,16 +119,21 @@ def _blocks(batches):
 
 
 def _summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    hashes, inverse = np.unique(np.concatenate([h for h, _ in held]), return_inverse=True)
-    return hashes, np.bincount(inverse, np.concatenate([n for _, n in held]), len(hashes)).astype(np.int64)
+    hashes = np.concatenate([h for h, _ in held])
+    order = np.argsort(hashes)
+    hashes = hashes[order]
+    first = np.flatnonzero(np.diff(hashes, prepend=~hashes[:1]))
+    n = np.concatenate([n for _, n in held])[order]
+    return hashes[first], np.add.reduceat(n, first) if len(first) else n
 
 
 def _hash_counts(batches):
     """(h, n): counts of the hashes of the phrases one word longer in a task's blocks, added up there as far as HELD allows."""
 
-    def row(held):
+    def rows(held):
         hashes, n = _summed(held)
-        return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n)], ["h", "n"])
+        for at in range(0, len(hashes), SENT):
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[at : at + SENT].view(np.int64)), pa.array(n[at : at + SENT])], ["h", "n"])
 
     held, size = [], 0
     for _, block in _blocks(batches):
@@ -136,10 +143,10 @@ def _hash_counts(batches):
             held = [_summed(held)]
             size = len(held[0][0])
             if size > HELD:
-                yield row(held)
+                yield from rows(held)
                 held, size = [], 0
     if held:
-        yield row(held)
+        yield from rows(held)
 
 
 def _word_hashes(batches):
@@ -166,24 +173,27 @@ def _semi_joined(bits: Broadcast, source, longer: bool):
 
 def _text_counts(blocks):
     """(lang, phrase, n): counts of the phrases of a task's blocks, added up there as far as HELD allows."""
-    held, size = [], 0
+    held, size, known = {}, 0, 0
+
+    def summed(tables):
+        return pa.concat_tables(tables).group_by("phrase", use_threads=False).aggregate([("n", "sum")]).rename_columns(["phrase", "n"])
 
-    def summed():
-        found = pa.concat_tables(held).group_by(["lang", "phrase"]).aggregate([("n", "sum")])
-        return found.rename_columns(["lang", "phrase", "n"])
+    def rows():
+        for lang, tables in held.items():
+            for batch in summed(tables).to_batches(max_chunksize=SENT):
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(batch), pa.string()), *batch.columns], ["lang", "phrase", "n"])
 
     for lang, block in blocks:
-        n = len(block.phrases)
-        held.append(pa.table({"lang": pa.array([lang] * n, pa.string()), "phrase": block.phrases, "n": pa.array(block.counts(), pa.int64())}))
-        size += n
-        if size > HELD:
-            held = [summed()]
-            size = len(held[0])
-            if size > HELD // 2:
-                yield from held[0].to_batches(max_chunksize=100_000)
-                held, size = [], 0
+        held.setdefault(lang, []).append(pa.table({"phrase": block.phrases, "n": pa.array(block.counts(), pa.int64())}))
+        size += len(block.phrases)
+        if size > max(2 * known, HELD // 2):
+            held = {lang: [summed(tables)] for lang, tables in held.items()}
+            size = known = sum(len(t) for t, in held.values())
+            if size > HELD + HELD // 2:
+                yield from rows()
+                held, size, known = {}, 0, 0
     if held:
-        yield from summed().to_batches(max_chunksize=100_000)
+        yield from rows()
 
 
 def _word_counts(batches):
@@ -199,7 +209,7 @@ def frequent_phrases(docs: DataFrame, least: int = 100, most_words: int = 5, tex
     language, with their counts, and each language's number of words. Counts are of all texts, overlaps included."""
     source = docs.select(F.coalesce(docs[lang_col].cast("string"), F.lit("und")).alias("lang"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     relation, found, totals = None, [], None
-    with small_batches(docs.sparkSession, 4000, "8m"):
+    with small_batches(docs.sparkSession, 2000, "4m"):
         for k in range(1, most_words + 1):
             frequent = lambda rows, count: written(rows.mapInArrow(count, COUNT_SCHEMA).groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= least), "phrase-counts")
             rows, form = (source, _texts) if relation is None else (relation, _blocks)
@@ -209,7 +219,7 @@ def frequent_phrases(docs: DataFrame, least: int = 100, most_words: int = 5, tex
             else:
                 hashes = relation.mapInArrow(_hash_counts, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("h")
             hashes = written(hashes, "frequent-hashes")
-            joined = written(rows.mapInArrow(_semi_joined(bitmap(hashes), form, k > 1), BLOCK_SCHEMA), "relation")
+            joined = written(rows.mapInArrow(_semi_joined(bitmap(hashes), form, k > 1), BLOCK_SCHEMA), "relation", FEW_ROWS)
             if relation is not None:
                 found.append(frequent(joined, _phrase_counts))
             if totals is None:
@@ -254,7 +264,7 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, text_col: s
 
     a, l, r are the counts of the phrase, of its first and its other part at the worst cut, n of all words. A null text
     is empty, a null language `und`; repeated rows count each time; ties are ordered by a, then by the phrase's bytes. Other
-    columns are left out. An empty table has no phrases. A task holds some 8 MB of texts, or one longer text.
+    columns are left out. An empty table has no phrases. A task holds some 4 MB of texts, or one longer text.
     """
     frequent, totals = frequent_phrases(docs, least, text_col=text_col, lang_col=lang_col)
     found = scored(maximal(frequent), frequent, totals)

@@ -1,12 +1,16 @@
 """Phrase mining against plain counting."""
 
+import glob
 import random
 import re
 from collections import Counter
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
+from rangemap import session
 from rangemap.llm import common, phrases
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -108,3 +112,21 @@ def test_words_are_counted_once_by_their_text(held, monkeypatch):
     hashes = next(phrases._word_hashes([words])).column(0).to_numpy().view("uint64").tolist()
     block = phrases.Block.of_texts("en", ["a b"])
     assert hashes[:2] == block.hash.tolist() and hashes[2] not in hashes[:2]
+
+
+def test_blocks_are_in_row_groups_of_few(spark, hard, monkeypatch):
+    """A task that writes or reads a relation holds one row group, so that must not grow with the task's share of the texts."""
+    kept, paths = phrases.written, []
+
+    def noted(df, name, options=None):
+        if name == "relation":
+            paths.append(options)
+        return kept(df, name, options)
+
+    monkeypatch.setattr(phrases, "written", noted)
+    phrases.collocations(hard, 2).count()
+    assert len(paths) == 5 and all(o == session.FEW_ROWS for o in paths)
+    table = session.written(spark.range(0, 20, 1, 1).select(F.transform(F.sequence(F.lit(1), F.lit(500_000)), lambda i: F.xxhash64("id", i)).alias("hash")), "blocks", session.FEW_ROWS)
+    files = [pq.ParquetFile(f) for f in glob.glob(table.written_to.removeprefix("file:") + "/*.parquet")]
+    groups = [f.metadata.row_group(i).num_rows for f in files for i in range(f.metadata.num_row_groups)]
+    assert sum(groups) == 20 == table.count() and max(groups) <= 6  # of 4 MB each
