@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 from ..functions import geometry as G
 from ..session import discard, merged, written
 from .grid import GridSpec
-from .vector import line_cells, point_in_layer, segments
+from .vector import edge_cells, polygon_cells, rows_of, segments
 
 LATTICE, BESIDE = 1e-6, 1e-4
 _ENDS = ["x1", "y1", "x2", "y2"]
@@ -42,14 +42,13 @@ def bucket_grid(edges: DataFrame, per_bucket: float = 2.0) -> GridSpec:
     return GridSpec(r["a"] - 1, r["d"] + 1, res, int((height + 2) // res) + 1, int((width + 2) // res) + 1)
 
 
-def _cut(edges: DataFrame, by: str, spec: GridSpec) -> DataFrame:
-    """(by, geom_id, x1, y1, x2, y2): the edges, cut where another of the same group crosses, touches or overlaps them."""
-    named = written(edges.withColumn("edge", F.monotonically_increasing_id()), "edges")
-    # line_cells names geometries; here each edge is one.
-    ring = F.array(F.array(F.array("x1", "y1"), F.array("x2", "y2")))
-    at = written(line_cells(named.select(F.col("edge").alias("geom_id"), ring.alias("rings")), spec).withColumnRenamed("geom_id", "edge").join(merged(named), "edge"), "edge-buckets")
-    other = at.select(by, "row", "col", *(F.col(c).alias(f"o{c}") for c in ["edge", *_ENDS]))
-    near = at.join(merged(other), [by, "row", "col"]).filter("edge <> oedge")
+def _cut(named: DataFrame, by: str, spec: GridSpec) -> DataFrame:
+    """Distinct (by, x1, y1, x2, y2): the pieces of distinct edges (edge, by, x1, y1, x2, y2), lesser end first as theirs is, cut
+    where another of the same group crosses, touches or overlaps them."""
+    at = edge_cells(named, spec)
+    # Both sides are the same rows, dealt once. A place at which an edge ends anyway cuts nothing.
+    near = at.alias("m").join(merged(at.alias("o")), (F.col(f"m.{by}") == F.col(f"o.{by}")) & (F.col("m.row") == F.col("o.row")) & (F.col("m.col") == F.col("o.col"))).filter("m.edge <> o.edge")
+    near = near.select(*(F.col(f"m.{c}").alias(c) for c in ["edge", *_ENDS]), *(F.col(f"o.{c}").alias(f"o{c}") for c in ["edge", *_ENDS]))
     near = near.filter((F.least("x1", "x2") <= F.greatest("ox1", "ox2")) & (F.least("ox1", "ox2") <= F.greatest("x1", "x2")) & (F.least("y1", "y2") <= F.greatest("oy1", "oy2")) & (F.least("oy1", "oy2") <= F.greatest("y1", "y2")))
     x1, y1, x2, y2, ox1, oy1, ox2, oy2 = (F.col(c) for c in [*_ENDS, *(f"o{c}" for c in _ENDS)])
     dx, dy, ex, ey = x2 - x1, y2 - y1, ox2 - ox1, oy2 - oy1
@@ -64,16 +63,40 @@ def _cut(edges: DataFrame, by: str, spec: GridSpec) -> DataFrame:
     first = F.col("edge") < F.col("oedge")
     crossing = place(F.when(first, x1 + t * dx).otherwise(ox1 + u * ex), F.when(first, y1 + t * dy).otherwise(oy1 + u * ey))
     met = F.array(F.when((cross != 0) & t.between(0, 1) & u.between(0, 1), crossing), F.when(on(ox1, oy1), place(ox1, oy1)), F.when(on(ox2, oy2), place(ox2, oy2)))
-    cuts = near.select("edge", F.explode(F.filter(met, lambda p: p.isNotNull())).alias("p")).distinct()
-    cuts = cuts.groupBy("edge").agg(F.collect_list("p").alias("cuts"))
     ends = lambda a, b: F.struct(F.col(a).alias("x"), F.col(b).alias("y"))
+    inner = F.filter(met, lambda p: p.isNotNull() & (p != ends("x1", "y1")) & (p != ends("x2", "y2")))
+    cuts = near.select("edge", F.explode(inner).alias("p")).distinct()
+    cuts = cuts.groupBy("edge").agg(F.collect_list("p").alias("cuts"))
     along = lambda p: F.struct(((p["x"] - x1) * dx + (p["y"] - y1) * dy).alias("at"), p["x"].alias("x"), p["y"].alias("y"))
     every = F.array_distinct(F.concat(F.array(ends("x1", "y1")), F.coalesce("cuts", F.array().cast("array<struct<x:double,y:double>>")), F.array(ends("x2", "y2"))))
     line = named.join(merged(cuts), "edge", "left").withColumn("line", F.array_sort(F.transform(every, along)))
     piece = F.transform(F.sequence(F.lit(1), F.size("line") - 1), lambda i: F.struct(F.element_at("line", i)["x"].alias("x1"), F.element_at("line", i)["y"].alias("y1"), F.element_at("line", i + 1)["x"].alias("x2"), F.element_at("line", i + 1)["y"].alias("y2")))
-    out = written(line.filter(F.size("line") > 1).select(by, "geom_id", F.explode(piece).alias("s")).select(by, "geom_id", "s.*"), "pieces")
-    discard(named, at)
-    return out
+    return _plain(line.filter(F.size("line") > 1).select(by, F.explode(piece).alias("s")).select(by, "s.*"), by)
+
+
+def _plain(edges: DataFrame, by: str) -> DataFrame:
+    """The distinct edges of each group, lesser end first."""
+    swap = (F.col("x1") > F.col("x2")) | ((F.col("x1") == F.col("x2")) & (F.col("y1") > F.col("y2")))
+    return edges.select(by, *(F.when(swap, F.col(b)).otherwise(F.col(a)).alias(a) for a, b in (("x1", "x2"), ("y1", "y2"), ("x2", "x1"), ("y2", "y1")))).distinct()
+
+
+def _holding(spots: DataFrame, layer: DataFrame, by: str, spec: GridSpec) -> DataFrame:
+    """(piece, side, geom_id), distinct, of spots (by, piece, side, x, y) inside polygons of their own group, as point_in_layer
+    finds them; polygons of other groups meet no spot."""
+    same = lambda a, b: a[by].eqNullSafe(b[by]) & (a["row"] == b["row"]) & (a["col"] == b["col"])
+    keyed = spots.withColumns({"row": spec.row(F.col("y")), "col": spec.col(F.col("x"))})
+    entered = edge_cells(segments(layer, by), spec).select(by, "geom_id", "row", "col").distinct()
+    own = layer.select("geom_id", by)
+    whole = polygon_cells(layer.select("geom_id", "rings"), spec).join(merged(entered.select("geom_id", "row", "col")), ["geom_id", "row", "col"], "left_anti").join(merged(own), "geom_id")
+    sure = keyed.join(merged(whole), same(keyed, whole)).select("piece", "side", "geom_id")
+    edges = segments(layer).filter("y1 <> y2")
+    edges = rows_of(edges, spec)
+    x, y = F.col("x"), F.col("y")
+    crosses = ((F.col("y1") > y) != (F.col("y2") > y)) & (x < (F.col("x2") - F.col("x1")) * (y - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1"))
+    inner = keyed.join(merged(entered), same(keyed, entered)).select("piece", "side", "x", "y", "geom_id", keyed["row"])
+    met = inner.join(merged(edges), ["geom_id", "row"]).filter(crosses)
+    odd = met.groupBy("piece", "side", "geom_id").agg(F.count("*").alias("_n")).filter("_n % 2 = 1")
+    return sure.unionByName(odd.drop("_n"))
 
 
 def outline(layer: DataFrame, by: str, inside: Callable[[Column], Column] = lambda held: F.size(held) > 0) -> DataFrame:
@@ -82,26 +105,25 @@ def outline(layer: DataFrame, by: str, inside: Callable[[Column], Column] = lamb
     layer: by, geom_id, rings, even-odd within a polygon. inside: from the array of ids (as text) of the group's polygons that hold
     a place to whether the place is in the result; the usual one gives the union.
     """
-    edges = segments(layer.withColumn("geom_id", F.col("geom_id").cast("string")), by).select(by, "geom_id", *(_snap(c).alias(c) for c in _ENDS)).filter("x1 <> x2 OR y1 <> y2")
+    edges = segments(layer, by).select(by, *(_snap(c).alias(c) for c in _ENDS)).filter("x1 <> x2 OR y1 <> y2")
+    edges = written(_plain(edges, by).withColumn("edge", F.monotonically_increasing_id()), "edges")
     spec = bucket_grid(edges)
-    pieces = _cut(edges, by, spec)
-    swap = (F.col("x1") > F.col("x2")) | ((F.col("x1") == F.col("x2")) & (F.col("y1") > F.col("y2")))
-    plain = pieces.select(by, *(F.when(swap, F.col(b)).otherwise(F.col(a)).alias(a) for a, b in (("x1", "x2"), ("y1", "y2"), ("x2", "x1"), ("y2", "y1")))).distinct()
-    named = written(plain.withColumn("piece", F.monotonically_increasing_id()), "distinct-pieces")
+    named = written(_cut(edges, by, spec).withColumn("piece", F.monotonically_increasing_id()), "pieces")
+    discard(edges)
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
     size = F.hypot(dx, dy)
     sides = F.array(*(F.struct(F.lit(s).alias("side"), ((F.col("x1") + F.col("x2")) / 2 - s * BESIDE * dy / size).alias("x"), ((F.col("y1") + F.col("y2")) / 2 + s * BESIDE * dx / size).alias("y")) for s in (1, -1)))
-    spots = named.select(by, "piece", F.explode(sides).alias("p")).select(by, F.concat_ws(":", "piece", "p.side").alias("spot"), "piece", "p.side", "p.x", "p.y")
+    spots = named.select(by, "piece", F.explode(sides).alias("p")).select(by, "piece", "p.side", "p.x", "p.y")
     rings = layer.select(by, F.col("geom_id").cast("string").alias("geom_id"), F.transform("rings", lambda r: F.transform(r, lambda p: F.array(_snap(p[0]), _snap(p[1])))).alias("rings"))
-    held = point_in_layer(spots, rings.select("geom_id", "rings"), spec, "spot")
-    held = held.join(merged(rings.select("geom_id", F.col(by).alias("_of"))), "geom_id").join(merged(spots.select("spot", by)), "spot").filter(F.col("_of").eqNullSafe(F.col(by)))
-    sets = held.groupBy("spot").agg(F.collect_list("geom_id").alias("held"))
-    known = spots.join(merged(sets), "spot", "left").select("piece", "side", inside(F.coalesce("held", F.array().cast("array<string>"))).alias("in"))
-    both = known.groupBy("piece").agg(F.bool_or(F.col("in") & (F.col("side") == 1)).alias("left"), F.bool_or(F.col("in") & (F.col("side") == -1)).alias("right"))
-    kept = named.join(merged(both.filter(F.col("left") != F.col("right"))), "piece")
+    held = _holding(spots, rings, by, spec)
+    of = lambda side: F.collect_list(F.when(F.col("side") == side, F.col("geom_id")))
+    sets = held.groupBy("piece").agg(of(1).alias("_left"), of(-1).alias("_right"))
+    none = F.array().cast("array<string>")
+    both = named.join(merged(sets), "piece", "left").withColumns({"left": inside(F.coalesce("_left", none)), "right": inside(F.coalesce("_right", none))})
+    kept = both.filter(F.col("left") != F.col("right"))
     way = lambda a, b: F.when(F.col("left"), F.col(a)).otherwise(F.col(b)).alias(a)
     out = written(kept.select(by, way("x1", "x2"), way("y1", "y2"), way("x2", "x1"), way("y2", "y1")), "outline")
-    discard(pieces, named)
+    discard(named)
     return out
 
 
@@ -156,13 +178,14 @@ def difference(near: DataFrame, land: DataFrame, by: str) -> DataFrame:
 
 def polygons(rings: DataFrame, by: str) -> DataFrame:
     """(by, geom_id, rings) of rings_of: each outer ring with its holes. A hole is in the smallest outer ring around it."""
+    rings = written(rings, "rings")
     outer = rings.filter("NOT hole").select(by, F.col("ring").alias("geom_id"), F.array("points").alias("rings"), "area")
     p, q = F.col("points")[0], F.col("points")[1]
     size = F.hypot(q[0] - p[0], q[1] - p[1])
     beside = rings.filter("hole").select(by, "ring", "points", ((p[0] + q[0]) / 2 - BESIDE * (q[1] - p[1]) / size).alias("x"), ((p[1] + q[1]) / 2 + BESIDE * (q[0] - p[0]) / size).alias("y"))
-    around = point_in_layer(beside, outer.select("geom_id", "rings"), bucket_grid(segments(outer.select("geom_id", "rings"))), "ring")
-    mine = around.join(merged(outer.select("geom_id", F.col(by).alias("_of"), "area")), "geom_id").join(merged(beside.select("ring", by)), "ring").filter(F.col("_of").eqNullSafe(F.col(by)))
-    home = mine.groupBy("ring").agg(F.min_by("geom_id", "area").alias("geom_id"))
+    spots = beside.select(by, F.col("ring").alias("piece"), F.lit(0).alias("side"), "x", "y")
+    around = _holding(spots, outer.select(by, "geom_id", "rings"), by, bucket_grid(segments(outer.select("geom_id", "rings"))))
+    home = around.join(merged(outer.select("geom_id", "area")), "geom_id").groupBy(F.col("piece").alias("ring")).agg(F.min_by("geom_id", "area").alias("geom_id"))
     holes = home.join(merged(beside.select("ring", "points")), "ring").groupBy("geom_id").agg(F.collect_list("points").alias("holes"))
     joined = outer.join(merged(holes), "geom_id", "left")
     return joined.select(by, "geom_id", F.concat("rings", F.coalesce("holes", F.array().cast("array<array<array<double>>>"))).alias("rings"))

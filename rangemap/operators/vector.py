@@ -42,21 +42,26 @@ def polygon_cells(layer: DataFrame, spec: GridSpec) -> DataFrame:
     return spans.select("geom_id", "row", F.explode(F.sequence("a", "b")).alias("col"))
 
 
-def line_cells(layer: DataFrame, spec: GridSpec) -> DataFrame:
-    """Distinct (geom_id, row, col) of cells that an edge passes through, row by row along the edge."""
+def edge_cells(edges: DataFrame, spec: GridSpec) -> DataFrame:
+    """edges (x1, y1, x2, y2 and more), each once in each cell (row, col) that it passes through, row by row along it."""
     y0, res = F.lit(float(spec.ytop)), F.lit(float(spec.res))
-    seg = segments(layer).withColumns({"top": F.greatest("y1", "y2"), "low": F.least("y1", "y2")})
-    seg = seg.withColumns({"a": spec.row(F.col("top")), "b": spec.row(F.col("low"))}).filter((F.col("b") >= 0) & (F.col("a") < spec.nrows))
-    rows = seg.withColumn("row", F.explode(F.sequence(_clamped(F.col("a"), spec.nrows), _clamped(F.col("b"), spec.nrows))))
-    upper, lower = F.least(F.col("top"), y0 - F.col("row") * res), F.greatest(F.col("low"), y0 - (F.col("row") + 1) * res)
+    seg = edges.withColumns({"_top": F.greatest("y1", "y2"), "_low": F.least("y1", "y2")})
+    seg = seg.withColumns({"_a": spec.row(F.col("_top")), "_b": spec.row(F.col("_low"))}).filter((F.col("_b") >= 0) & (F.col("_a") < spec.nrows))
+    rows = seg.withColumn("row", F.explode(F.sequence(_clamped(F.col("_a"), spec.nrows), _clamped(F.col("_b"), spec.nrows))))
+    upper, lower = F.least(F.col("_top"), y0 - F.col("row") * res), F.greatest(F.col("_low"), y0 - (F.col("row") + 1) * res)
 
     def x_at(y: Column) -> Column:
         return F.col("x1") + (F.col("x2") - F.col("x1")) * (y - F.col("y1")) / (F.col("y2") - F.col("y1"))
 
     flat = F.col("y1") == F.col("y2")
     xa, xb = F.when(flat, F.col("x1")).otherwise(x_at(upper)), F.when(flat, F.col("x2")).otherwise(x_at(lower))
-    cols = rows.select("geom_id", "row", spec.col(F.least(xa, xb)).alias("a"), spec.col(F.greatest(xa, xb)).alias("b")).filter((F.col("b") >= 0) & (F.col("a") < spec.ncols))
-    return cols.select("geom_id", "row", F.explode(F.sequence(_clamped(F.col("a"), spec.ncols), _clamped(F.col("b"), spec.ncols))).alias("col")).distinct()
+    cols = rows.select(*edges.columns, "row", spec.col(F.least(xa, xb)).alias("_a"), spec.col(F.greatest(xa, xb)).alias("_b")).filter((F.col("_b") >= 0) & (F.col("_a") < spec.ncols))
+    return cols.select(*edges.columns, "row", F.explode(F.sequence(_clamped(F.col("_a"), spec.ncols), _clamped(F.col("_b"), spec.ncols))).alias("col"))
+
+
+def line_cells(layer: DataFrame, spec: GridSpec) -> DataFrame:
+    """Distinct (geom_id, row, col) of cells that an edge passes through, row by row along the edge."""
+    return edge_cells(segments(layer), spec).select("geom_id", *KEY).distinct()
 
 
 def touched_cells(layer: DataFrame, spec: GridSpec) -> DataFrame:
@@ -85,6 +90,12 @@ def feature_cover(layers: dict[str, tuple[DataFrame, bool]], spec: GridSpec, gri
     return out.na.fill(0, subset=list(layers))
 
 
+def rows_of(edges: DataFrame, spec: GridSpec) -> DataFrame:
+    """edges, each once in each row that it meets."""
+    edges = edges.withColumns({"_a": spec.row(F.greatest("y1", "y2")), "_b": spec.row(F.least("y1", "y2"))}).filter((F.col("_b") >= 0) & (F.col("_a") < spec.nrows))
+    return edges.withColumn("row", F.explode(F.sequence(_clamped(F.col("_a"), spec.nrows), _clamped(F.col("_b"), spec.nrows)))).drop("_a", "_b")
+
+
 def point_in_layer(points: DataFrame, layer: DataFrame, spec: GridSpec, point_id: str = "point_id") -> DataFrame:
     """Distinct (point_id, geom_id) of each point inside each polygon, on spec, a grid of the caller's choice that covers all.
 
@@ -95,8 +106,7 @@ def point_in_layer(points: DataFrame, layer: DataFrame, spec: GridSpec, point_id
     entered = line_cells(layer, spec)
     whole = polygon_cells(layer, spec).join(merged(entered), ["geom_id", *KEY], "left_anti")
     sure = keyed.join(merged(whole), KEY).select(point_id, "geom_id")
-    edges = segments(layer).filter("y1 <> y2").withColumns({"_a": spec.row(F.greatest("y1", "y2")), "_b": spec.row(F.least("y1", "y2"))}).filter((F.col("_b") >= 0) & (F.col("_a") < spec.nrows))
-    edges = edges.withColumn("row", F.explode(F.sequence(_clamped(F.col("_a"), spec.nrows), _clamped(F.col("_b"), spec.nrows)))).drop("_a", "_b")
+    edges = rows_of(segments(layer).filter("y1 <> y2"), spec)
     x, y = F.col("x"), F.col("y")
     crosses = ((F.col("y1") > y) != (F.col("y2") > y)) & (x < (F.col("x2") - F.col("x1")) * (y - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1"))
     met = keyed.join(merged(entered), KEY).join(merged(edges), ["geom_id", "row"]).filter(crosses)

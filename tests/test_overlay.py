@@ -92,3 +92,18 @@ def test_overlay_broadcasts_nothing(spark, monkeypatch):
     plans.append(whole._jdf.queryExecution().executedPlan().toString())
     assert len(plans) > 5 and not [p for p in plans if "BroadcastHashJoin" in p]
     assert [r[0] for r in whole.select(overlay.shapes_area()).collect()] == [175.0]
+
+
+def test_places_meet_their_own_group_only(spark):
+    """Rows that a side's search makes must not grow with the number of groups at one place; equal edges are cut once."""
+    ring = lambda i: [box(i, 0, 4, 4)]
+    layer = spark.createDataFrame([(f"g{i % 20}", str(i), ring(i // 20)) for i in range(60)], SCHEMA.replace("geom_id long", "geom_id string"))
+    spec = GridSpec(-1.0, 9.0, 4.0, 3, 3)
+    spots = spark.createDataFrame([("g3", 1, 1, 2.5, 2.5), ("g4", 2, -1, 0.5, 2.5), ("g5", 3, 1, -0.5, 2.5)], "g string, piece long, side int, x double, y double")
+    assert sorted(tuple(r) for r in overlay._holding(spots, layer, "g", spec).collect()) == [(1, 1, "23"), (1, 1, "3"), (1, 1, "43"), (2, -1, "4")]
+    edges = overlay._plain(vector.segments(layer, "g").select("g", "x1", "y1", "x2", "y2").unionByName(vector.segments(layer, "g").select("g", F.col("x2").alias("x1"), F.col("y2").alias("y1"), F.col("x1").alias("x2"), F.col("y1").alias("y2"))), "g")
+    assert edges.count() == 20 * 12
+    named = edges.withColumn("edge", F.monotonically_increasing_id()).localCheckpoint()
+    pieces = overlay._cut(named, "g", spec).filter("g = 'g7'").collect()
+    assert len(pieces) == len(set(pieces)) == 6 + 10  # six uprights, two lines of five pieces each
+    assert overlay.union(layer, "g").filter("NOT hole AND area = 24").count() == 20
