@@ -162,6 +162,39 @@ def test_importance_and_dependence(training, coefficients):
     assert len(pdp) == 5 and pdp[0]["centred"] == 0 and pdp[-1]["p"] > pdp[0]["p"]
 
 
+def test_importance_is_of_all_rows(spark, training, coefficients):
+    """However many rows an identifier has, here over 2,000, all of them are scored in each repeat."""
+    rows = training.filter("identifier = 'Myotis brandtii_Roost'")
+    times = -(-2500 // rows.count())
+    many = rows.crossJoin(spark.range(times)).withColumn("point_id", F.col("point_id") * times + F.col("id")).drop("id")
+    seen = []
+    keep = explain.auc
+
+    def noted(df, by):
+        seen.append((by, df.count()))
+        return keep(df, by)
+
+    explain.auc = noted
+    try:
+        found = {r["feature"]: r["mean"] for r in explain.permutation_importance(many, coefficients, ["f", "g"], repeats=2).collect()}
+    finally:
+        explain.auc = keep
+    n = many.count()
+    assert n >= 2500 and [c for _, c in seen] == [n, n * 2 * 2] and found["f"] > found["g"] + 0.1
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 64, 1000])
+def test_dealing_is_a_permutation(n):
+    i = np.arange(n)
+    for seed in range(5):
+        assert sorted(explain.shuffled(i, np.full(n, n), seed)) == i.tolist()
+    both = explain.shuffled(np.concatenate([i, np.arange(7)]), np.concatenate([np.full(n, n), np.full(7, 7)]), 3)
+    assert both[:n].tolist() == explain.shuffled(i, np.full(n, n), 3).tolist() and sorted(both[n:]) == list(range(7))
+    if n == 1000:
+        assert explain.shuffled(i, np.full(n, n), 1).tolist() != explain.shuffled(i, np.full(n, n), 2).tolist()
+        assert abs(np.corrcoef(i, explain.shuffled(i, np.full(n, n), 1))[0, 1]) < 0.1
+
+
 def test_feature_tables(spark, training):
     mi = {r["feature"]: r["score"] for r in features.mutual_information(training, ["f", "g"], "class").collect()}
     assert mi["f"] > 5 * mi["g"]
